@@ -14,7 +14,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import Tables
-from . import compliance
+from . import compliance, triggers
 from .world import care_tables
 
 # Fixed evaluation instants (Thursday, day-15, Tuesday) inside the data range.
@@ -33,6 +33,40 @@ def q_compliance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        c["patients"], CARE_AS_OF)
 
 
+def _trigger(fn, as_of, with_log=False, with_snapshot=False, **kw):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        c = _care(spark, sf_dir)
+        args = [c]
+        if with_log:
+            args.append(c["task_log"])
+        if with_snapshot:
+            args.append(c["prev_county"])
+        return fn(*args, as_of, **kw)
+    q.__doc__ = fn.__doc__
+    return q
+
+
+def q_snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return triggers.next_county_snapshot(_care(spark, sf_dir))
+
+
+def q_over_util_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return triggers.util_notes(_care(spark, sf_dir), DAY15_AS_OF, over=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compliance_check": q_compliance_check,
+    "hold_note": _trigger(triggers.add_hold_note, CARE_AS_OF, with_log=True),
+    "snapshot_diff": _trigger(triggers.denver_status_change, CARE_AS_OF, with_snapshot=True),
+    "snapshot_replace": q_snapshot_replace,
+    "lost_eligibility": _trigger(triggers.lost_eligibility, CARE_AS_OF, with_log=True),
+    "over_util": _trigger(triggers.over_utilization, DAY15_AS_OF, with_log=True),
+    "over_util_notes": q_over_util_notes,
+    "under_util": _trigger(triggers.under_utilization, DAY15_AS_OF, with_log=True),
+    "weekly_overtime": _trigger(triggers.weekly_overtime, CARE_AS_OF),
+    "not_div_15": _trigger(triggers.not_div_by_15, DAY15_AS_OF),
+    "assign_coordinator": _trigger(triggers.assign_coordinator, CARE_AS_OF, with_log=True),
+    "assign_nurse": _trigger(triggers.assign_nurse, CARE_AS_OF, with_log=True),
+    "over_15_visits": _trigger(triggers.over_15_min_visits, TUESDAY_AS_OF),
+    "daily_or_visit_overtime": _trigger(triggers.daily_overtime, CARE_AS_OF),
 }

@@ -30,6 +30,7 @@ class View:
     cols: list[tuple[str, str, str | None]]
     where: str | None = None        # same text in both dialects
     pre: list[tuple[str, str, str | None]] = field(default_factory=list)
+    distinct: bool = False
 
     def spark(self, t: Tables) -> DataFrame:
         df = _base_spark(t, self.base)
@@ -37,7 +38,8 @@ class View:
             df = df.where(self.where)
         if self.pre:
             df = df.selectExpr("*", *[f"{s} AS {n}" for n, s, _ in self.pre])
-        return df.selectExpr(*[f"{s} AS {n}" for n, s, _ in self.cols])
+        df = df.selectExpr(*[f"{s} AS {n}" for n, s, _ in self.cols])
+        return df.distinct() if self.distinct else df
 
     def duck_cte(self) -> str:
         src = _base_duck(self.base)
@@ -48,10 +50,14 @@ class View:
         else:
             where = f" WHERE {self.where}" if self.where else ""
         sel = ",\n    ".join(f"{d if d is not None else s} AS {n}" for n, s, d in self.cols)
-        return f"{self.name} AS (\n  SELECT\n    {sel}\n  FROM {src}{where}\n)"
+        dist = "DISTINCT " if self.distinct else ""
+        return f"{self.name} AS (\n  SELECT {dist}\n    {sel}\n  FROM {src}{where}\n)"
 
 
 def _base_spark(t: Tables, base: str) -> DataFrame:
+    if base == "customer_moved":
+        cu, na = t["customer"], t["nation"]
+        return cu.join(na, na.n_nationkey == (cu.c_nationkey + 1) % 25, "inner")
     if base == "lineitem_orders":
         li = t["lineitem"]
         od = t["orders"].select("o_orderkey", "o_custkey")
@@ -60,6 +66,8 @@ def _base_spark(t: Tables, base: str) -> DataFrame:
 
 
 def _base_duck(base: str) -> str:
+    if base == "customer_moved":
+        return "customer JOIN nation ON n_nationkey = (c_nationkey + 1) % 25"
     if base == "lineitem_orders":
         return "lineitem JOIN orders ON l_orderkey = o_orderkey"
     return base
@@ -226,7 +234,7 @@ VENDOR_ENTRIES = View("vendor_entries", "orders", [
 ])
 
 ELIGIBILITY = View("eligibility", "orders", [
-    ("entry_date", "CAST(date_trunc('month', o_orderdate) AS DATE)", None),
+    ("entry_date", "CAST(date_trunc('year', o_orderdate) AS DATE)", None),
     ("patient_number", "CAST(o_custkey AS STRING)", None),
     ("plan_code", PLAN, None),
     ("ddl_eligibility_status", "CASE WHEN o_orderstatus = 'O' THEN '6' ELSE '1' END", None),
@@ -255,13 +263,23 @@ OVERTIME_REPORTS = View("overtime_reports", "lineitem", [
     ("weekstart", "CAST(date_trunc('week', l_shipdate) AS DATE)", None),
     ("reportdate", "date_add(CAST(date_trunc('week', l_shipdate) AS DATE), 10)",
      "CAST(date_trunc('week', l_shipdate) AS DATE) + 10"),
-], where="l_quantity >= 45")
+], where="l_quantity >= 45", distinct=True)
+
+# Previous county snapshot: every patient one nation over (so region, and
+# with it the DENVER class, moves for some), HOUSEHOLD customers absent (new).
+PREV_COUNTY = View("prev_county", "customer_moved", [
+    ("patient_number", "CAST(c_custkey AS STRING)", None),
+    ("residency_codes", "CAST(n_nationkey AS STRING)", None),
+    ("residency_desc", "CASE WHEN n_regionkey = 1 THEN 'CO-DENVER COUNTY' ELSE n_name END", None),
+    ("county", "CASE WHEN n_regionkey = 1 THEN 'DENVER' ELSE 'NON-DENVER' END", None),
+], where="c_mktsegment <> 'HOUSEHOLD'")
 
 ASSIGNEE_TYPES = [(1, "CaseManager"), (2, "Role"), (3, "User")]
 
 ALL_VIEWS = {v.name: v for v in [
     PATIENTS, RESIDENCY, EMPLOYEES, USERS, ADMISSIONS, CERTIFICATIONS, TASK_ENTRIES, VISITS,
-    HOLD_REPORTS, COMM_LOGS, TASK_LOG, VENDOR_ENTRIES, ELIGIBILITY, UTILIZATION, OVERTIME_REPORTS]}
+    HOLD_REPORTS, COMM_LOGS, TASK_LOG, VENDOR_ENTRIES, ELIGIBILITY, UTILIZATION, OVERTIME_REPORTS,
+    PREV_COUNTY]}
 
 
 def care_tables(t: Tables) -> Tables:
