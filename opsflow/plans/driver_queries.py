@@ -14,7 +14,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import Tables
-from . import compliance, triggers
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from ..schemas import QUEUE_COLUMNS
+from . import compliance, reports, tasklog, triggers
 from .world import care_tables
 
 # Fixed evaluation instants (Thursday, day-15, Tuesday) inside the data range.
@@ -54,6 +59,57 @@ def q_over_util_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return triggers.util_notes(_care(spark, sf_dir), DAY15_AS_OF, over=True)
 
 
+QUEUED_BEFORE = date(1997, 1, 1)
+
+
+def _queue(c: Tables) -> DataFrame:
+    """Queue as of the previous run: Pending tasks due before 1997, then B7."""
+    log = c["task_log"]
+    prev = log.where((F.col("status") == "Pending") & (F.col("due") < F.lit(QUEUED_BEFORE))).select(*QUEUE_COLUMNS)
+    return tasklog.enqueue(log, prev)
+
+
+def _after_responses(c: Tables):
+    return tasklog.apply_responses(c["task_log"], _queue(c), c["responses"], CARE_AS_OF)
+
+
+def q_append_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _care(spark, sf_dir)
+    log = c["task_log"]
+    new = triggers.assign_coordinator(c, log, CARE_AS_OF).unionByName(triggers.assign_nurse(c, log, CARE_AS_OF))
+    return tasklog.append_tasks(log, new)
+
+
+def q_enqueue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _queue(_care(spark, sf_dir))
+
+
+def q_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _care(spark, sf_dir)
+    return tasklog.build_payload(_queue(c), c["assignee_types"])
+
+
+def q_apply_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _after_responses(_care(spark, sf_dir))[0]
+
+
+def q_dequeue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _after_responses(_care(spark, sf_dir))[1]
+
+
+def q_mark_completed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _care(spark, sf_dir)
+    return tasklog.mark_completed(c["task_log"], c["vendor_entries"])
+
+
+def q_fail_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.fail_digest(_after_responses(_care(spark, sf_dir))[0], CARE_AS_OF)
+
+
+def q_fail_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.fail_export(_after_responses(_care(spark, sf_dir))[0])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compliance_check": q_compliance_check,
     "hold_note": _trigger(triggers.add_hold_note, CARE_AS_OF, with_log=True),
@@ -69,4 +125,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assign_nurse": _trigger(triggers.assign_nurse, CARE_AS_OF, with_log=True),
     "over_15_visits": _trigger(triggers.over_15_min_visits, TUESDAY_AS_OF),
     "daily_or_visit_overtime": _trigger(triggers.daily_overtime, CARE_AS_OF),
+    "append_tasks": q_append_tasks,
+    "enqueue": q_enqueue,
+    "payload": q_payload,
+    "apply_responses": q_apply_responses,
+    "dequeue": q_dequeue,
+    "mark_completed": q_mark_completed,
+    "fail_digest": q_fail_digest,
+    "fail_export": q_fail_export,
 }

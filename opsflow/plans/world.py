@@ -274,12 +274,30 @@ PREV_COUNTY = View("prev_county", "customer_moved", [
     ("county", "CASE WHEN n_regionkey = 1 THEN 'DENVER' ELSE 'NON-DENVER' END", None),
 ], where="c_mktsegment <> 'HOUSEHOLD'")
 
-ASSIGNEE_TYPES = [(1, "CaseManager"), (2, "Role"), (3, "User")]
+# Vendor API answers, one per task id: success with a quoted task number,
+# an error with a message, or an error with neither (quirk Q12 inputs).
+_ASSIGNEE = ("CASE WHEN o_orderstatus = 'O' THEN concat('U', CAST(o_custkey % 10 AS STRING)) "
+             "ELSE 'CaseManager' END")
+RESPONSES = View("responses", "orders", [
+    ("taskid", "o_orderkey", None),
+    ("response", "CASE WHEN o_custkey % 10 = 7 THEN concat('{\"statusCode\":400,\"detailedMessage\":\"Assignee ', "
+                 + _ASSIGNEE + ", ' <not> & found\"}') "
+                 "WHEN o_custkey % 10 = 3 THEN '{\"statusCode\":500}' "
+                 "ELSE concat('{\"statusCode\":200,\"data\":\"Task ', chr(39), CAST(o_orderkey * 7 AS STRING), "
+                 "chr(39), ' created\"}') END", None),
+])
+
+# Assignee type names by id (the lookup the payload builder resolves).
+ASSIGNEE_TYPES = View("assignee_types", "region", [
+    ("id", "r_regionkey", None),
+    ("type", "CASE r_regionkey WHEN 1 THEN 'CaseManager' WHEN 2 THEN 'Role' WHEN 3 THEN 'User' ELSE r_name END",
+     None),
+])
 
 ALL_VIEWS = {v.name: v for v in [
     PATIENTS, RESIDENCY, EMPLOYEES, USERS, ADMISSIONS, CERTIFICATIONS, TASK_ENTRIES, VISITS,
     HOLD_REPORTS, COMM_LOGS, TASK_LOG, VENDOR_ENTRIES, ELIGIBILITY, UTILIZATION, OVERTIME_REPORTS,
-    PREV_COUNTY]}
+    PREV_COUNTY, RESPONSES, ASSIGNEE_TYPES]}
 
 
 def care_tables(t: Tables) -> Tables:
