@@ -45,7 +45,7 @@ def parse_decimal(x: Column, precision: int = 38, scale: int = 10) -> Column:
 def parse_date(x: Column) -> Column:
     """First layout that parses wins (S21); invalid calendar days fail."""
     s = strip_ws(x)
-    return F.coalesce(*[F.try_to_date(s, F.lit(fmt)) for fmt in DATE_FORMATS])
+    return F.coalesce(*[F.try_to_date(s, fmt) for fmt in DATE_FORMATS])
 
 
 def round_half_even(x: Column, scale: int = 2) -> Column:

@@ -19,7 +19,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ..schemas import QUEUE_COLUMNS
-from . import compliance, reports, tasklog, triggers
+from . import compliance, ingest, reports, tasklog, triggers
 from .world import care_tables
 
 # Fixed evaluation instants (Thursday, day-15, Tuesday) inside the data range.
@@ -110,6 +110,43 @@ def q_fail_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.fail_export(_after_responses(_care(spark, sf_dir))[0])
 
 
+INGEST_AS_OF = datetime(2026, 3, 2, 14, 42)
+SALES_ORDER = ("source_file", "ord1", "ord2", "ord3", "ord4")
+_ORD = ["ord1", "ord2", "ord3", "ord4"]
+
+
+def _validated(c: Tables) -> DataFrame:
+    return ingest.validate_sales(c["raw_sales"], INGEST_AS_OF)
+
+
+def _inserted(c: Tables) -> DataFrame:
+    return ingest.load_sales(_validated(c), c["sales_target"], [F.col(k).asc() for k in SALES_ORDER])
+
+
+def q_validate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _validated(_care(spark, sf_dir)).drop(*_ORD)
+
+
+def q_soft_total_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _validated(_care(spark, sf_dir))
+    return v.where(F.col("total_mismatch")).select("source_file", "sale_id", "quantity", "unit_price",
+                                                   "total_amount", "expected_total")
+
+
+def q_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _inserted(_care(spark, sf_dir)).select(*ingest.SALES_OUT)
+
+
+def q_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _care(spark, sf_dir)
+    return ingest.file_stats(_validated(c), _inserted(c))
+
+
+def q_run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _care(spark, sf_dir)
+    return ingest.run_totals(ingest.file_stats(_validated(c), _inserted(c)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compliance_check": q_compliance_check,
     "hold_note": _trigger(triggers.add_hold_note, CARE_AS_OF, with_log=True),
@@ -133,4 +170,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mark_completed": q_mark_completed,
     "fail_digest": q_fail_digest,
     "fail_export": q_fail_export,
+    "validate_rows": q_validate_rows,
+    "soft_total_check": q_soft_total_check,
+    "insert_ignore": q_insert_ignore,
+    "file_stats": q_file_stats,
+    "run_totals": q_run_totals,
 }

@@ -294,10 +294,58 @@ ASSIGNEE_TYPES = View("assignee_types", "region", [
      None),
 ])
 
+_PRICE_TXT = "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING)"
+_TOTAL = "CAST(l_quantity AS DECIMAL(12,0)) * CAST(l_extendedprice AS DECIMAL(12,2))"
+
+# Sales rows as text, as a delimited file would deliver them; one "file" per
+# ship year. Spoiled on purpose: '5.0' and empty quantities, NaN/exponent/
+# thousands-comma prices, wrong and 3-decimal totals, invalid calendar days,
+# the three accepted date layouts; sale_id repeats (lines of one order).
+RAW_SALES = View("raw_sales", "lineitem", [
+    ("sale_id", "concat('S-', CAST(l_orderkey AS STRING))", None),
+    ("customer_name", "concat('Customer ', CAST(l_suppkey AS STRING))", None),
+    ("product", "concat('Part ', CAST(l_partkey AS STRING))", None),
+    ("quantity", "CASE WHEN l_linenumber = 7 THEN concat(CAST(CAST(l_quantity AS INT) AS STRING), '.0') "
+                 "WHEN l_returnflag = 'R' AND l_linenumber = 5 THEN '' "
+                 "ELSE concat(' ', CAST(CAST(l_quantity AS INT) AS STRING), ' ') END", None),
+    ("unit_price", "CASE WHEN l_linenumber = 6 AND l_extendedprice >= 1000 THEN "
+                   "concat(CAST(CAST(floor(l_extendedprice / 1000) AS BIGINT) AS STRING), ',', right("
+                   + _PRICE_TXT + ", 6)) "
+                   "WHEN l_linenumber = 4 AND l_returnflag = 'A' THEN 'NaN' "
+                   "WHEN l_linenumber = 3 AND l_returnflag = 'N' THEN concat(" + _PRICE_TXT + ", 'e0') "
+                   "ELSE " + _PRICE_TXT + " END", None),
+    ("total_amount", "CASE WHEN l_linenumber = 5 THEN CAST(" + _TOTAL + " + 0.01 AS STRING) "
+                     "WHEN l_linenumber = 2 THEN concat(CAST(" + _TOTAL + " AS STRING), '5') "
+                     "WHEN l_linestatus = 'O' AND l_linenumber = 1 AND l_returnflag = 'N' THEN 'abc' "
+                     "ELSE CAST(" + _TOTAL + " AS STRING) END", None),
+    ("sale_date", "CASE WHEN l_returnflag = 'A' AND l_linenumber = 1 "
+                  "THEN concat(CAST(year(l_shipdate) AS STRING), '-02-30') "
+                  "WHEN l_linenumber % 3 = 0 THEN date_format(l_shipdate, 'yyyy-MM-dd') "
+                  "WHEN l_linenumber % 3 = 1 THEN date_format(l_shipdate, 'MM/dd/yyyy') "
+                  "ELSE date_format(l_shipdate, 'd-M-yyyy') END",
+     "CASE WHEN l_returnflag = 'A' AND l_linenumber = 1 "
+     "THEN concat(CAST(year(l_shipdate) AS STRING), '-02-30') "
+     "WHEN l_linenumber % 3 = 0 THEN strftime(l_shipdate, '%Y-%m-%d') "
+     "WHEN l_linenumber % 3 = 1 THEN strftime(l_shipdate, '%m/%d/%Y') "
+     "ELSE strftime(l_shipdate, '%-d-%-m-%Y') END"),
+    ("region", "l_returnflag", None),
+    ("salesperson", "concat('Rep ', l_linestatus)", None),
+    ("source_file", "concat('sales', CAST(year(l_shipdate) AS STRING), '.txt')", None),
+    ("ord1", "l_orderkey", None),
+    ("ord2", "l_linenumber", None),
+    ("ord3", "l_partkey", None),
+    ("ord4", "l_suppkey", None),
+])
+
+# Keys already in the target sales table: finished orders.
+SALES_TARGET = View("sales_target", "orders", [
+    ("sale_id", "concat('S-', CAST(o_orderkey AS STRING))", None),
+], where="o_orderstatus = 'F'")
+
 ALL_VIEWS = {v.name: v for v in [
     PATIENTS, RESIDENCY, EMPLOYEES, USERS, ADMISSIONS, CERTIFICATIONS, TASK_ENTRIES, VISITS,
     HOLD_REPORTS, COMM_LOGS, TASK_LOG, VENDOR_ENTRIES, ELIGIBILITY, UTILIZATION, OVERTIME_REPORTS,
-    PREV_COUNTY, RESPONSES, ASSIGNEE_TYPES]}
+    PREV_COUNTY, RESPONSES, ASSIGNEE_TYPES, RAW_SALES, SALES_TARGET]}
 
 
 def care_tables(t: Tables) -> Tables:
