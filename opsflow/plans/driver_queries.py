@@ -147,6 +147,46 @@ def q_run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.run_totals(ingest.file_stats(_validated(c), _inserted(c)))
 
 
+def _check(c: Tables) -> DataFrame:
+    return compliance.compliance_check(c["admissions"], c["certifications"], c["task_entries"], c["patients"],
+                                       CARE_AS_OF, sort=False)
+
+
+def q_cert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _care(spark, sf_dir)
+    return compliance.cert_summary(_check(c), c["certifications"], CARE_AS_OF)
+
+
+def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _care(spark, sf_dir)
+    return compliance._prepare(_check(c), c["certifications"], c["task_entries"], CARE_AS_OF)
+
+
+def q_correct_due(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prepared(spark, sf_dir).select("patient_number", "admission_number", "task_item",
+                                           "certification_thru", "correctduedate")
+
+
+def q_expected_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prepared(spark, sf_dir).select("patient_number", "admission_number", "task_item", "servicetype",
+                                           "task_code")
+
+
+def q_latest_match_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compliance.latest_task(_care(spark, sf_dir)["task_entries"], CARE_AS_OF)
+
+
+def q_fallback_due(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _care(spark, sf_dir)
+    return compliance.fallback_due(_check(c), c["certifications"], c["task_entries"], CARE_AS_OF)
+
+
+def q_task_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _care(spark, sf_dir)
+    return compliance.task_actions(_check(c), c["certifications"], c["task_entries"], c["admissions"],
+                                   c["employees"], c["users"], CARE_AS_OF)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compliance_check": q_compliance_check,
     "hold_note": _trigger(triggers.add_hold_note, CARE_AS_OF, with_log=True),
@@ -175,4 +215,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "insert_ignore": q_insert_ignore,
     "file_stats": q_file_stats,
     "run_totals": q_run_totals,
+    "cert_summary": q_cert_summary,
+    "correct_due": q_correct_due,
+    "expected_code": q_expected_code,
+    "latest_match_back": q_latest_match_back,
+    "fallback_due": q_fallback_due,
+    "task_actions": q_task_actions,
 }
