@@ -13,6 +13,11 @@ from .text import strip_ws
 
 # Fixed value: accepted date layouts, tried in this order.
 DATE_FORMATS = ["yyyy-M-d", "M/d/yyyy", "d-M-yyyy"]
+# The text shape of each layout (4-digit year, 1-2 digit month/day). The
+# shapes are disjoint, so each value is parsed with the one layout it can
+# match -- failed parse attempts (exceptions inside try_to_date) are avoided.
+DATE_SHAPES = [r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$",
+               r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$"]
 
 # Python int(): optional sign, digits, optional single underscores between
 # digits are accepted by int() but never occur in the files; we accept only
@@ -30,22 +35,39 @@ def hhmm_minutes(x: Column) -> Column:
             + F.right(t, F.lit(2)).try_cast("int"))
 
 
-def parse_int(x: Column) -> Column:
-    """Python ``int(s.strip())``: '5.0' and '1,000' are rejected."""
-    s = strip_ws(x)
+def parse_int_stripped(s: Column) -> Column:
+    """``int(s)`` on already-stripped text: '5.0' and '1,000' are rejected."""
     return F.when(s.rlike(_INT_RE), s.try_cast("bigint")).cast("bigint")
 
 
+def parse_decimal_stripped(s: Column, precision: int = 38, scale: int = 10) -> Column:
+    """``Decimal(s.replace(',', ''))`` on already-stripped text."""
+    s = F.replace(s, F.lit(","), F.lit(""))
+    return F.when(s.rlike(_DEC_RE), s.try_cast(f"decimal({precision},{scale})"))
+
+
+def parse_date_stripped(s: Column) -> Column:
+    """First layout that parses wins (S21); invalid calendar days fail."""
+    out = None
+    for shape, fmt in zip(DATE_SHAPES, DATE_FORMATS):
+        arm = F.try_to_date(s, fmt)
+        out = F.when(s.rlike(shape), arm) if out is None else out.when(s.rlike(shape), arm)
+    return out
+
+
+def parse_int(x: Column) -> Column:
+    """Python ``int(s.strip())``."""
+    return parse_int_stripped(strip_ws(x))
+
+
 def parse_decimal(x: Column, precision: int = 38, scale: int = 10) -> Column:
     """Python ``Decimal(s.strip().replace(',', ''))``."""
-    s = F.replace(strip_ws(x), F.lit(","), F.lit(""))
-    return F.when(s.rlike(_DEC_RE), s.try_cast(f"decimal({precision},{scale})"))
+    return parse_decimal_stripped(strip_ws(x), precision, scale)
 
 
 def parse_date(x: Column) -> Column:
-    """First layout that parses wins (S21); invalid calendar days fail."""
-    s = strip_ws(x)
-    return F.coalesce(*[F.try_to_date(s, fmt) for fmt in DATE_FORMATS])
+    """Python ``strptime`` over the accepted layouts, after ``strip()``."""
+    return parse_date_stripped(strip_ws(x))
 
 
 def round_half_even(x: Column, scale: int = 2) -> Column:

@@ -24,8 +24,7 @@ from ..sources import delimited as S
 PRICE = "decimal(26,8)"
 
 
-def _bad(msg_field: str, kind: str, raw: Column) -> Column:
-    return F.concat(F.lit(f"Invalid {kind} for '{msg_field}': '"), F.coalesce(T.strip_ws(raw), F.lit("")), F.lit("'"))
+TEXT_FIELDS = ["sale_id", "customer_name", "product", "region", "salesperson"]
 
 
 def validate_sales(raw: DataFrame, processing_date: datetime) -> DataFrame:
@@ -35,25 +34,35 @@ def validate_sales(raw: DataFrame, processing_date: datetime) -> DataFrame:
     sale date -- and the first failure is the row's reason. A total that
     differs from ``quantity * unit_price`` rounded half-even to cents only
     warns (``total_mismatch``); the row is still loaded.
+
+    Three projections: strip once, parse once, then derive reason/checks.
+    Catalyst keeps them apart (it does not inline a non-trivial expression
+    that is referenced several times), so no field is stripped twice.
     """
-    q = P.parse_int(F.col("quantity"))
-    up = P.parse_decimal(F.col("unit_price"), 26, 8)
-    ta = P.parse_decimal(F.col("total_amount"), 26, 8)
-    sd = P.parse_date(F.col("sale_date"))
-    reason = (F.when(q.isNull(), _bad("quantity", "integer", F.col("quantity")))
-               .when(up.isNull(), _bad("unit_price", "decimal", F.col("unit_price")))
-               .when(ta.isNull(), _bad("total_amount", "decimal", F.col("total_amount")))
+    keep = [c for c in raw.columns if c not in S.REQUIRED_COLUMNS]
+    stripped = raw.select(*keep, *[T.strip_ws(F.col(c)).alias(c) for c in S.REQUIRED_COLUMNS])
+    typed = stripped.select(
+        "*",
+        P.parse_int_stripped(F.col("quantity")).alias("_q"),
+        P.parse_decimal_stripped(F.col("unit_price"), 26, 8).alias("_up"),
+        P.parse_decimal_stripped(F.col("total_amount"), 26, 8).alias("_ta"),
+        P.parse_date_stripped(F.col("sale_date")).alias("_sd"))
+    q, up, ta, sd = F.col("_q"), F.col("_up"), F.col("_ta"), F.col("_sd")
+
+    def bad(field: str, kind: str) -> Column:
+        return F.concat(F.lit(f"Invalid {kind} for '{field}': '"), F.coalesce(F.col(field), F.lit("")), F.lit("'"))
+
+    reason = (F.when(q.isNull(), bad("quantity", "integer"))
+               .when(up.isNull(), bad("unit_price", "decimal"))
+               .when(ta.isNull(), bad("total_amount", "decimal"))
                .when(sd.isNull(), F.concat(F.lit("Unrecognised date format for 'sale_date': '"),
-                                           F.coalesce(T.strip_ws(F.col("sale_date")), F.lit("")), F.lit("'"))))
+                                           F.coalesce(F.col("sale_date"), F.lit("")), F.lit("'"))))
     expected = P.round_half_even(q.cast("decimal(10,0)") * up, 2)
-    txt = lambda c: F.coalesce(T.strip_ws(F.col(c)), F.lit(""))  # noqa: E731  '' for empty, like csv
-    keep = [c for c in raw.columns if c not in S.REQUIRED_COLUMNS]
-    return raw.select(
-        *keep,
-        txt("sale_id").alias("sale_id"), txt("customer_name").alias("customer_name"),
-        txt("product").alias("product"), q.alias("quantity"), up.cast("double").alias("unit_price"),
-        ta.cast("double").alias("total_amount"), sd.alias("sale_date"), txt("region").alias("region"),
-        txt("salesperson").alias("salesperson"), D.ts_lit(processing_date).alias("processing_date"),
+    txt = {c: F.coalesce(F.col(c), F.lit("")).alias(c) for c in TEXT_FIELDS}  # '' for empty, like csv
+    return typed.select(
+        *keep, txt["sale_id"], txt["customer_name"], txt["product"], q.alias("quantity"),
+        up.cast("double").alias("unit_price"), ta.cast("double").alias("total_amount"), sd.alias("sale_date"),
+        txt["region"], txt["salesperson"], D.ts_lit(processing_date).alias("processing_date"),
         reason.alias("reason"),
         F.when(reason.isNull(), ta != expected).otherwise(F.lit(False)).alias("total_mismatch"),
         expected.cast("double").alias("expected_total"))
