@@ -54,33 +54,49 @@ def reopen_guard(cand: DataFrame, log: DataFrame, task_code: str, on: Sequence[t
 
     ``mode='row'`` reproduces the source exactly (quirk Q1): the guard is
     evaluated per joined prior row, so every older prior row re-emits the
-    candidate. ``mode='latest'`` compares only the newest prior due date.
-    ``bound`` is a column of ``cand`` (already resolved) or None for
-    "no prior row at all".
+    candidate. ``mode='any'`` is the same test for jobs whose output is
+    DISTINCT: the log is first reduced to one row per key (``min(due)``;
+    passing iff some prior row is older), so a key with many prior tasks
+    never fans out. ``mode='latest'`` compares only the newest prior task.
+    ``bound`` is a column of ``cand`` or None for "no prior row at all".
     """
+    keys = [f"_g_{lc}" for _, lc in on]
     prior = log.where(T.ci_eq("task_code", task_code)).select(
         *[F.col(lc).alias(f"_g_{lc}") for _, lc in on], F.col("due").alias("_g_due"))
-    if mode == "latest":
-        prior = prior.groupBy(*[f"_g_{lc}" for _, lc in on]).agg(F.max("_g_due").alias("_g_due"))
+    if mode in ("any", "latest"):
+        agg = F.min("_g_due") if mode == "any" else F.max("_g_due")
+        # Partial aggregation: one row per key leaves each map task. A prior
+        # row without a due date passes the source's test too (due IS NULL).
+        prior = prior.groupBy(*keys).agg(agg.alias("_g_due"), F.count(F.lit(1)).alias("_g_n"),
+                                         F.max(F.col("_g_due").isNull().cast("int")).alias("_g_nulldue"))
+    else:
+        prior = prior.withColumn("_g_n", F.lit(1)).withColumn("_g_nulldue", F.col("_g_due").isNull().cast("int"))
     cond = None
     for cc, lc in on:
         c = cand[cc] == prior[f"_g_{lc}"]
         cond = c if cond is None else cond & c
     j = cand.join(prior, cond, "left")
-    keep = F.col("_g_due").isNull() if bound is None else (F.col("_g_due").isNull() | (F.col("_g_due") < bound))
-    return j.where(keep).drop(*[f"_g_{lc}" for _, lc in on])
+    none = F.col("_g_n").isNull()
+    keep = none if bound is None else (none | (F.col("_g_nulldue") == 1) | (F.col("_g_due") < bound))
+    return j.where(keep).drop(*keys, "_g_due", "_g_n", "_g_nulldue")
 
 
 def status_guard(cand: DataFrame, log: DataFrame, task_code: str, cand_col: str,
                  log_col: str = "admission_number", reopen_status: str = "Completed") -> DataFrame:
-    """Emit if no prior task on the key, or the joined prior row is ``Completed``.
+    """Emit if no prior task on the key, or once per prior ``Completed`` row.
 
-    Row-level like the source: one output per qualifying prior row.
+    Row-level like the source (no DISTINCT there), but without joining the
+    raw log: prior rows are first counted per key (partial aggregation, one
+    row per key per map task) and a candidate is then repeated
+    ``n_completed`` times -- the same multiset, with no fan-out join.
     """
-    prior = log.where(T.ci_eq("task_code", task_code)).select(
-        F.col(log_col).alias("_s_key"), F.col("status").alias("_s_status"))
+    prior = log.where(T.ci_eq("task_code", task_code)).groupBy(F.col(log_col).alias("_s_key")).agg(
+        F.sum(T.ci_eq("status", reopen_status).cast("int")).alias("_s_done"))
     j = cand.join(prior, cand[cand_col] == prior["_s_key"], "left")
-    return j.where(F.col("_s_key").isNull() | T.ci_eq("_s_status", reopen_status)).drop("_s_key", "_s_status")
+    times = F.when(F.col("_s_key").isNull(), F.lit(1)).otherwise(F.coalesce(F.col("_s_done"), F.lit(0)))
+    return (j.where(times > 0)
+             .withColumn("_s_rep", F.explode(F.array_repeat(F.lit(True), times.cast("int"))))
+             .drop("_s_key", "_s_done", "_s_rep"))
 
 
 def snapshot_diff(new: DataFrame, old: DataFrame, key: str, value: str) -> DataFrame:

@@ -110,12 +110,12 @@ def run_totals(stats: DataFrame) -> DataFrame:
 
 def failed_files(raw: DataFrame) -> DataFrame:
     """Files with any corrupt (short/long) record fail as a whole (§3.1)."""
-    return raw.where(F.col(S.CORRUPT_COL).isNotNull()).select("source_path").distinct()
+    return raw.where(F.col(S.CORRUPT_COL).isNotNull() & (F.col("_guard") >= 0)).select("source_path").distinct()
 
 
 def run_etl(spark: SparkSession, source_dir: str, target_path: str, as_of: datetime,
             archive_dir: str | None = None, pattern: str = "sales*.txt", sep: str = ",",
-            do_archive: bool = True, files: list[str] | None = None) -> dict:
+            do_archive: bool = True, files: list[str] | None = None, multiline: bool = True) -> dict:
     """Discover -> header check -> read -> validate -> insert-ignore -> write -> archive.
 
     The target is a parquet table at ``target_path`` (keys read from it).
@@ -127,19 +127,26 @@ def run_etl(spark: SparkSession, source_dir: str, target_path: str, as_of: datet
         return {"stats": None, "failed": [], "archived": []}
     checks = [S.check_header(spark, f, sep) for f in files]
     failed = [(c.path, c.error) for c in checks if c.error]
-    raw = S.read_sales_files(spark, checks, sep).cache()
-    bad_paths = [r.source_path for r in failed_files(raw).collect()]  # one row per bad file
+    raw = S.read_sales_files(spark, checks, sep, multiline)
+    # Files with a corrupt record fail whole. The scan reads every column (a
+    # pruned scan would not see short/long rows); the files are read again by
+    # the load below rather than caching the whole input.
+    bad = failed_files(raw)
+    bad_paths = [r.source_path for r in bad.collect()]  # one row per bad file (reporting)
     failed += [(p, "malformed row (wrong number of fields)") for p in bad_paths]
     ok_paths = [c.path for c in checks if c.error is None and c.path not in set(bad_paths)]
+    # File order for "first row wins": one row per file, size bounded by the listing.
     rank = spark.createDataFrame([(p, i) for i, p in enumerate(files)], "_r_path string, _file_rank int")
-    rows = raw.where(F.col("source_path").isin(ok_paths)).join(
-        F.broadcast(rank), F.col("source_path") == F.col("_r_path")).drop("_r_path", S.CORRUPT_COL)
+    bad_df = spark.createDataFrame([(p,) for p in bad_paths], "_b_path string")
+    rows = (raw.join(F.broadcast(bad_df), F.col("source_path") == F.col("_b_path"), "left_anti")
+               .join(F.broadcast(rank), F.col("source_path") == F.col("_r_path"))
+               .drop("_r_path", S.CORRUPT_COL, "_guard"))
     validated = validate_sales(rows, as_of)
     try:
         target_keys = spark.read.parquet(target_path).select("sale_id")
     except Exception:  # first run: empty target
         target_keys = spark.createDataFrame([], "sale_id string")
-    order = [F.col("_file_rank").asc(), F.col("_row_pos").asc()]
+    order = [F.col("_file_rank").asc(), F.col("_block").asc(), F.col("_row_pos").asc()]
     inserted = load_sales(validated, target_keys, order)
     # Commit first; then count what this run actually added (rows stamped with
     # this run's processing_date) -- a lazy count taken before the append would
@@ -153,7 +160,6 @@ def run_etl(spark: SparkSession, source_dir: str, target_path: str, as_of: datet
     if do_archive and archive_dir:
         stamp = as_of.strftime("%Y%m%d_%H%M%S")
         archived = [S.archive(spark, p, archive_dir, stamp) for p in ok_paths]
-    raw.unpersist()
     return {"stats": stats, "failed": failed, "archived": archived}
 
 

@@ -75,7 +75,7 @@ def add_hold_note(c: Tables, log: DataFrame, as_of: datetime) -> DataFrame:
     bound = F.date_sub(F.col("hold_report_date"), 1)
     # LEFT JOIN ... WHERE note IS NULL == anti join.
     a = a.join(newest, (a.admission_number == newest._n_adm) & (newest.communication_date >= bound), "left_anti")
-    a = O.reopen_guard(a, log, "ADD HOLD NOTE", [("admission_number", "admission_number")], bound)
+    a = O.reopen_guard(a, log, "ADD HOLD NOTE", [("admission_number", "admission_number")], bound, mode="any")
     return task_rows(a, task_code="ADD HOLD NOTE", due=F.date_add(_today(as_of), 7),
                      patient_number=F.col("patient_number"), admission_number=F.col("admission_number"),
                      notes=HOLD_NOTE_TEXT, grp1_type1=1, grp1_assignee1="CaseManager",
@@ -129,7 +129,8 @@ def lost_eligibility(c: Tables, log: DataFrame, as_of: datetime) -> DataFrame:
                                 & ~T.ci_in("facility_code", K.SKILLED_FACILITIES)).select(
         "patient_number", "admission_number", "primary_plan")
     j = e.join(adm, (e._e_pat == adm.patient_number) & (e.plan_code == adm.primary_plan), "inner")
-    j = O.reopen_guard(j, log, "LOST ELIGIBILITY", [("admission_number", "admission_number")], F.col("entry_date"))
+    j = O.reopen_guard(j, log, "LOST ELIGIBILITY", [("admission_number", "admission_number")], F.col("entry_date"),
+                       mode="any")
     note = T.concat_nn(LOST_ELIG_PREFIX, F.col("entry_date").cast("string"), LOST_ELIG_SUFFIX)
     return task_rows(j, task_code="LOST ELIGIBILITY", due=F.date_add(_today(as_of), 7),
                      patient_number=F.col("patient_number"), admission_number=F.col("admission_number"),
@@ -190,10 +191,14 @@ def _util_task(c: Tables, log: DataFrame, as_of: datetime, over: bool, assignee1
                assignee2: str) -> DataFrame:
     notes = util_notes(c, as_of, over)
     j = O.with_user_code(notes, c["employees"], c["users"], "nurse_id", "cm_")
-    prior = log.where(T.ci_eq("task_code", "UTIL REPORT")).select(
-        F.col("grp1_assignee1").alias("_w_assignee"), F.col("due").alias("_w_due"))
+    # Both outputs are DISTINCT, so the guard only needs "some prior report
+    # of this assignee passes": reduce the log to one row per assignee first.
+    this_month = D.year_month(D.date_lit(as_of))
+    prior = log.where(T.ci_eq("task_code", "UTIL REPORT")).groupBy(
+        F.col("grp1_assignee1").alias("_w_assignee")).agg(
+        F.max((F.col("due").isNull() | (D.year_month(F.col("due")) < this_month)).cast("int")).alias("_w_pass"))
     j = j.join(prior, j.cm_user_code == prior._w_assignee, "left")
-    keep = F.col("_w_due").isNull() | (D.year_month(F.col("_w_due")) < D.year_month(D.date_lit(as_of)))
+    keep = F.col("_w_assignee").isNull() | (F.col("_w_pass") == 1)
     if not over:
         keep = keep & F.col("cm_user_code").isNotNull()
     j = j.where(keep)

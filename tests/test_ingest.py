@@ -95,3 +95,20 @@ def test_header_check_and_discovery(spark, scratch):
     files = S.discover(spark, scratch, "sales*.txt", os.path.join(scratch, "archived"))
     assert [os.path.basename(f) for f in files] == ["sales9.txt"]
     assert S.check_header(spark, files[0]).error is None
+
+
+def test_split_reads_keep_first_wins_order(spark, scratch):
+    """multiline=False splits a large file across tasks; row order still holds."""
+    src, tgt = os.path.join(scratch, "in"), os.path.join(scratch, "t")
+    os.makedirs(src)
+    lines = [HEADER] + [f"K-{i % 500},C,P,1,1.00,1.00,2026-02-01,R,S{i}" for i in range(20000)]
+    _write(src, "sales1.txt", lines)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        out = ingest.run_etl(spark, src, tgt, datetime(2026, 3, 2), do_archive=False, multiline=False)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    r = out["stats"].first()
+    assert (r.parsed, r.inserted, r.skipped) == (20000, 500, 19500)
+    first = {row.sale_id: row.salesperson for row in spark.read.parquet(tgt).collect()}
+    assert all(first[f"K-{k}"] == f"S{k}" for k in range(500))

@@ -33,15 +33,24 @@ def test_reopen_guard_row_level_vs_latest(spark):
     row = O.reopen_guard(cand, log, "ADD HOLD NOTE", [("admission_number", "admission_number")], F.col("bound"))
     latest = O.reopen_guard(cand, log, "ADD HOLD NOTE", [("admission_number", "admission_number")], F.col("bound"),
                             mode="latest")
-    assert row.count() == 2 and latest.count() == 0  # quirk Q1 kept by default
+    anyp = O.reopen_guard(cand, log, "ADD HOLD NOTE", [("admission_number", "admission_number")], F.col("bound"),
+                          mode="any")
+    assert row.count() == 2 and latest.count() == 0 and anyp.count() == 1  # quirk Q1 kept by default
+    nulldue = spark.createDataFrame([("ADD HOLD NOTE", "A1", None)], "task_code string, admission_number string, due date")
+    for mode in ("row", "any", "latest"):
+        assert O.reopen_guard(cand, nulldue, "ADD HOLD NOTE", [("admission_number", "admission_number")],
+                              F.col("bound"), mode=mode).count() == 1
 
 
 def test_status_guard_reopens_only_completed(spark):
-    cand = spark.createDataFrame([("A1",), ("A2",), ("A3",)], "admission_number string")
-    log = spark.createDataFrame([("ASSIGN NURSE", "A1", "Completed"), ("ASSIGN NURSE", "A2", "Sent")],
+    cand = spark.createDataFrame([("A1",), ("A2",), ("A3",), ("A4",)], "admission_number string")
+    log = spark.createDataFrame([("ASSIGN NURSE", "A1", "Completed"), ("ASSIGN NURSE", "A2", "Sent"),
+                                 ("ASSIGN NURSE", "A4", "Completed"), ("assign nurse", "A4", "completed "),
+                                 ("ASSIGN NURSE", "A4", "Sent")],
                                 "task_code string, admission_number string, status string")
     out = O.status_guard(cand, log, "ASSIGN NURSE", "admission_number")
-    assert sorted(r[0] for r in out.collect()) == ["A1", "A3"]
+    # one row per Completed prior row, as the source's join would produce
+    assert sorted(r[0] for r in out.collect()) == ["A1", "A3", "A4", "A4"]
 
 
 def test_snapshot_diff_ignores_new_and_vanished(spark):
