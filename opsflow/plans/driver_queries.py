@@ -187,6 +187,21 @@ def q_task_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    c["employees"], c["users"], CARE_AS_OF)
 
 
+def q_daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rule queries of one day (gates decide which run), unioned."""
+    c = _care(spark, sf_dir)
+    return triggers.run_all(c, c["task_log"], c["prev_county"], CARE_AS_OF)
+
+
+def q_tz_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visit times Denver -> UTC -> Denver, 12/24-hour text."""
+    from ..functions import dates as D
+    v = _care(spark, sf_dir)["visits"]
+    utc = D.local_to_utc(F.col("schedule_date"))
+    return v.select("visit_id", "schedule_date", utc.alias("utc_time"),
+                    D.utc_to_local(utc).alias("local_again"), D.hhmm_ampm(F.col("schedule_time")).alias("clock"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compliance_check": q_compliance_check,
     "hold_note": _trigger(triggers.add_hold_note, CARE_AS_OF, with_log=True),
@@ -221,4 +236,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_match_back": q_latest_match_back,
     "fallback_due": q_fallback_due,
     "task_actions": q_task_actions,
+    "daily_run": q_daily_run,
+    "tz_roundtrip": q_tz_roundtrip,
 }
