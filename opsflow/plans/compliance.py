@@ -195,7 +195,7 @@ def expected_code(item: Column, servicetype: Column) -> Column:
              .when(T.ci_like(item, "%ANNUAL%"), annual))
 
 
-def _prepare(check: DataFrame, cer: DataFrame, wft: DataFrame, as_of: datetime) -> DataFrame:
+def prepare_actions(check: DataFrame, cer: DataFrame, wft: DataFrame, as_of: datetime) -> DataFrame:
     """``#temp2``: check rows + cert summary + latest task + J7/J8 columns."""
     c2 = cert_summary(check, cer, as_of).withColumnRenamed("patient_number", "_c2_pat")
     lt = latest_task(wft, as_of).select(F.col("patient_number").alias("_lt_pat"),
@@ -217,7 +217,7 @@ def fallback_due(check: DataFrame, cer: DataFrame, wft: DataFrame, as_of: dateti
     (``groupBy + max(when)``) and joined back -- one aggregation and one
     equi-join instead of 24 lookups.
     """
-    t2 = _prepare(check, cer, wft, as_of)
+    t2 = prepare_actions(check, cer, wft, as_of)
     sib = check.groupBy(F.col("patient_number").alias("_s_pat"), F.col("admission_number").alias("_s_adm")).agg(
         *[F.max(F.when(T.ci_like("task_item", pat), F.col("start_date"))).alias(f"sib_{key}")
           for pat, key in ITEM_KEYS.items()])
@@ -257,7 +257,7 @@ def task_actions(check: DataFrame, cer: DataFrame, wft: DataFrame, adm: DataFram
     code) and sits in the corrected due month. Unresolved care managers
     fall back to the manager queue (UNSMGR).
     """
-    t2 = _prepare(check, cer, wft, as_of).where(F.col("correctduedate").isNotNull())
+    t2 = prepare_actions(check, cer, wft, as_of).where(F.col("correctduedate").isNotNull())
     a = adm.select(F.col("admission_number").alias("_a_adm"), F.col("nurse_id").alias("_cm1_id"),
                    F.col("nurse_id_arr7_2").alias("_cm3_id"))
     j = t2.join(a, t2.admission_number == a._a_adm, "left")

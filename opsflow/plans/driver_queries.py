@@ -159,7 +159,7 @@ def q_cert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _care(spark, sf_dir)
-    return compliance._prepare(_check(c), c["certifications"], c["task_entries"], CARE_AS_OF)
+    return compliance.prepare_actions(_check(c), c["certifications"], c["task_entries"], CARE_AS_OF)
 
 
 def q_correct_due(spark: SparkSession, sf_dir: str) -> DataFrame:
