@@ -120,7 +120,7 @@ def _validated(c: Tables) -> DataFrame:
 
 
 def _inserted(c: Tables) -> DataFrame:
-    return ingest.load_sales(_validated(c), c["sales_target"], [F.col(k).asc() for k in SALES_ORDER])
+    return ingest.load_sales(_validated(c), c["sales_target"], list(SALES_ORDER))
 
 
 def q_validate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,8 +148,11 @@ def q_run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _check(c: Tables) -> DataFrame:
+    """The check result feeds several steps of the action chain; it is small
+    (at most one row per patient and item), so it is persisted once instead
+    of re-running the check per consumer. Lost blocks recompute from lineage."""
     return compliance.compliance_check(c["admissions"], c["certifications"], c["task_entries"], c["patients"],
-                                       CARE_AS_OF, sort=False)
+                                       CARE_AS_OF, sort=False).persist()
 
 
 def q_cert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

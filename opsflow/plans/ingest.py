@@ -81,8 +81,11 @@ SALES_OUT = ["sale_id", "customer_name", "product", "quantity", "unit_price", "t
              "region", "salesperson", "processing_date", "source_file"]
 
 
-def load_sales(validated: DataFrame, target_keys: DataFrame, order: list[Column]) -> DataFrame:
-    """Rows an INSERT IGNORE keyed on ``sale_id`` would insert."""
+def load_sales(validated: DataFrame, target_keys: DataFrame, order: list[str]) -> DataFrame:
+    """Rows an INSERT IGNORE keyed on ``sale_id`` would insert.
+
+    ``order`` names the columns (ascending) giving the load order of rows.
+    """
     good = validated.where(is_valid())
     return O.insert_ignore(target_keys, good, "sale_id", order)
 
@@ -146,7 +149,7 @@ def run_etl(spark: SparkSession, source_dir: str, target_path: str, as_of: datet
         target_keys = spark.read.parquet(target_path).select("sale_id")
     except Exception:  # first run: empty target
         target_keys = spark.createDataFrame([], "sale_id string")
-    order = [F.col("_file_rank").asc(), F.col("_block").asc(), F.col("_row_pos").asc()]
+    order = ["_file_rank", "_block", "_row_pos"]
     inserted = load_sales(validated, target_keys, order)
     # Commit first; then count what this run actually added (rows stamped with
     # this run's processing_date) -- a lazy count taken before the append would

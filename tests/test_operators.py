@@ -18,11 +18,11 @@ def test_insert_ignore_first_wins_and_skips_existing(spark):
     batch = spark.createDataFrame([("S1", 2, "late"), ("S1", 1, "early"), ("S2", 1, "x"), ("S3", 1, "y")],
                                   "sale_id string, pos int, v string")
     target = spark.createDataFrame([("S3",)], "sale_id string")
-    out = O.insert_ignore(target, batch, "sale_id", [F.col("pos").asc()])
+    out = O.insert_ignore(target, batch, "sale_id", ["pos"])
     assert sorted((r.sale_id, r.v) for r in out.collect()) == [("S1", "early"), ("S2", "x")]
     # idempotent: inserting the same batch into the grown target adds nothing
     grown = target.unionByName(out.select("sale_id"))
-    assert O.insert_ignore(grown, batch, "sale_id", [F.col("pos").asc()]).count() == 0
+    assert O.insert_ignore(grown, batch, "sale_id", ["pos"]).count() == 0
 
 
 def test_reopen_guard_row_level_vs_latest(spark):
