@@ -106,6 +106,10 @@ def q_fail_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.fail_digest(_after_responses(_care(spark, sf_dir))[0], CARE_AS_OF)
 
 
+def q_fail_digest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.fail_digest_rows(_after_responses(_care(spark, sf_dir))[0])
+
+
 def q_fail_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.fail_export(_after_responses(_care(spark, sf_dir))[0])
 
@@ -148,11 +152,11 @@ def q_run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _check(c: Tables) -> DataFrame:
-    """The check result feeds several steps of the action chain; it is small
-    (at most one row per patient and item), so it is persisted once instead
-    of re-running the check per consumer. Lost blocks recompute from lineage."""
+    """The check result feeding the action chain (not persisted: measured
+    slower than letting each consumer re-run it, since Spark reuses the
+    identical shuffle stages within one plan)."""
     return compliance.compliance_check(c["admissions"], c["certifications"], c["task_entries"], c["patients"],
-                                       CARE_AS_OF, sort=False).persist()
+                                       CARE_AS_OF, sort=False)
 
 
 def q_cert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,6 +231,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dequeue": q_dequeue,
     "mark_completed": q_mark_completed,
     "fail_digest": q_fail_digest,
+    "fail_digest_rows": q_fail_digest_rows,
     "fail_export": q_fail_export,
     "validate_rows": q_validate_rows,
     "soft_total_check": q_soft_total_check,

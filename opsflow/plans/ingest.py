@@ -10,6 +10,7 @@ the archive step.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -128,7 +129,10 @@ def run_etl(spark: SparkSession, source_dir: str, target_path: str, as_of: datet
     files = files if files is not None else discover(spark, source_dir, pattern, archive_dir)
     if not files:
         return {"stats": None, "failed": [], "archived": []}
-    checks = [S.check_header(spark, f, sep) for f in files]
+    # Header reads and renames are metadata calls, one per file: run them on a
+    # bounded pool so a drop folder with many files is not read serially.
+    with ThreadPoolExecutor(max_workers=min(32, len(files))) as pool:
+        checks = list(pool.map(lambda f: S.check_header(spark, f, sep), files))
     failed = [(c.path, c.error) for c in checks if c.error]
     raw = S.read_sales_files(spark, checks, sep, multiline)
     # Files with a corrupt record fail whole. The scan reads every column (a
@@ -162,7 +166,10 @@ def run_etl(spark: SparkSession, source_dir: str, target_path: str, as_of: datet
     archived = []
     if do_archive and archive_dir:
         stamp = as_of.strftime("%Y%m%d_%H%M%S")
-        archived = [S.archive(spark, p, archive_dir, stamp) for p in ok_paths]
+        if ok_paths:
+            S._jvm_fs(spark, archive_dir)[0].mkdirs(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(archive_dir))
+            with ThreadPoolExecutor(max_workers=min(32, len(ok_paths))) as pool:
+                archived = list(pool.map(lambda p: S.archive(spark, p, archive_dir, stamp), ok_paths))
     return {"stats": stats, "failed": failed, "archived": archived}
 
 

@@ -35,6 +35,18 @@ def fail_digest(log: DataFrame, as_of: datetime) -> DataFrame:
                    F.lit("")).alias("body_rows"))
 
 
+def fail_digest_rows(log: DataFrame) -> DataFrame:
+    """B15, distributed form: one row per distinct reason with its escaped
+    ``<tr>`` fragment, in digest order (a range-partitioned sort). Nothing is
+    concatenated into one value, so it scales with the number of reasons;
+    ``fail_digest`` builds the single mail body the source sends.
+    """
+    tr = F.when(F.col("status_note").isNull(), F.lit("<tr></tr>")) \
+          .otherwise(F.concat(F.lit("<tr><td>"), T.html_escape(F.col("status_note")), F.lit("</td></tr>")))
+    return failed_notes(log).select("status_note", tr.alias("row_html")) \
+        .orderBy(F.col("status_note").asc_nulls_first())
+
+
 def fail_export(log: DataFrame) -> DataFrame:
     """Every failed log row, ordered by ``taskid``."""
     return log.where(T.ci_eq("status", K.STATUS_FAILED)).orderBy("taskid")
