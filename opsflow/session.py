@@ -84,7 +84,26 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder.
 
-    Survives executor loss (unlike ``localCheckpoint``); used where a plan is
-    re-read several times, e.g. a task-log version feeding many triggers.
+    Survives executor loss (unlike ``localCheckpoint``, never used here);
+    used where a plan is re-read several times, e.g. a task-log version
+    feeding many triggers. The folder is the session's
+    ``spark.checkpoint.dir``; without one this fails loudly instead of
+    falling back to a machine-local path.
     """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("cut_lineage needs spark.checkpoint.dir (a folder shared by the cluster)")
+        sc.setCheckpointDir(configured)
     return df.checkpoint(eager=True)
+
+
+def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 128 << 20, minimum: int = 200) -> int:
+    """Initial shuffle partition count for a given shuffle volume.
+
+    AQE coalesces small partitions but never splits a large non-skewed one,
+    so size the initial count from the expected shuffle bytes (e.g. ~800k
+    for 100 TB at 128 MB) and let coalescing trim it at run time.
+    """
+    return max(minimum, -(-shuffle_bytes // target_bytes))
