@@ -28,18 +28,18 @@ def _write(d, name, lines, bom=False):
 def test_golden_two_files(spark, scratch):
     src, arch, tgt = os.path.join(scratch, "in"), os.path.join(scratch, "in", "archived"), os.path.join(scratch, "t")
     os.makedirs(src)
-    _write(src, "sales1.txt", [HEADER] + _rows("A", 10, 1))
-    _write(src, "sales2.txt", [HEADER] + _rows("B", 10, 11))
+    _write(src, "sales_0301.txt", [HEADER] + _rows("A", 10, 1))
+    _write(src, "sales_0302.txt", [HEADER] + _rows("B", 10, 11))
     run = datetime(2026, 3, 2, 14, 42)
     out = ingest.run_etl(spark, src, tgt, run, archive_dir=arch)
     stats = {r.source_file: r for r in out["stats"].collect()}
-    assert set(stats) == {"sales1.txt", "sales2.txt"}
+    assert set(stats) == {"sales_0301.txt", "sales_0302.txt"}
     for r in stats.values():
         assert (r.parsed, r.inserted, r.skipped, r.errors, r.mismatches) == (10, 10, 0, 0, 0)
     tot = ingest.run_totals(out["stats"]).first()
     assert (tot.files, tot.parsed, tot.inserted, tot.skipped, tot.errors) == (2, 20, 20, 0, 0)
     assert out["failed"] == []
-    assert sorted(os.listdir(arch)) == ["sales1.txt", "sales2.txt"]
+    assert sorted(os.listdir(arch)) == ["sales_0301.txt", "sales_0302.txt"]
     loaded = spark.read.parquet(tgt)
     assert loaded.count() == 20
     assert loaded.agg(F.sum("quantity")).first()[0] == 2 * sum(range(2, 12))
@@ -102,7 +102,7 @@ def test_split_reads_keep_first_wins_order(spark, scratch):
     src, tgt = os.path.join(scratch, "in"), os.path.join(scratch, "t")
     os.makedirs(src)
     lines = [HEADER] + [f"K-{i % 500},C,P,1,1.00,1.00,2026-02-01,R,S{i}" for i in range(20000)]
-    _write(src, "sales1.txt", lines)
+    _write(src, "sales_0301.txt", lines)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
     try:
         out = ingest.run_etl(spark, src, tgt, datetime(2026, 3, 2), do_archive=False, multiline=False)

@@ -13,11 +13,11 @@ COLS = ["sale_id", "customer_name", "product", "quantity", "unit_price", "total_
 def test_available_now_stream_equals_batch(spark, scratch):
     src = os.path.join(scratch, "in")
     os.makedirs(src)
-    _write(src, "sales1.txt", [HEADER] + _rows("A", 10, 1))
-    _write(src, "sales2.txt", [HEADER] + _rows("A", 5, 1) + _rows("C", 4, 20))  # 5 duplicate keys
+    _write(src, "sales_0301.txt", [HEADER] + _rows("A", 10, 1))
+    _write(src, "sales_0302.txt", [HEADER] + _rows("A", 5, 1) + _rows("C", 4, 20))  # 5 duplicate keys
     # the stream takes files in arrival order; make it agree with name order
-    os.utime(os.path.join(src, "sales1.txt"), (1_700_000_000, 1_700_000_000))
-    os.utime(os.path.join(src, "sales2.txt"), (1_700_000_100, 1_700_000_100))
+    os.utime(os.path.join(src, "sales_0301.txt"), (1_700_000_000, 1_700_000_000))
+    os.utime(os.path.join(src, "sales_0302.txt"), (1_700_000_100, 1_700_000_100))
     batch_t, stream_t = os.path.join(scratch, "bt"), os.path.join(scratch, "st")
     ingest.run_etl(spark, src, batch_t, datetime(2026, 3, 2), do_archive=False)
     q = start_ingest_stream(spark, src, stream_t, os.path.join(scratch, "ckpt"), max_files_per_trigger=1,
