@@ -167,9 +167,17 @@ def run_etl(spark: SparkSession, source_dir: str, target_path: str, as_of: datet
     if do_archive and archive_dir:
         stamp = as_of.strftime("%Y%m%d_%H%M%S")
         if ok_paths:
-            S._jvm_fs(spark, archive_dir)[0].mkdirs(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(archive_dir))
+
+            def move(p: str):
+                try:
+                    return S.archive(spark, p, archive_dir, stamp), None
+                except Exception as exc:  # rows are committed; report, do not undo (Q17)
+                    return None, (p, f"loaded_not_archived: {exc}")
+
             with ThreadPoolExecutor(max_workers=min(32, len(ok_paths))) as pool:
-                archived = list(pool.map(lambda p: S.archive(spark, p, archive_dir, stamp), ok_paths))
+                moved = list(pool.map(move, ok_paths))
+            archived = [m for m, _ in moved if m]
+            failed += [f for _, f in moved if f]
     return {"stats": stats, "failed": failed, "archived": archived}
 
 

@@ -112,3 +112,15 @@ def test_split_reads_keep_first_wins_order(spark, scratch):
     assert (r.parsed, r.inserted, r.skipped) == (20000, 500, 19500)
     first = {row.sale_id: row.salesperson for row in spark.read.parquet(tgt).collect()}
     assert all(first[f"K-{k}"] == f"S{k}" for k in range(500))
+
+
+def test_archive_failure_keeps_rows_and_reports(spark, scratch):
+    src, tgt = os.path.join(scratch, "in"), os.path.join(scratch, "t")
+    os.makedirs(src)
+    _write(src, "sales_x.txt", [HEADER] + _rows("Q", 3, 1))
+    blocker = os.path.join(scratch, "not_a_dir")
+    with open(blocker, "w") as fh:   # archive target is a file: the move must fail
+        fh.write("x")
+    out = ingest.run_etl(spark, src, tgt, datetime(2026, 3, 2), archive_dir=blocker)
+    assert spark.read.parquet(tgt).count() == 3
+    assert any("loaded_not_archived" in why for _, why in out["failed"])
