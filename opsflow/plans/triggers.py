@@ -243,11 +243,22 @@ def _visit_minutes(v: DataFrame) -> DataFrame:
 
 
 def weekly_overtime_rows(c: Tables, as_of: datetime) -> DataFrame:
-    """``#ot3``: weekly overtime lines per employee (J17 body)."""
+    """``#ot3``: weekly overtime lines per employee (J17 body).
+
+    Only (employee, week) pairs with an overtime report dated in the
+    reporting window can survive the report join, so visits are first cut
+    to those keys with a semi-join against the (small) report-key set: the
+    weekly job reads recent weeks, not the whole visit history's sums.
+    """
     today = _today(as_of)
     now = D.ts_lit(as_of)
+    rep = c["overtime_reports"]
+    wft = rep.select(F.col("nurse_id").alias("_w_nurse"), F.col("weekstart").alias("_w_week"), "reportdate") \
+        .where(F.col("reportdate").between(D.add_days(now, -10), D.add_days(now, -4)))
+    keys = wft.select(F.col("_w_nurse").alias("_k_nurse"), F.col("_w_week").alias("_k_week")).distinct()
     past = _visit_minutes(c["visits"]).where(F.col("schedule_date").cast("date") < today) \
         .withColumn("weekstart", D.week_start(F.col("schedule_date")))
+    past = past.join(keys, (past.nurse_id == keys._k_nurse) & (past.weekstart == keys._k_week), "left_semi")
     ot = (past.where(T.ci_in("schedule_status_code", K.VISIT_STATUSES_OT))
               .groupBy("nurse_id", "weekstart")
               .agg(F.sum("conf_min").alias("conf_min"), F.sum("sched_min").alias("sched_min"))
@@ -255,9 +266,6 @@ def weekly_overtime_rows(c: Tables, as_of: datetime) -> DataFrame:
                      & ((F.col("conf_min") - F.col("sched_min")) > 15)))
     cor = past.select(F.col("nurse_id").alias("_c_nurse"), F.col("admission_number").alias("_c_adm"),
                       F.col("weekstart").alias("_c_week")).distinct()
-    rep = c["overtime_reports"]
-    wft = rep.select(F.col("nurse_id").alias("_w_nurse"), F.col("weekstart").alias("_w_week"), "reportdate") \
-        .where(F.col("reportdate").between(D.add_days(now, -10), D.add_days(now, -4)))
     this_year = rep.where(F.year("weekstart") == as_of.year)
     wft2 = this_year.groupBy("nurse_id").agg(F.count(F.lit(1)).alias("count_num")).join(
         this_year.select("nurse_id", "weekstart"), "nurse_id").select(
@@ -407,8 +415,10 @@ def daily_overtime(c: Tables, as_of: datetime) -> DataFrame:
                     .join(skilled, F.col("admission_number") == skilled._s_adm, "left_semi")
                     .select("employee_name", "nurse_id", "sched_date"))
     otp = per_day.unionByName(per_visit).distinct()  # G3: UNION (distinct)
-    assign = base.select(F.col("nurse_id").alias("_v_nurse"), F.col("sched_date").alias("_v_date"),
-                         F.col("admission_number").alias("_v_adm")).distinct()
+    # Only dates inside the reporting window can match ``otp``: cut first.
+    window = F.col("sched_date").between(D.add_days(now, -10), D.add_days(now, -4))
+    assign = base.where(window).select(F.col("nurse_id").alias("_v_nurse"), F.col("sched_date").alias("_v_date"),
+                                       F.col("admission_number").alias("_v_adm")).distinct()
     adm = c["admissions"].select(F.col("admission_number").alias("_a_adm"), F.col("nurse_id").alias("coordinator"))
     j = (otp.join(assign, (otp.nurse_id == assign._v_nurse) & (otp.sched_date == assign._v_date), "left")
             .join(adm, F.col("_v_adm") == adm._a_adm, "left"))
