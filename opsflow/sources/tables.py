@@ -12,6 +12,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 DRIVER_TABLES = ("region nation customer supplier part orders lineitem events "
                  "documents embeddings pages benchmark labels conversations").split()
@@ -38,6 +40,26 @@ class Tables(Mapping):
         loaders.update({k: (lambda v=v: v) for k, v in frames.items()})
         return Tables(loaders)
 
+    def normalized(self, keep: Mapping[str, list[str]] | None = None) -> "Tables":
+        """Blank-padded ``char(n)`` semantics at the table boundary.
+
+        The source's tables are fixed-width: trailing blanks are padding and
+        never significant in comparisons or joins. Right-trimming every
+        string column once, as the table is resolved, gives Spark's binary
+        joins the same matches (a lazy projection; Catalyst prunes unused
+        columns). ``keep`` lists columns per table whose trailing blanks
+        matter (free text) and are left alone.
+        """
+        keep = keep or {}
+
+        def norm(name: str, df: DataFrame) -> DataFrame:
+            skip = set(keep.get(name, []))
+            return df.select(*[F.rtrim(F.col(f.name)).alias(f.name)
+                               if isinstance(f.dataType, StringType) and f.name not in skip else F.col(f.name)
+                               for f in df.schema.fields])
+
+        return Tables({n: (lambda n=n: norm(n, self[n])) for n in self._loaders})
+
     @classmethod
     def from_frames(cls, **frames: DataFrame) -> "Tables":
         return cls({k: (lambda v=v: v) for k, v in frames.items()})

@@ -67,3 +67,17 @@ def test_compliance_check_boundaries(spark):
     assert items["HCA 9MO SUPER"].start_date == datetime(2026, 12, 1, 7, 0)      # +365 d, Denver -> UTC
     assert items["HCA 3MO SUPER"].number_of_missing_tasks == 2
     assert items["HCA ANNUAL VISIT"].wf_task_number is None and rows[0].patient_name == "Lee, Ann"
+
+
+def test_padded_char_keys_join_after_normalisation(spark):
+    """Fixed-width ids ('      154', 'A1   ') match like the source's char(n)."""
+    adm = adm_df(spark, [("      154", "A1   ", "LUS", "A  ", "         ", "9", "UNSK   "),
+                         ("     1540", "A2   ", "LUS", "A  ", "         ", "9", "SKILLT ")])
+    log = spark.createDataFrame([("ASSIGN COORDINATOR", "A1", "154", date(2026, 1, 1), "Sent     ", None)],
+                                empty_log(spark).schema)
+    raw = Tables.from_frames(admissions=adm)
+    c = raw.normalized()
+    out = triggers.assign_coordinator(c, log, THU, skilled_assignee="SK").collect()
+    assert [(r.admission_number, r.grp1_assignee1) for r in out] == [("A2", "SK")]   # A1 has an open task
+    unnormalised = triggers.assign_coordinator(raw, log, THU, skilled_assignee="SK").count()
+    assert unnormalised == 2   # without char semantics the padded key misses the prior task
