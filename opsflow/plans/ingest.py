@@ -22,7 +22,6 @@ from ..functions import text as T
 from ..operators import core as O
 from ..sources import delimited as S
 
-PRICE = "decimal(26,8)"
 
 
 TEXT_FIELDS = ["sale_id", "customer_name", "product", "region", "salesperson"]

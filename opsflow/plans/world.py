@@ -73,7 +73,6 @@ def _base_duck(base: str) -> str:
     return base
 
 
-S = "STRING"
 LINE_KEY = ("concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-', "
             "CAST(l_partkey AS STRING), '-', CAST(l_suppkey AS STRING))")
 PLAN = ("CASE o_orderpriority WHEN '1-URGENT' THEN 'SKILLT' WHEN '2-HIGH' THEN 'SKILAC' "
