@@ -42,14 +42,24 @@ def first_wins(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 
 def insert_ignore(target_keys: DataFrame, batch: DataFrame, key: str,
-                  order: Sequence[str]) -> DataFrame:
+                  order: Sequence[str], eligible: Column | None = None) -> DataFrame:
     """Rows of ``batch`` that an ``INSERT IGNORE`` into ``target`` would add (B1).
 
     First row per key wins inside the batch, then keys already present in the
     target are dropped with a left-anti join (shuffle on ``key`` only; the
     target side is projected to its key column before the exchange).
+
+    ``eligible`` restricts the insert to rows where it holds, without a
+    filter below the ranking: ineligible rows rank after eligible ones and
+    ineligible winners are dropped -- exactly "first eligible row per key",
+    and an expensive eligibility test is evaluated once, after the shuffle.
     """
-    first = first_wins(batch, key, order)
+    if eligible is not None:
+        batch = batch.withColumn("_fw_skip", (~eligible).cast("int"))
+        first = first_wins(batch, key, ["_fw_skip", *order])
+        first = first.where(F.col("_fw_skip") == 0).drop("_fw_skip")
+    else:
+        first = first_wins(batch, key, order)
     keys = target_keys.select(F.col(key).alias("_tk")).distinct()
     return first.join(keys, first[key] == keys["_tk"], "left_anti")
 

@@ -86,8 +86,7 @@ def load_sales(validated: DataFrame, target_keys: DataFrame, order: list[str]) -
 
     ``order`` names the columns (ascending) giving the load order of rows.
     """
-    good = validated.where(is_valid())
-    return O.insert_ignore(target_keys, good, "sale_id", order)
+    return O.insert_ignore(target_keys, validated, "sale_id", order, eligible=is_valid())
 
 
 def file_stats(validated: DataFrame, inserted: DataFrame) -> DataFrame:

@@ -19,6 +19,13 @@ DRIVER_TABLES = ("region nation customer supplier part orders lineitem events "
                  "documents embeddings pages benchmark labels conversations").split()
 
 
+def _size_on_disk(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
 class Tables(Mapping):
     def __init__(self, loaders: Mapping[str, Callable[[], DataFrame]]):
         self._loaders = dict(loaders)
@@ -66,8 +73,26 @@ class Tables(Mapping):
 
     @classmethod
     def from_parquet_dir(cls, spark: SparkSession, path: str,
-                         names: tuple[str, ...] | list[str] = DRIVER_TABLES) -> "Tables":
-        return cls({n: (lambda n=n: spark.read.parquet(f"{path}/{n}.parquet")) for n in names})
+                         names: tuple[str, ...] | list[str] = DRIVER_TABLES,
+                         min_partitions: int | None = None, min_bytes: int = 1 << 20) -> "Tables":
+        """Parquet tables ``path/<name>.parquet``.
+
+        ``min_partitions``: a scan can only run one task per row group, so a
+        non-trivial table stored as a few large row groups would leave most
+        cores idle for everything fused after the scan. Such a table (fewer
+        scan partitions than ``min_partitions`` and at least ``min_bytes`` on
+        disk) is round-robin repartitioned once at load. A large table laid
+        out for a cluster already has more partitions than that and is read
+        untouched, so no shuffle is added where the input is well split.
+        """
+        def load(n: str) -> DataFrame:
+            df = spark.read.parquet(f"{path}/{n}.parquet")
+            if min_partitions and df.rdd.getNumPartitions() < min_partitions \
+                    and _size_on_disk(spark, f"{path}/{n}.parquet") >= min_bytes:
+                df = df.repartition(min_partitions)
+            return df
+
+        return cls({n: (lambda n=n: load(n)) for n in names})
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, mapping: Mapping[str, str]) -> "Tables":
