@@ -31,7 +31,7 @@ TUESDAY_AS_OF = datetime(1998, 6, 16, 9, 30)
 def _care(spark: SparkSession, sf_dir: str) -> Tables:
     # Spread single-row-group inputs over the cores (no-op for well-split data).
     par = spark.sparkContext.defaultParallelism
-    return care_tables(Tables.from_parquet_dir(spark, sf_dir, min_partitions=par))
+    return care_tables(Tables.from_parquet_dir(spark, sf_dir, min_partitions=par, min_bytes=4 << 20))
 
 
 def q_compliance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
