@@ -275,8 +275,8 @@ PREV_COUNTY = View("prev_county", "customer_moved", [
 
 # Vendor API answers, at most one per task id: success with a quoted task
 # number, an error with a message, or an error with neither (quirk Q12
-# inputs). Tasks of customers ending in 5 got no answer in this batch and
-# must stay queued, untouched.
+# inputs). Small low-priority orders' tasks got no answer in this batch
+# and must stay queued, untouched.
 _ASSIGNEE = ("CASE WHEN o_orderstatus = 'O' THEN concat('U', CAST(o_custkey % 10 AS STRING)) "
              "ELSE 'CaseManager' END")
 RESPONSES = View("responses", "orders", [
@@ -286,7 +286,7 @@ RESPONSES = View("responses", "orders", [
                  "WHEN o_custkey % 10 = 3 THEN '{\"statusCode\":500}' "
                  "ELSE concat('{\"statusCode\":200,\"data\":\"Task ', chr(39), CAST(o_orderkey * 7 AS STRING), "
                  "chr(39), ' created\"}') END", None),
-], where="o_custkey % 10 <> 5")
+], where="NOT (o_orderpriority = '5-LOW' AND o_totalprice < 100000)")
 
 # Assignee type names by id (the lookup the payload builder resolves).
 ASSIGNEE_TYPES = View("assignee_types", "region", [
