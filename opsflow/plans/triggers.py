@@ -36,6 +36,7 @@ OT_WEEK_PREFIX = "Overtime Notice for Following Employee(s): "
 NOT_DIV_PREFIX = ("There are visit(s) on these dates over the next two weeks that have a duration not "
                   "divisible by 15 minutes: ")
 DENVER_DESC = "CO-DENVER COUNTY"
+UTIL_SYSTEM = "EHR1"          # source-system value of the utilisation rows the rules read
 EXCLUDED_PATIENTS = ["154", "15201"]
 
 
@@ -141,7 +142,7 @@ def lost_eligibility(c: Tables, log: DataFrame, as_of: datetime) -> DataFrame:
 def _util(c: Tables, as_of: datetime, by_month: bool) -> DataFrame:
     now = D.ts_lit(as_of)
     fu = c["utilization"].where(
-        T.ci_eq("system", "EHR1") & (F.col("active_status") == 1) & (F.col("frq_entered") == 1)
+        T.ci_eq("system", UTIL_SYSTEM) & (F.col("active_status") == 1) & (F.col("frq_entered") == 1)
         & (F.col("no_outliers") == 1) & (F.col("no_duplicate_systems") == 1)
         & F.col("themonth").between(D.year_month(D.add_days(now, -90)), D.year_month(D.add_days(now, -30))))
     keys = ["system", "system_id", "client_id", "service", "programgroup"] + (["themonth"] if by_month else []) \
@@ -188,7 +189,8 @@ def util_notes(c: Tables, as_of: datetime, over: bool) -> DataFrame:
 
 
 def _util_task(c: Tables, log: DataFrame, as_of: datetime, over: bool, assignee1: str,
-               assignee2: str) -> DataFrame:
+               assignee2: str) -> tuple[DataFrame, DataFrame]:
+    """Guarded notes (with ``nurse_id``) and the same rows as task rows."""
     notes = util_notes(c, as_of, over)
     j = O.with_user_code(notes, c["employees"], c["users"], "nurse_id", "cm_")
     # Both outputs are DISTINCT, so the guard only needs "some prior report
