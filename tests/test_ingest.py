@@ -124,3 +124,25 @@ def test_archive_failure_keeps_rows_and_reports(spark, scratch):
     out = ingest.run_etl(spark, src, tgt, datetime(2026, 3, 2), archive_dir=blocker)
     assert spark.read.parquet(tgt).count() == 3
     assert any("loaded_not_archived" in why for _, why in out["failed"])
+
+
+def test_reject_reasons_match_source_messages(spark):
+    from opsflow.sources.delimited import REQUIRED_COLUMNS
+    rows = [
+        ("S1", " 5.0 ", "1.00", "5.00", "2026-02-01"),
+        ("S2", "2", "abc", "2.00", "2026-02-01"),
+        ("S3", "2", "1.00", "", "2026-02-01"),
+        ("S4", "2", "1.00", "2.00", "2026-02-30"),
+        ("S5", "2", "1,000.00", "2000", " 02/03/2026 "),
+    ]
+    data = [{**dict.fromkeys(REQUIRED_COLUMNS, "x"), "sale_id": sid, "quantity": q, "unit_price": up,
+             "total_amount": ta, "sale_date": sd} for sid, q, up, ta, sd in rows]
+    raw = spark.createDataFrame(data, ", ".join(f"{c} string" for c in REQUIRED_COLUMNS))
+    got = {r.sale_id: (r.reason, r.total_mismatch) for r in ingest.validate_sales(raw, datetime(2026, 3, 2)).collect()}
+    assert got == {
+        "S1": ("Invalid integer for 'quantity': '5.0'", False),
+        "S2": ("Invalid decimal for 'unit_price': 'abc'", False),
+        "S3": ("Invalid decimal for 'total_amount': ''", False),
+        "S4": ("Unrecognised date format for 'sale_date': '2026-02-30'", False),
+        "S5": (None, False),
+    }
