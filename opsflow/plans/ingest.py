@@ -115,16 +115,35 @@ def failed_files(raw: DataFrame) -> DataFrame:
     return raw.where(F.col(S.CORRUPT_COL).isNotNull() & (F.col("_guard") >= 0)).select("source_path").distinct()
 
 
-def run_etl(spark: SparkSession, source_dir: str, target_path: str, as_of: datetime,
+def _target(spark: SparkSession, target_path: str | None, target_table: str | None) -> DataFrame | None:
+    try:
+        return spark.table(target_table) if target_table else spark.read.parquet(target_path)
+    except Exception:  # first run: no target yet
+        return None
+
+
+def _append(df: DataFrame, target_path: str | None, target_table: str | None, buckets: int) -> None:
+    if target_table:
+        # Catalog table bucketed by the key: later runs' anti-join reads it
+        # already hash-partitioned on sale_id, so only the batch is shuffled.
+        df.write.mode("append").format("parquet").bucketBy(buckets, "sale_id").saveAsTable(target_table)
+    else:
+        df.write.mode("append").parquet(target_path)
+
+
+def run_etl(spark: SparkSession, source_dir: str, target_path: str | None, as_of: datetime,
             archive_dir: str | None = None, pattern: str = "sales*.txt", sep: str = ",",
-            do_archive: bool = True, files: list[str] | None = None, multiline: bool = True) -> dict:
+            do_archive: bool = True, files: list[str] | None = None, multiline: bool = True,
+            target_table: str | None = None, buckets: int = 64) -> dict:
     """Discover -> header check -> read -> validate -> insert-ignore -> write -> archive.
 
-    The target is a parquet table at ``target_path`` (keys read from it).
+    The target is a parquet table at ``target_path`` (keys read from it), or
+    a catalog table ``target_table`` bucketed by ``sale_id`` into ``buckets``.
     Files that fail (no header, missing columns, corrupt rows) load nothing.
     Returns ``{"stats": DataFrame, "failed": [(file, reason)], "archived": [...]}``.
     """
-    files = files if files is not None else discover(spark, source_dir, pattern, archive_dir)
+    files = discover(spark, source_dir, pattern, archive_dir) if files is None else \
+        sorted(S.qualify(spark, f) for f in files)
     if not files:
         return {"stats": None, "failed": [], "archived": []}
     # Header reads and renames are metadata calls, one per file: run them on a
@@ -147,17 +166,15 @@ def run_etl(spark: SparkSession, source_dir: str, target_path: str, as_of: datet
                .join(F.broadcast(rank), F.col("source_path") == F.col("_r_path"))
                .drop("_r_path", S.CORRUPT_COL, "_guard"))
     validated = validate_sales(rows, as_of)
-    try:
-        target_keys = spark.read.parquet(target_path).select("sale_id")
-    except Exception:  # first run: empty target
-        target_keys = spark.createDataFrame([], "sale_id string")
+    existing = _target(spark, target_path, target_table)
+    target_keys = existing.select("sale_id") if existing is not None else spark.createDataFrame([], "sale_id string")
     order = ["_file_rank", "_block", "_row_pos"]
     inserted = load_sales(validated, target_keys, order)
     # Commit first; then count what this run actually added (rows stamped with
     # this run's processing_date) -- a lazy count taken before the append would
     # re-read the target after it and see every key as existing.
-    inserted.select(*SALES_OUT).write.mode("append").parquet(target_path)
-    committed = spark.read.parquet(target_path).where(F.col("processing_date") == D.ts_lit(as_of))
+    _append(inserted.select(*SALES_OUT), target_path, target_table, buckets)
+    committed = _target(spark, target_path, target_table).where(F.col("processing_date") == D.ts_lit(as_of))
     stats_df = file_stats(validated, committed)
     # One row per file: materialise before the files are moved away.
     stats = spark.createDataFrame(stats_df.collect(), stats_df.schema)

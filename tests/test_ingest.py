@@ -146,3 +146,32 @@ def test_reject_reasons_match_source_messages(spark):
         "S4": ("Unrecognised date format for 'sale_date': '2026-02-30'", False),
         "S5": (None, False),
     }
+
+
+def test_bucketed_target_is_not_shuffled(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _write(src, "sales_1.txt", [HEADER] + _rows("B", 6, 1))
+    name = "sales_bucketed_" + os.path.basename(scratch).replace("-", "_")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the shuffle-join path
+    try:
+        ingest.run_etl(spark, src, None, datetime(2026, 3, 1), do_archive=False, target_table=name, buckets=4)
+        _write(src, "sales_2.txt", [HEADER] + _rows("B", 3, 1) + _rows("C", 2, 1))
+        out = ingest.run_etl(spark, src, None, datetime(2026, 3, 2), do_archive=False, target_table=name,
+                             buckets=4, files=[os.path.join(src, "sales_2.txt")])
+        r = out["stats"].first()
+        assert (r.parsed, r.inserted, r.skipped) == (5, 2, 3)
+        assert spark.table(name).count() == 8
+        # the anti-join plan: the bucketed target side reaches the join without an exchange
+        from opsflow.operators.core import insert_ignore
+        batch = spark.createDataFrame([("B-000", 1)], "sale_id string, pos int")
+        plan = insert_ignore(spark.table(name).select("sale_id"), batch, "sale_id", ["pos"]) \
+            ._jdf.queryExecution().executedPlan().toString()
+        scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln][0]
+        assert "SelectedBucketsCount" in scan            # read as a bucketed scan
+        join_pos = plan.index("SortMergeJoin")
+        exchanges_after_join = plan[join_pos:].count("Exchange hashpartitioning")
+        assert exchanges_after_join == 1                  # only the batch side is shuffled
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
