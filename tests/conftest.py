@@ -12,7 +12,8 @@ from opsflow.session import checkpoint_dir, get_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     s = get_session("local[4]", app="opsflow-tests", shuffle_partitions=4,
-                    extra={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g"})
+                    extra={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g",
+                           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="opsflow-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     # Tests own a scratch checkpoint folder only because the session names none.
     checkpoint_dir(s, tempfile.mkdtemp(prefix="opsflow-ckpt-"))
