@@ -3,8 +3,9 @@
 The source mutates a log and a queue row by row from a cursor. Here every
 step takes the current version(s) and returns the next one: a merge is a
 keyed left join plus ``coalesce``/``when``, a delete is a left-anti join.
-The caller persists a version (``write_version``) and swaps a pointer, so a
-failed job never leaves a half-updated log behind.
+The caller persists each version (``sources.versioned.VersionedTable``:
+write ``v=N+1``, then swap a pointer), so a failed job never leaves a
+half-updated log behind.
 """
 
 from __future__ import annotations
@@ -33,7 +34,14 @@ def assign_taskids(new_tasks: DataFrame, log: DataFrame, order: list[Column] | N
     back. No step funnels rows through a single task.
     """
     order = order or [F.col(c).asc_nulls_first() for c in NEW_TASK_COLUMNS]
-    s = new_tasks.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
+    # An explicit partition count pins the physical layout: AQE never
+    # coalesces a user-sized repartition, and range bounds come from a
+    # seeded sample, so the id branch, the count branch and any retried task
+    # all see the same partitions (ids stay dense and unique under executor
+    # loss).
+    n = int(new_tasks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = new_tasks.repartitionByRange(n, *order).sortWithinPartitions(*order) \
+        .withColumn("_mid", F.monotonically_increasing_id())
     s = s.withColumn("_pid", F.shiftright("_mid", _POS_BITS)) \
          .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1))
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
