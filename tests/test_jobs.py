@@ -47,3 +47,25 @@ def test_daily_jobs(spark, scratch):
     assert digest.total_rows >= 1
     out = jobs.run_compliance(c, as_of)
     assert out["check"].count() > 0 and out["actions"].count() > 0
+
+
+def test_manager_marks_vendor_completions(spark, scratch):
+    c = care_tables(Tables.from_parquet_dir(spark, SF))
+    log = VersionedTable(spark, os.path.join(scratch, "log"))
+    queue = VersionedTable(spark, os.path.join(scratch, "queue"))
+    log.write_next(c["task_log"])
+    as_of = datetime(1998, 6, 18, 9, 30)
+
+    def send(payloads):  # vendor numbers every task as "V<taskid>"
+        return payloads.select("taskid", F.concat(F.lit('{"statusCode":200,"data":"Task \'V'),
+                                                  F.col("taskid").cast("string"), F.lit('\' ok"}')).alias("response"))
+
+    pending = c["task_log"].where(F.col("status") == "Pending").select("taskid")
+    entries = pending.select(F.concat(F.lit("V"), F.col("taskid").cast("string")).alias("wf_task_number"),
+                             (F.col("taskid") % 2).cast("int").alias("cb_completed"))
+    jobs.run_manager(c, log, queue, as_of, send, entries=entries)
+    after = log.read().join(pending, "taskid")
+    counts = {r.status: r["count"] for r in after.groupBy("status").count().collect()}
+    n = pending.count()
+    assert counts.get("Completed", 0) == pending.where(F.col("taskid") % 2 == 1).count()
+    assert counts.get("Completed", 0) + counts.get("Sent", 0) == n
