@@ -45,12 +45,14 @@ def assign_taskids(new_tasks: DataFrame, log: DataFrame, order: list[Column] | N
     s = s.withColumn("_pid", F.shiftright("_mid", _POS_BITS)) \
          .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1))
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # Running sum over the counts table: at most one row per partition, so
+    # its single-partition window is bounded by the partition count.
     offs = counts.withColumn("_off", F.coalesce(
         F.sum("_n").over(W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    base = log.agg(F.coalesce(F.max("taskid"), F.lit(0)).cast("bigint").alias("_base"))
-    out = s.join(F.broadcast(offs.select("_pid", "_off")), "_pid").crossJoin(F.broadcast(base))
-    return out.withColumn("taskid", (F.col("_base") + F.col("_off") + F.col("_pos") + 1).cast("bigint")) \
-              .drop("_mid", "_pid", "_pos", "_off", "_base")
+    base = log.agg(F.coalesce(F.max("taskid"), F.lit(0)).cast("bigint")).scalar()  # scalar subquery
+    out = s.join(F.broadcast(offs.select("_pid", "_off")), "_pid")
+    return out.withColumn("taskid", (base + F.col("_off") + F.col("_pos") + 1).cast("bigint")) \
+              .drop("_mid", "_pid", "_pos", "_off")
 
 
 def to_log_rows(df: DataFrame) -> DataFrame:

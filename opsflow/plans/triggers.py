@@ -122,9 +122,8 @@ def next_county_snapshot(c: Tables) -> DataFrame:
 def lost_eligibility(c: Tables, log: DataFrame, as_of: datetime) -> DataFrame:
     """LOST ELIGIBILITY: status 6 in the latest eligibility run."""
     elg = c["eligibility"]
-    latest = elg.agg(F.max("entry_date").alias("_latest"))  # one row: broadcast-safe
-    e = elg.join(F.broadcast(latest), elg.entry_date == latest._latest, "inner").where(
-        F.col("ddl_eligibility_status") == "6").select(
+    latest = elg.agg(F.max("entry_date")).scalar()  # uncorrelated scalar subquery (C14)
+    e = elg.where((F.col("entry_date") == latest) & (F.col("ddl_eligibility_status") == "6")).select(
         F.col("entry_date").cast("date").alias("entry_date"), F.col("patient_number").alias("_e_pat"), "plan_code")
     adm = c["admissions"].where(~T.ci_like("discharge_code", "D%")
                                 & ~T.ci_in("facility_code", K.SKILLED_FACILITIES)).select(
@@ -168,8 +167,8 @@ def util_notes(c: Tables, as_of: datetime, over: bool) -> DataFrame:
     j = (util.join(adm, util.system_id == adm.patient_number, "left")
              .join(pat, util.system_id == pat._p_pat, "left"))
     if over:
-        latest = util.agg(F.max("themonth").alias("_latest"))  # one row
-        j = j.join(F.broadcast(latest), j.themonth == latest._latest, "inner").where(F.col("utilization") > 1.05)
+        latest = util.agg(F.max("themonth")).scalar()  # uncorrelated scalar subquery (C14)
+        j = j.where((F.col("themonth") == latest) & (F.col("utilization") > 1.05))
         word, prefix = ", overutilized by ", OVER_UTIL_PREFIX
     else:
         j = j.where(F.col("utilization") < 0.5)
