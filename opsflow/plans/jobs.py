@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import LOG_FIELDS, QUEUE_COLUMNS
+from ..session import cut_lineage, has_checkpoint_dir
 from ..sources.tables import Tables
 from ..sources.versioned import VersionedTable
 from . import compliance, reports, tasklog, triggers
@@ -70,9 +71,18 @@ def run_fail_summary(log: VersionedTable, as_of: datetime, export_path: str | No
 
 
 def run_compliance(t: Tables, as_of: datetime) -> dict:
-    """Monthly compliance: the check (J4) and the corrective actions."""
+    """Monthly compliance: the check (J4) and the corrective actions.
+
+    The action chain reads the check result three times (certification
+    summary, rows, sibling pivot). It is small -- at most one row per patient
+    and required item -- so when the cluster names a shared checkpoint folder
+    it is materialised once there (reliable, survives executor loss) instead
+    of re-running the check over the full inputs per consumer.
+    """
     check = compliance.compliance_check(t["admissions"], t["certifications"], t["task_entries"], t["patients"],
                                         as_of, sort=False)
+    if has_checkpoint_dir(check.sparkSession):
+        check = cut_lineage(check)
     actions = compliance.task_actions(check, t["certifications"], t["task_entries"], t["admissions"],
                                       t["employees"], t["users"], as_of)
     return {"check": check.orderBy(F.col("patient_number"), F.col("start_date")), "actions": actions}
