@@ -73,8 +73,8 @@ def run_fail_summary(log: VersionedTable, as_of: datetime, export_path: str | No
 def run_compliance(t: Tables, as_of: datetime) -> dict:
     """Monthly compliance: the check (J4) and the corrective actions.
 
-    The action chain reads the check result three times (certification
-    summary, rows, sibling pivot). It is small -- at most one row per patient
+    The action chain reads the check result more than once (certification
+    summary and the rows; ``fallback_due`` also pivots it). It is small -- at most one row per patient
     and required item -- so when the cluster names a shared checkpoint folder
     it is materialised once there (reliable, survives executor loss) instead
     of re-running the check over the full inputs per consumer.
