@@ -176,8 +176,16 @@ def run_etl(spark: SparkSession, source_dir: str, target_path: str | None, as_of
     _append(inserted.select(*SALES_OUT), target_path, target_table, buckets)
     committed = _target(spark, target_path, target_table).where(F.col("processing_date") == D.ts_lit(as_of))
     stats_df = file_stats(validated, committed)
-    # One row per file: materialise before the files are moved away.
-    stats = spark.createDataFrame(stats_df.collect(), stats_df.schema)
+    # One row per file: materialise before the files are moved away. A loaded
+    # file with no data rows (header only) still reports zeros, as the source
+    # logs parsed=0 for it.
+    rows = [r.asDict() for r in stats_df.collect()]
+    seen = {r["source_file"] for r in rows}
+    for p in ok_paths:
+        name = p.rstrip("/").rsplit("/", 1)[-1]
+        if name not in seen:
+            rows.append(dict(source_file=name, parsed=0, inserted=0, skipped=0, errors=0, mismatches=0))
+    stats = spark.createDataFrame(rows, stats_df.schema)
     archived = []
     if do_archive and archive_dir:
         stamp = as_of.strftime("%Y%m%d_%H%M%S")

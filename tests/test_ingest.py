@@ -175,3 +175,18 @@ def test_bucketed_target_is_not_shuffled(spark, scratch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_header_only_long_row_and_quoted_newline(spark, scratch):
+    src, tgt = os.path.join(scratch, "in"), os.path.join(scratch, "t")
+    os.makedirs(src)
+    _write(src, "sales_h.txt", [HEADER])                                                    # header only
+    _write(src, "sales_l.txt", [HEADER, "L-1,A,B,1,1.00,1.00,2026-02-01,N,Kim,EXTRA"])     # long row -> fails
+    _write(src, "sales_q.txt", [HEADER, 'Q-1,"Line one', 'line two",B,2,1.50,3.00,2026-02-01,N,Kim'])  # quoted newline
+    out = ingest.run_etl(spark, src, tgt, datetime(2026, 3, 2), do_archive=False)
+    failed = {os.path.basename(p) for p, _ in out["failed"]}
+    assert failed == {"sales_l.txt"}
+    stats = {r.source_file: (r.parsed, r.inserted) for r in out["stats"].collect()}
+    assert stats == {"sales_h.txt": (0, 0), "sales_q.txt": (1, 1)}
+    row = spark.read.parquet(tgt).first()
+    assert row.customer_name == "Line one\nline two" and row.total_amount == 3.0
