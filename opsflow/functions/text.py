@@ -86,8 +86,3 @@ def html_escape(x: ColumnOrName) -> Column:
 def between_quotes(x: ColumnOrName) -> Column:
     """Text between the first two single quotes."""
     return F.regexp_extract(_c(x), r"'([^']*)'", 1)
-
-
-def dec72_text(x: ColumnOrName) -> Column:
-    """``CAST(x AS dec(7,2))`` rendered as text (S27): half-up to 2 places."""
-    return F.format_string("%.2f", F.round(_c(x).cast("decimal(20,6)"), 2).cast("decimal(9,2)"))
