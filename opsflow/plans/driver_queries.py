@@ -216,6 +216,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lost_eligibility": _trigger(triggers.lost_eligibility, CARE_AS_OF, with_log=True),
     "over_util": _trigger(triggers.over_utilization, DAY15_AS_OF, with_log=True),
     "over_util_notes": q_over_util_notes,
+    "over_util_all": _trigger(triggers.over_utilization, DAY15_AS_OF, with_log=True, limit=None),
     "under_util": _trigger(triggers.under_utilization, DAY15_AS_OF, with_log=True),
     "weekly_overtime": _trigger(triggers.weekly_overtime, CARE_AS_OF),
     "not_div_15": _trigger(triggers.not_div_by_15, DAY15_AS_OF),
