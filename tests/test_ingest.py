@@ -190,3 +190,10 @@ def test_header_only_long_row_and_quoted_newline(spark, scratch):
     assert stats == {"sales_h.txt": (0, 0), "sales_q.txt": (1, 1)}
     row = spark.read.parquet(tgt).first()
     assert row.customer_name == "Line one\nline two" and row.total_amount == 3.0
+
+
+def test_quoted_header_names(spark, scratch):
+    path = _write(scratch, "sales_q.txt", ['"sale_id","customer_name","product","quantity","unit_price",'
+                                           '"total_amount","sale_date","region","salesperson","a,b"'])
+    check = S.check_header(spark, path)
+    assert check.error is None and check.header[-1] == "a,b" and len(check.header) == 10
