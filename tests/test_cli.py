@@ -38,3 +38,13 @@ def test_cli_rules_and_compliance(spark, scratch, capsys):
     assert main(["fail-summary", state, "--as-of", "1998-06-18T09:30:00"]) == 0
     assert main(["compliance", tables, os.path.join(scratch, "out"), "--as-of", "1998-06-18T09:30:00"]) == 0
     assert spark.read.parquet(os.path.join(scratch, "out", "actions")).count() > 0
+
+
+def test_cli_etl_stream(spark, scratch, capsys):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _write(src, "sales_s.txt", [HEADER] + _rows("S", 5, 1))
+    tgt = os.path.join(scratch, "t")
+    assert main(["etl", src, tgt, "--stream", os.path.join(scratch, "ckpt")]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["batches"] == 1 and spark.read.parquet(tgt).count() == 5
