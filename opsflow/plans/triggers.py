@@ -433,13 +433,21 @@ def daily_overtime(c: Tables, as_of: datetime) -> DataFrame:
                      status=K.STATUS_PENDING)
 
 
-def run_all(c: Tables, log: DataFrame, snapshot: DataFrame, as_of: datetime, **params) -> DataFrame:
-    """All triggers of one daily run, unioned to the task schema."""
+def run_all(c: Tables, log: DataFrame, snapshot: DataFrame, as_of: datetime,
+            excluded_patients: list[str] | None = None, util_assignees: tuple[str, str] = ("UTILMGR1", "UTILMGR2"),
+            skilled_assignee: str = "SKMGR") -> DataFrame:
+    """All rules of one daily run, unioned to the task schema.
+
+    The assignees the source redacted are parameters; closed calendar gates
+    contribute empty frames.
+    """
+    a1, a2 = util_assignees
     parts = [
         add_hold_note(c, log, as_of), denver_status_change(c, snapshot, as_of), lost_eligibility(c, log, as_of),
-        over_utilization(c, log, as_of), under_utilization(c, log, as_of), weekly_overtime(c, as_of),
-        not_div_by_15(c, as_of, params.get("excluded_patients")), assign_coordinator(c, log, as_of),
-        assign_nurse(c, log, as_of), over_15_min_visits(c, as_of), daily_overtime(c, as_of),
+        over_utilization(c, log, as_of, a1, a2), under_utilization(c, log, as_of, a1, a2),
+        weekly_overtime(c, as_of), not_div_by_15(c, as_of, excluded_patients),
+        assign_coordinator(c, log, as_of, skilled_assignee), assign_nurse(c, log, as_of),
+        over_15_min_visits(c, as_of), daily_overtime(c, as_of),
     ]
     out = parts[0]
     for p in parts[1:]:
