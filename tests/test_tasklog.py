@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -97,3 +98,16 @@ def test_append_tasks_numbers_after_max(spark):
     new = log.where(F.col("taskid") <= 2).drop("taskid")
     out = tasklog.append_tasks(log, new)
     assert sorted(r.taskid for r in out.collect()) == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_fail_export_file_format(spark, scratch):
+    import glob
+    log = _log(spark, [dict(taskid=3, status="Failed", status_note="b"), dict(taskid=1, status="Failed",
+                                                                             status_note="a\\tb"),
+                       dict(taskid=2, status="Sent")])
+    out = os.path.join(scratch, "export")
+    reports.write_fail_export(reports.fail_export(log).coalesce(1), out)
+    text = "".join(open(f).read() for f in sorted(glob.glob(os.path.join(out, "part-*"))))
+    lines = text.splitlines()
+    assert lines[0].split("\t")[:3] == ["taskid", "task_code", "due"]
+    assert [ln.split("\t")[0] for ln in lines[1:]] == ["1", "3"]
