@@ -86,3 +86,11 @@ def test_taskids_dense_unique_and_partition_invariant(spark):
     assert ids == list(range(41, 241))
     key = lambda df: sorted((r.taskid, r.patient_number) for r in df.collect())
     assert key(a) == key(b)
+
+
+def test_tables_normalized_keeps_free_text(spark):
+    from opsflow.sources.tables import Tables
+    df = spark.createDataFrame([("A1   ", "note  ", 3)], "admission_number string, notes string, n int")
+    t = Tables.from_frames(log=df).normalized(keep={"log": ["notes"]})
+    r = t["log"].first()
+    assert (r.admission_number, r.notes, r.n) == ("A1", "note  ", 3)
