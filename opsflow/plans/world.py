@@ -8,9 +8,15 @@ sampled, and the work grows with the data. Each view is declared once as
 (pruned and pushed into the parquet scan by Catalyst), the DuckDB side is the
 CTE the oracle SQL starts from.
 
-Derived attributes use bands of existing columns; where a foreign key has to
-be invented (coordinator of an admission) it is ``key % 10`` so it lands on
-supplier ids that exist at every scale factor.
+Derived attributes use bands of existing columns. Where a value has to be
+invented (the coordinator of an admission, a task code, a visit hour) it is
+computed from a key with ``% n`` -- e.g. ``o_custkey % 10`` lands on supplier
+ids that exist at every scale factor. Such arithmetic only *derives column
+values*; no view filters rows by id, so every query sees every driver row.
+The few ``where`` clauses are attribute rules of the modelled world (users
+with a non-negative balance, orders on hold, finished orders already loaded,
+household customers new since the last snapshot, small low-priority tasks not
+yet answered).
 """
 
 from __future__ import annotations
