@@ -15,7 +15,8 @@ ids that exist at every scale factor. Such arithmetic only *derives column
 values*; no view filters rows by id, so every query sees every driver row.
 The few ``where`` clauses are attribute rules of the modelled world (users
 with a non-negative balance, orders on hold, finished orders already loaded,
-household customers new since the last snapshot, small low-priority tasks not
+household customers new since the last snapshot, overtime reports for weeks
+with a line of 45+ units, small low-priority tasks not
 yet answered).
 """
 
