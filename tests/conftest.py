@@ -11,7 +11,8 @@ from opsflow.session import checkpoint_dir, get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[4]", app="opsflow-tests", shuffle_partitions=4,
+    # local[4,3]: up to 3 attempts per task, so tests can inject a lost task.
+    s = get_session("local[4,3]", app="opsflow-tests", shuffle_partitions=4,
                     extra={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g",
                            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="opsflow-wh-")})
     s.sparkContext.setLogLevel("ERROR")

@@ -94,3 +94,25 @@ def test_tables_normalized_keeps_free_text(spark):
     t = Tables.from_frames(log=df).normalized(keep={"log": ["notes"]})
     r = t["log"].first()
     assert (r.admission_number, r.notes, r.n) == ("A1", "note  ", 3)
+
+
+def test_taskids_survive_a_failed_task(spark):
+    """A task lost mid-job is retried; ids come out identical, dense, unique."""
+    from pyspark import TaskContext
+
+    cols = [c.split()[0] for c in NEW_TASK_DDL.split(", ")]
+    data = [dict(zip(cols, [f"T{i % 5}", date(2026, 2, 1 + i % 20), None, None, str(i)] + [None] * (len(cols) - 5)))
+            for i in range(300)]
+    new = spark.createDataFrame(data, NEW_TASK_DDL).repartition(4)
+    log = spark.range(1, 11).select(F.col("id").alias("taskid"))
+
+    def flaky(batches):
+        ctx = TaskContext.get()
+        if ctx.partitionId() == 1 and ctx.attemptNumber() == 0:
+            raise RuntimeError("injected task loss")
+        yield from batches
+
+    lossy = new.mapInPandas(flaky, new.schema)
+    clean = {r.patient_number: r.taskid for r in tasklog.assign_taskids(new, log).collect()}
+    retried = {r.patient_number: r.taskid for r in tasklog.assign_taskids(lossy, log).collect()}
+    assert retried == clean and sorted(clean.values()) == list(range(11, 311))
