@@ -197,3 +197,36 @@ def test_quoted_header_names(spark, scratch):
                                            '"total_amount","sale_date","region","salesperson","a,b"'])
     check = S.check_header(spark, path)
     assert check.error is None and check.header[-1] == "a,b" and len(check.header) == 10
+
+
+def test_first_wins_survives_a_failed_scan_task(spark, scratch):
+    """A lost scan task is re-run; row positions, hence first-wins, are unchanged."""
+    from pyspark import TaskContext
+
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    lines = [HEADER] + [f"K-{i % 300},C,P,1,1.00,1.00,2026-02-01,R,S{i}" for i in range(6000)]
+    path = _write(src, "sales_big.txt", lines)
+    checks = [S.check_header(spark, S.qualify(spark, path))]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32768")
+    try:
+        raw = S.read_sales_files(spark, checks, multiline=False).withColumn("_file_rank", F.lit(0))
+
+        def flaky(batches):
+            ctx = TaskContext.get()
+            if ctx.partitionId() == 2 and ctx.attemptNumber() == 0:
+                raise RuntimeError("injected task loss")
+            yield from batches
+
+        order = ["_file_rank", "_block", "_row_pos"]
+        target = spark.createDataFrame([], "sale_id string")
+
+        def winners(df):
+            v = ingest.validate_sales(df.drop(S.CORRUPT_COL, "_guard"), datetime(2026, 3, 2))
+            return {r.sale_id: r.salesperson for r in ingest.load_sales(v, target, order).collect()}
+
+        clean = winners(raw)
+        retried = winners(raw.mapInPandas(flaky, raw.schema))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    assert retried == clean and clean == {f"K-{k}": f"S{k}" for k in range(300)}
