@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsflow.llm import exact_dedup, pareto_mix, secret_scan, warc, winnow
+from opsflow.llm import exact_dedup, near_dedup, pareto_mix, secret_scan, warc, winnow
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,4 +38,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pareto_mix, op5_secret_scan, op6_winnowing, op7_warc_round_trip, op8_exact_dedup)}
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near copies, by a multi-index Hamming join of MinHash signatures."""
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_pareto_mix, op5_secret_scan, op6_winnowing, op7_warc_round_trip, op8_exact_dedup, op9_near_dedup)}
