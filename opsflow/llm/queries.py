@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsflow.llm import exact_dedup, near_dedup, pareto_mix, secret_scan, warc, winnow
+from opsflow.llm import exact_dedup, near_dedup, pareto_mix, secret_scan, token_count, toxicity, warc, winnow
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,24 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies", "expected")
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE token counts, long texts spliced from overlapping chunks."""
+    with open(tokenizer_file("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return token_count.token_counts(table(spark, sf_dir, "documents"), f.read())
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document by its nearest labelled examples."""
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret candidates of each document, told apart by corpus-wide ownership."""
     return secret_scan.digest_columns(secret_scan.scan(table(spark, sf_dir, "documents")))
@@ -44,4 +62,4 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_pareto_mix, op5_secret_scan, op6_winnowing, op7_warc_round_trip, op8_exact_dedup, op9_near_dedup)}
+    op1_pareto_mix, op2_token_counts, op3_toxicity, op5_secret_scan, op6_winnowing, op7_warc_round_trip, op8_exact_dedup, op9_near_dedup)}
