@@ -116,7 +116,7 @@ def signature_keys(sigs: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame, k: int) -> DataFrame:
-    """rid, doc_id, n_shingles, digest of the set, signature; digest and signature are null without a set."""
+    """rid, doc_id, text hash th, n_shingles, digest of the set, signature; digest and signature are null without a set."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, factors = {}, slot_factors()
         for batch in batches:
@@ -127,11 +127,12 @@ def signed(docs: DataFrame, k: int) -> DataFrame:
                 digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 sig.append(signature(s, factors).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())],
-                ["doc_id", "n_shingles", "digest", "sig"])
+                [batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())],
+                ["doc_id", "th", "n_shingles", "digest", "sig"])
 
-    rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = rows_in.mapInArrow(rows, "doc_id long, n_shingles long, digest binary, sig binary")
+    rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                          F.xxhash64("text").alias("th"))
+    out = rows_in.mapInArrow(rows, "doc_id long, th long, n_shingles long, digest binary, sig binary")
     return written(out.withColumn("rid", F.monotonically_increasing_id()), "signed")
 
 
@@ -297,7 +298,7 @@ def links_of(node: np.ndarray, sets: list[np.ndarray], own: np.ndarray | None, p
 
 
 def near_groups(docs: DataFrame, k: int = 5, percent: int = 85) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
+    """One row per document: doc_id, n_shingles, component_id, kept, text hash th."""
     rows = signed(docs, k)
     n = rows.count()
     classes = (rows.filter("digest IS NOT NULL").groupBy("digest")
@@ -308,8 +309,17 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 85) -> DataFrame:
     of_node = nodes.select("digest", "node", "least", "size").join(linked, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     firsts = of_node.groupBy("comp").agg(F.min("least").alias("component_id"), F.count("*").alias("nodes"))
     named = written(join_stats(of_node, firsts, "comp", "nodes", n).select("digest", "size", "component_id"), "named-classes")
-    thin = rows.select("doc_id", "n_shingles", "digest")
+    thin = rows.select("doc_id", "th", "n_shingles", "digest")
     with_set = join_stats(thin.filter("digest IS NOT NULL"), named, "digest", "size", n)
     without = thin.filter("digest IS NULL").withColumn("component_id", F.col("doc_id"))
-    out = with_set.select("doc_id", "n_shingles", "component_id").unionByName(without.select("doc_id", "n_shingles", "component_id"))
+    cols = ["doc_id", "th", "n_shingles", "component_id"]
+    out = with_set.select(*cols).unionByName(without.select(*cols))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def drop_near_copies(docs: DataFrame, k: int = 5, percent: int = 85) -> DataFrame:
+    """The rows whose id is their component's, with all their columns; other rows are found by id and text."""
+    gone = written(near_groups(docs, k, percent).filter("NOT kept").select(
+        F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_text")).distinct(), "gone")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("gone_id")) & (F.xxhash64(docs["text"]) == F.col("gone_text"))
+    return docs.join(gone, same, "left_anti")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsflow.llm import exact_dedup, near_dedup, pareto_mix, secret_scan, token_count, toxicity, warc, winnow
+from opsflow.llm import (
+    content_chunks, exact_dedup, near_dedup, pareto_mix, piece_lattice, secret_scan, token_count, toxicity, warc, winnow,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +37,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_content_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that repeat across documents, by content-defined chunks."""
+    return content_chunks.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret candidates of each document, told apart by corpus-wide ownership."""
     return secret_scan.digest_columns(secret_scan.scan(table(spark, sf_dir, "documents")))
@@ -58,8 +65,14 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near copies, by a multi-index Hamming join of MinHash signatures."""
-    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+    return near_dedup.near_groups(table(spark, sf_dir, "documents")).drop("th")
+
+
+def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of each document, decoded again."""
+    return piece_lattice.encode(table(spark, sf_dir, "documents"), piece_lattice.piece_table(tokenizer_file("piece_bpe_32k.model")))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_pareto_mix, op2_token_counts, op3_toxicity, op5_secret_scan, op6_winnowing, op7_warc_round_trip, op8_exact_dedup, op9_near_dedup)}
+    op1_pareto_mix, op2_token_counts, op3_toxicity, op4_content_chunks, op5_secret_scan, op6_winnowing, op7_warc_round_trip,
+    op8_exact_dedup, op9_near_dedup, op10_piece_lattice)}
