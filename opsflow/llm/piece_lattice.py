@@ -19,12 +19,14 @@ after its turn would still span two symbols at the end; such units (none in
 300,000 tried) are merged again exactly, best rank first.
 
 Assembly. Tasks pack some ``pack_chars`` of documents each, and for every pack
-the distinct units by hash bucket, compressed. A bucket encodes its units once
-and answers each pack; a pack then puts its documents together. So texts are
-shuffled once, compressed, and no unit or answer is ever collected.
+the distinct units by hash bucket, in code point order and compressed. A bucket
+encodes its units once and answers each pack with their ids in that order; a
+pack lists its units again the same way and puts its documents together. So
+texts are shuffled once, compressed, and no unit or answer is ever collected.
 
-Decoding joins the pieces' bytes, turns marks into blanks and drops the first;
-every document is decoded from its ids and compared with its text.
+Decoding joins the pieces' bytes, turns marks into blanks and drops the first.
+Units end at character ends, so a pack decodes each unit's ids once; every
+document's decoded text is compared with its text.
 
 Defined cases: null and empty texts have no pieces; characters outside the
 vocabulary become their UTF-8 byte pieces; a word mark in the text decodes to a
@@ -45,6 +47,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opsflow.llm.common import written
+
 MARK = "▁"
 UNIT = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 WINDOW = 256  # characters of a long unit that are exploded at a time
@@ -158,33 +162,75 @@ def merged_exactly(unit: str, rank: dict[str, int]) -> list[int]:
     return [a for a in range(n) if alive[a]] + [n]
 
 
-def ids_of(unit: str, cuts: list[int] | None, table: dict, rank: dict[str, int]) -> list[int]:
+def ids_of(unit: str, cuts: list[int], table: dict, rank: dict[str, int]) -> list[int]:
     """Piece ids of a unit; bytes of characters outside the vocabulary. The cuts are checked: no pair left may be a piece."""
-    if cuts is None:
-        cuts = merged_exactly(unit, rank)
-    elif any(unit[a:c] in rank for a, c in zip(cuts, cuts[2:])):
-        cuts = merged_exactly(unit, rank)
+    for a, c in zip(cuts, cuts[2:]):
+        if unit[a:c] in rank:
+            cuts = merged_exactly(unit, rank)
+            break
     out = []
     for a, b in zip(cuts, cuts[1:]):
         r = rank.get(unit[a:b])
-        out += [table["ids"][r]] if r is not None else [table["byte_ids"][x] for x in unit[a:b].encode("utf-8", "surrogatepass")]
+        if r is not None:
+            out.append(table["ids"][r])
+        else:
+            out += [table["byte_ids"][x] for x in unit[a:b].encode("utf-8", "surrogatepass")]
     return out
 
 
-def decode(ids, bytes_of: list[bytes]) -> str:
-    return b"".join([bytes_of[i] for i in ids]).decode("utf-8", "replace").replace(MARK, " ")[1:]
+def shown_lengths(cuts: Column) -> Column:
+    """Cuts as a string, one character per symbol's length (a symbol has at most the longest piece's characters)."""
+    steps = F.zip_with(cuts, F.slice(cuts, F.lit(2), F.size(cuts) - 1), lambda a, b: F.char(F.lit(48) + b - a))
+    return F.array_join(steps, "")
+
+
+def cuts_of(lengths: str) -> list[int]:
+    from itertools import accumulate
+
+    return list(accumulate((x - 48 for x in lengths.encode()), initial=0))
+
+
+def decode(ids: list[int], bytes_of: list[bytes]) -> str:
+    """The text of ids, with marks."""
+    return b"".join([bytes_of[i] for i in ids]).decode("utf-8", "replace")
 
 
-def _zipped(data: bytes) -> bytes:
-    import zlib
+def zipped(data: bytes, level: int = 3) -> bytes:
+    import zstandard
 
-    return zlib.compress(data, 3)
+    return zstandard.ZstdCompressor(level=level).compress(data)
 
 
-def _unzipped(data: bytes) -> bytes:
-    import zlib
+def unzipped(data: bytes) -> bytes:
+    import zstandard
 
-    return zlib.decompress(data)
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def listed_units(found: set[str], buckets: int) -> list[list[str]]:
+    """Units by hash bucket, each bucket in code point order."""
+    import xxhash
+
+    dealt: list[list[str]] = [[] for _ in range(buckets)]
+    for u in sorted(found):
+        dealt[xxhash.xxh3_64_intdigest(u.encode("utf-8", "surrogatepass")) % buckets].append(u)
+    return dealt
+
+
+def joined_units(units: list[str]) -> bytes:
+    """One blob: divided by U+0000, or JSON after a first U+0001 where some unit holds U+0000."""
+    import json
+
+    data = "\0".join(units)
+    data = "\1" + json.dumps(units) if data.count("\0") >= len(units) or data[:1] == "\1" else data
+    return zipped(data.encode("utf-8", "surrogatepass"))
+
+
+def units_in(blob: bytes) -> list[str]:
+    import json
+
+    data = unzipped(blob).decode("utf-8", "surrogatepass")
+    return json.loads(data[1:]) if data[:1] == "\1" else data.split("\0")
 
 
 def packs(batches: Iterator[pa.RecordBatch], pack_chars: int) -> Iterator[tuple[int, list[int], list[str]]]:
@@ -207,109 +253,110 @@ def packs(batches: Iterator[pa.RecordBatch], pack_chars: int) -> Iterator[tuple[
 
 
 def pack_units(docs: DataFrame, buckets: int, pack_chars: int) -> DataFrame:
-    """bucket, pack, blob: each pack's distinct units, in code point order, by hash bucket."""
+    """bucket, pack, blob: each pack's distinct units by hash bucket."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         for pack, _, texts in packs(batches, pack_chars):
-            found: set[str] = set()
-            for t in texts:
-                found.update(units_of(t))
-            dealt: list[list[str]] = [[] for _ in range(buckets)]
-            for u in sorted(found):
-                dealt[xxhash.xxh3_64_intdigest(u.encode("utf-8", "surrogatepass")) % buckets].append(u)
-            for b, us in enumerate(dealt):
-                if us:
-                    framed = any("\0" in u for u in us)
-                    yield pa.RecordBatch.from_pydict({
-                        "bucket": pa.array([b], pa.int64()), "pack": pa.array([pack], pa.int64()), "framed": pa.array([framed]),
-                        "blob": pa.array([_zipped(_framed(us) if framed else "\0".join(us).encode("utf-8", "surrogatepass"))], pa.binary())})
-
-    return docs.mapInArrow(scan, "bucket long, pack long, framed boolean, blob binary")
+            dealt = listed_units(set().union(*map(units_of, texts)), buckets)
+            rows = [(b, joined_units(us)) for b, us in enumerate(dealt) if us]
+            yield pa.RecordBatch.from_pydict({
+                "bucket": pa.array([b for b, _ in rows], pa.int64()), "pack": pa.array([pack] * len(rows), pa.int64()),
+                "blob": pa.array([x for _, x in rows], pa.binary())})
 
+    return docs.mapInArrow(scan, "bucket long, pack long, blob binary")
 
-def _framed(units: list[str]) -> bytes:
-    """The form of a list in which some unit holds U+0000, which divides all others."""
-    import json
-
-    return json.dumps(units).encode()
 
+def pack_texts(docs: DataFrame, pack_chars: int) -> DataFrame:
+    """pack, docs: the packs' documents, compressed."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pack, ids, texts in packs(batches, pack_chars):
+            part = pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.large_string())})
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, part.schema) as w:
+                w.write_table(part)
+            yield pa.RecordBatch.from_pydict({"pack": pa.array([pack], pa.int64()),
+                                              "docs": pa.array([zipped(sink.getvalue().to_pybytes(), 6)], pa.binary())})
 
-def _units_in(blob: bytes, framed: bool) -> list[str]:
-    import json
-
-    data = _unzipped(blob)
-    return json.loads(data) if framed else data.decode("utf-8", "surrogatepass").split("\0")
+    return docs.mapInArrow(scan, "pack long, docs binary")
 
 
-def encode(docs: DataFrame, table: dict, buckets: int | None = None, pack_chars: int = 16 << 20) -> DataFrame:
-    """One row per document: doc_id, n_pieces, piece_ids (blank-separated), decoded_sha256, round_trip."""
-    spark: SparkSession = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // 4096)
+def answer_packs(docs: DataFrame, table: dict, buckets: int, pack_chars: int) -> DataFrame:
+    """pack, bucket, ids: for each unit of a pack's bucket its number of ids and the ids; written to the shared folder."""
+    spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(table)
-
-    blobs = pack_units(rows, buckets, pack_chars).repartition(buckets, "bucket")
+    blobs = pack_units(docs, buckets, pack_chars).repartition(buckets, "bucket")
 
     @F.pandas_udf("array<string>")
-    def listed(blob: pd.Series, framed: pd.Series, pack: pd.Series) -> pd.Series:
-        return pd.Series([_units_in(b, f) for b, f in zip(blob, framed)])
+    def listed(blob: pd.Series, pack: pd.Series) -> pd.Series:
+        return blob.map(units_in)
 
-    units = blobs.select("bucket", F.explode(listed("blob", "framed", "pack")).alias("unit")).distinct()
-    foldable = units.filter(F.length("unit") <= FOLD_CHARS)
-    folded = lattice(foldable, table["pieces"], ["bucket"]).select(
-        F.col("bucket").alias("of_bucket"), "unit", merge_cuts(F.col("unit"), F.col("edges")).alias("cuts"))
+    units = blobs.select(F.col("bucket").alias("of_bucket"), F.explode(listed("blob", "pack")).alias("unit")).distinct()
+    folded = lattice(units.filter(F.length("unit") <= FOLD_CHARS), table["pieces"], ["of_bucket"])
+    folded = folded.select("of_bucket", "unit", shown_lengths(merge_cuts(F.col("unit"), F.col("edges"))).alias("lengths"))
+    number = np.uint16 if len(table["bytes"]) < 1 << 16 else np.uint32
 
     def answer(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         t = shared.value
         rank = {p: r for r, p in enumerate(t["pieces"])}
-        cuts = dict(zip(right["unit"], right["cuts"]))
-        ids: dict[str, list[int]] = {}
-        out = []
-        for pack, framed, blob in zip(left["pack"], left["framed"], left["blob"]):
-            lines = []
-            for u in _units_in(blob, framed):
-                found = ids.get(u)
-                if found is None:
-                    c = cuts.get(u)
-                    # A short unit without any edge is cut at every character.
-                    c = c.tolist() if c is not None else list(range(len(u) + 1)) if len(u) <= FOLD_CHARS else None
-                    found = ids[u] = ids_of(u, c, t, rank)
-                lines.append(np.array([len(found), *found], np.uint32))
-            out.append((pack, framed, blob, _zipped(np.concatenate(lines).tobytes())))
-        return pd.DataFrame(out, columns=["of_pack", "framed", "units", "ids"])
+        lengths, known, out = dict(zip(right["unit"], right["lengths"])), {}, []
+        for pack, bucket, blob in zip(left["pack"], left["bucket"], left["blob"]):
+            counts, flat = [], []
+            for u in units_in(blob):
+                ids = known.get(u)
+                if ids is None:
+                    shown = lengths.get(u)
+                    # A short unit without an edge is cut at every character.
+                    cuts = cuts_of(shown) if shown is not None else list(range(len(u) + 1)) if len(u) <= FOLD_CHARS else merged_exactly(u, rank)
+                    ids = known[u] = ids_of(u, cuts, t, rank)
+                counts.append(len(ids))
+                flat += ids
+            out.append((pack, bucket, zipped(np.array(counts, np.uint32).tobytes()), zipped(np.array(flat, number).tobytes())))
+        return pd.DataFrame(out, columns=["of_pack", "bucket", "counts", "ids"])
 
     answers = blobs.groupBy("bucket").cogroup(folded.groupBy("of_bucket")).applyInPandas(
-        answer, "of_pack long, framed boolean, units binary, ids binary")
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for pack, ids, texts in packs(batches, pack_chars):
-            part = pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.large_string())})
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, part.schema) as w:
-                w.write_table(part)
-            yield pa.RecordBatch.from_pydict({"pack": pa.array([pack], pa.int64()), "docs": pa.array([_zipped(sink.getvalue().to_pybytes())], pa.binary())})
+        answer, "of_pack long, bucket long, counts binary, ids binary")
+    # Grouping the edges in a hash map: a task's units fit in memory many times over, and sorting them costs far more.
+    setting = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, 1 << 20)
+    try:
+        return written(answers, "answers")
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
+def encode(docs: DataFrame, table: dict, buckets: int | None = None, pack_chars: int = 8 << 20) -> DataFrame:
+    """One row per document: doc_id, n_pieces, piece_ids (blank-separated), decoded_sha256, round_trip."""
+    spark: SparkSession = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // 4096)
+    answers = answer_packs(rows, table, buckets, pack_chars)
+    shared = spark.sparkContext.broadcast(table["bytes"])
+    number = np.uint16 if len(table["bytes"]) < 1 << 16 else np.uint32
 
     def assemble(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         import hashlib
 
-        bytes_of, known = shared.value["bytes"], {}
-        for framed, units_blob, ids_blob in zip(right["framed"], right["units"], right["ids"]):
-            flat, at = np.frombuffer(_unzipped(ids_blob), np.uint32).tolist(), 0
-            for u in _units_in(units_blob, framed):
-                known[u] = flat[at + 1:at + 1 + flat[at]]
-                at += 1 + flat[at]
-        out = []
+        bytes_of, out = shared.value, []
+        given = {b: (c, i) for b, c, i in zip(right["bucket"], right["counts"], right["ids"])}
         for blob in left["docs"]:
-            part = pa.ipc.open_stream(_unzipped(blob)).read_all()
-            for doc_id, value in zip(part.column("doc_id").to_pylist(), part.column("text")):
+            part = pa.ipc.open_stream(unzipped(blob)).read_all()
+            texts = part.column("text")
+            shown: dict[str, tuple[str, int, str]] = {}  # a unit's ids as text, their number, and what they decode to
+            for b, us in enumerate(listed_units(set().union(*(units_of(t.as_py()) for t in texts)), buckets)):
+                if us:
+                    counts, flat, at = np.frombuffer(unzipped(given[b][0]), np.uint32).tolist(), np.frombuffer(unzipped(given[b][1]), number).tolist(), 0
+                    for u, n in zip(us, counts):
+                        ids = flat[at:at + n]
+                        at += n
+                        back = decode(ids, bytes_of)
+                        shown[u] = (" ".join(map(str, ids)), n, u if back == u else back)
+            for doc_id, value in zip(part.column("doc_id").to_pylist(), texts):
                 text = value.as_py()
-                ids = [i for u in units_of(text) for i in known[u]]
-                back = decode(ids, bytes_of)
-                out.append((doc_id, len(ids), " ".join(map(str, ids)), hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(),
-                            back == text.replace(MARK, " ")))
+                found = [shown[u] for u in units_of(text)]
+                back = "".join([f[2] for f in found]).replace(MARK, " ")[1:]
+                out.append((doc_id, sum([f[1] for f in found]), " ".join([f[0] for f in found]),
+                            hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(), back == text.replace(MARK, " ")))
         return pd.DataFrame(out, columns=["doc_id", "n_pieces", "piece_ids", "decoded_sha256", "round_trip"]).astype({"doc_id": "Int64"})
 
-    whole = rows.mapInArrow(packed, "pack long, docs binary")
-    return whole.groupBy("pack").cogroup(answers.groupBy("of_pack")).applyInPandas(
+    return pack_texts(rows, pack_chars).groupBy("pack").cogroup(answers.groupBy("of_pack")).applyInPandas(
         assemble, "doc_id long, n_pieces long, piece_ids string, decoded_sha256 string, round_trip boolean")
