@@ -19,7 +19,7 @@ after its turn would still span two symbols at the end; such units (none in
 300,000 tried) are merged again exactly, best rank first.
 
 Assembly. Tasks pack some ``pack_chars`` of documents each, and for every pack
-the distinct units by hash bucket, in code point order and compressed. A bucket
+the distinct units by hash bucket, in code point order. A bucket
 encodes its units once and answers each pack with their ids in that order; a
 pack lists its units again the same way and puts its documents together. So
 texts are shuffled once, compressed, and no unit or answer is ever collected.
@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 
 from opsflow.llm.common import written
 
-MARK = "▁"
+MARK, LINE_END = "▁", "\n"
 UNIT = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 WINDOW = 256  # characters of a long unit that are exploded at a time
 FOLD_CHARS = 512  # longer units are merged by a heap instead of the fold, whose state is copied at each step
@@ -212,27 +212,12 @@ def listed_units(found: set[str], buckets: int) -> list[list[str]]:
     import xxhash
 
     dealt: list[list[str]] = [[] for _ in range(buckets)]
+    found.discard(LINE_END)  # never a piece; so it can divide the units of a list
     for u in sorted(found):
         dealt[xxhash.xxh3_64_intdigest(u.encode("utf-8", "surrogatepass")) % buckets].append(u)
     return dealt
 
 
-def joined_units(units: list[str]) -> bytes:
-    """One blob: divided by U+0000, or JSON after a first U+0001 where some unit holds U+0000."""
-    import json
-
-    data = "\0".join(units)
-    data = "\1" + json.dumps(units) if data.count("\0") >= len(units) or data[:1] == "\1" else data
-    return zipped(data.encode("utf-8", "surrogatepass"))
-
-
-def units_in(blob: bytes) -> list[str]:
-    import json
-
-    data = unzipped(blob).decode("utf-8", "surrogatepass")
-    return json.loads(data[1:]) if data[:1] == "\1" else data.split("\0")
-
-
 def packs(batches: Iterator[pa.RecordBatch], pack_chars: int) -> Iterator[tuple[int, list[int], list[str]]]:
     """(pack id, doc ids, texts): successive documents of about ``pack_chars`` characters; the id hashes them."""
     import xxhash
@@ -253,16 +238,16 @@ def packs(batches: Iterator[pa.RecordBatch], pack_chars: int) -> Iterator[tuple[
 
 
 def pack_units(docs: DataFrame, buckets: int, pack_chars: int) -> DataFrame:
-    """bucket, pack, blob: each pack's distinct units by hash bucket."""
+    """bucket, pack, listing: each pack's distinct units by hash bucket, divided by line ends."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pack, _, texts in packs(batches, pack_chars):
             dealt = listed_units(set().union(*map(units_of, texts)), buckets)
-            rows = [(b, joined_units(us)) for b, us in enumerate(dealt) if us]
+            rows = [(b, LINE_END.join(us)) for b, us in enumerate(dealt) if us]
             yield pa.RecordBatch.from_pydict({
                 "bucket": pa.array([b for b, _ in rows], pa.int64()), "pack": pa.array([pack] * len(rows), pa.int64()),
-                "blob": pa.array([x for _, x in rows], pa.binary())})
+                "listing": pa.array([x for _, x in rows], pa.string())})
 
-    return docs.mapInArrow(scan, "bucket long, pack long, blob binary")
+    return docs.mapInArrow(scan, "bucket long, pack long, listing string")
 
 
 def pack_texts(docs: DataFrame, pack_chars: int) -> DataFrame:
@@ -283,13 +268,9 @@ def answer_packs(docs: DataFrame, table: dict, buckets: int, pack_chars: int) ->
     """pack, bucket, ids: for each unit of a pack's bucket its number of ids and the ids; written to the shared folder."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(table)
-    blobs = pack_units(docs, buckets, pack_chars).repartition(buckets, "bucket")
-
-    @F.pandas_udf("array<string>")
-    def listed(blob: pd.Series, pack: pd.Series) -> pd.Series:
-        return blob.map(units_in)
-
-    units = blobs.select(F.col("bucket").alias("of_bucket"), F.explode(listed("blob", "pack")).alias("unit")).distinct()
+    lists = pack_units(docs, buckets, pack_chars).repartition(buckets, "bucket")
+    # Everything up to the answers stays in the partitions that the buckets were dealt to.
+    units = lists.select(F.col("bucket").alias("of_bucket"), F.explode(F.split("listing", LINE_END)).alias("unit")).distinct()
     folded = lattice(units.filter(F.length("unit") <= FOLD_CHARS), table["pieces"], ["of_bucket"])
     folded = folded.select("of_bucket", "unit", shown_lengths(merge_cuts(F.col("unit"), F.col("edges"))).alias("lengths"))
     number = np.uint16 if len(table["bytes"]) < 1 << 16 else np.uint32
@@ -298,9 +279,9 @@ def answer_packs(docs: DataFrame, table: dict, buckets: int, pack_chars: int) ->
         t = shared.value
         rank = {p: r for r, p in enumerate(t["pieces"])}
         lengths, known, out = dict(zip(right["unit"], right["lengths"])), {}, []
-        for pack, bucket, blob in zip(left["pack"], left["bucket"], left["blob"]):
+        for pack, bucket, listing in zip(left["pack"], left["bucket"], left["listing"]):
             counts, flat = [], []
-            for u in units_in(blob):
+            for u in listing.split(LINE_END):
                 ids = known.get(u)
                 if ids is None:
                     shown = lengths.get(u)
@@ -312,7 +293,7 @@ def answer_packs(docs: DataFrame, table: dict, buckets: int, pack_chars: int) ->
             out.append((pack, bucket, zipped(np.array(counts, np.uint32).tobytes()), zipped(np.array(flat, number).tobytes())))
         return pd.DataFrame(out, columns=["of_pack", "bucket", "counts", "ids"])
 
-    answers = blobs.groupBy("bucket").cogroup(folded.groupBy("of_bucket")).applyInPandas(
+    answers = lists.groupBy("bucket").cogroup(folded.groupBy("of_bucket")).applyInPandas(
         answer, "of_pack long, bucket long, counts binary, ids binary")
     # Grouping the edges in a hash map: a task's units fit in memory many times over, and sorting them costs far more.
     setting = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
@@ -324,24 +305,25 @@ def answer_packs(docs: DataFrame, table: dict, buckets: int, pack_chars: int) ->
         spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
 
 
-def encode(docs: DataFrame, table: dict, buckets: int | None = None, pack_chars: int = 8 << 20) -> DataFrame:
+def encode(docs: DataFrame, table: dict, buckets: int | None = None, pack_chars: int = 4 << 20) -> DataFrame:
     """One row per document: doc_id, n_pieces, piece_ids (blank-separated), decoded_sha256, round_trip."""
     spark: SparkSession = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // 4096)
     answers = answer_packs(rows, table, buckets, pack_chars)
-    shared = spark.sparkContext.broadcast(table["bytes"])
+    shared = spark.sparkContext.broadcast((table["bytes"], table["byte_ids"]))
     number = np.uint16 if len(table["bytes"]) < 1 << 16 else np.uint32
 
     def assemble(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         import hashlib
 
-        bytes_of, out = shared.value, []
+        (bytes_of, byte_ids), out = shared.value, []
         given = {b: (c, i) for b, c, i in zip(right["bucket"], right["counts"], right["ids"])}
         for blob in left["docs"]:
             part = pa.ipc.open_stream(unzipped(blob)).read_all()
             texts = part.column("text")
-            shown: dict[str, tuple[str, int, str]] = {}  # a unit's ids as text, their number, and what they decode to
+            line_end = byte_ids[ord(LINE_END)]
+            shown = {LINE_END: (str(line_end), 1, decode([line_end], bytes_of))}  # a unit's ids as text, their number, and what they decode to
             for b, us in enumerate(listed_units(set().union(*(units_of(t.as_py()) for t in texts)), buckets)):
                 if us:
                     counts, flat, at = np.frombuffer(unzipped(given[b][0]), np.uint32).tolist(), np.frombuffer(unzipped(given[b][1]), number).tolist(), 0
