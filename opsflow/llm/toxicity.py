@@ -6,8 +6,9 @@ broadcast of fixed size. A document with several labels is toxic if any says so.
 
 Features are lower-case words stripped of punctuation and their 4- and
 5-character beginnings. Of those, at most ``max_features`` are kept whose
-presence among the examples depends on the label (G squared of at least
-``min_g2``). Document frequencies are counted over the whole corpus. A vector is
+presence among the examples depends on the label: G squared of at least
+``min_g2`` and odds that differ ``min_odds`` times or more (which leaves out
+common words of a language). Document frequencies are counted over the whole corpus. A vector is
 (1 + log tf) * idf over the kept features, of length 1.
 
 Index. Examples are ordered by their heaviest feature and cut into blocks; each
@@ -73,7 +74,7 @@ def pick_examples(docs: DataFrame, labels: DataFrame, max_examples: int) -> Data
     return written(rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label"), "examples")
 
 
-def pick_features(examples: DataFrame, max_features: int, min_g2: float) -> list[str]:
+def pick_features(examples: DataFrame, max_features: int, min_g2: float, min_odds: float) -> list[str]:
     def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
@@ -91,7 +92,8 @@ def pick_features(examples: DataFrame, max_features: int, min_g2: float) -> list
         return []
     g2 = 2 * (term(F.col("a"), with_it * n1 / n) + term(F.col("b"), with_it * n0 / n)
               + term(c, (n - with_it) * n1 / n) + term(d, (n - with_it) * n0 / n))
-    best = counts.filter("a + b >= 3").withColumn("g2", g2).filter(F.col("g2") >= min_g2)
+    odds = F.abs(F.log((F.col("a") + 0.5) * (d + 0.5) / ((F.col("b") + 0.5) * (c + 0.5))))
+    best = counts.filter("a + b >= 3").withColumn("g2", g2).filter((F.col("g2") >= min_g2) & (odds >= math.log(min_odds)))
     return sorted(r.feature for r in best.orderBy(F.desc("g2"), "feature").limit(max_features).select("feature").collect())
 
 
@@ -241,9 +243,10 @@ def kept_counts(examples: DataFrame, names: list[str]) -> DataFrame:
     return examples.select("doc_id", "text", "label").mapInArrow(count, "doc_id long, label int, feature array<string>, n array<long>")
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 8192, max_features: int = 4096, min_g2: float = 25.0, k: int = 16) -> Index:
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 8192, max_features: int = 4096, min_g2: float = 25.0,
+        min_odds: float = 3.0, k: int = 16) -> Index:
     examples = pick_examples(docs, labels, max_examples)
-    names = pick_features(examples, max_features, min_g2)
+    names = pick_features(examples, max_features, min_g2, min_odds)
     n, df = document_frequencies(docs, names)
     idf = np.log(1 + n / (1 + df))
 
