@@ -309,7 +309,7 @@ def encode(docs: DataFrame, table: dict, buckets: int | None = None, pack_chars:
     """One row per document: doc_id, n_pieces, piece_ids (blank-separated), decoded_sha256, round_trip."""
     spark: SparkSession = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // 4096)
+    buckets = buckets or max(3 * int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // 1024)
     answers = answer_packs(rows, table, buckets, pack_chars)
     shared = spark.sparkContext.broadcast((table["bytes"], table["byte_ids"]))
     number = np.uint16 if len(table["bytes"]) < 1 << 16 else np.uint32
