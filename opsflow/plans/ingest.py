@@ -44,8 +44,8 @@ def validate_sales(raw: DataFrame, processing_date: datetime) -> DataFrame:
     typed = stripped.select(
         "*",
         P.parse_int_stripped(F.col("quantity")).alias("_q"),
-        P.parse_decimal_stripped(F.col("unit_price"), 26, 8).alias("_up"),
-        P.parse_decimal_stripped(F.col("total_amount"), 26, 8).alias("_ta"),
+        P.parse_decimal_stripped(F.col("unit_price")).alias("_up"),
+        P.parse_decimal_stripped(F.col("total_amount")).alias("_ta"),
         P.parse_date_stripped(F.col("sale_date")).alias("_sd"))
     q, up, ta, sd = F.col("_q"), F.col("_up"), F.col("_ta"), F.col("_sd")
 
@@ -57,7 +57,8 @@ def validate_sales(raw: DataFrame, processing_date: datetime) -> DataFrame:
                .when(ta.isNull(), bad("total_amount", "decimal"))
                .when(sd.isNull(), F.concat(F.lit("Unrecognised date format for 'sale_date': '"),
                                            F.coalesce(F.col("sale_date"), F.lit("")), F.lit("'"))))
-    expected = P.round_half_even(q.cast("decimal(10,0)") * up, 2)
+    # No cast or product here can throw on a row's values; a product beyond 38 digits is a mismatch.
+    expected = P.round_half_even(F.try_multiply(q.cast("decimal(20,0)"), up), 2)
     # Validity on the parsed values only: a filter on it that Catalyst pushes
     # below these projections stays cheap (no message text is built).
     valid = q.isNotNull() & up.isNotNull() & ta.isNotNull() & sd.isNotNull()
@@ -67,7 +68,7 @@ def validate_sales(raw: DataFrame, processing_date: datetime) -> DataFrame:
         up.cast("double").alias("unit_price"), ta.cast("double").alias("total_amount"), sd.alias("sale_date"),
         txt["region"], txt["salesperson"], D.ts_lit(processing_date).alias("processing_date"),
         reason.alias("reason"),
-        (valid & (ta != expected)).alias("total_mismatch"),
+        (valid & F.coalesce(ta != expected, F.lit(True))).alias("total_mismatch"),
         expected.cast("double").alias("expected_total"))
 
 
@@ -116,10 +117,10 @@ def failed_files(raw: DataFrame) -> DataFrame:
 
 
 def _target(spark: SparkSession, target_path: str | None, target_table: str | None) -> DataFrame | None:
-    try:
-        return spark.table(target_table) if target_table else spark.read.parquet(target_path)
-    except Exception:  # first run: no target yet
-        return None
+    """The target, or None before the first run; an existing target that cannot be read raises."""
+    if target_table:
+        return spark.table(target_table) if spark.catalog.tableExists(target_table) else None
+    return spark.read.parquet(target_path) if S.exists(spark, target_path) else None
 
 
 def _append(df: DataFrame, target_path: str | None, target_table: str | None, buckets: int) -> None:
@@ -156,15 +157,21 @@ def run_etl(spark: SparkSession, source_dir: str, target_path: str | None, as_of
     # pruned scan would not see short/long rows); the files are read again by
     # the load below rather than caching the whole input.
     bad = failed_files(raw)
-    bad_paths = [r.source_path for r in bad.collect()]  # one row per bad file (reporting)
+    by_uri = {S.encoded(spark, p): p for p in files}
+    bad_uris = [r.source_path for r in bad.collect()]  # one row per bad file (reporting)
+    bad_paths = [by_uri[u] for u in bad_uris]
     failed += [(p, "malformed row (wrong number of fields)") for p in bad_paths]
     ok_paths = [c.path for c in checks if c.error is None and c.path not in set(bad_paths)]
     # File order for "first row wins": one row per file, size bounded by the listing.
-    rank = spark.createDataFrame([(p, i) for i, p in enumerate(files)], "_r_path string, _file_rank int")
-    bad_df = spark.createDataFrame([(p,) for p in bad_paths], "_b_path string")
-    rows = (raw.join(F.broadcast(bad_df), F.col("source_path") == F.col("_b_path"), "left_anti")
-               .join(F.broadcast(rank), F.col("source_path") == F.col("_r_path"))
-               .drop("_r_path", S.CORRUPT_COL, "_guard"))
+    rank = spark.createDataFrame([(u, i, p.rstrip("/").rsplit("/", 1)[-1]) for i, (u, p) in enumerate(by_uri.items())],
+                                 "_r_path string, _file_rank int, _r_name string")
+    bad_df = spark.createDataFrame([(u,) for u in bad_uris], "_b_path string")
+    unknown = F.raise_error(F.concat(F.lit("row of a file that is not in the listing: "), F.col("source_path"))).cast("int")
+    rows = (raw.join(bad_df, F.col("source_path") == F.col("_b_path"), "left_anti")
+               .join(rank, F.col("source_path") == F.col("_r_path"), "left")
+               .withColumn("_file_rank", F.when(F.col("_r_path").isNull(), unknown).otherwise(F.col("_file_rank")))
+               .withColumn("source_file", F.col("_r_name"))
+               .drop("_r_path", "_r_name", S.CORRUPT_COL, "_guard"))
     validated = validate_sales(rows, as_of)
     existing = _target(spark, target_path, target_table)
     target_keys = existing.select("sale_id") if existing is not None else spark.createDataFrame([], "sale_id string")

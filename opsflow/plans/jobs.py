@@ -54,8 +54,14 @@ def run_manager(t: Tables, log: VersionedTable, queue: VersionedTable, as_of: da
     cur_log = log.read()
     cur_queue = queue.read() if queue.current_version() is not None else spark.createDataFrame(
         [], cur_log.select(*QUEUE_COLUMNS).schema)
+    # The log says which tasks were answered: after a crash between the two writes below, none is sent again.
+    answered = cur_log.where(F.col("processed_date").isNotNull()).select(F.col("taskid").alias("_a_id"))
+    cur_queue = cur_queue.join(answered, F.col("taskid") == F.col("_a_id"), "left_anti")
     q1 = tasklog.enqueue(cur_log, cur_queue)
-    responses = send(tasklog.build_payload(q1, t["assignee_types"]))
+    # The vendor is called by this one write; log and queue are derived from what was written.
+    kept = VersionedTable(spark, f"{log.root}-responses")
+    kept.write_next(send(tasklog.build_payload(q1, t["assignee_types"])).select("taskid", "response"))
+    responses = kept.read()
     next_log, next_queue = tasklog.apply_responses(cur_log, q1, responses, as_of)
     if entries is not None:
         next_log = tasklog.mark_completed(next_log, entries)

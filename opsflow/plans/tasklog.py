@@ -132,7 +132,9 @@ def apply_responses(log: DataFrame, queue: DataFrame, responses: DataFrame,
     leaves the queue. Returns ``(next_log, next_queue)``.
     """
     batch = queue.where(T.ci_eq("status", K.STATUS_PENDING)).select(F.col("taskid").alias("_b_id"))
-    upd = classify_responses(responses)
+    # Of repeated answers to a task the least text counts, so a log row is never multiplied.
+    answers = responses.groupBy("taskid").agg(F.min("response").alias("response"))
+    upd = classify_responses(answers)
     upd = upd.join(batch, upd.taskid == batch._b_id, "left_semi").withColumnRenamed("taskid", "_u_id")
     j = log.join(upd, log.taskid == upd._u_id, "left")
     hit = F.col("_u_id").isNotNull()

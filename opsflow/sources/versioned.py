@@ -1,10 +1,10 @@
 """Versioned tables for mutable state (task log, queue, county snapshot).
 
 The source updates its log in place. Here each run writes the next version
-as new parquet files under ``root/v=N`` and then moves a small pointer file
-(write to a temporary name, rename over the old pointer), so a reader pins
-one complete version and a failed job never leaves a half-written table
-behind. All file-system calls go through Hadoop's FileSystem API, so the
+as new parquet files under ``root/v=N``; the commit marker that Spark writes
+last publishes it. A version without the marker is never read and is replaced
+by the next run, so a failed job neither leaves a half-written table behind nor
+blocks later ones. All file-system calls go through Hadoop's FileSystem API, so the
 same code works on HDFS/object stores and on a local disk in tests.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-POINTER = "_CURRENT"
+COMMITTED = "_SUCCESS"
 
 
 class VersionedTable:
@@ -25,15 +25,10 @@ class VersionedTable:
         self._jvm = jvm
 
     def current_version(self) -> int | None:
-        p = self._Path(f"{self.root}/{POINTER}")
-        if not self._fs.exists(p):
-            return None
-        stream = self._fs.open(p)
-        try:
-            reader = self._jvm.java.io.BufferedReader(self._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            return int(reader.readLine().strip())
-        finally:
-            stream.close()
+        """The highest version whose write was committed; folders without the commit marker don't count."""
+        found = [st.getPath() for st in self._fs.globStatus(self._Path(f"{self.root}/v=*")) or []]
+        done = [int(p.getName()[2:]) for p in found if self._fs.exists(self._Path(p, COMMITTED))]
+        return max(done, default=None)
 
     def path(self, version: int) -> str:
         return f"{self.root}/v={version}"
@@ -45,22 +40,8 @@ class VersionedTable:
         return self.spark.read.parquet(self.path(v))
 
     def write_next(self, df: DataFrame) -> int:
-        """Write ``df`` as the next version, then publish it."""
-        cur = self.current_version()
-        nxt = 1 if cur is None else cur + 1
-        df.write.mode("errorifexists").parquet(self.path(nxt))
-        self._publish(nxt)
+        """Write ``df`` as the next version. Spark's job commit publishes it: the marker is the last file written,
+        so a crash leaves the earlier version current, and the next run replaces what the crash left."""
+        nxt = (self.current_version() or 0) + 1
+        df.write.mode("overwrite").parquet(self.path(nxt))
         return nxt
-
-    def _publish(self, version: int) -> None:
-        tmp = self._Path(f"{self.root}/{POINTER}.{version}.tmp")
-        out = self._fs.create(tmp, True)
-        try:
-            out.write(bytearray(f"{version}\n", "utf-8"))
-        finally:
-            out.close()
-        dest = self._Path(f"{self.root}/{POINTER}")
-        if self._fs.exists(dest):
-            self._fs.delete(dest, False)
-        if not self._fs.rename(tmp, dest):
-            raise OSError(f"could not publish version {version} of {self.root}")
