@@ -19,14 +19,13 @@ after its turn would still span two symbols at the end; such units (none in
 300,000 tried) are merged again exactly, best rank first.
 
 Assembly. Tasks pack some ``pack_chars`` of documents each, and for every pack
-the distinct units by hash bucket, in code point order. A bucket
-encodes its units once and answers each pack with their ids in that order; a
-pack lists its units again the same way and puts its documents together. So
-texts are shuffled once, compressed, and no unit or answer is ever collected.
+the distinct units by hash bucket, in order of first use. A bucket encodes its
+units once and answers each pack with their ids in that order. A pack's
+documents travel as numbers of its units, and are put together from the
+answers. So no text is shuffled, and no unit or answer is ever collected.
 
-Decoding joins the pieces' bytes, turns marks into blanks and drops the first.
-Units end at character ends, so a pack decodes each unit's ids once; every
-document's decoded text is compared with its text.
+Decoding joins the pieces' bytes, turns marks into blanks and drops the first;
+every document's decoded text is compared with its text by SHA-256.
 
 Defined cases: null and empty texts have no pieces; characters outside the
 vocabulary become their UTF-8 byte pieces; a word mark in the text decodes to a
@@ -39,11 +38,13 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -190,11 +191,6 @@ def cuts_of(lengths: str) -> list[int]:
     return list(accumulate((x - 48 for x in lengths.encode()), initial=0))
 
 
-def decode(ids: list[int], bytes_of: list[bytes]) -> str:
-    """The text of ids, with marks."""
-    return b"".join([bytes_of[i] for i in ids]).decode("utf-8", "replace")
-
-
 def zipped(data: bytes, level: int = 3) -> bytes:
     import zstandard
 
@@ -207,15 +203,34 @@ def unzipped(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
-def listed_units(found: set[str], buckets: int) -> list[list[str]]:
-    """Units by hash bucket, each bucket in code point order."""
+def numbered_units(texts: list[str]) -> tuple[list[str], list[np.ndarray]]:
+    """The distinct units in order of first use, the line end before all, and each text's units as numbers of that list."""
+    numbers: defaultdict[str, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
+    numbers[LINE_END]
+    used = [np.fromiter(map(numbers.__getitem__, units_of(t)), np.uint32) for t in texts]
+    return list(numbers), used
+
+
+def dealt_to(units: list[str], buckets: int) -> np.ndarray:
+    """Hash bucket of each unit."""
     import xxhash
 
-    dealt: list[list[str]] = [[] for _ in range(buckets)]
-    found.discard(LINE_END)  # never a piece; so it can divide the units of a list
-    for u in sorted(found):
-        dealt[xxhash.xxh3_64_intdigest(u.encode("utf-8", "surrogatepass")) % buckets].append(u)
-    return dealt
+    return np.array([xxhash.xxh3_64_intdigest(u.encode("utf-8", "surrogatepass")) % buckets for u in units], np.uint32)
+
+
+def shown_numbers(numbers: np.ndarray) -> bytes:
+    """Numbers of first use, compressed: 0 where a number is used first, else one more than it; bytes of equal weight together."""
+    seen = np.maximum.accumulate(np.concatenate([np.zeros(1, np.uint32), numbers]))[:-1]
+    codes = np.where(numbers > seen, 0, numbers + 1).astype("<u4")
+    return zipped(codes.view(np.uint8).reshape(-1, 4).T.tobytes(), 6)
+
+
+def numbers_of(data: bytes) -> np.ndarray:
+    """The inverse of ``shown_numbers``."""
+    codes = np.ascontiguousarray(np.frombuffer(unzipped(data), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    first = codes == 0
+    return np.where(first, np.cumsum(first), codes.astype(np.int64) - 1)
 
 
 def packs(batches: Iterator[pa.RecordBatch], pack_chars: int) -> Iterator[tuple[int, list[int], list[str]]]:
@@ -238,30 +253,39 @@ def packs(batches: Iterator[pa.RecordBatch], pack_chars: int) -> Iterator[tuple[
 
 
 def pack_units(docs: DataFrame, buckets: int, pack_chars: int) -> DataFrame:
-    """bucket, pack, listing: each pack's distinct units by hash bucket, divided by line ends."""
+    """bucket, pack, listing: each pack's distinct units by hash bucket in order of first use, divided by line ends."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pack, _, texts in packs(batches, pack_chars):
-            dealt = listed_units(set().union(*map(units_of, texts)), buckets)
-            rows = [(b, LINE_END.join(us)) for b, us in enumerate(dealt) if us]
+            units = numbered_units(texts)[0][1:]  # the line end is never a piece
+            lists: dict[int, list[str]] = {}
+            for u, b in zip(units, dealt_to(units, buckets).tolist()):
+                lists.setdefault(b, []).append(u)
             yield pa.RecordBatch.from_pydict({
-                "bucket": pa.array([b for b, _ in rows], pa.int64()), "pack": pa.array([pack] * len(rows), pa.int64()),
-                "listing": pa.array([x for _, x in rows], pa.string())})
+                "bucket": pa.array(list(lists), pa.int64()), "pack": pa.array([pack] * len(lists), pa.int64()),
+                "listing": pa.array([LINE_END.join(us) for us in lists.values()], pa.string())})
 
     return docs.mapInArrow(scan, "bucket long, pack long, listing string")
 
 
-def pack_texts(docs: DataFrame, pack_chars: int) -> DataFrame:
-    """pack, docs: the packs' documents, compressed."""
+def pack_numbers(docs: DataFrame, buckets: int, pack_chars: int) -> DataFrame:
+    """pack, docs, numbers, dealt: the packs' documents as unit numbers, and the bucket of each unit but the line end."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+
         for pack, ids, texts in packs(batches, pack_chars):
-            part = pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.large_string())})
+            units, used = numbered_units(texts)
+            digests = [hashlib.sha256(t.replace(MARK, " ").encode("utf-8", "surrogatepass")).digest() for t in texts]
+            part = pa.table({"doc_id": pa.array(ids, pa.int64()), "n_units": pa.array(map(len, used), pa.int64()),
+                             "sha256": pa.array(digests, pa.binary())})
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, part.schema) as w:
                 w.write_table(part)
-            yield pa.RecordBatch.from_pydict({"pack": pa.array([pack], pa.int64()),
-                                              "docs": pa.array([zipped(sink.getvalue().to_pybytes(), 6)], pa.binary())})
+            yield pa.RecordBatch.from_pydict({
+                "pack": pa.array([pack], pa.int64()), "docs": pa.array([zipped(sink.getvalue().to_pybytes())], pa.binary()),
+                "numbers": pa.array([shown_numbers(np.concatenate(used))], pa.binary()),
+                "dealt": pa.array([zipped(dealt_to(units[1:], buckets).tobytes())], pa.binary())})
 
-    return docs.mapInArrow(scan, "pack long, docs binary")
+    return docs.mapInArrow(scan, "pack long, docs binary, numbers binary, dealt binary")
 
 
 def answer_packs(docs: DataFrame, table: dict, buckets: int, pack_chars: int) -> DataFrame:
@@ -269,8 +293,10 @@ def answer_packs(docs: DataFrame, table: dict, buckets: int, pack_chars: int) ->
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(table)
     lists = pack_units(docs, buckets, pack_chars).repartition(buckets, "bucket")
-    # Everything up to the answers stays in the partitions that the buckets were dealt to.
-    units = lists.select(F.col("bucket").alias("of_bucket"), F.explode(F.split("listing", LINE_END)).alias("unit")).distinct()
+    # Everything up to the answers stays in the partitions that the buckets were dealt to. Naming the pack
+    # here keeps that column, so that both uses of the lists are one and the same exchange.
+    listing = F.when(F.col("pack").isNotNull(), F.col("listing"))
+    units = lists.select(F.col("bucket").alias("of_bucket"), F.explode(F.split(listing, LINE_END)).alias("unit")).distinct()
     folded = lattice(units.filter(F.length("unit") <= FOLD_CHARS), table["pieces"], ["of_bucket"])
     folded = folded.select("of_bucket", "unit", shown_lengths(merge_cuts(F.col("unit"), F.col("edges"))).alias("lengths"))
     number = np.uint16 if len(table["bytes"]) < 1 << 16 else np.uint32
@@ -278,19 +304,21 @@ def answer_packs(docs: DataFrame, table: dict, buckets: int, pack_chars: int) ->
     def answer(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         t = shared.value
         rank = {p: r for r, p in enumerate(t["pieces"])}
-        lengths, known, out = dict(zip(right["unit"], right["lengths"])), {}, []
+        lengths, out = dict(zip(right["unit"], right["lengths"])), []
+
+        class Known(dict):
+            def __missing__(self, u: str) -> bytes:
+                shown = lengths.get(u)
+                # A short unit without an edge is cut at every character.
+                cuts = cuts_of(shown) if shown is not None else list(range(len(u) + 1)) if len(u) <= FOLD_CHARS else merged_exactly(u, rank)
+                ids = self[u] = np.array(ids_of(u, cuts, t, rank), number).tobytes()
+                return ids
+
+        known = Known()
         for pack, bucket, listing in zip(left["pack"], left["bucket"], left["listing"]):
-            counts, flat = [], []
-            for u in listing.split(LINE_END):
-                ids = known.get(u)
-                if ids is None:
-                    shown = lengths.get(u)
-                    # A short unit without an edge is cut at every character.
-                    cuts = cuts_of(shown) if shown is not None else list(range(len(u) + 1)) if len(u) <= FOLD_CHARS else merged_exactly(u, rank)
-                    ids = known[u] = ids_of(u, cuts, t, rank)
-                counts.append(len(ids))
-                flat += ids
-            out.append((pack, bucket, zipped(np.array(counts, np.uint32).tobytes()), zipped(np.array(flat, number).tobytes())))
+            found = [known[u] for u in listing.split(LINE_END)]
+            counts = np.fromiter(map(len, found), np.uint32) // number().itemsize
+            out.append((pack, bucket, zipped(counts.tobytes()), zipped(b"".join(found))))
         return pd.DataFrame(out, columns=["of_pack", "bucket", "counts", "ids"])
 
     answers = lists.groupBy("bucket").cogroup(folded.groupBy("of_bucket")).applyInPandas(
@@ -305,40 +333,47 @@ def answer_packs(docs: DataFrame, table: dict, buckets: int, pack_chars: int) ->
         spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
 
 
-def encode(docs: DataFrame, table: dict, buckets: int | None = None, pack_chars: int = 4 << 20) -> DataFrame:
+def encode(docs: DataFrame, table: dict, buckets: int | None = None, pack_chars: int = 8 << 20) -> DataFrame:
     """One row per document: doc_id, n_pieces, piece_ids (blank-separated), decoded_sha256, round_trip."""
     spark: SparkSession = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     buckets = buckets or max(3 * int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // 1024)
     answers = answer_packs(rows, table, buckets, pack_chars)
-    shared = spark.sparkContext.broadcast((table["bytes"], table["byte_ids"]))
+    shared = spark.sparkContext.broadcast((table["bytes"], table["byte_ids"][ord(LINE_END)]))
     number = np.uint16 if len(table["bytes"]) < 1 << 16 else np.uint32
+    shape = pa.schema([("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("piece_ids", pa.string()),
+                       ("decoded_sha256", pa.string()), ("round_trip", pa.bool_())])
 
-    def assemble(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
         import hashlib
 
-        (bytes_of, byte_ids), out = shared.value, []
-        given = {b: (c, i) for b, c, i in zip(right["bucket"], right["counts"], right["ids"])}
-        for blob in left["docs"]:
-            part = pa.ipc.open_stream(unzipped(blob)).read_all()
-            texts = part.column("text")
-            line_end = byte_ids[ord(LINE_END)]
-            shown = {LINE_END: (str(line_end), 1, decode([line_end], bytes_of))}  # a unit's ids as text, their number, and what they decode to
-            for b, us in enumerate(listed_units(set().union(*(units_of(t.as_py()) for t in texts)), buckets)):
-                if us:
-                    counts, flat, at = np.frombuffer(unzipped(given[b][0]), np.uint32).tolist(), np.frombuffer(unzipped(given[b][1]), number).tolist(), 0
-                    for u, n in zip(us, counts):
-                        ids = flat[at:at + n]
-                        at += n
-                        back = decode(ids, bytes_of)
-                        shown[u] = (" ".join(map(str, ids)), n, u if back == u else back)
-            for doc_id, value in zip(part.column("doc_id").to_pylist(), texts):
-                text = value.as_py()
-                found = [shown[u] for u in units_of(text)]
-                back = "".join([f[2] for f in found]).replace(MARK, " ")[1:]
-                out.append((doc_id, sum([f[1] for f in found]), " ".join([f[0] for f in found]),
-                            hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(), back == text.replace(MARK, " ")))
-        return pd.DataFrame(out, columns=["doc_id", "n_pieces", "piece_ids", "decoded_sha256", "round_trip"]).astype({"doc_id": "Int64"})
-
-    return pack_texts(rows, pack_chars).groupBy("pack").cogroup(answers.groupBy("of_pack")).applyInPandas(
+        bytes_of, line_end = shared.value
+        as_bytes, as_text = pa.array(bytes_of, pa.binary()), pa.array(map(str, range(len(bytes_of))), pa.string())
+        given = {r["bucket"]: r for r in right.to_pylist()}
+        answered = [given[b] for b in sorted(given)]  # the order of a stable sort by bucket
+        counts = np.concatenate([np.frombuffer(unzipped(r["counts"]), np.uint32) for r in answered] + [np.zeros(0, np.uint32)]).astype(np.int64)
+        ids = np.concatenate([np.frombuffer(unzipped(r["ids"]), number) for r in answered] + [np.array([line_end], number)]).astype(np.int32)
+        out = []
+        for row in left.to_pylist():
+            order = np.argsort(np.frombuffer(unzipped(row["dealt"]), np.uint32), kind="stable") + 1
+            if len(order) != len(counts):
+                raise ValueError(f"pack {row['pack']}: {len(counts)} answers to {len(order)} units")
+            count, start = np.ones(len(order) + 1, np.int64), np.full(len(order) + 1, len(ids) - 1, np.int64)
+            count[order], start[order] = counts, np.cumsum(counts) - counts
+            part = pa.ipc.open_stream(unzipped(row["docs"])).read_all()
+            used = numbers_of(row["numbers"])
+            ends = np.cumsum(np.append(0, count[used]))  # in pieces, by unit
+            places = np.arange(ends[-1]) + np.repeat(start[used] - ends[:-1], count[used])
+            taken = pa.array(ids[places])
+            limits = ends[np.cumsum(np.append(0, part.column("n_units").to_numpy()))]  # in pieces, by document
+            offsets = pa.array(limits, pa.int32())
+            texts = pc.binary_join(pa.ListArray.from_arrays(offsets, as_bytes.take(taken)), b"").to_pylist()
+            digests = [hashlib.sha256(t.decode("utf-8", "replace").replace(MARK, " ")[1:].encode()).digest() for t in texts]
+            out.append(pa.table([
+                part.column("doc_id"), pa.array(np.diff(limits)), pc.binary_join(pa.ListArray.from_arrays(offsets, as_text.take(taken)), " "),
+                pa.array([d.hex() for d in digests], pa.string()),
+                pa.array([d == w for d, w in zip(digests, part.column("sha256").to_pylist())], pa.bool_())], schema=shape))
+        return pa.concat_tables(out) if out else shape.empty_table()
+
+    return pack_numbers(rows, buckets, pack_chars).groupBy("pack").cogroup(answers.groupBy("of_pack")).applyInArrow(
         assemble, "doc_id long, n_pieces long, piece_ids string, decoded_sha256 string, round_trip boolean")
