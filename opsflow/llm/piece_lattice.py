@@ -1,10 +1,12 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
 Blanks become the word mark and one mark is put in front; the text is cut into
-units (marks and the characters up to the next mark or line end), which no piece
-crosses. Each distinct unit is encoded once:
+units wherever no piece has the two characters beside each other (so at every
+word's start), since no merge or path can cross there. Each distinct unit is
+encoded once:
 
-* its substrings of 2 to the longest piece's length are exploded,
+* its substrings of 2 to the longest piece's length are exploded (no longer ones
+  than a piece of the same first three characters has, by a table of hashes),
 * equi-joined to the piece table (of the vocabulary's fixed size),
 * grouped by unit into an array of edges (rank, start, length),
 * and folded by Spark's higher-order ``aggregate`` into the unit's cuts.
@@ -37,24 +39,25 @@ rows are encoded each; an empty table gives no rows; extra columns are not read.
 from __future__ import annotations
 
 import heapq
-import re
+import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsflow.llm.common import written
 
 MARK, LINE_END = "▁", "\n"
-UNIT = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 WINDOW = 256  # characters of a long unit that are exploded at a time
 FOLD_CHARS = 512  # longer units are merged by a heap instead of the fold, whose state is copied at each step
 START_BITS, LENGTH_BITS = 24, 8
+REACH_BITS = 15
 
 
 def piece_table(model_file: str) -> dict:
@@ -72,8 +75,43 @@ def piece_table(model_file: str) -> dict:
             "bytes": bytes_of}
 
 
-def units_of(text: str) -> list[str]:
-    return UNIT.findall(MARK + text.replace(" ", MARK)) if text else []
+def neighbours(pieces: list[str]) -> tuple[str, bytes]:
+    """The characters of all longer pieces, and a bit for each two of them: whether some piece has them in a row."""
+    letters = "".join(sorted({c for p in pieces if len(p) > 1 for c in p} - {LINE_END}))
+    place = {c: i + 1 for i, c in enumerate(letters)}  # 0 is any other character
+    beside = np.zeros((len(letters) + 1, len(letters) + 1), bool)
+    pairs = {(place[a], place[b]) for p in pieces for a, b in zip(p, p[1:]) if a != LINE_END != b}
+    if pairs:
+        beside[tuple(np.array(sorted(pairs)).T)] = True
+    return letters, np.packbits(beside).tobytes()
+
+
+def unit_cutter(letters: str, bits: bytes) -> Callable[[str], list[str]]:
+    """A function that cuts a text into units, between any two characters that no piece has in a row."""
+    width = len(letters) + 1
+    beside = np.unpackbits(np.frombuffer(bits, np.uint8), count=width * width).astype(bool)
+    place = np.zeros(0x110000, np.int32)
+    place[np.array(list(map(ord, letters)), np.int64)] = np.arange(1, width)
+
+    def units_of(text: str) -> list[str]:
+        if not text:
+            return []
+        shown = MARK + text.replace(" ", MARK)
+        at = place[np.frombuffer(shown.encode("utf-32-le", "surrogatepass"), "<u4")]
+        cuts = (np.flatnonzero(~beside[at[:-1] * width + at[1:]]) + 1).tolist()
+        return [shown[a:b] for a, b in zip([0, *cuts], [*cuts, len(shown)])]
+
+    return units_of
+
+
+def reach_table(pieces: list[str]) -> list[int]:
+    """By CRC-32 of three characters, an upper bound of the length of the pieces that begin with them (2: none do)."""
+    reach = [2] * (1 << REACH_BITS)
+    for p in pieces:
+        if len(p) > 2:
+            at = zlib.crc32(p[:3].encode()) % len(reach)
+            reach[at] = max(reach[at], len(p))
+    return reach
 
 
 def lattice(units: DataFrame, pieces: list[str], keys: list[str]) -> DataFrame:
@@ -87,8 +125,10 @@ def lattice(units: DataFrame, pieces: list[str], keys: list[str]) -> DataFrame:
     windows = units.withColumn("w", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / WINDOW).cast("int"))))
     windows = windows.withColumn("win", F.substring(F.col("unit"), F.col("w") * WINDOW + 1, F.lit(WINDOW + longest - 1)))
     starts = windows.withColumn("s", F.explode(F.sequence(F.lit(0), F.least(F.lit(WINDOW), F.length("win")) - 1)))
-    most = F.least(F.lit(longest), F.length("win") - F.col("s"))
-    spans = starts.filter(most >= 2).withColumn("l", F.explode(F.sequence(F.lit(2), most)))
+    reach = F.split(F.lit(",".join(map(str, reach_table(pieces)))), ",").cast("array<int>")  # folded to a constant
+    first = F.crc32(F.substring(F.col("win"), F.col("s") + 1, F.lit(3)).cast("binary"))
+    most = F.least(F.get(reach, (first % (1 << REACH_BITS)).cast("int")), F.length("win") - F.col("s"))
+    spans = starts.filter(F.length("win") - F.col("s") >= 2).withColumn("l", F.explode(F.sequence(F.lit(2), most)))
     spans = spans.select(*keys, "unit", (F.col("w") * WINDOW + F.col("s")).cast("long").alias("start"), "l",
                          F.substring(F.col("win"), F.col("s") + 1, F.col("l")).alias("piece"))
     edges = spans.join(F.broadcast(table), "piece")
@@ -203,7 +243,7 @@ def unzipped(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
-def numbered_units(texts: list[str]) -> tuple[list[str], list[np.ndarray]]:
+def numbered_units(texts: list[str], units_of: Callable[[str], list[str]]) -> tuple[list[str], list[np.ndarray]]:
     """The distinct units in order of first use, the line end before all, and each text's units as numbers of that list."""
     numbers: defaultdict[str, int] = defaultdict()
     numbers.default_factory = numbers.__len__
@@ -252,11 +292,12 @@ def packs(batches: Iterator[pa.RecordBatch], pack_chars: int) -> Iterator[tuple[
         yield h.intdigest() - (1 << 63), ids, texts
 
 
-def pack_units(docs: DataFrame, buckets: int, pack_chars: int) -> DataFrame:
+def pack_units(docs: DataFrame, cutting: Broadcast, buckets: int, pack_chars: int) -> DataFrame:
     """bucket, pack, listing: each pack's distinct units by hash bucket in order of first use, divided by line ends."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units_of = unit_cutter(*cutting.value)
         for pack, _, texts in packs(batches, pack_chars):
-            units = numbered_units(texts)[0][1:]  # the line end is never a piece
+            units = numbered_units(texts, units_of)[0][1:]  # the line end is never a piece
             lists: dict[int, list[str]] = {}
             for u, b in zip(units, dealt_to(units, buckets).tolist()):
                 lists.setdefault(b, []).append(u)
@@ -267,13 +308,14 @@ def pack_units(docs: DataFrame, buckets: int, pack_chars: int) -> DataFrame:
     return docs.mapInArrow(scan, "bucket long, pack long, listing string")
 
 
-def pack_numbers(docs: DataFrame, buckets: int, pack_chars: int) -> DataFrame:
+def pack_numbers(docs: DataFrame, cutting: Broadcast, buckets: int, pack_chars: int) -> DataFrame:
     """pack, docs, numbers, dealt: the packs' documents as unit numbers, and the bucket of each unit but the line end."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
+        units_of = unit_cutter(*cutting.value)
         for pack, ids, texts in packs(batches, pack_chars):
-            units, used = numbered_units(texts)
+            units, used = numbered_units(texts, units_of)
             digests = [hashlib.sha256(t.replace(MARK, " ").encode("utf-8", "surrogatepass")).digest() for t in texts]
             part = pa.table({"doc_id": pa.array(ids, pa.int64()), "n_units": pa.array(map(len, used), pa.int64()),
                              "sha256": pa.array(digests, pa.binary())})
@@ -288,11 +330,11 @@ def pack_numbers(docs: DataFrame, buckets: int, pack_chars: int) -> DataFrame:
     return docs.mapInArrow(scan, "pack long, docs binary, numbers binary, dealt binary")
 
 
-def answer_packs(docs: DataFrame, table: dict, buckets: int, pack_chars: int) -> DataFrame:
+def answer_packs(docs: DataFrame, table: dict, cutting: Broadcast, buckets: int, pack_chars: int) -> DataFrame:
     """pack, bucket, ids: for each unit of a pack's bucket its number of ids and the ids; written to the shared folder."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(table)
-    lists = pack_units(docs, buckets, pack_chars).repartition(buckets, "bucket")
+    lists = pack_units(docs, cutting, buckets, pack_chars).repartition(buckets, "bucket")
     # Everything up to the answers stays in the partitions that the buckets were dealt to. Naming the pack
     # here keeps that column, so that both uses of the lists are one and the same exchange.
     listing = F.when(F.col("pack").isNotNull(), F.col("listing"))
@@ -338,7 +380,8 @@ def encode(docs: DataFrame, table: dict, buckets: int | None = None, pack_chars:
     spark: SparkSession = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     buckets = buckets or max(3 * int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // 1024)
-    answers = answer_packs(rows, table, buckets, pack_chars)
+    cutting = spark.sparkContext.broadcast(neighbours(table["pieces"]))
+    answers = answer_packs(rows, table, cutting, buckets, pack_chars)
     shared = spark.sparkContext.broadcast((table["bytes"], table["byte_ids"][ord(LINE_END)]))
     number = np.uint16 if len(table["bytes"]) < 1 << 16 else np.uint32
     shape = pa.schema([("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("piece_ids", pa.string()),
@@ -375,5 +418,5 @@ def encode(docs: DataFrame, table: dict, buckets: int | None = None, pack_chars:
                 pa.array([d == w for d, w in zip(digests, part.column("sha256").to_pylist())], pa.bool_())], schema=shape))
         return pa.concat_tables(out) if out else shape.empty_table()
 
-    return pack_numbers(rows, buckets, pack_chars).groupBy("pack").cogroup(answers.groupBy("of_pack")).applyInArrow(
+    return pack_numbers(rows, cutting, buckets, pack_chars).groupBy("pack").cogroup(answers.groupBy("of_pack")).applyInArrow(
         assemble, "doc_id long, n_pieces long, piece_ids string, decoded_sha256 string, round_trip boolean")
