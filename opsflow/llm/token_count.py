@@ -147,7 +147,9 @@ def count_long(rows: DataFrame, tokenizer_json: str, chunk: int, overlap: int) -
     """rid and n_tokens of long texts (rid, text), widening until every seam holds."""
     done, pending = [], rows
     while not pending.isEmpty():
-        counted = written(splice(seam_rows(chunked(pending, chunk, overlap), tokenizer_json, overlap)), "spliced")
+        # Written first, since splicing reads the seams twice and would encode every chunk twice.
+        seams = written(seam_rows(chunked(pending, chunk, overlap), tokenizer_json, overlap), "seams")
+        counted = written(splice(seams), "spliced")
         done.append(counted.filter("n_tokens IS NOT NULL"))
         failed = counted.filter("n_tokens IS NULL").select("rid")
         if failed.isEmpty():
