@@ -1,7 +1,8 @@
 """Training-data pipeline over ``documents``.
 
 Stages, each over all rows that its predecessor kept: toxic documents go, of
-exact copies one stays, of near copies one stays, sources are mixed to their
+exact copies one stays, of near copies (five-word shingles, Jaccard similarity 0.8
+or more) one stays, sources are mixed to their
 target weights (a document may then occur up to three times), and what is left
 is encoded to pieces and decoded again. Every stage is written as Parquet in
 the shared folder before the next reads it.
@@ -25,7 +26,7 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.drop_near_copies(docs)
+    return near_dedup.drop_near_copies(docs, percent=80)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,18 +5,22 @@ lower-cased; a text of fewer words is one shingle; no words, no set).
 ``SLOTS`` b-bit MinHash values (b = 16) form its signature; the distance of two
 signatures is the number of slots that differ.
 
-Multi-index. The slots are split into ``CHUNKS`` chunks. Two signatures at
-distance under ``2 * CHUNKS`` have, by pigeonhole, a chunk with at most one
-differing slot. The allowed error is enumerated: each chunk gives one key per
-slot left out. So any pair within ``MAX_DISTANCE = 2 * CHUNKS - 1`` of 64 slots
-shares a key. At the least similarity asked for, 0.85, a slot differs with
-probability 0.15 and a pair is farther than 23 of 64 about once in 10^5.
+Multi-index. The slots are split into chunks. Two signatures at distance under
+twice the chunks have, by pigeonhole, a chunk with at most one differing slot.
+The allowed error is enumerated: each chunk gives one key per slot left out. So
+any pair within ``reach(chunks) = 2 * chunks - 1`` of 64 slots shares a key.
+
+The chunks follow from the least similarity asked for (``chunks_for``): at
+similarity s a slot differs with probability 1 - s, and the fewest chunks, an
+even number, are taken with which a pair of similarity s is out of reach at most
+once in 10^5. At 0.85 that is 12 chunks, 23 slots, 8.8e-6 of such pairs missed;
+at 0.80, the pipeline's, 16 chunks, 31 slots, 8.2e-8.
 
 From keys to links, without listing all pairs of a key:
 
 1. Documents with equal sets are one node, so copies cost nothing further.
 2. Each key's least node is compared with its other nodes (as many pairs as
-   rows); pairs within the distance make first clusters.
+   rows); pairs within reach make first clusters.
 3. Keys whose nodes all lie in one cluster are done. In the others, nodes are
    compared block by block, each block pair a small task, and only a spanning
    forest of what is found is returned. Clusters are then the components of the
@@ -37,6 +41,7 @@ table gives no rows; extra columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,12 +53,30 @@ from pyspark.sql import functions as F
 from opsflow.llm.bloom import member_filter
 from opsflow.llm.common import components, join_stats, written
 
-SLOTS, CHUNKS = 64, 12
-MAX_DISTANCE = 2 * CHUNKS - 1
+SLOTS, MISS = 64, 1e-5
 KEY_BLOCK, SET_BLOCK = 512, 256
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
+def reach(chunks: int) -> int:
+    """The largest distance at which two signatures surely share a key."""
+    return 2 * chunks - 1
+
+
+def miss(percent: int, chunks: int) -> float:
+    """How likely a pair of the given similarity is out of reach."""
+    differ = 1 - percent / 100
+    return sum(math.comb(SLOTS, i) * differ**i * (1 - differ) ** (SLOTS - i) for i in range(reach(chunks) + 1, SLOTS + 1))
+
+
+def chunks_for(percent: int) -> int:
+    return next(c for c in range(2, SLOTS // 2 + 1, 2) if c == SLOTS // 2 or miss(percent, c) <= MISS)
+
+
+CHUNKS = chunks_for(85)
+MAX_DISTANCE = reach(CHUNKS)
+
+
 def word_hashes(words: list[bytes], cache: dict[bytes, int]) -> np.ndarray:
     """64-bit word hashes; ``cache`` holds those of earlier words of the task and is emptied when large."""
     import xxhash
@@ -100,10 +123,10 @@ def signature(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(48)).astype(np.uint16)
 
 
-def signature_keys(sigs: np.ndarray) -> np.ndarray:
+def signature_keys(sigs: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
     """(rows, SLOTS) keys: for every slot, the hash of the rest of its chunk."""
     keys = np.empty((len(sigs), SLOTS), np.uint64)
-    edges = np.linspace(0, SLOTS, CHUNKS + 1).astype(int)
+    edges = np.linspace(0, SLOTS, chunks + 1).astype(int)
     with np.errstate(over="ignore"):
         for a, b in zip(edges[:-1], edges[1:]):
             for left_out in range(a, b):
@@ -136,12 +159,12 @@ def signed(docs: DataFrame, k: int) -> DataFrame:
     return written(out.withColumn("rid", F.monotonically_increasing_id()), "signed")
 
 
-def keyed(nodes: DataFrame) -> DataFrame:
+def keyed(nodes: DataFrame, chunks: int) -> DataFrame:
     """key, node: each node's keys that some other node has too."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sigs = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(-1, SLOTS)
-            keys = signature_keys(sigs).view(np.int64)
+            keys = signature_keys(sigs, chunks).view(np.int64)
             node = np.repeat(batch.column("node").to_numpy(), SLOTS)
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(node)], ["key", "node"])
 
@@ -179,8 +202,8 @@ def in_block_pairs(rows: DataFrame, group: str, size: str, block: int) -> DataFr
             .drop("blocks", "other"))
 
 
-def key_links(shared: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """a, b: a spanning forest of the pairs within MAX_DISTANCE in keys whose nodes lie in several clusters."""
+def key_links(shared: DataFrame, nodes: DataFrame, labels: DataFrame, distance: int) -> DataFrame:
+    """a, b: a spanning forest of the pairs within ``distance`` in keys whose nodes lie in several clusters."""
     lab = shared.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     lab = written(lab.select("key", "node", "size", "comp"), "labelled")
     mixed_keys = (lab.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key"))
@@ -206,7 +229,7 @@ def key_links(shared: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFra
                 rest = np.arange(i + 1, end)
                 if bi[i] != bj[i]:  # pairs of one block are met in that block's own group
                     rest = rest[own[i + 1:end] != own[i]]
-                near = rest[(sigs[rest] != sigs[i]).sum(axis=1) <= MAX_DISTANCE]
+                near = rest[(sigs[rest] != sigs[i]).sum(axis=1) <= distance]
                 found += [(node[i], node[j]) for j in near.tolist() if forest.join(int(comp[i]), int(comp[j]))]
             start = end
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
@@ -214,8 +237,8 @@ def key_links(shared: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFra
     return dealt.groupBy("part").applyInPandas(search, "a long, b long")
 
 
-def clusters(nodes: DataFrame, shared: DataFrame) -> DataFrame:
-    """node, comp: components of the pairs within MAX_DISTANCE; nodes without a pair are left out."""
+def clusters(nodes: DataFrame, shared: DataFrame, within: int) -> DataFrame:
+    """node, comp: components of the pairs at most ``within`` apart; nodes without a pair are left out."""
     star = shared.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     sig = nodes.select("node", "sig")
 
@@ -226,9 +249,9 @@ def clusters(nodes: DataFrame, shared: DataFrame) -> DataFrame:
 
     near = (star.join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
             .join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a")
-            .filter(distance("sa", "sb") <= MAX_DISTANCE).select("a", "b"))
+            .filter(distance("sa", "sb") <= within).select("a", "b"))
     near = written(near, "near")
-    more = written(key_links(shared, nodes, components(near)), "more")
+    more = written(key_links(shared, nodes, components(near), within), "more")
     return components(near.union(more))
 
 
@@ -304,7 +327,8 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 85) -> DataFrame:
     classes = (rows.filter("digest IS NOT NULL").groupBy("digest")
                .agg(F.min("rid").alias("node"), F.min("doc_id").alias("least"), F.count("*").alias("size"), F.first("sig").alias("sig")))
     nodes = written(classes, "nodes")
-    grouped = clusters(nodes, keyed(nodes))
+    chunks = chunks_for(percent)
+    grouped = clusters(nodes, keyed(nodes, chunks), reach(chunks))
     linked = components(written(set_links(docs, rows, grouped, k, percent), "links"))
     of_node = nodes.select("digest", "node", "least", "size").join(linked, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     firsts = of_node.groupBy("comp").agg(F.min("least").alias("component_id"), F.count("*").alias("nodes"))
