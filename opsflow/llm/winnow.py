@@ -1,14 +1,19 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-The text's words are hashed, and a hash rolls over every run of ``k`` words (a
-text of fewer words is one run). In each window of ``w`` consecutive run hashes
-the smallest is chosen, the rightmost of equal ones; the fingerprint is the
-chosen hashes with the positions (word numbers) of their runs. So two texts that
-share ``w + k - 1`` consecutive words share a fingerprint entry, and no shared
-entry comes from fewer than ``k`` words.
+Words are joined by single blanks, and every run of ``k`` characters of that is
+hashed (a text of fewer characters is one run). In each window of ``w``
+consecutive run hashes the smallest is chosen, the rightmost of equal ones; the
+fingerprint is the chosen hashes with the positions (character numbers) of their
+runs. So two texts that share ``w + k - 1`` consecutive characters share a
+fingerprint entry, spaced or not, and no shared entry comes from fewer than
+``k`` characters (but for texts that are shorter as a whole).
+
+Runs are cut from the UTF-32 bytes, where a character's place is known without
+counting from the text's start: the work grows with the length, not its square.
 
 Each window minimum is one comparison of numbers: a run's 40 hash bits above 23
-bits of its position, counted down so that the rightmost wins ties.
+bits of its position, counted down so that the rightmost wins ties. Positions
+are told modulo 2^23.
 
 Defined cases: null is an empty text; a text without words has the empty
 fingerprint; the likeness of two empty fingerprints is 1, of one empty and one
@@ -28,32 +33,47 @@ POSITIONS = (1 << POSITION_BITS) - 1
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, WS), lambda x: F.length(x) > 0)
+    """The text's words, joined by single blanks."""
+    return F.trim(F.regexp_replace(text, WS, " "))
 
 
 def run_hashes(words: Column, k: int) -> Column:
-    """A 64-bit hash for each run of ``k`` words, over the words' own hashes."""
-    def rolled(h: Column) -> Column:
-        n = F.size(h)
-        runs = F.transform(F.sequence(F.lit(0), n - k), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)]))
-        return F.when(n >= k, runs).when(n > 0, F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>"))
+    """A 64-bit hash for each run of ``k`` characters."""
+    return runs(words, k, lambda h, i: h)
+
+
+def runs(words: Column, k: int, value) -> Column:
+    """``value`` of the hash and the number of each run of ``k`` characters."""
+    def cut(chars: Column) -> Column:
+        n = F.floor(F.octet_length(chars) / 4).cast("int")
+        one = lambda i: value(F.xxhash64(F.substring(chars, i * 4 + 1, F.lit(4 * k))), i)
+        last = F.greatest(n - k, F.lit(0))
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), last), one)).otherwise(F.array().cast("array<bigint>"))
+
+    return let(F.encode(words, "UTF-32"), cut)
+
 
-    return let(F.transform(words, lambda x: F.xxhash64(x)), rolled)
+def window_minima(p: Column, w: int, span: int = 1) -> Column:
+    """The least of each ``w`` consecutive numbers, given those of each ``span``, by joining up to four spans at a time."""
+    width = min(w, 4 * span)
+    starts = sorted({min(at, width - span) for at in range(0, width, span)})
+    if width == w:  # whole windows only
+        return F.transform(F.sequence(F.lit(0), F.size(p) - w), lambda i: F.least(*[F.get(p, i + at) for at in starts]))
+    joined = F.transform(p, lambda x, i: F.least(x, *[F.get(p, i + at) for at in starts[1:]]))
+    return let(joined, lambda q: window_minima(q, w, width))
 
 
-def fingerprint(text: Column, k: int = 5, w: int = 8) -> Column:
+def fingerprint(text: Column, k: int = 12, w: int = 12) -> Column:
     """Array of packed (hash, position) numbers in order of position."""
-    def packed(runs: Column) -> Column:
-        hash_part = lambda x: F.shiftleft(F.shiftrightunsigned(x, 64 - 40), POSITION_BITS)
-        return F.transform(runs, lambda x, i: hash_part(x).bitwiseOR(F.lit(POSITIONS).cast("long") - i.bitwiseAND(F.lit(POSITIONS))))
+    def packed(x: Column, i: Column) -> Column:
+        hash_part = F.shiftleft(F.shiftrightunsigned(x, 64 - 40), POSITION_BITS)
+        return hash_part.bitwiseOR(F.lit(POSITIONS).cast("long") - i.bitwiseAND(F.lit(POSITIONS)))
 
     def chosen(p: Column) -> Column:
-        n = F.size(p)
-        one = F.when(n > 0, F.array(F.array_min(p))).otherwise(p)
-        many = F.array_distinct(F.transform(F.sequence(F.lit(1), n - w + 1), lambda i: F.array_min(F.slice(p, i, w))))
-        return F.when(n > w, many).otherwise(one)
+        one = F.when(F.size(p) > 0, F.array(F.array_min(p))).otherwise(p)
+        return F.when(F.size(p) > w, F.array_distinct(window_minima(p, w))).otherwise(one)
 
-    return let(let(run_hashes(words_of(text), k), packed), chosen)
+    return let(runs(words_of(text), k, packed), chosen)
 
 
 def hashes(fp: Column) -> Column:
@@ -112,7 +132,7 @@ def with_next_text(docs: DataFrame, rows_per_bucket: int = 2000) -> tuple[DataFr
     return dealt.withColumn("next_text", F.lead("text").over(order)), order
 
 
-def fingerprints(docs: DataFrame, k: int = 5, w: int = 8) -> DataFrame:
+def fingerprints(docs: DataFrame, k: int = 12, w: int = 12) -> DataFrame:
     """Each document's fingerprint, that of its edited text, and their likeness."""
     rows, order = with_next_text(docs)
     n = F.length("text")

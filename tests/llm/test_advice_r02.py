@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 import corpus_pipeline
-from opsflow.llm import near_dedup
+from opsflow.llm import near_dedup, winnow
 
 
 def words(rng, n):
@@ -37,3 +37,11 @@ def test_chunks_follow_the_similarity():
     for row in b:
         row[rng.choice(near_dedup.SLOTS, 31, replace=False)] ^= 1
     assert (near_dedup.signature_keys(a, 16) == near_dedup.signature_keys(b, 16)).any(axis=1).all()
+
+
+def test_short_and_unspaced_texts_share_entries_with_their_edits(spark):
+    rng = random.Random(3)
+    texts = [" ".join(words(rng, n)) for n in (7, 9, 12, 20)] + ["".join(words(rng, n)) for n in (7, 60)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = winnow.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows) and all(r.near_edited > 0 for r in got)
