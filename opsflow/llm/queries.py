@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from opsflow.llm import (
-    content_chunks, exact_dedup, near_dedup, pareto_mix, piece_lattice, secret_scan, token_count, toxicity, warc, winnow,
+    content_chunks, conversation_repair, exact_dedup, near_dedup, pareto_mix, piece_lattice, quality_rules, ranked_search, secret_scan,
+    token_count, toxicity, warc, winnow,
 )
 
 
@@ -73,6 +75,24 @@ def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_lattice.encode(table(spark, sf_dir, "documents"), piece_lattice.piece_table(tokenizer_file("piece_bpe_32k.model")))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts of each document and the verdict of rules with bounded false rejection."""
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                         F.array_join("failed", ",").alias("failed_rules"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of each benchmark item, by the Best Position Algorithm."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("iid")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of each damaged conversation."""
+    turns = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damaged(turns), turns)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pareto_mix, op2_token_counts, op3_toxicity, op4_content_chunks, op5_secret_scan, op6_winnowing, op7_warc_round_trip,
-    op8_exact_dedup, op9_near_dedup, op10_piece_lattice)}
+    op8_exact_dedup, op9_near_dedup, op10_piece_lattice, op11_quality_rules, op12_ranked_search, op13_conversation_repair)}
