@@ -8,6 +8,7 @@ inside the driver data's time range (orders 1995-2001).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -16,8 +17,10 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..schemas import QUEUE_COLUMNS
+from ..session import state_root
 from ..sources.tables import Tables
-from . import compliance, ingest, reports, tasklog, triggers
+from ..sources.versioned import VersionedTable
+from . import compliance, ingest, jobs, reports, tasklog, triggers
 from .world import care_tables
 
 # Fixed evaluation instants (Thursday, day-15, Tuesday) inside the data range.
@@ -97,6 +100,31 @@ def q_dequeue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _after_responses(_care(spark, sf_dir))[1]
 
 
+CRASH_WAVE, WAVES = 5, 8
+
+
+def q_manager_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log after a manager run that was cut off while sending and then started again (B7-B12, send once)."""
+    c = _care(spark, sf_dir)
+    root = f"{state_root(spark)}/manager-{uuid.uuid4().hex}"
+    log, queue = VersionedTable(spark, f"{root}/log"), VersionedTable(spark, f"{root}/queue")
+    log.write_next(c["task_log"])
+    calls = []
+
+    def vendor(payloads: DataFrame) -> DataFrame:
+        calls.append(1)
+        if len(calls) == CRASH_WAVE + 1:
+            raise ConnectionError("the run ends here")
+        return payloads.join(c["responses"], "taskid").select("taskid", "response")
+
+    for _ in range(2):
+        try:
+            jobs.run_manager(c, log, queue, CARE_AS_OF, vendor, waves=WAVES)
+        except ConnectionError:
+            continue
+    return log.read()
+
+
 def q_mark_completed(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _care(spark, sf_dir)
     return tasklog.mark_completed(c["task_log"], c["vendor_entries"])
@@ -229,6 +257,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "payload": q_payload,
     "apply_responses": q_apply_responses,
     "dequeue": q_dequeue,
+    "manager_replay": q_manager_replay,
     "mark_completed": q_mark_completed,
     "fail_digest": q_fail_digest,
     "fail_digest_rows": q_fail_digest_rows,

@@ -26,6 +26,7 @@ from ..session import cut_lineage, has_checkpoint_dir
 from ..sources.tables import Tables
 from ..sources.versioned import VersionedTable
 from . import compliance, reports, tasklog, triggers
+from .outbox import Outbox
 
 
 def _empty_log(spark) -> DataFrame:
@@ -46,26 +47,35 @@ def run_rules(t: Tables, log: VersionedTable, snapshot: VersionedTable, as_of: d
 
 
 def run_manager(t: Tables, log: VersionedTable, queue: VersionedTable, as_of: datetime,
-                send: Callable[[DataFrame], DataFrame], entries: DataFrame | None = None) -> dict:
+                send: Callable[[DataFrame], DataFrame], entries: DataFrame | None = None,
+                wave_rows: int = 100_000, waves: int | None = None, unanswered: str = "hold") -> dict:
     """Task manager (B7-B13, J23, J24): enqueue, build payloads, hand them to
     ``send`` (returns ``taskid, response``), merge the answers into the log and
-    queue, then mark tasks the vendor reports completed."""
+    queue, then mark tasks the vendor reports completed.
+
+    What is sent goes through an ``Outbox`` beside the log. A run that a crash cut short is finished first: its intents
+    decide what it sends, and nothing whose sending began is sent again (see ``outbox`` for ``unanswered``). A task with a
+    ``processed_date`` was answered and is never queued again, so a crash between the two last writes is harmless too.
+    ``waves`` fixes the number of waves, else they have some ``wave_rows`` tasks each.
+    """
     spark = log.spark
+    box = Outbox(spark, f"{log.root}-outbox")
     cur_log = log.read()
     cur_queue = queue.read() if queue.current_version() is not None else spark.createDataFrame(
         [], cur_log.select(*QUEUE_COLUMNS).schema)
-    # The log says which tasks were answered: after a crash between the two writes below, none is sent again.
     answered = cur_log.where(F.col("processed_date").isNotNull()).select(F.col("taskid").alias("_a_id"))
-    cur_queue = cur_queue.join(answered, F.col("taskid") == F.col("_a_id"), "left_anti")
-    q1 = tasklog.enqueue(cur_log, cur_queue)
-    # The vendor is called by this one write; log and queue are derived from what was written.
-    kept = VersionedTable(spark, f"{log.root}-responses")
-    kept.write_next(send(tasklog.build_payload(q1, t["assignee_types"])).select("taskid", "response"))
-    responses = kept.read()
+    q1 = tasklog.enqueue(cur_log, cur_queue.join(answered, F.col("taskid") == F.col("_a_id"), "left_anti"))
+    run = box.open_run()
+    if run is None:
+        payloads = tasklog.build_payload(q1, t["assignee_types"])
+        run = box.begin(payloads, waves or max(1, -(-payloads.count() // wave_rows)))
+    responses = box.send(run, send, unanswered)
     next_log, next_queue = tasklog.apply_responses(cur_log, q1, responses, as_of)
     if entries is not None:
         next_log = tasklog.mark_completed(next_log, entries)
-    return {"log_version": log.write_next(next_log), "queue_version": queue.write_next(next_queue)}
+    versions = {"log_version": log.write_next(next_log), "queue_version": queue.write_next(next_queue)}
+    box.applied(run)
+    return versions
 
 
 def run_fail_summary(log: VersionedTable, as_of: datetime, export_path: str | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ broadcast choices and skewed join partitions are re-planned at runtime.
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,6 +82,19 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return fallback
 
 
+def state_root(spark: SparkSession) -> str:
+    """Folder for state that a job keeps between its steps: below the session's ``spark.checkpoint.dir``.
+
+    A local session without the setting gets a temporary folder; a cluster session must name a shared one.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return f"{configured.rstrip('/')}/opsflow-state"
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
+    return tempfile.mkdtemp(prefix="opsflow-state-")
+
+
 def has_checkpoint_dir(spark: SparkSession) -> bool:
     return bool(spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None))
 
