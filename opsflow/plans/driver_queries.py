@@ -12,14 +12,18 @@ import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..schemas import QUEUE_COLUMNS
 from ..session import state_root
+from ..sources.delimited import REQUIRED_COLUMNS, discover, encoded
+from ..sources.records import records
 from ..sources.tables import Tables
 from ..sources.versioned import VersionedTable
+from ..streaming.ingest_stream import start_ingest_stream
 from . import compliance, ingest, jobs, reports, tasklog, triggers
 from .world import care_tables
 
@@ -179,6 +183,94 @@ def q_run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.run_totals(ingest.file_stats(_validated(c), _inserted(c)))
 
 
+CSV_TEXT = {"quoteAll": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _render(rows: DataFrame, columns: dict[str, Column] | list[tuple[str, Column]], path: str) -> None:
+    """Delimited text files, one per partition, each with a header line; names may repeat."""
+    named = list(columns.items()) if isinstance(columns, dict) else columns
+    header = ",".join('"' + name + '"' for name, _ in named)
+    line = F.to_csv(F.struct(*[v.alias(f"c{i}") for i, (_, v) in enumerate(named)]), CSV_TEXT)
+
+    def with_header(batches):
+        yield pa.record_batch([[header]], ["value"])
+        yield from batches
+
+    rows.select(line.alias("value")).mapInArrow(with_header, "value string").write.text(path)
+
+
+def _in_load_order(raw: DataFrame) -> DataFrame:
+    """Rows dealt to partitions so that files, taken by name, hold them in load order."""
+    n = raw.sparkSession.sparkContext.defaultParallelism
+    return raw.repartitionByRange(n, *SALES_ORDER).sortWithinPartitions(*SALES_ORDER)
+
+
+def _fields() -> dict[str, Column]:
+    return {c: F.col(c) for c in REQUIRED_COLUMNS}
+
+
+def _drop_folder(spark: SparkSession) -> str:
+    return f"{state_root(spark)}/drop-{uuid.uuid4().hex}"
+
+
+def q_delimited_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales rows rendered as text whose quoted fields hold line ends, read back in ranges that cut through them (A2)."""
+    raw, root = _care(spark, sf_dir)["raw_sales"], _drop_folder(spark)
+    name = F.concat(F.lit('He said "'), "customer_name", F.lit('",\r\nthen\n'), "product")
+    _render(raw, _fields() | {"customer_name": name}, f"{root}/in")
+    files = discover(spark, f"{root}/in", "part-*")
+    # Ranges far smaller than usual, so that records cross borders at every scale.
+    rows = records(spark, files, f"{root}/records", range_bytes=64 << 10)
+    return rows.filter("NOT (block = 0 AND pos = 0)").select(*[F.get("fields", F.lit(i)).alias(c) for i, c in enumerate(REQUIRED_COLUMNS)])
+
+
+def q_mixed_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of three header layouts, one without a required column: their rows, and why the others fail (A3, A4)."""
+    raw, root = _care(spark, sf_dir)["raw_sales"], _drop_folder(spark)
+    year = F.substring("source_file", 6, 4).cast("int") % 3
+    plain = _fields()
+    extra = [(f" {c.upper()} ", v) for c, v in reversed(plain.items())] + [("note", F.col("ord1")), ("note", F.col("ord2"))]
+    twice = [("Region", F.lit("not this one"))] + list(plain.items())
+    short = [(c, v) for c, v in plain.items() if c not in ("region", "product")]
+    for k, columns in enumerate((extra, twice, short)):
+        _render(raw.filter(year == k), columns, f"{root}/in/{k}")
+    files = discover(spark, f"{root}/in", "*/part-*")
+    paths = spark.createDataFrame([(encoded(spark, p), i, "") for i, p in enumerate(files)], "source_path string, _file_rank int, source_file string")
+    rows = records(spark, files, f"{root}/records")
+    verdicts = ingest.file_verdicts(rows, paths)
+    failed = verdicts.filter("error IS NOT NULL").select("error").distinct()
+    return ingest.sales_rows(rows, verdicts).select(*REQUIRED_COLUMNS, F.lit(None).cast("string").alias("error")).unionByName(
+        failed, allowMissingColumns=True)
+
+
+BAD_YEAR = "sales1996.txt"
+
+
+def q_file_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two loads of the same files under one time stamp say of them; one year's files hold bytes that are not UTF-8."""
+    raw, root = _care(spark, sf_dir)["raw_sales"], _drop_folder(spark)
+    _render(_in_load_order(raw.filter(F.col("source_file") != BAD_YEAR)), _fields(), f"{root}/in/a")
+    latin = raw.filter(F.col("source_file") == BAD_YEAR).select(*(_fields() | {"product": F.lit("caf\u00e9")}).values())
+    latin.toDF(*REQUIRED_COLUMNS).write.options(**CSV_TEXT, header="true", encoding="ISO-8859-1").csv(f"{root}/in/b")
+    target = f"{root}/target"
+    for _ in range(2):
+        ingest.run_etl(spark, f"{root}/in", target, INGEST_AS_OF, pattern="*/part-*", do_archive=False)
+    seen = ingest.RunState(spark, f"{target}-runs").manifest()
+    return seen.groupBy("run", "error").agg(*[F.sum(c).alias(c) for c in ("parsed", "inserted", "skipped", "errors", "mismatches")])
+
+
+def q_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the drop-folder stream loads: those of the batch job (J3, folder stream)."""
+    c, root = _care(spark, sf_dir), _drop_folder(spark)
+    done = c["sales_target"].select("sale_id", *[F.lit(None).cast(t).alias(n) for n, t in ingest.SALES_TYPES if n != "sale_id"])
+    done.write.parquet(f"{root}/target")
+    _render(_in_load_order(c["raw_sales"]), _fields(), f"{root}/in")
+    q = start_ingest_stream(spark, f"{root}/in", f"{root}/target", f"{root}/checkpoint", pattern="part-*",
+                            max_files_per_trigger=2**31 - 1, clock=lambda: INGEST_AS_OF)
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/target").filter("processing_date IS NOT NULL").drop("source_file")
+
+
 def _check(c: Tables) -> DataFrame:
     """The check result feeding the action chain (not persisted: measured
     slower than letting each consumer re-run it, since Spark reuses the
@@ -267,6 +359,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "insert_ignore": q_insert_ignore,
     "file_stats": q_file_stats,
     "run_totals": q_run_totals,
+    "delimited_records": q_delimited_records,
+    "mixed_layouts": q_mixed_layouts,
+    "file_commit": q_file_commit,
+    "ingest_stream": q_ingest_stream,
     "cert_summary": q_cert_summary,
     "correct_due": q_correct_due,
     "expected_code": q_expected_code,

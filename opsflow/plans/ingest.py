@@ -4,8 +4,8 @@
 and a soft total check -- all column expressions, no UDF. ``load_sales``
 applies INSERT IGNORE semantics (first row per key wins, existing keys are
 skipped) and ``file_stats`` reports parsed/inserted/skipped/bad per file.
-``run_etl`` wires discovery, header checks, file-level failure, the write and
-the archive step.
+``run_etl`` wires discovery, reading in ranges, header checks by tasks, file-level
+failure, the commit by manifest and the archive step.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from ..functions import parse as P
 from ..functions import text as T
 from ..operators import core as O
 from ..sources import delimited as S
-
-
+from ..sources.files import Files, literal
+from ..sources.records import records
 
 TEXT_FIELDS = ["sale_id", "customer_name", "product", "region", "salesperson"]
 
@@ -78,8 +78,10 @@ def is_valid() -> Column:
             & F.col("sale_date").isNotNull())
 
 
-SALES_OUT = ["sale_id", "customer_name", "product", "quantity", "unit_price", "total_amount", "sale_date",
-             "region", "salesperson", "processing_date", "source_file"]
+SALES_TYPES = [("sale_id", "string"), ("customer_name", "string"), ("product", "string"), ("quantity", "bigint"), ("unit_price", "double"),
+               ("total_amount", "double"), ("sale_date", "date"), ("region", "string"), ("salesperson", "string"),
+               ("processing_date", "timestamp_ntz"), ("source_file", "string")]
+SALES_OUT = [n for n, _ in SALES_TYPES]
 
 
 def load_sales(validated: DataFrame, target_keys: DataFrame, order: list[str]) -> DataFrame:
@@ -111,16 +113,11 @@ def run_totals(stats: DataFrame) -> DataFrame:
                        for c in ["parsed", "inserted", "skipped", "errors", "mismatches"]])
 
 
-def failed_files(raw: DataFrame) -> DataFrame:
-    """Files with any corrupt (short/long) record fail as a whole (§3.1)."""
-    return raw.where(F.col(S.CORRUPT_COL).isNotNull() & (F.col("_guard") >= 0)).select("source_path").distinct()
-
-
 def _target(spark: SparkSession, target_path: str | None, target_table: str | None) -> DataFrame | None:
     """The target, or None before the first run; an existing target that cannot be read raises."""
     if target_table:
         return spark.table(target_table) if spark.catalog.tableExists(target_table) else None
-    return spark.read.parquet(target_path) if S.exists(spark, target_path) else None
+    return spark.read.parquet(literal(target_path)) if S.exists(spark, target_path) else None
 
 
 def _append(df: DataFrame, target_path: str | None, target_table: str | None, buckets: int) -> None:
@@ -132,67 +129,161 @@ def _append(df: DataFrame, target_path: str | None, target_table: str | None, bu
         df.write.mode("append").parquet(target_path)
 
 
+class RunState:
+    """What the runs of one target keep beside it, one folder per run.
+
+        run=R/records, run=R/validated   rows as read, rows as parsed
+        run=R/insert                     the rows that the run adds, files that fail left out
+        run=R/manifest, run=R/_manifest  one row per file (see ``MANIFEST_DDL``); the marker is the run's commit
+        run=R/_published                 the target holds the run's rows
+
+    Before the commit the target is untouched and the run counts for nothing. After it the run will be in the target:
+    a crash while publishing is made good by the next run, which adds what is missing by key. Once published, only the
+    manifest and the verdicts stay.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.files = Files(spark, self.root)
+
+    def runs(self) -> list[int]:
+        return sorted(int(n[4:]) for n, is_dir in self.files.listing(self.root) if is_dir and n.startswith("run=") and n[4:].isdigit())
+
+    def path(self, run: int, name: str) -> str:
+        return f"{self.root}/run={run}/{name}"
+
+    def has(self, run: int, marker: str) -> bool:
+        return self.files.exists(self.path(run, marker))
+
+    def write(self, df: DataFrame, run: int, name: str) -> DataFrame:
+        df.write.parquet(self.path(run, name))
+        return self.read(run, name, df.schema)
+
+    def read(self, run: int, name: str, schema=None) -> DataFrame:
+        reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
+        return reader.parquet(literal(self.path(run, name)))
+
+    def unpublished(self) -> list[int]:
+        return [r for r in self.runs() if self.has(r, "_manifest") and not self.has(r, "_published")]
+
+    def manifest(self) -> DataFrame:
+        """Every committed run's files."""
+        done = [r for r in self.runs() if self.has(r, "_manifest")]
+        if not done:
+            return self.spark.createDataFrame([], MANIFEST_DDL)
+        return self.spark.read.schema(MANIFEST_DDL).parquet(*[literal(self.path(r, "manifest")) for r in done])
+
+
+MANIFEST_DDL = ("run bigint, source_path string, source_file string, error string, parsed bigint, inserted bigint, skipped bigint, "
+                "errors bigint, mismatches bigint, digest string, as_of timestamp_ntz")
+STATS = ["source_file", "parsed", "inserted", "skipped", "errors", "mismatches"]
+
+
+def row_digest() -> Column:
+    """Order-free digest of the sales rows of a group: sums of two independent 32-bit halves of each row's hash."""
+    h = F.xxhash64(*SALES_OUT)
+    low, high = h.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(h, 32)
+    return F.concat_ws("-", F.count(F.lit(1)), F.sum(low), F.sum(high))
+
+
+def file_verdicts(rows: DataFrame, paths: DataFrame, required: list[str] = S.REQUIRED_COLUMNS) -> DataFrame:
+    """One row per file of ``paths`` (source_path, _file_rank, source_file) with its normalised header names and why it fails, or null.
+
+    ``rows`` are the records of ``sources.records``; a file's header is its first one, told by the tasks that read it.
+    """
+    header = rows.filter("block = 0 AND pos = 0").select(
+        F.col("path").alias("_h_path"), F.transform("fields", lambda x: F.lower(T.strip_ws(x))).alias("names"))
+    per = rows.groupBy(F.col("path").alias("_p_path")).agg(
+        F.bool_and("valid").alias("_valid"), (F.min(F.size("fields")) != F.max(F.size("fields"))).alias("_uneven"))
+    j = (paths.join(header, F.col("source_path") == F.col("_h_path"), "left")
+         .join(per, F.col("source_path") == F.col("_p_path"), "left"))
+    missing = F.array_sort(F.array_except(F.array(*[F.lit(c) for c in required]), "names"))
+    blank = F.col("names").isNull() | F.forall("names", lambda x: x == "")
+    error = (F.when(blank, "file is empty or has no header row")
+             .when(~F.col("_valid"), "bytes that are not UTF-8")
+             .when(F.size(missing) > 0, F.concat(F.lit("missing required columns ["), F.array_join(missing, ", "), F.lit("]")))
+             .when(F.col("_uneven"), "malformed row (wrong number of fields)"))
+    return j.select("source_path", "_file_rank", "source_file", "names", error.alias("error"))
+
+
+def sales_rows(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Data rows of the files that do not fail, the required columns picked by each file's own header.
+
+    Of a repeated name the last column counts.
+    """
+    good = verdicts.filter("error IS NULL").select("source_path", "_file_rank", "source_file", "names")
+    at = lambda c: F.size("names") - F.array_position(F.reverse("names"), c)
+    return (rows.filter("NOT (block = 0 AND pos = 0)").join(good, F.col("path") == F.col("source_path"))
+            .select(*[F.get("fields", at(c).cast("int")).alias(c) for c in S.REQUIRED_COLUMNS],
+                    "source_path", "source_file", "_file_rank", F.col("block").alias("_block"), F.col("pos").alias("_row_pos")))
+
+
+def manifest_rows(verdicts: DataFrame, validated: DataFrame, inserted: DataFrame, run: int, as_of: datetime) -> DataFrame:
+    """B2: what a run did with each file, counted on the rows that it adds, not on the target."""
+    per = validated.groupBy(F.col("source_path").alias("_v_path")).agg(
+        F.count_if(is_valid()).alias("parsed"), F.count_if(~is_valid()).alias("errors"), F.count_if("total_mismatch").alias("mismatches"))
+    ins = inserted.groupBy(F.col("source_path").alias("_i_path")).agg(F.count(F.lit(1)).alias("inserted"), row_digest().alias("digest"))
+    j = (verdicts.join(per, F.col("source_path") == F.col("_v_path"), "left")
+         .join(ins, F.col("source_path") == F.col("_i_path"), "left"))
+    n = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
+    return j.select(F.lit(run).cast("bigint").alias("run"), "source_path", "source_file", "error", n("parsed").alias("parsed"), n("inserted").alias("inserted"),
+                    (n("parsed") - n("inserted")).alias("skipped"), n("errors").alias("errors"), n("mismatches").alias("mismatches"),
+                    F.coalesce("digest", F.lit("0")).alias("digest"), D.ts_lit(as_of).alias("as_of"))
+
+
+def publish(spark: SparkSession, state: RunState, run: int, target_path: str | None, target_table: str | None, buckets: int,
+            again: bool = False) -> None:
+    """Add a committed run's rows to the target. ``again``: part of them may be there already, told by key."""
+    rows = state.read(run, "insert").select(*SALES_OUT)
+    existing = _target(spark, target_path, target_table) if again else None
+    if existing is not None:
+        rows = rows.join(existing.select(F.col("sale_id").alias("_t_id")), F.col("sale_id") == F.col("_t_id"), "left_anti")
+    _append(rows, target_path, target_table, buckets)
+    state.files.create(state.path(run, "_published"))
+    for stage in ("records", "validated", "insert"):
+        state.files.delete(state.path(run, stage))
+
+
 def run_etl(spark: SparkSession, source_dir: str, target_path: str | None, as_of: datetime,
             archive_dir: str | None = None, pattern: str = "sales*.txt", sep: str = ",",
             do_archive: bool = True, files: list[str] | None = None, multiline: bool = True,
-            target_table: str | None = None, buckets: int = 64) -> dict:
-    """Discover -> header check -> read -> validate -> insert-ignore -> write -> archive.
+            target_table: str | None = None, buckets: int = 64, state_path: str | None = None) -> dict:
+    """Discover -> read -> header check -> validate -> insert-ignore -> commit -> publish -> archive.
 
     The target is a parquet table at ``target_path`` (keys read from it), or
-    a catalog table ``target_table`` bucketed by ``sale_id`` into ``buckets``.
-    Files that fail (no header, missing columns, corrupt rows) load nothing.
-    Returns ``{"stats": DataFrame, "failed": [(file, reason)], "archived": [...]}``.
+    a catalog table ``target_table`` bucketed by ``sale_id`` into ``buckets``. ``state_path`` holds the runs'
+    state (``RunState``), by default beside the target. Files that fail (no header, missing columns, malformed
+    rows, bytes that are not UTF-8) load nothing; the others load whole. Quoted fields may hold line ends
+    whatever ``multiline`` says; the argument is kept for callers.
+    Returns ``{"stats": DataFrame, "failed": [(file, reason)], "archived": [...], "run": number, "files": all listed}``.
     """
+    state = RunState(spark, state_path or (f"{target_path.rstrip('/')}-runs" if target_path else
+                                           f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{target_table}-runs"))
+    for open_run in state.unpublished():
+        publish(spark, state, open_run, target_path, target_table, buckets, again=True)
     files = discover(spark, source_dir, pattern, archive_dir) if files is None else \
         sorted(S.qualify(spark, f) for f in files)
     if not files:
-        return {"stats": None, "failed": [], "archived": []}
-    # Header reads and renames are metadata calls, one per file: run them on a
-    # bounded pool so a drop folder with many files is not read serially.
-    with ThreadPoolExecutor(max_workers=min(32, len(files))) as pool:
-        checks = list(pool.map(lambda f: S.check_header(spark, f, sep), files))
-    failed = [(c.path, c.error) for c in checks if c.error]
-    raw = S.read_sales_files(spark, checks, sep, multiline)
-    # Files with a corrupt record fail whole. The scan reads every column (a
-    # pruned scan would not see short/long rows); the files are read again by
-    # the load below rather than caching the whole input.
-    bad = failed_files(raw)
+        return {"stats": None, "failed": [], "archived": [], "run": None, "files": []}
+    run = max(state.runs(), default=0) + 1
     by_uri = {S.encoded(spark, p): p for p in files}
-    bad_uris = [r.source_path for r in bad.collect()]  # one row per bad file (reporting)
-    bad_paths = [by_uri[u] for u in bad_uris]
-    failed += [(p, "malformed row (wrong number of fields)") for p in bad_paths]
-    ok_paths = [c.path for c in checks if c.error is None and c.path not in set(bad_paths)]
-    # File order for "first row wins": one row per file, size bounded by the listing.
-    rank = spark.createDataFrame([(u, i, p.rstrip("/").rsplit("/", 1)[-1]) for i, (u, p) in enumerate(by_uri.items())],
-                                 "_r_path string, _file_rank int, _r_name string")
-    bad_df = spark.createDataFrame([(u,) for u in bad_uris], "_b_path string")
-    unknown = F.raise_error(F.concat(F.lit("row of a file that is not in the listing: "), F.col("source_path"))).cast("int")
-    rows = (raw.join(bad_df, F.col("source_path") == F.col("_b_path"), "left_anti")
-               .join(rank, F.col("source_path") == F.col("_r_path"), "left")
-               .withColumn("_file_rank", F.when(F.col("_r_path").isNull(), unknown).otherwise(F.col("_file_rank")))
-               .withColumn("source_file", F.col("_r_name"))
-               .drop("_r_path", "_r_name", S.CORRUPT_COL, "_guard"))
-    validated = validate_sales(rows, as_of)
+    # One row per listed file; its rank is the load order for "first row wins".
+    paths = spark.createDataFrame([(u, i, p.rstrip("/").rsplit("/", 1)[-1]) for i, (u, p) in enumerate(by_uri.items())],
+                                  "source_path string, _file_rank int, source_file string")
+    rows = records(spark, files, state.path(run, "records"), sep)
+    verdicts = state.write(file_verdicts(rows, paths), run, "verdicts")
+    # Rows are parsed once; everything below reads what was parsed.
+    validated = state.write(validate_sales(sales_rows(rows, verdicts), as_of), run, "validated")
     existing = _target(spark, target_path, target_table)
     target_keys = existing.select("sale_id") if existing is not None else spark.createDataFrame([], "sale_id string")
-    order = ["_file_rank", "_block", "_row_pos"]
-    inserted = load_sales(validated, target_keys, order)
-    # Commit first; then count what this run actually added (rows stamped with
-    # this run's processing_date) -- a lazy count taken before the append would
-    # re-read the target after it and see every key as existing.
-    _append(inserted.select(*SALES_OUT), target_path, target_table, buckets)
-    committed = _target(spark, target_path, target_table).where(F.col("processing_date") == D.ts_lit(as_of))
-    stats_df = file_stats(validated, committed)
-    # One row per file: materialise before the files are moved away. A loaded
-    # file with no data rows (header only) still reports zeros, as the source
-    # logs parsed=0 for it.
-    rows = [r.asDict() for r in stats_df.collect()]
-    seen = {r["source_file"] for r in rows}
-    for p in ok_paths:
-        name = p.rstrip("/").rsplit("/", 1)[-1]
-        if name not in seen:
-            rows.append(dict(source_file=name, parsed=0, inserted=0, skipped=0, errors=0, mismatches=0))
-    stats = spark.createDataFrame(rows, stats_df.schema)
+    inserted = state.write(load_sales(validated, target_keys, ["_file_rank", "_block", "_row_pos"]), run, "insert")
+    manifest = state.write(manifest_rows(verdicts, validated, inserted, run, as_of), run, "manifest")
+    state.files.create(state.path(run, "_manifest"))
+    publish(spark, state, run, target_path, target_table, buckets)
+    # One row per listed file.
+    told = {r.source_path: r.error for r in manifest.select("source_path", "error").collect()}
+    failed = [(by_uri[u], told[u]) for u in by_uri if told[u]]
+    ok_paths = [p for u, p in by_uri.items() if not told[u]]
     archived = []
     if do_archive and archive_dir:
         stamp = as_of.strftime("%Y%m%d_%H%M%S")
@@ -208,7 +299,7 @@ def run_etl(spark: SparkSession, source_dir: str, target_path: str | None, as_of
                 moved = list(pool.map(move, ok_paths))
             archived = [m for m, _ in moved if m]
             failed += [f for _, f in moved if f]
-    return {"stats": stats, "failed": failed, "archived": archived}
+    return {"stats": manifest.filter("error IS NULL").select(*STATS), "failed": failed, "archived": archived, "run": run, "files": files}
 
 
 def discover(spark: SparkSession, source_dir: str, pattern: str, archive_dir: str | None) -> list[str]:

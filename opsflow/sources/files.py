@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -29,3 +30,12 @@ class Files:
     def create(self, path: str) -> None:
         """An empty marker file; raises if it is there already, so of two writers one wins."""
         self._fs.create(self._Path(path), False).close()
+
+    def delete(self, path: str) -> None:
+        """Remove a folder of this job's own making, with what is in it."""
+        self._fs.delete(self._Path(path), True)
+
+    def sizes(self, paths: list[str]) -> list[int]:
+        """Bytes of each file; asked for in parallel, as a drop folder may hold many."""
+        with ThreadPoolExecutor(max_workers=min(32, len(paths))) as pool:
+            return list(pool.map(lambda p: int(self._fs.getFileStatus(self._Path(p)).getLen()), paths))
