@@ -166,11 +166,30 @@ def with_user_code(df: DataFrame, employees: DataFrame, users: DataFrame, emp_co
 def dec72_text(x: Column) -> Column:
     """``CAST(x AS dec(7,2))`` rendered as text, sign-aware.
 
-    Rounds half away from zero on the double value via integer cents so
-    the text never depends on float formatting.
+    Rounds half away from zero in decimal arithmetic, so 1.005 is 1.01. A double counts as its shortest decimal form.
     """
-    cents = F.round(x.cast("double") * 100).cast("bigint")
-    a = F.abs(cents)
-    return F.concat(F.when(cents < 0, F.lit("-")).otherwise(F.lit("")),
-                    (a / 100).cast("bigint").cast("string"), F.lit("."),
-                    F.lpad((a % 100).cast("string"), 2, "0"))
+    return F.round(x.cast("decimal(38,10)"), 2).cast("decimal(38,2)").cast("string")
+
+
+def _units(x: Column) -> Column:
+    """A number of up to six decimals as a whole number of millionths."""
+    return (x.cast("decimal(30,6)") * F.lit(1_000_000)).cast("decimal(38,0)")
+
+
+def ratio_exceeds(part: Column, whole: Column, percent: int) -> Column:
+    """``part / whole > percent / 100`` without a division (E2); null where ``whole`` is 0 or null."""
+    p, w = _units(part) * F.lit(100), _units(whole) * F.lit(percent)
+    return F.when(whole > 0, p > w).when(whole < 0, p < w)
+
+
+def percent_over_text(part: Column, whole: Column) -> Column:
+    """``part / whole * 100 - 100`` as dec(7,2) text, rounded once, half away from zero."""
+    over, base = _units(part) - _units(whole), F.abs(_units(whole))
+    hundredths = let_div(F.abs(over) * F.lit(20_000) + base, base * F.lit(2))
+    signed = F.when((over < 0) != (whole < 0), -hundredths).otherwise(hundredths)
+    return F.when(whole != 0, (signed.cast("decimal(20,0)") / F.lit(100)).cast("decimal(20,2)").cast("string"))
+
+
+def let_div(a: Column, b: Column) -> Column:
+    """Whole-number division of non-negative numbers, null where ``b`` is 0."""
+    return F.call_function("div", a, F.nullif(b, F.lit(0).cast("decimal(38,0)")))

@@ -17,8 +17,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
+from ..functions import text as T
+from ..operators.pages import paged_text
 from ..schemas import QUEUE_COLUMNS
 from ..session import state_root
+from ..sources.bucketed import changed_buckets
 from ..sources.delimited import REQUIRED_COLUMNS, discover, encoded
 from ..sources.records import records
 from ..sources.tables import Tables
@@ -138,6 +141,44 @@ def q_fail_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.fail_digest(_after_responses(_care(spark, sf_dir))[0], CARE_AS_OF)
 
 
+PAGE_BYTES = 2000
+
+
+def q_fail_digest_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The failure digest in pages: every failed task's note in task order, as table rows."""
+    log = _after_responses(_care(spark, sf_dir))[0].filter("upper(rtrim(status)) = 'FAILED'")
+    rows = log.select("taskid", F.concat(F.lit("<tr><td>"), F.col("taskid").cast("string"), F.lit("</td><td>"),
+                                         T.html_escape(F.coalesce("status_note", F.lit(""))), F.lit("</td></tr>")).alias("line"))
+    return paged_text(rows, [], ["taskid"], "line", "", PAGE_BYTES)
+
+
+def q_fail_reason_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.fail_digest_pages(_after_responses(_care(spark, sf_dir))[0], 300)
+
+
+def q_over_util_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return triggers.util_pages(_care(spark, sf_dir), DAY15_AS_OF, True, PAGE_BYTES)
+
+
+def q_log_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bucketed task log after two merges: the vendor's answers, then its completions."""
+    c = _care(spark, sf_dir)
+    log = jobs.task_log(spark, f"{state_root(spark)}/log-{uuid.uuid4().hex}", bucket_rows=2000)
+    log.replace(c["task_log"])
+    jobs._merge_answers(log, _queue(c), c["responses"], c["vendor_entries"], CARE_AS_OF)
+    return log.read()
+
+
+def q_snapshot_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """County changes told from the buckets whose digests differ."""
+    c = _care(spark, sf_dir)
+    snapshot = jobs.county_snapshot(spark, f"{state_root(spark)}/county-{uuid.uuid4().hex}", buckets=64)
+    before = snapshot.replace(c["prev_county"])
+    after = snapshot.replace(triggers.next_county_snapshot(c), accept=False)
+    old = snapshot.read(before, changed_buckets(snapshot, before, after))
+    return triggers.denver_status_change(c, old, CARE_AS_OF)
+
+
 def q_fail_digest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.fail_digest_rows(_after_responses(_care(spark, sf_dir))[0])
 
@@ -353,7 +394,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mark_completed": q_mark_completed,
     "fail_digest": q_fail_digest,
     "fail_digest_rows": q_fail_digest_rows,
+    "fail_digest_pages": q_fail_digest_pages,
+    "fail_reason_pages": q_fail_reason_pages,
     "fail_export": q_fail_export,
+    "over_util_pages": q_over_util_pages,
+    "log_merge": q_log_merge,
+    "snapshot_tree": q_snapshot_tree,
     "validate_rows": q_validate_rows,
     "soft_total_check": q_soft_total_check,
     "insert_ignore": q_insert_ignore,

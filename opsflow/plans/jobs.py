@@ -21,8 +21,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import LOG_FIELDS, QUEUE_COLUMNS
-from ..session import cut_lineage, has_checkpoint_dir
+from ..schemas import LOG_DDL, LOG_FIELDS, QUEUE_COLUMNS
+from ..session import cut_lineage, has_checkpoint_dir, staged
+from ..sources.bucketed import BucketedTable, changed_buckets, hash_buckets, number_ranges
 from ..sources.tables import Tables
 from ..sources.versioned import VersionedTable
 from . import compliance, reports, tasklog, triggers
@@ -33,20 +34,62 @@ def _empty_log(spark) -> DataFrame:
     return spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in LOG_FIELDS))
 
 
-def run_rules(t: Tables, log: VersionedTable, snapshot: VersionedTable, as_of: datetime, **params) -> dict:
+def run_rules(t: Tables, log: VersionedTable | BucketedTable, snapshot: VersionedTable | BucketedTable, as_of: datetime, **params) -> dict:
     """Daily rules: new tasks appended as the next log version; the county
-    snapshot is replaced by a new version (B5, B6, B14)."""
+    snapshot is replaced by a new version (B5, B6, B14).
+
+    With a bucketed snapshot (``county_snapshot``) the new one is written first and only those buckets of the old one are
+    read whose digest differs: patients of equal buckets have not moved. It becomes current after the tasks are
+    in the log, so a crash repeats the comparison instead of losing it.
+    """
     spark = log.spark
-    cur_log = log.read() if log.current_version() is not None else _empty_log(spark)
-    cur_snap = snapshot.read() if snapshot.current_version() is not None else spark.createDataFrame(
-        [], "patient_number string, residency_codes string, residency_desc string, county string")
+    cur_log = log.read() if _has_version(log) else _empty_log(spark)
+    if isinstance(snapshot, BucketedTable):
+        before = snapshot.version()
+        after = snapshot.replace(triggers.next_county_snapshot(t), accept=False)
+        cur_snap = snapshot.read(before, changed_buckets(snapshot, before, after))
+    else:
+        cur_snap = snapshot.read() if snapshot.current_version() is not None else spark.createDataFrame([], COUNTY_DDL)
     new = triggers.run_all(t, cur_log, cur_snap, as_of, **params)
-    v_log = log.write_next(tasklog.append_tasks(cur_log, new))
+    if isinstance(log, BucketedTable):
+        v_log = log.upsert(staged(tasklog.to_log_rows(tasklog.assign_taskids(new, cur_log)), "new-tasks"))
+    else:
+        v_log = log.write_next(tasklog.append_tasks(cur_log, new))
+    if isinstance(snapshot, BucketedTable):
+        snapshot.accept(after)
+        return {"log_version": v_log, "snapshot_version": after}
     v_snap = snapshot.write_next(triggers.next_county_snapshot(t))
     return {"log_version": v_log, "snapshot_version": v_snap}
 
 
-def run_manager(t: Tables, log: VersionedTable, queue: VersionedTable, as_of: datetime,
+def _has_version(table: VersionedTable | BucketedTable) -> bool:
+    return bool(table.version()) if isinstance(table, BucketedTable) else table.current_version() is not None
+
+
+COUNTY_DDL = "patient_number string, residency_codes string, residency_desc string, county string"
+
+
+def county_snapshot(spark, root: str, buckets: int = 1024) -> BucketedTable:
+    """The county snapshot in hash buckets of patients, each with a digest."""
+    return BucketedTable(spark, root, "patient_number", hash_buckets("patient_number", buckets), COUNTY_DDL)
+
+
+def task_log(spark, root: str, bucket_rows: int = 1_000_000) -> BucketedTable:
+    """The task log in ranges of task ids; a merge rewrites only the ranges of its tasks."""
+    return BucketedTable(spark, root, "taskid", number_ranges("taskid", bucket_rows), LOG_DDL)
+
+
+def _merge_answers(log: BucketedTable, queue: DataFrame, responses: DataFrame, entries: DataFrame | None, as_of: datetime) -> int:
+    """B8-B13 on a bucketed log: the changed rows only, read from and written to their own buckets."""
+    updates = staged(tasklog.response_updates(queue, responses), "answers")
+    own = log.read(buckets=updates.select(F.col("_u_id").alias(log.key)).select(log.bucket.alias("bucket")))
+    version = log.upsert(staged(tasklog.answered_rows(own, updates, as_of, "inner"), "answered"))
+    if entries is not None:
+        version = log.upsert(staged(tasklog.mark_completed(log.read(), entries, "inner"), "completed"))
+    return version
+
+
+def run_manager(t: Tables, log: VersionedTable | BucketedTable, queue: VersionedTable, as_of: datetime,
                 send: Callable[[DataFrame], DataFrame], entries: DataFrame | None = None,
                 wave_rows: int = 100_000, waves: int | None = None, unanswered: str = "hold") -> dict:
     """Task manager (B7-B13, J23, J24): enqueue, build payloads, hand them to
@@ -71,9 +114,11 @@ def run_manager(t: Tables, log: VersionedTable, queue: VersionedTable, as_of: da
         run = box.begin(payloads, waves or max(1, -(-payloads.count() // wave_rows)))
     responses = box.send(run, send, unanswered)
     next_log, next_queue = tasklog.apply_responses(cur_log, q1, responses, as_of)
-    if entries is not None:
-        next_log = tasklog.mark_completed(next_log, entries)
-    versions = {"log_version": log.write_next(next_log), "queue_version": queue.write_next(next_queue)}
+    if isinstance(log, BucketedTable):
+        v_log = _merge_answers(log, q1, responses, entries, as_of)
+    else:
+        v_log = log.write_next(next_log if entries is None else tasklog.mark_completed(next_log, entries))
+    versions = {"log_version": v_log, "queue_version": queue.write_next(next_queue)}
     box.applied(run)
     return versions
 

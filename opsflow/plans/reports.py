@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import text as T
+from ..operators.pages import paged_text
 from ..sources import constants as K
 
 
@@ -47,6 +48,14 @@ def fail_digest_rows(log: DataFrame) -> DataFrame:
         .orderBy(F.col("status_note").asc_nulls_first())
 
 
+def fail_digest_pages(log: DataFrame, page_bytes: int = 1 << 20) -> DataFrame:
+    """B15 in bounded pages: page, n_lines and text, the ``<tr>`` fragments of ``fail_digest_rows`` in note order.
+
+    One page is one mail body; joined in page order they are ``fail_digest``'s.
+    """
+    return paged_text(fail_digest_rows(log), [], ["status_note"], "row_html", "", page_bytes)
+
+
 def fail_export(log: DataFrame) -> DataFrame:
     """Every failed log row, ordered by ``taskid``."""
     return log.where(T.ci_eq("status", K.STATUS_FAILED)).orderBy("taskid")

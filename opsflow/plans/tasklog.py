@@ -3,9 +3,9 @@
 The source mutates a log and a queue row by row from a cursor. Here every
 step takes the current version(s) and returns the next one: a merge is a
 keyed left join plus ``coalesce``/``when``, a delete is a left-anti join.
-The caller persists each version (``sources.versioned.VersionedTable``:
-write ``v=N+1``, then swap a pointer), so a failed job never leaves a
-half-updated log behind.
+The caller persists each version (``sources.versioned.VersionedTable``, or
+``sources.bucketed.BucketedTable``, which rewrites only the buckets that a merge
+touches), so a failed job never leaves a half-updated log behind.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import text as T
 from ..schemas import LOG_COLUMNS, LOG_FIELDS, NEW_TASK_COLUMNS, QUEUE_COLUMNS
+from ..session import staged
 from ..sources import constants as K
 
 _POS_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
@@ -27,32 +28,28 @@ _POS_BITS = 33  # monotonically_increasing_id keeps the row position in the low
 def assign_taskids(new_tasks: DataFrame, log: DataFrame, order: list[Column] | None = None) -> DataFrame:
     """``taskid = max(log.taskid) + dense position`` under a total order.
 
-    Two-level offsets instead of one global window: rows are range-sorted,
-    each partition counts its rows (one tiny row per partition), a running
-    sum over those counts gives each partition's offset, and the offset table
-    -- bounded by the number of partitions, not by the data -- is broadcast
-    back. No step funnels rows through a single task.
+    Two-level offsets instead of one global window: rows are range-sorted and
+    *written* with the number of their partition and their position in it; the
+    written partitions are counted, and a running sum over those counts (one row per
+    partition) gives each one's offset. Both the counts and the ids come from the same written
+    rows, so ids are dense and unique whatever the planner reuses, whatever AQE does
+    and whatever is run again. No step funnels rows through a single task.
     """
     order = order or [F.col(c).asc_nulls_first() for c in NEW_TASK_COLUMNS]
-    # An explicit partition count pins the physical layout: AQE never
-    # coalesces a user-sized repartition, and range bounds come from a
-    # seeded sample, so the id branch, the count branch and any retried task
-    # all see the same partitions (ids stay dense and unique under executor
-    # loss).
     n = int(new_tasks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     s = new_tasks.repartitionByRange(n, *order).sortWithinPartitions(*order) \
         .withColumn("_mid", F.monotonically_increasing_id())
-    s = s.withColumn("_pid", F.shiftright("_mid", _POS_BITS)) \
-         .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1))
+    s = staged(s.withColumn("_pid", F.shiftright("_mid", _POS_BITS))
+                .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1)).drop("_mid"), "task-ids")
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # Running sum over the counts table: at most one row per partition, so
     # its single-partition window is bounded by the partition count.
-    offs = counts.withColumn("_off", F.coalesce(
-        F.sum("_n").over(W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    offs = counts.select("_pid", F.coalesce(
+        F.sum("_n").over(W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     base = log.agg(F.coalesce(F.max("taskid"), F.lit(0)).cast("bigint")).scalar()  # scalar subquery
-    out = s.join(F.broadcast(offs.select("_pid", "_off")), "_pid")
+    out = s.join(F.broadcast(offs), "_pid")
     return out.withColumn("taskid", (base + F.col("_off") + F.col("_pos") + 1).cast("bigint")) \
-              .drop("_mid", "_pid", "_pos", "_off")
+              .drop("_pid", "_pos", "_off")
 
 
 def to_log_rows(df: DataFrame) -> DataFrame:
@@ -121,6 +118,28 @@ def classify_responses(responses: DataFrame) -> DataFrame:
         F.when(~ok, F.get_json_object(r, "$.detailedMessage")).alias("_message"))
 
 
+def response_updates(queue: DataFrame, responses: DataFrame) -> DataFrame:
+    """What the answers to Pending queue rows say: _u_id, _ok, _number, _message; one row per answered task."""
+    batch = queue.where(T.ci_eq("status", K.STATUS_PENDING)).select(F.col("taskid").alias("_b_id"))
+    # Of repeated answers to a task the least text counts, so a log row is never multiplied.
+    answers = responses.groupBy("taskid").agg(F.min("response").alias("response"))
+    upd = classify_responses(answers)
+    return upd.join(batch, upd.taskid == batch._b_id, "left_semi").withColumnRenamed("taskid", "_u_id")
+
+
+def answered_rows(log: DataFrame, updates: DataFrame, as_of: datetime, how: str = "left") -> DataFrame:
+    """Log rows with their answers merged in; ``how="inner"`` gives the changed rows only."""
+    j = log.join(updates, log.taskid == updates._u_id, how)
+    hit = F.col("_u_id").isNotNull()
+    new = {
+        "status": F.when(hit, F.when(F.col("_ok"), F.lit(K.STATUS_SENT)).otherwise(F.lit(K.STATUS_FAILED))).otherwise(F.col("status")),
+        "ehr_task_number": F.when(hit & F.col("_ok"), F.col("_number")).otherwise(F.col("ehr_task_number")),
+        "status_note": F.when(hit, F.col("_message")).otherwise(F.col("status_note")),
+        "processed_date": F.when(hit, D.ts_lit(as_of)).otherwise(F.col("processed_date")),
+    }
+    return j.select(*[new.get(n, F.col(n)).alias(n) for n in LOG_COLUMNS])
+
+
 def apply_responses(log: DataFrame, queue: DataFrame, responses: DataFrame,
                     as_of: datetime) -> tuple[DataFrame, DataFrame]:
     """J24 (B8-B12) as one keyed merge instead of a cursor.
@@ -131,47 +150,21 @@ def apply_responses(log: DataFrame, queue: DataFrame, responses: DataFrame,
     never a previous task's), ``processed_date`` is stamped and the row
     leaves the queue. Returns ``(next_log, next_queue)``.
     """
-    batch = queue.where(T.ci_eq("status", K.STATUS_PENDING)).select(F.col("taskid").alias("_b_id"))
-    # Of repeated answers to a task the least text counts, so a log row is never multiplied.
-    answers = responses.groupBy("taskid").agg(F.min("response").alias("response"))
-    upd = classify_responses(answers)
-    upd = upd.join(batch, upd.taskid == batch._b_id, "left_semi").withColumnRenamed("taskid", "_u_id")
-    j = log.join(upd, log.taskid == upd._u_id, "left")
-    hit = F.col("_u_id").isNotNull()
-    cols = []
-    for n in LOG_COLUMNS:
-        if n == "status":
-            c = F.when(hit, F.when(F.col("_ok"), F.lit(K.STATUS_SENT)).otherwise(F.lit(K.STATUS_FAILED))) \
-                 .otherwise(F.col("status"))
-        elif n == "ehr_task_number":
-            c = F.when(hit & F.col("_ok"), F.col("_number")).otherwise(F.col("ehr_task_number"))
-        elif n == "status_note":
-            c = F.when(hit, F.col("_message")).otherwise(F.col("status_note"))
-        elif n == "processed_date":
-            c = F.when(hit, D.ts_lit(as_of)).otherwise(F.col("processed_date"))
-        else:
-            c = F.col(n)
-        cols.append(c.alias(n))
-    next_log = j.select(*cols)
-    done = upd.select("_u_id")
-    next_queue = queue.join(done, queue.taskid == done._u_id, "left_anti")
-    return next_log, next_queue
-
-
-def mark_completed(log: DataFrame, entries: DataFrame) -> DataFrame:
-    """Log rows whose vendor task is completed become ``Completed``."""
+    upd = response_updates(queue, responses)
+    next_queue = queue.join(upd.select("_u_id"), F.col("taskid") == F.col("_u_id"), "left_anti")
+    return answered_rows(log, upd, as_of), next_queue
+
+
+def mark_completed(log: DataFrame, entries: DataFrame, how: str = "left") -> DataFrame:
+    """Log rows whose vendor task is completed become ``Completed``; ``how="inner"`` gives those rows only."""
     done = entries.where(F.col("cb_completed") == 1).select(F.col("wf_task_number").alias("_done")).distinct()
-    j = log.join(done, log.ehr_task_number == done._done, "left")
+    j = log.join(done, log.ehr_task_number == done._done, how)
     return j.select(*[(F.when(F.col("_done").isNotNull(), F.lit(K.STATUS_COMPLETED)).otherwise(F.col(n))
                        if n == "status" else F.col(n)).alias(n) for n in LOG_COLUMNS])
 
 
 def write_version(df: DataFrame, root: str, version: int, mode: str = "errorifexists") -> str:
-    """Persist a log/queue/snapshot version as parquet under ``root/v=N``.
-
-    Readers pin a version; the next job writes ``N+1`` and then moves the
-    pointer, so the path being read is never overwritten (B14).
-    """
+    """Persist a log/queue/snapshot version as parquet under ``root/v=N``, without a commit of its own."""
     path = f"{root}/v={version}"
     df.write.mode(mode).parquet(path)
     return path

@@ -18,6 +18,7 @@ from ..functions import dates as D
 from ..functions import parse as P
 from ..functions import text as T
 from ..operators import core as O
+from ..operators.pages import paged_text
 from ..schemas import empty_tasks, task_rows
 from ..sources import constants as K
 from ..sources.tables import Tables
@@ -146,9 +147,9 @@ def _util(c: Tables, as_of: datetime, by_month: bool) -> DataFrame:
         & F.col("themonth").between(D.year_month(D.add_days(now, -90)), D.year_month(D.add_days(now, -30))))
     keys = ["system", "system_id", "client_id", "service", "programgroup"] + (["themonth"] if by_month else []) \
         + ["measure_type"]
-    return fu.groupBy(*keys).agg(F.sum("numerator").alias("billed_hrs"), F.sum("denominator").alias("auth_hrs")) \
-        .withColumn("utilization", F.try_divide(F.col("billed_hrs").cast("double"),
-                                                F.col("auth_hrs").cast("double")))
+    # Whole decimals: a ratio that is exactly a threshold must not pass it by a rounding error.
+    total = lambda c: F.sum(F.col(c).cast("decimal(24,6)"))
+    return fu.groupBy(*keys).agg(total("numerator").alias("billed_hrs"), total("denominator").alias("auth_hrs"))
 
 
 def _util_admissions(c: Tables) -> DataFrame:
@@ -159,8 +160,8 @@ def _util_admissions(c: Tables) -> DataFrame:
                     T.last_first("first_name", "last_name").alias("coordinator"))
 
 
-def util_notes(c: Tables, as_of: datetime, over: bool) -> DataFrame:
-    """Per-coordinator utilisation notes (the two-level string_agg, E9)."""
+def util_client_lines(c: Tables, as_of: datetime, over: bool) -> DataFrame:
+    """One line per client with its programs (the inner string_agg, E9): nurse_id, _agg."""
     util = _util(c, as_of, by_month=over)
     adm = _util_admissions(c).where(~T.ci_in("facility_code", K.SKILLED_FACILITIES))
     pat = c["patients"].select(F.col("patient_number").alias("_p_pat"), F.trim("last_name").alias("client_last_name"))
@@ -168,25 +169,36 @@ def util_notes(c: Tables, as_of: datetime, over: bool) -> DataFrame:
              .join(pat, util.system_id == pat._p_pat, "left"))
     if over:
         latest = util.agg(F.max("themonth")).scalar()  # uncorrelated scalar subquery (C14)
-        j = j.where((F.col("themonth") == latest) & (F.col("utilization") > 1.05))
-        word, prefix = ", overutilized by ", OVER_UTIL_PREFIX
+        j = j.where((F.col("themonth") == latest) & O.ratio_exceeds(F.col("billed_hrs"), F.col("auth_hrs"), 105))
+        word = ", overutilized by "
     else:
-        j = j.where(F.col("utilization") < 0.5)
-        word, prefix = ", underutilized by ", UNDER_UTIL_PREFIX
+        j = j.where(O.ratio_exceeds(-F.col("billed_hrs"), F.col("auth_hrs"), -50))
+        word = ", underutilized by "
     j = j.where(~T.ci_like("programgroup", "%CNA%") & ~T.ci_like("programgroup", "%NURSING%")
                 & ~T.ci_like("programgroup", "%PDN%"))
     line = T.concat_nn(F.col("programgroup"), ": ", "billed hours: ", O.dec72_text(F.col("billed_hrs")),
                        ", auth hours: ", O.dec72_text(F.col("auth_hrs")), word,
-                       O.dec72_text(F.col("utilization") * 100.0 - 100.0), "%")
+                       O.percent_over_text(F.col("billed_hrs"), F.col("auth_hrs")), "%")
     per_client = (j.withColumn("_line", line)
                    .groupBy("patient_number", "client_last_name", "admission_number", "nurse_id", "coordinator")
                    .agg(O.ordered_listagg("_line", "; ").alias("_lines")))
     per_client = per_client.withColumn("_agg", T.concat_nn("patient number ", F.trim("patient_number"), " ",
                                                            F.col("client_last_name"), ", ", F.col("_lines")))
-    return per_client.groupBy("nurse_id").agg(
+    return per_client.select("nurse_id", "_agg")
+
+
+def util_notes(c: Tables, as_of: datetime, over: bool) -> DataFrame:
+    """Per-coordinator utilisation notes (the two-level string_agg, E9): one text each, as the source sends them."""
+    prefix = OVER_UTIL_PREFIX if over else UNDER_UTIL_PREFIX
+    return util_client_lines(c, as_of, over).groupBy("nurse_id").agg(
         T.concat_nn(prefix, O.ordered_listagg("_agg", " --- ")).alias("notes"))
 
 
+def util_pages(c: Tables, as_of: datetime, over: bool, page_bytes: int = 1 << 20) -> DataFrame:
+    """The notes of ``util_notes`` in bounded pages: nurse_id, page, n_lines, text. A coordinator may have any number of clients."""
+    return paged_text(util_client_lines(c, as_of, over), ["nurse_id"], ["_agg"], "_agg", " --- ", page_bytes)
+
+
 def _util_task(c: Tables, log: DataFrame, as_of: datetime, over: bool, assignee1: str,
                assignee2: str) -> tuple[DataFrame, DataFrame]:
     """Guarded notes (with ``nurse_id``) and the same rows as task rows."""
@@ -292,8 +304,8 @@ def weekly_overtime(c: Tables, as_of: datetime) -> DataFrame:
         return empty_tasks(c["visits"].sparkSession)
     r = weekly_overtime_rows(c, as_of)
     line = T.concat_nn(F.col("emp_name"), " for the week of ", F.col("weekstart").cast("string"),
-                       ". Scheduled hours: ", O.dec72_text(F.col("sched_min") / 60.0),
-                       " Confirmed hours: ", O.dec72_text(F.col("conf_min") / 60.0), ", ",
+                       ". Scheduled hours: ", O.dec72_text(F.col("sched_min").cast("decimal(20,0)") / F.lit(60)),
+                       " Confirmed hours: ", O.dec72_text(F.col("conf_min").cast("decimal(20,0)") / F.lit(60)), ", ",
                        O.dec72_text(F.col("conf_min") - F.col("sched_min")),
                        " minutes over. This employee has exceeded scheduled hours this year for ",
                        F.col("count_num").cast("string"), " week(s). ")

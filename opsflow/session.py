@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -95,6 +96,16 @@ def state_root(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="opsflow-state-")
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet below ``state_root`` and read back, so that what reads it twice sees the same rows.
+
+    The folder is the caller's session's to remove; it holds no state that a later run needs.
+    """
+    path = f"{state_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def has_checkpoint_dir(spark: SparkSession) -> bool:
     return bool(spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None))
 

@@ -2,6 +2,10 @@
 from datetime import date, datetime
 from decimal import Decimal
 
+import pytest
+from pyspark.sql import functions as F
+
+from opsflow.operators import core as O
 from opsflow.plans import triggers
 from opsflow.sources.tables import Tables
 
@@ -55,6 +59,27 @@ def test_utilisation_boundaries(spark):
                      "billed hours: 12.50, auth hours: 40.00, underutilized by -68.75%"]
 
 
+@pytest.mark.parametrize("num,den,over", [("17.1990", "16.38", None), ("17.1991", "16.38", "5.00"), ("8.1650", "7", "16.64"),
+                                          ("1.0050", "0.95", "5.79"), ("1.05", "1", None), ("1.0501", "1", "5.01")])
+def test_utilisation_edges_are_exact(spark, num, den, over):
+    c = _tables(spark, utilization=spark.createDataFrame([_util_row("P1", "RESPITE", "1998-06", num, den)], UTIL))
+    notes = [r.notes for r in triggers.util_notes(c, datetime(1998, 7, 15, 9, 30), over=True).collect()]
+    assert [n.rsplit(" ", 1)[1] for n in notes] == ([f"{over}%"] if over else [])
+
+
+@pytest.mark.parametrize("num,den,text", [("1.0050", "1", "0.50"), ("0.2850", "0.3", "-5.00"), ("1.00005", "1", "0.01"), ("1.000049", "1", "0.00"),
+                                          ("0.99995", "1", "-0.01"), ("2", "3", "-33.33"), ("1", "0", None), ("8.1650", "8", "2.06")])
+def test_percent_text_is_rounded_once(spark, num, den, text):
+    df = spark.createDataFrame([(Decimal(num), Decimal(den))], "a decimal(18,6), b decimal(18,6)")
+    assert df.select(O.percent_over_text(F.col("a"), F.col("b"))).first()[0] == text
+
+
+def test_decimal_text_of_decimals(spark):
+    got = [spark.createDataFrame([(Decimal(x),)], "x decimal(18,4)").select(O.dec72_text(F.col("x"))).first()[0]
+           for x in ("1.0050", "0.2850", "8.1650", "-1.0050", "-0.0010", "0")]
+    assert got == ["1.01", "0.29", "8.17", "-1.01", "0.00", "0.00"]
+
+
 def _visit(vid, nurse, adm, ts, dur, conf, status="V"):
     return (vid, nurse, "P" + adm[1:], adm, ts, ts, status, dur, conf, ts, "S")
 
