@@ -23,6 +23,7 @@ from ..schemas import QUEUE_COLUMNS
 from ..session import state_root
 from ..sources.bucketed import changed_buckets
 from ..sources.delimited import REQUIRED_COLUMNS, discover, encoded
+from ..sources.key_index import KeyIndex
 from ..sources.records import records
 from ..sources.tables import Tables
 from ..sources.versioned import VersionedTable
@@ -300,6 +301,17 @@ def q_file_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.groupBy("run", "error").agg(*[F.sum(c).alias(c) for c in ("parsed", "inserted", "skipped", "errors", "mismatches")])
 
 
+def q_insert_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INSERT IGNORE against a target that is read by its key index (B1)."""
+    c, root = _care(spark, sf_dir), _drop_folder(spark)
+    c["sales_target"].repartitionByRange(8, "sale_id").sortWithinPartitions("sale_id").write.parquet(f"{root}/target")
+    index = KeyIndex(spark, f"{root}/target", "sale_id")
+    index.refresh()
+    rows = _validated(c)
+    held = index.keys_that_may_match(rows.filter(ingest.is_valid()).select("sale_id"))
+    return ingest.load_sales(rows, held, list(SALES_ORDER)).select(*ingest.SALES_OUT)
+
+
 def q_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that the drop-folder stream loads: those of the batch job (J3, folder stream)."""
     c, root = _care(spark, sf_dir), _drop_folder(spark)
@@ -409,6 +421,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mixed_layouts": q_mixed_layouts,
     "file_commit": q_file_commit,
     "ingest_stream": q_ingest_stream,
+    "insert_indexed": q_insert_indexed,
     "cert_summary": q_cert_summary,
     "correct_due": q_correct_due,
     "expected_code": q_expected_code,

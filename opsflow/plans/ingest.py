@@ -22,6 +22,7 @@ from ..functions import text as T
 from ..operators import core as O
 from ..sources import delimited as S
 from ..sources.files import Files, literal
+from ..sources.key_index import KeyIndex
 from ..sources.records import records
 
 TEXT_FIELDS = ["sale_id", "customer_name", "product", "region", "salesperson"]
@@ -238,7 +239,8 @@ def publish(spark: SparkSession, state: RunState, run: int, target_path: str | N
     existing = _target(spark, target_path, target_table) if again else None
     if existing is not None:
         rows = rows.join(existing.select(F.col("sale_id").alias("_t_id")), F.col("sale_id") == F.col("_t_id"), "left_anti")
-    _append(rows, target_path, target_table, buckets)
+    # Sorted by key over all files, so that a key's file can be told from its range.
+    _append(rows if target_table else rows.repartitionByRange("sale_id").sortWithinPartitions("sale_id"), target_path, target_table, buckets)
     state.files.create(state.path(run, "_published"))
     for stage in ("records", "validated", "insert"):
         state.files.delete(state.path(run, stage))
@@ -247,14 +249,15 @@ def publish(spark: SparkSession, state: RunState, run: int, target_path: str | N
 def run_etl(spark: SparkSession, source_dir: str, target_path: str | None, as_of: datetime,
             archive_dir: str | None = None, pattern: str = "sales*.txt", sep: str = ",",
             do_archive: bool = True, files: list[str] | None = None, multiline: bool = True,
-            target_table: str | None = None, buckets: int = 64, state_path: str | None = None) -> dict:
+            target_table: str | None = None, buckets: int = 64, state_path: str | None = None, key_index: bool = False) -> dict:
     """Discover -> read -> header check -> validate -> insert-ignore -> commit -> publish -> archive.
 
     The target is a parquet table at ``target_path`` (keys read from it), or
     a catalog table ``target_table`` bucketed by ``sale_id`` into ``buckets``. ``state_path`` holds the runs'
     state (``RunState``), by default beside the target. Files that fail (no header, missing columns, malformed
     rows, bytes that are not UTF-8) load nothing; the others load whole. Quoted fields may hold line ends
-    whatever ``multiline`` says; the argument is kept for callers.
+    whatever ``multiline`` says; the argument is kept for callers. With ``key_index`` (targets at a path) the target is
+    written sorted by key, with a sidecar that tells which of its files a batch's keys may be in; only those are read.
     Returns ``{"stats": DataFrame, "failed": [(file, reason)], "archived": [...], "run": number, "files": all listed}``.
     """
     state = RunState(spark, state_path or (f"{target_path.rstrip('/')}-runs" if target_path else
@@ -275,7 +278,14 @@ def run_etl(spark: SparkSession, source_dir: str, target_path: str | None, as_of
     # Rows are parsed once; everything below reads what was parsed.
     validated = state.write(validate_sales(sales_rows(rows, verdicts), as_of), run, "validated")
     existing = _target(spark, target_path, target_table)
-    target_keys = existing.select("sale_id") if existing is not None else spark.createDataFrame([], "sale_id string")
+    if existing is None:
+        target_keys = spark.createDataFrame([], "sale_id string")
+    elif key_index and target_path:
+        index = KeyIndex(spark, target_path, "sale_id")
+        index.refresh()
+        target_keys = index.keys_that_may_match(validated.filter(is_valid()).select("sale_id"))
+    else:
+        target_keys = existing.select("sale_id")
     inserted = state.write(load_sales(validated, target_keys, ["_file_rank", "_block", "_row_pos"]), run, "insert")
     manifest = state.write(manifest_rows(verdicts, validated, inserted, run, as_of), run, "manifest")
     state.files.create(state.path(run, "_manifest"))
