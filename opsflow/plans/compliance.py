@@ -77,12 +77,15 @@ def ranked_tasks(adm: DataFrame, cer: DataFrame, wft: DataFrame, as_of: datetime
     return (j.withColumn("row_num", F.row_number().over(w))
              .where(F.col("row_num") == 1)
              .select("patient_number", "admission_number", "the_group", "facility_code",
-                     "discharge_code", "task_item", "wf_task_number", rolled.alias("start_date")))
+                     "discharge_code", "task_item", "wf_task_number", "wf_task_code", rolled.alias("start_date")))
 
 
 def compliance_check(adm: DataFrame, cer: DataFrame, wft: DataFrame, pat: DataFrame,
-                     as_of: datetime, sort: bool = True) -> DataFrame:
-    """Required quarterly visits vs scheduled tasks (12 columns)."""
+                     as_of: datetime, sort: bool = True, with_code: bool = False) -> DataFrame:
+    """Required quarterly visits vs scheduled tasks (12 columns).
+
+    ``with_code`` adds the scheduled task's own code as ``wf_task_code``, which spares ``task_actions`` a read of the task table.
+    """
     rt = ranked_tasks(adm, cer, wft, as_of)
     p = pat.select(F.col("patient_number").alias("_p_pat"), "first_name", "last_name")
     j = rt.join(p, rt.patient_number == p._p_pat, "left")
@@ -100,7 +103,7 @@ def compliance_check(adm: DataFrame, cer: DataFrame, wft: DataFrame, pat: DataFr
         D.local_to_utc(F.col("start_date")).alias("start_date"),
         D.day_diff(F.lag("start_date").over(w_last), F.col("start_date")).alias("days_from_last"),
         D.day_diff(F.col("start_date"), F.lead("start_date").over(w_next)).alias("days_until_next"),
-        "last_name", "first_name", F.col("start_date").alias("_local_start"))
+        "last_name", "first_name", F.col("start_date").alias("_local_start"), *(["wf_task_code"] if with_code else []))
     if sort:
         out = out.orderBy(F.col("last_name").asc_nulls_first(), F.col("first_name").asc_nulls_first(),
                           F.col("_local_start").asc_nulls_first())
@@ -140,18 +143,18 @@ ITEM_KEYS = {"%ANNUAL%": "annual", "%3MO%": "m3", "%6MO%": "m6", "%9MO%": "m9"}
 
 
 def latest_task(wft: DataFrame, as_of: datetime) -> DataFrame:
-    """Newest HCA task date and highest task id per admission, matched
-    back to the entry having both (the maxima are independent: quirk Q7)."""
-    hca = wft.where(T.ci_like("wf_task_code", "HCA %"))
-    agg = (hca.where(F.col("start_date") < D.ts_lit(as_of))
-              .groupBy("patient_number", "admission_number")
-              .agg(F.max("start_date").alias("latestitemdate"), F.max("wf_task_number").alias("latest_task_id")))
-    w = hca.select(F.col("patient_number").alias("_w_pat"), F.col("admission_number").alias("_w_adm"),
-                   F.col("start_date").alias("_w_start"), F.col("wf_task_number").alias("_w_num"),
-                   F.col("wf_task_code").alias("latest_task"))
-    j = agg.join(w, (agg.patient_number == w._w_pat) & (agg.admission_number == w._w_adm)
-                 & (agg.latestitemdate == w._w_start) & (agg.latest_task_id == w._w_num), "left")
-    return j.select("patient_number", "admission_number", "latestitemdate", "latest_task_id", "latest_task")
+    """Newest HCA task date and highest task id per admission, and the code of the
+    entry that has both (the maxima are independent: quirk Q7).
+
+    One aggregation, no join back: an entry has both maxima exactly if the highest id among the newest date's
+    entries is the highest of all. Task numbers are the vendor's key, so there is one such entry at most.
+    """
+    hca = wft.where(T.ci_like("wf_task_code", "HCA %") & (F.col("start_date") < D.ts_lit(as_of)))
+    newest = F.max(F.struct("start_date", "wf_task_number", "wf_task_code")).alias("_newest")
+    agg = hca.groupBy("patient_number", "admission_number").agg(F.max("wf_task_number").alias("latest_task_id"), newest)
+    both = F.when(F.col("_newest.wf_task_number") == F.col("latest_task_id"), F.col("_newest.wf_task_code"))
+    return agg.select("patient_number", "admission_number", F.col("_newest.start_date").alias("latestitemdate"),
+                      "latest_task_id", both.alias("latest_task"))
 
 
 def cert_summary(check: DataFrame, cer: DataFrame, as_of: datetime) -> DataFrame:
@@ -195,15 +198,17 @@ def expected_code(item: Column, servicetype: Column) -> Column:
              .when(T.ci_like(item, "%ANNUAL%"), annual))
 
 
-def prepare_actions(check: DataFrame, cer: DataFrame, wft: DataFrame, as_of: datetime) -> DataFrame:
-    """``#temp2``: check rows + cert summary + latest task + J7/J8 columns."""
+def prepare_actions(check: DataFrame, cer: DataFrame, wft: DataFrame | None, as_of: datetime) -> DataFrame:
+    """Check rows with their certification summary and the J7/J8 columns; with ``wft`` also the latest task."""
     c2 = cert_summary(check, cer, as_of).withColumnRenamed("patient_number", "_c2_pat")
-    lt = latest_task(wft, as_of).select(F.col("patient_number").alias("_lt_pat"),
-                                        F.col("admission_number").alias("_lt_adm"),
-                                        "latestitemdate", "latest_task")
-    tt = check.select("patient_number", "admission_number", "task_item", "wf_task_number", "start_date")
-    j = (tt.join(c2, tt.patient_number == c2._c2_pat, "left")
-           .join(lt, (tt.patient_number == lt._lt_pat) & (tt.admission_number == lt._lt_adm), "left"))
+    code = ["wf_task_code"] if "wf_task_code" in check.columns else []
+    tt = check.select("patient_number", "admission_number", "task_item", "wf_task_number", "start_date", *code)
+    j = tt.join(c2, tt.patient_number == c2._c2_pat, "left")
+    if wft is not None:
+        lt = latest_task(wft, as_of).select(F.col("patient_number").alias("_lt_pat"),
+                                            F.col("admission_number").alias("_lt_adm"),
+                                            "latestitemdate", "latest_task")
+        j = j.join(lt, (tt.patient_number == lt._lt_pat) & (tt.admission_number == lt._lt_adm), "left")
     return j.select("*", correct_due(F.col("certification_thru"), F.col("task_item"), as_of).alias("correctduedate"),
                     D.utc_to_local(F.col("start_date")).cast("date").alias("wft_due_date"),
                     expected_code(F.col("task_item"), F.col("servicetype")).alias("task_code"))
@@ -257,14 +262,17 @@ def task_actions(check: DataFrame, cer: DataFrame, wft: DataFrame, adm: DataFram
     code) and sits in the corrected due month. Unresolved care managers
     fall back to the manager queue (UNSMGR).
     """
-    t2 = prepare_actions(check, cer, wft, as_of).where(F.col("correctduedate").isNotNull())
+    t2 = prepare_actions(check, cer, None, as_of).where(F.col("correctduedate").isNotNull())
     a = adm.select(F.col("admission_number").alias("_a_adm"), F.col("nurse_id").alias("_cm1_id"),
                    F.col("nurse_id_arr7_2").alias("_cm3_id"))
     j = t2.join(a, t2.admission_number == a._a_adm, "left")
     j = O.with_user_code(j, employees, users, "_cm1_id", "cm1_")
     j = O.with_user_code(j, employees, users, "_cm3_id", "cm3_")
-    wte = wft.select(F.col("wf_task_number").alias("_e_num"), F.col("wf_task_code").alias("entry_code"))
-    j = j.join(wte, j.wf_task_number == wte._e_num, "left")
+    if "wf_task_code" in check.columns:
+        j = j.withColumnRenamed("wf_task_code", "entry_code")
+    else:
+        wte = wft.select(F.col("wf_task_number").alias("_e_num"), F.col("wf_task_code").alias("entry_code"))
+        j = j.join(wte, j.wf_task_number == wte._e_num, "left")
 
     due = F.trunc(F.col("correctduedate"), "MM")
     ok = F.coalesce((T.ci_eq("task_code", F.col("entry_code"))

@@ -141,9 +141,9 @@ def run_compliance(t: Tables, as_of: datetime) -> dict:
     of re-running the check over the full inputs per consumer.
     """
     check = compliance.compliance_check(t["admissions"], t["certifications"], t["task_entries"], t["patients"],
-                                        as_of, sort=False)
+                                        as_of, sort=False, with_code=True)
     if has_checkpoint_dir(check.sparkSession):
         check = cut_lineage(check)
     actions = compliance.task_actions(check, t["certifications"], t["task_entries"], t["admissions"],
                                       t["employees"], t["users"], as_of)
-    return {"check": check.orderBy(F.col("patient_number"), F.col("start_date")), "actions": actions}
+    return {"check": check.drop("wf_task_code").orderBy(F.col("patient_number"), F.col("start_date")), "actions": actions}

@@ -74,16 +74,16 @@ class Tables(Mapping):
     @classmethod
     def from_parquet_dir(cls, spark: SparkSession, path: str,
                          names: tuple[str, ...] | list[str] = DRIVER_TABLES,
-                         min_partitions: int | None = None, min_bytes: int = 1 << 20) -> "Tables":
+                         min_partitions: int | None = None, min_bytes: int = 1 << 20,
+                         max_bytes: int = 256 << 20) -> "Tables":
         """Parquet tables ``path/<name>.parquet``.
 
         ``min_partitions``: a scan can only run one task per row group, so a
         non-trivial table stored as a few large row groups would leave most
         cores idle for everything fused after the scan. Such a table (fewer
-        scan partitions than ``min_partitions`` and at least ``min_bytes`` on
-        disk) is round-robin repartitioned once at load. A large table laid
-        out for a cluster already has more partitions than that and is read
-        untouched, so no shuffle is added where the input is well split.
+        scan partitions than ``min_partitions``, ``min_bytes`` to ``max_bytes`` on
+        disk) is round-robin repartitioned once at load. Anything larger is read
+        as it is: no shuffle of more than ``max_bytes`` is ever added.
         """
         def load(n: str) -> DataFrame:
             df = spark.read.parquet(f"{path}/{n}.parquet")
@@ -94,7 +94,7 @@ class Tables(Mapping):
                 size = _size_on_disk(spark, f"{path}/{n}.parquet")
             except Exception:  # e.g. a Spark Connect session: read as is
                 return df
-            return df.repartition(min_partitions) if parts < min_partitions and size >= min_bytes else df
+            return df.repartition(min_partitions) if parts < min_partitions and min_bytes <= size <= max_bytes else df
 
         return cls({n: (lambda n=n: load(n)) for n in names})
 
