@@ -1,12 +1,16 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-Words are joined by single blanks, and every run of ``k`` characters of that is
-hashed (a text of fewer characters is one run). In each window of ``w``
-consecutive run hashes the smallest is chosen, the rightmost of equal ones; the
-fingerprint is the chosen hashes with the positions (character numbers) of their
-runs. So two texts that share ``w + k - 1`` consecutive characters share a
-fingerprint entry, spaced or not, and no shared entry comes from fewer than
-``k`` characters (but for texts that are shorter as a whole).
+Every run of ``k`` code points of the text as it is gets a hash (a text of fewer
+is one run). In each window of ``w`` consecutive run hashes the smallest is
+chosen, the rightmost of equal ones; the fingerprint is the chosen hashes with
+the positions (code point numbers) of their runs. So two texts that share
+``w + k - 1`` consecutive characters share a fingerprint entry, spaced or not, and
+no shared entry comes from fewer than ``k`` characters (but for texts that are
+shorter as a whole).
+
+A document's edited text is a prefix of the document and a prefix of the next one. Their window minima
+are known, so only the windows that reach across the joint are hashed and chosen anew; the rest are
+slices of the two, the second's positions moved.
 
 Runs are cut from the UTF-32 bytes, where a character's place is known without
 counting from the text's start: the work grows with the length, not its square.
@@ -15,9 +19,14 @@ Each window minimum is one comparison of numbers: a run's 40 hash bits above 23
 bits of its position, counted down so that the rightmost wins ties. Positions
 are told modulo 2^23.
 
-Defined cases: null is an empty text; a text without words has the empty
-fingerprint; the likeness of two empty fingerprints is 1, of one empty and one
-not 0. Equal texts have equal fingerprints.
+The next document is found by sorting (id, text hash) alone into ranges; the texts are
+dealt to those ranges in one shuffle, and each range's first row is also sent to the
+range before it. Ranges are cut by id and text hash, so many rows of one id, or
+without one, still spread.
+
+Defined cases: null is an empty text, an empty text has the empty fingerprint; the
+likeness of two empty fingerprints is 1, of one empty and one not 0. Equal texts have
+equal fingerprints. Null ids come last; rows that share an id follow by text hash.
 """
 
 from __future__ import annotations
@@ -26,15 +35,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from opsflow.llm.common import WS, let, written
+from opsflow.llm.common import let, written
 
 POSITION_BITS = 23
 POSITIONS = (1 << POSITION_BITS) - 1
 
 
 def words_of(text: Column) -> Column:
-    """The text's words, joined by single blanks."""
-    return F.trim(F.regexp_replace(text, WS, " "))
+    """What is fingerprinted of a text: all of it, as it is."""
+    return text
 
 
 def run_hashes(words: Column, k: int) -> Column:
@@ -63,17 +72,33 @@ def window_minima(p: Column, w: int, span: int = 1) -> Column:
     return let(joined, lambda q: window_minima(q, w, width))
 
 
-def fingerprint(text: Column, k: int = 12, w: int = 12) -> Column:
-    """Array of packed (hash, position) numbers in order of position."""
+def packed_runs(text: Column, k: int) -> Column:
+    """Each run's hash and position as one number; the smaller hash is less, and of equal ones the later."""
     def packed(x: Column, i: Column) -> Column:
         hash_part = F.shiftleft(F.shiftrightunsigned(x, 64 - 40), POSITION_BITS)
         return hash_part.bitwiseOR(F.lit(POSITIONS).cast("long") - i.bitwiseAND(F.lit(POSITIONS)))
 
-    def chosen(p: Column) -> Column:
+    return runs(words_of(text), k, packed)
+
+
+def all_minima(text: Column, k: int, w: int) -> Column:
+    """The least packed number of every whole window, in order; without a whole window, the least of all runs."""
+    def least(p: Column) -> Column:
         one = F.when(F.size(p) > 0, F.array(F.array_min(p))).otherwise(p)
-        return F.when(F.size(p) > w, F.array_distinct(window_minima(p, w))).otherwise(one)
+        return F.when(F.size(p) > w, window_minima(p, w)).otherwise(one)
+
+    return let(packed_runs(text, k), least)
 
-    return let(runs(words_of(text), k, packed), chosen)
+
+def moved(minima: Column, by: Column) -> Column:
+    """The same entries ``by`` positions later."""
+    low = F.lit(POSITIONS).cast("long")
+    return F.transform(minima, lambda x: x.bitwiseAND(F.bitwise_not(low)).bitwiseOR((x - by).bitwiseAND(low)))
+
+
+def fingerprint(text: Column, k: int = 12, w: int = 12) -> Column:
+    """Array of packed (hash, position) numbers in order of position."""
+    return F.array_distinct(all_minima(text, k, w))
 
 
 def hashes(fp: Column) -> Column:
@@ -98,49 +123,59 @@ def likeness(a: Column, b: Column) -> Column:
     return let(F.array_distinct(hashes(a)), by)
 
 
-def with_next_text(docs: DataFrame, rows_per_bucket: int = 2000) -> tuple[DataFrame, Window]:
+def with_next_text(docs: DataFrame) -> tuple[DataFrame, Window]:
     """bucket, ghost, doc_id, text, next_text: the text of the next document by descending doc_id, the last one followed by the first.
 
-    Ids are cut into buckets at their quantiles, and a bucket is a window of its
-    own. The next document of a bucket's last row is the first row of the bucket
-    below, so each bucket's first row (one per bucket) is sent to the bucket
-    above as well, marked as a ghost. One shuffle in all, no global order. Null
-    ids come last; rows that share an id are ordered by text hash.
+    A bucket is a range of (doc_id, text hash) and a window of its own. The next document of a bucket's last row is the
+    first row of the bucket after, so each bucket's first row is sent to the bucket before as well, marked as a ghost.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    ids = rows.select("doc_id")
-    n = ids.count()
-    parts = max(1, n // rows_per_bucket)
-    quantiles = [i / parts for i in range(1, parts)]
-    bounds = sorted(set(ids.select(F.percentile_approx("doc_id", quantiles or [0.5], 10 * parts + 100).alias("q")).first().q or [])) if quantiles else []
-    # The number of bounds at or below the id; null ids are below all.
-    bucket = F.when(F.col("doc_id").isNull(), -1).otherwise(
-        F.aggregate(F.array(*[F.lit(b).cast("long") for b in bounds]).cast("array<bigint>"), F.lit(0), lambda a, b: a + (F.col("doc_id") >= b).cast("int")))
-    heads = (ids.select("doc_id", bucket.alias("bucket")).groupBy("bucket").agg(F.max("doc_id").alias("head")))
-    above = {}
-    listing = sorted(heads.collect(), key=lambda r: r.bucket)  # one row per bucket
-    for low, high in zip(listing, listing[1:] + listing[:1]):
-        above[low.bucket] = (low.head, high.bucket)
-    send_to = written(docs.sparkSession.createDataFrame([(b, h, t) for b, (h, t) in above.items()], "bucket int, head long, target int"), "heads")
-    dealt = (rows.withColumn("bucket", bucket).join(F.broadcast(send_to), "bucket", "left")
-             .withColumn("place", F.explode(F.when(F.col("doc_id").eqNullSafe(F.col("head")), F.array(
-                 F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("ghost")),
-                 F.struct(F.col("target").alias("bucket"), F.lit(True).alias("ghost"))))
-                 .otherwise(F.array(F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("ghost"))))))
-             .select("place.bucket", "place.ghost", "doc_id", "text", F.xxhash64("text").alias("th")))
-    order = Window.partitionBy("bucket").orderBy(F.col("ghost"), F.col("doc_id").desc_nulls_last(), F.col("th"))
+    # Ascending in this key is descending in the id, null ids last.
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.bitwise_not(F.coalesce("doc_id", F.lit(0).cast("long"))).alias("id"),
+                   F.xxhash64("text").alias("th"))
+    rows = rows.withColumn("key", key)
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    firsts = (rows.select("key").repartitionByRange(parts, "key").select(F.spark_partition_id().alias("part"), "key")
+              .groupBy("part").agg(F.min("key").alias("key")))
+    # One row: the first key of every range, ``parts`` at most.
+    bounds = written(firsts.agg(F.sort_array(F.collect_list("key")).alias("firsts")), "bounds").select("firsts").scalar()
+    steps = F.array(*[F.lit(1 << i) for i in range(parts.bit_length() - 1, -1, -1)])
+
+    def place(b: Column) -> Column:
+        # Binary search for the last first key that is not beyond the row's.
+        found = F.aggregate(steps, F.lit(-1), lambda at, step: F.when(F.get(b, at + step) <= F.col("key"), at + step).otherwise(at))
+        own = lambda at: F.struct(at.alias("bucket"), F.lit(False).alias("ghost"))
+        before = lambda at: F.struct(F.when(at > 0, at - 1).otherwise(F.size(b) - 1).alias("bucket"), F.lit(True).alias("ghost"))
+        return let(found, lambda at: F.when(F.get(b, at) == F.col("key"), F.array(own(at), before(at))).otherwise(F.array(own(at))))
+
+    dealt = rows.withColumn("bounds", bounds).withColumn("place", F.explode(let(F.col("bounds"), place))).select("place.bucket", "place.ghost", "doc_id", "text", "key")
+    order = Window.partitionBy("bucket").orderBy("ghost", "key")
     return dealt.withColumn("next_text", F.lead("text").over(order)), order
 
 
 def fingerprints(docs: DataFrame, k: int = 12, w: int = 12) -> DataFrame:
     """Each document's fingerprint, that of its edited text, and their likeness."""
     rows, order = with_next_text(docs)
-    n = F.length("text")
-    half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half))
-    own = rows.withColumn("fp", fingerprint(F.col("text"), k, w)).withColumn("next_fp", F.lead("fp").over(order)).filter(~F.col("ghost"))
-    return (own.withColumn("edited", edited).withColumn("edited_fp", fingerprint(F.col("edited"), k, w))
-            .select("doc_id", n.cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                    shown(F.col("fp")).alias("fingerprint"), shown(F.col("edited_fp")).alias("edited_fingerprint"),
-                    likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
-                    likeness(F.col("fp"), F.col("next_fp")).alias("near_next")))
+    span = k + w - 1  # characters of a window
+    rows = rows.withColumn("minima", all_minima(F.col("text"), k, w))
+    own = (rows.withColumn("next_minima", F.lead("minima").over(order)).filter(~F.col("ghost"))
+           .withColumn("n", F.length("text")).withColumn("half", F.floor(F.col("n") / 2).cast("int")).withColumn("cut", F.col("n") - F.col("half"))
+           .withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), F.col("cut")),
+                                          F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), F.col("half"))))
+           .withColumn("ne", F.length("edited")))
+    cut, ne, none = F.col("cut"), F.col("ne"), F.array().cast("array<bigint>")
+    # Windows before the joint, across it and after it.
+    before = F.slice("minima", F.lit(1), F.greatest(cut - span + 1, F.lit(0)))
+    at = F.greatest(cut - span + 1, F.lit(0))
+    reach = F.least(ne, cut + span - 1) - at
+    across = F.when(reach >= span, moved(all_minima(F.substring(F.col("edited"), at + 1, reach), k, w), at)).otherwise(none)
+    after = F.when(ne - cut >= span, moved(F.slice("next_minima", F.lit(1), ne - cut - span + 1), cut)).otherwise(none)
+    edited_minima = F.when(ne >= span, F.concat(before, across, after)).otherwise(all_minima(F.col("edited"), k, w))
+    fps = own.select("doc_id", "n", "edited", F.array_distinct("minima").alias("fp"), F.array_distinct("next_minima").alias("next_fp"),
+                     F.array_distinct(edited_minima).alias("edited_fp"))
+    return fps.select(
+        "doc_id", F.col("n").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        shown(F.col("fp")).alias("fingerprint"), shown(F.col("edited_fp")).alias("edited_fingerprint"),
+        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+        likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
