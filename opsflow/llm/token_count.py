@@ -1,6 +1,7 @@
 """Token counts with overlap resynchronisation.
 
-Texts of up to ``chunk_chars`` are encoded whole, in batches. A longer text is
+Texts of up to ``long_chars`` are counted whole, in batches: they are cut into the tokenizer's
+own words, and every distinct word is encoded by the library once (``WordCounts``). A longer text is
 cut into chunks that overlap, which are dealt to tasks one by one and encoded
 with offsets, so the largest document is not one task's work.
 
@@ -71,14 +72,74 @@ def chunk_spans(n: int, chunk: int, overlap: int) -> list[tuple[int, int]]:
     return [(s, min(n, s + chunk)) for s in range(0, n - overlap, step)]
 
 
+class WordCounts:
+    """Token counts of whole texts, every distinct word encoded once.
+
+    Byte-level BPE splits a text into words by a fixed pattern and encodes each on its own, so a text's count is the sum
+    of its words'. The pattern is applied here only to texts where that is sure to give the library's words: the
+    tokenizer has that pattern and nothing before it, no special string is in the text, and for each of its characters
+    the library itself was seen to put it into the same class (letter, number, white space, other) as the pattern does
+    here. All other texts are encoded whole by the library.
+    """
+
+    # Fixed value: the byte-level pattern.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    MAX_WORDS, MAX_LETTERS = 300_000, 64  # words kept for later batches, some 40 MB
+
+    def __init__(self, json_text: str):
+        import json
+
+        import regex
+
+        spec = json.loads(json_text)
+        self.tokenizer, self.known, self.alike = load(json_text), {}, {}
+        before, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+        self.usual = (before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+                      and spec.get("normalizer") is None and model.get("type") == "BPE" and not model.get("dropout"))
+        self.special = [t["content"] for t in spec.get("added_tokens") or []]
+        self.pattern = regex.compile(self.PATTERN)
+        self.classes = [(k, regex.compile(p)) for k, p in (("letter", r"\p{L}"), ("number", r"\p{N}"), ("space", r"\s"))]
+
+    def _same_class(self, c: str) -> bool:
+        here = next((k for k, p in self.classes if p.match(c)), "other")
+        one_piece = lambda x: len(self.tokenizer.pre_tokenizer.pre_tokenize_str(x + c)) == 1
+        there = next((k for k, x in (("letter", "a"), ("number", "1"), ("other", "?")) if one_piece(x)), "space")
+        return here == there
+
+    def _plain(self, text: str) -> bool:
+        if not self.usual or any(s in text for s in self.special):
+            return False
+        chars = set(text)
+        for c in chars.difference(self.alike):
+            self.alike[c] = self._same_class(c)
+        return all(map(self.alike.__getitem__, chars))
+
+    def counts(self, texts: list[str]) -> list[int]:
+        plain = [self._plain(t) for t in texts]
+        words = [self.pattern.findall(t) if p else None for t, p in zip(texts, plain)]
+        used = set().union(*(w for w in words if w is not None))
+        if len(self.known) + len(used) > self.MAX_WORDS:
+            self.known = {}
+        new = list(used.difference(self.known))
+        self.known.update(zip(new, self._by_library(new)))
+        whole = iter(self._by_library([t for t, p in zip(texts, plain) if not p]))
+        out = [next(whole) if w is None else sum(map(self.known.__getitem__, w)) for w in words]
+        for w in new:
+            if len(w) > self.MAX_LETTERS:
+                del self.known[w]
+        return out
+
+    def _by_library(self, texts: list[str]) -> list[int]:
+        return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+
 def count_whole(rows: DataFrame, tokenizer_json: str) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(shared.value)
+        counter = WordCounts(shared.value)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            n = [len(e) for part in batches_of(texts) if part for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            n = [x for part in batches_of(batch.column("text").to_pylist()) for x in counter.counts(part)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(n, pa.int64())],
                                              ["doc_id", "n_bytes", "n_tokens"])
 
