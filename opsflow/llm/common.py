@@ -33,6 +33,16 @@ def scratch_root(spark: SparkSession) -> str:
     return _LOCAL[app]
 
 
+def lean(spark: SparkSession) -> None:
+    """Settings for stages that move whole texts: small Arrow batches to Python, small row groups in the writers.
+
+    Either holds one batch or row group per running task in memory. Values that the session has changed are left alone.
+    """
+    for name, usual, small in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"), ("parquet.block.size", None, str(16 << 20))):
+        if spark.conf.get(name, None) == usual:
+            spark.conf.set(name, small)
+
+
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 

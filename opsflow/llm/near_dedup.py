@@ -81,7 +81,7 @@ def word_hashes(words: list[bytes], cache: dict[bytes, int]) -> np.ndarray:
     """64-bit word hashes; ``cache`` holds those of earlier words of the task and is emptied when large."""
     import xxhash
 
-    if len(cache) > 500_000:
+    if len(cache) > 100_000:  # some 12 MB
         cache.clear()
     out = np.empty(len(words), np.uint64)
     for i, w in enumerate(words):
@@ -120,7 +120,8 @@ def signature(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         for at in range(0, len(shingles), 4096):
             np.minimum(least, (shingles[at:at + 4096, None] * factors).min(axis=0), out=least)
-    return (least >> np.uint64(48)).astype(np.uint16)
+        # The least of many hashes is small, so its high bits say little; mixed, all bits do.
+        return mixed(least).astype(np.uint16)
 
 
 def signature_keys(sigs: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
@@ -279,7 +280,9 @@ def set_links(docs: DataFrame, rows: DataFrame, grouped: DataFrame, k: int, perc
     full = reps.join(chosen, "digest").select("node", "comp", "size", "shingles")
     dealt = in_block_pairs(full, "comp", "size", SET_BLOCK)
     dealt = written(dealt.select("comp", "bi", "bj", "own", "node", "shingles"), "sets")
-    groups = max(1, dealt.count() // 1000)
+    # Tasks of some 16 MB of sets, at most 1000 of them.
+    total = dealt.agg(F.count("*"), F.sum(F.octet_length("shingles"))).first()
+    groups = max(1, total[0] // 1000, (total[1] or 0) // (16 << 20))
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("comp", "bi", "bj"), F.lit(groups)))
 
     def verify(part: pd.DataFrame) -> pd.DataFrame:
@@ -345,5 +348,7 @@ def drop_near_copies(docs: DataFrame, k: int = 5, percent: int = 85) -> DataFram
     """The rows whose id is their component's, with all their columns; other rows are found by id and text."""
     gone = written(near_groups(docs, k, percent).filter("NOT kept").select(
         F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_text")).distinct(), "gone")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("gone_id")) & (F.xxhash64(docs["text"]) == F.col("gone_text"))
-    return docs.join(gone, same, "left_anti")
+    # The row travels in a struct, so its own columns can't clash with these.
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("th"))
+    same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("th") == F.col("gone_text"))
+    return rows.join(gone, same, "left_anti").select("row.*")

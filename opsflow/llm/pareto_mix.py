@@ -182,6 +182,8 @@ def mixed_rows(docs: DataFrame, **settings) -> DataFrame:
     """The mix: each row with all its columns, as often as it is taken. Rows that share id and text get equal shares, rounded."""
     taken = written(mix(docs, **settings).groupBy("doc_id", "th").agg(F.round(F.avg("copies")).cast("int").alias("copies"))
                     .filter("copies > 0").select(F.col("doc_id").alias("mix_id"), F.col("th").alias("mix_text"), F.col("copies").alias("mix_copies")), "taken")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("mix_id")) & (F.xxhash64(docs["text"]) == F.col("mix_text"))
-    rows = docs.join(taken, same).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
-    return rows.select(*[docs[c] for c in docs.columns])
+    # The row travels in a struct, so its own columns can't clash with these.
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("th"))
+    same = F.col("id").eqNullSafe(F.col("mix_id")) & (F.col("th") == F.col("mix_text"))
+    copies = rows.join(taken, same).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
+    return copies.select("row.*")
