@@ -13,27 +13,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from opsflow.llm import exact_dedup, near_dedup, pareto_mix, piece_lattice, toxicity
-from opsflow.llm.common import written
+from opsflow.llm.common import lean, written
 from opsflow.llm.queries import table, tokenizer_file
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    lean(spark)
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    lean(spark)
     return exact_dedup.drop_copies(docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    lean(spark)
     return near_dedup.drop_near_copies(docs, percent=80)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    lean(spark)
     return pareto_mix.mixed_rows(docs)
 
 
 def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    lean(spark)
     return piece_lattice.encode(docs, piece_lattice.piece_table(tokenizer_file("piece_bpe_32k.model")))
 
 
