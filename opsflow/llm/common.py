@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +60,28 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     return spark.read.schema(schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return this process's free memory to the system: Spark keeps idle Python workers, with all they once allocated."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def trimmed(task):
+    """``task`` (batches -> batches), giving back its memory when it ends."""
+    def run(batches):
+        yield from task(batches)
+        give_back()
+
+    return run
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once per row and hand it to ``body`` as a variable."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opsflow.llm.bloom import member_filter
-from opsflow.llm.common import components, join_stats, written
+from opsflow.llm.common import components, give_back, join_stats, trimmed, written
 
 SLOTS, MISS = 64, 1e-5
 KEY_BLOCK, SET_BLOCK = 512, 256
@@ -156,7 +156,7 @@ def signed(docs: DataFrame, k: int) -> DataFrame:
 
     rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                           F.xxhash64("text").alias("th"))
-    out = rows_in.mapInArrow(rows, "doc_id long, th long, n_shingles long, digest binary, sig binary")
+    out = rows_in.mapInArrow(trimmed(rows), "doc_id long, th long, n_shingles long, digest binary, sig binary")
     return written(out.withColumn("rid", F.monotonically_increasing_id()), "signed")
 
 
@@ -169,7 +169,7 @@ def keyed(nodes: DataFrame, chunks: int) -> DataFrame:
             node = np.repeat(batch.column("node").to_numpy(), SLOTS)
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(node)], ["key", "node"])
 
-    keys = written(nodes.select("node", "sig").mapInArrow(rows, "key long, node long"), "keys")
+    keys = written(nodes.select("node", "sig").mapInArrow(trimmed(rows), "key long, node long"), "keys")
     stats = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("lead")).filter("size > 1")
     stats = written(stats, "shared-keys")
     maybe = member_filter(stats.select("key"), stats.count())  # most keys are alone and needn't be shuffled again
@@ -233,6 +233,7 @@ def key_links(shared: DataFrame, nodes: DataFrame, labels: DataFrame, distance:
                 near = rest[(sigs[rest] != sigs[i]).sum(axis=1) <= distance]
                 found += [(node[i], node[j]) for j in near.tolist() if forest.join(int(comp[i]), int(comp[j]))]
             start = end
+        give_back()
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     return dealt.groupBy("part").applyInPandas(search, "a long, b long")
@@ -273,7 +274,7 @@ def set_links(docs: DataFrame, rows: DataFrame, grouped: DataFrame, k: int, perc
                 ["digest", "shingles"])
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chosen = source.filter(wanted(F.xxhash64("doc_id"))).select("text").mapInArrow(sets, "digest binary, shingles binary")
+    chosen = source.filter(wanted(F.xxhash64("doc_id"))).select("text").mapInArrow(trimmed(sets), "digest binary, shingles binary")
     reps = rows.select(F.col("rid").alias("node"), "digest", "n_shingles").join(members, "node")
     # One row per set: equal sets are equal bytes, combined before the shuffle.
     chosen = chosen.join(reps.select("digest"), "digest", "left_semi").groupBy("digest").agg(F.first("shingles").alias("shingles"))
@@ -291,6 +292,7 @@ def set_links(docs: DataFrame, rows: DataFrame, grouped: DataFrame, k: int, perc
             g = g.sort_values("node")
             found += links_of(g["node"].to_numpy(), [np.frombuffer(s, np.uint64) for s in g["shingles"]],
                               g["own"].to_numpy() if bi != bj else None, percent)
+        give_back()
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     return dealt.groupBy("part").applyInPandas(verify, "a long, b long")

@@ -51,7 +51,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsflow.llm.common import written
+from opsflow.llm.common import give_back, trimmed, written
 
 MARK, LINE_END = "▁", "\n"
 WINDOW = 256  # characters of a long unit that are exploded at a time
@@ -305,7 +305,7 @@ def pack_units(docs: DataFrame, cutting: Broadcast, buckets: int, pack_chars: in
                 "bucket": pa.array(list(lists), pa.int64()), "pack": pa.array([pack] * len(lists), pa.int64()),
                 "listing": pa.array([LINE_END.join(us) for us in lists.values()], pa.string())})
 
-    return docs.mapInArrow(scan, "bucket long, pack long, listing string")
+    return docs.mapInArrow(trimmed(scan), "bucket long, pack long, listing string")
 
 
 def pack_numbers(docs: DataFrame, cutting: Broadcast, buckets: int, pack_chars: int) -> DataFrame:
@@ -327,7 +327,7 @@ def pack_numbers(docs: DataFrame, cutting: Broadcast, buckets: int, pack_chars:
                 "numbers": pa.array([shown_numbers(np.concatenate(used))], pa.binary()),
                 "dealt": pa.array([zipped(dealt_to(units[1:], buckets).tobytes())], pa.binary())})
 
-    return docs.mapInArrow(scan, "pack long, docs binary, numbers binary, dealt binary")
+    return docs.mapInArrow(trimmed(scan), "pack long, docs binary, numbers binary, dealt binary")
 
 
 def answer_packs(docs: DataFrame, table: dict, cutting: Broadcast, buckets: int, pack_chars: int) -> DataFrame:
@@ -361,6 +361,9 @@ def answer_packs(docs: DataFrame, table: dict, cutting: Broadcast, buckets: int,
             found = [known[u] for u in listing.split(LINE_END)]
             counts = np.fromiter(map(len, found), np.uint32) // number().itemsize
             out.append((pack, bucket, zipped(counts.tobytes()), zipped(b"".join(found))))
+        known.clear()
+        lengths.clear()
+        give_back()
         return pd.DataFrame(out, columns=["of_pack", "bucket", "counts", "ids"])
 
     answers = lists.groupBy("bucket").cogroup(folded.groupBy("of_bucket")).applyInPandas(
@@ -416,6 +419,7 @@ def encode(docs: DataFrame, table: dict, buckets: int | None = None, pack_chars:
                 part.column("doc_id"), pa.array(np.diff(limits)), pc.binary_join(pa.ListArray.from_arrays(offsets, as_text.take(taken)), " "),
                 pa.array([d.hex() for d in digests], pa.string()),
                 pa.array([d == w for d, w in zip(digests, part.column("sha256").to_pylist())], pa.bool_())], schema=shape))
+        give_back()
         return pa.concat_tables(out) if out else shape.empty_table()
 
     return pack_numbers(rows, cutting, buckets, pack_chars).groupBy("pack").cogroup(answers.groupBy("of_pack")).applyInArrow(

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsflow.llm.common import written
+from opsflow.llm.common import trimmed, written
 
 BLOCK = 64
 STRIP = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~¿¡«»“”„…"
@@ -82,7 +82,7 @@ def pick_features(examples: DataFrame, max_features: int, min_g2: float, min_odd
                 yield pa.RecordBatch.from_pydict({"feature": pa.array(names, pa.string()), "label": pa.array([label] * len(names), pa.int32())})
 
     total = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("toxic")).first()
-    counts = (examples.select("text", "label").mapInArrow(presence, "feature string, label int").groupBy("feature")
+    counts = (examples.select("text", "label").mapInArrow(trimmed(presence), "feature string, label int").groupBy("feature")
               .agg(F.sum("label").cast("double").alias("a"), F.sum(1 - F.col("label")).cast("double").alias("b")))
     n1, n0 = float(total.toxic), float(total.n - total.toxic)
     c, d = n1 - F.col("a"), n0 - F.col("b")
@@ -109,7 +109,7 @@ def document_frequencies(docs: DataFrame, names: list[str]) -> tuple[int, np.nda
                 df[-1] += 1
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(df))), pa.array(df)], ["feature", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select("text").mapInArrow(trimmed(count), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
     df = np.zeros(len(names) + 1, np.int64)
     for r in rows:  # one number per feature
         df[r.feature] = r.n
@@ -221,7 +221,7 @@ def calibrate(index: Index, examples: DataFrame) -> None:
                 out.append(x.vote(x.nearest(*x.vector(features(text)), skip=own.get(doc_id, [-1])[0])))
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(out, pa.float64())], ["label", "vote"])
 
-    rows = examples.select("doc_id", "text", "label").mapInArrow(vote, "label int, vote double").collect()  # at most max_examples pairs
+    rows = examples.select("doc_id", "text", "label").mapInArrow(trimmed(vote), "label int, vote double").collect()  # at most max_examples pairs
     alone = [r.label for r in rows if r.vote is None]
     index.no_neighbour = (sum(alone) + 0.5) / (len(alone) + 1)
     voted = [(r.vote, r.label) for r in rows if r.vote is not None]
@@ -240,7 +240,7 @@ def kept_counts(examples: DataFrame, names: list[str]) -> DataFrame:
                 [batch.column("doc_id"), batch.column("label"), pa.array([list(x) for x in found], pa.list_(pa.string())),
                  pa.array([list(x.values()) for x in found], pa.list_(pa.int64()))], ["doc_id", "label", "feature", "n"])
 
-    return examples.select("doc_id", "text", "label").mapInArrow(count, "doc_id long, label int, feature array<string>, n array<long>")
+    return examples.select("doc_id", "text", "label").mapInArrow(trimmed(count), "doc_id long, label int, feature array<string>, n array<long>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 8192, max_features: int = 4096, min_g2: float = 25.0,
