@@ -39,7 +39,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     lean(spark)
-    return piece_lattice.encode(docs, piece_lattice.piece_table(tokenizer_file("piece_bpe_32k.model")))
+    return piece_lattice.encode(docs, piece_lattice.piece_table(tokenizer_file("piece_bpe_32k.model")), pack_chars=2 << 20)
 
 
 STAGES = [
