@@ -47,7 +47,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsflow.llm.bloom import member_filter
@@ -74,6 +74,7 @@ def chunks_for(percent: int) -> int:
 
 
 CHUNKS = chunks_for(85)
+LEADS = 8  # leads that a node is compared with at first
 MAX_DISTANCE = reach(CHUNKS)
 
 
@@ -241,7 +242,10 @@ def key_links(shared: DataFrame, nodes: DataFrame, labels: DataFrame, distance:
 
 def clusters(nodes: DataFrame, shared: DataFrame, within: int) -> DataFrame:
     """node, comp: components of the pairs at most ``within`` apart; nodes without a pair are left out."""
-    star = shared.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    # A node meets the leads that it shares the most keys with; pairs that this leaves open are found by ``key_links``.
+    often = shared.filter("node <> lead").groupBy("node", "lead").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("n"), "lead"))
+    star = often.withColumn("place", place).filter(F.col("place") <= LEADS).select(F.col("lead").alias("a"), F.col("node").alias("b"))
     sig = nodes.select("node", "sig")
 
     @F.pandas_udf("int")
