@@ -1,21 +1,24 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Examples. At most ``max_examples`` labelled rows whose crc32(doc_id as text)
-mod 3 is not 1, those with the smallest id hashes; the bound makes the index a
-broadcast of fixed size. A document with several labels is toxic if any says so.
+Examples. At most ``max_examples`` labelled ids whose crc32(doc_id as text)
+mod 3 is not 1, those with the smallest id hashes, one text each (the least, if
+rows share an id); the bound makes the index a broadcast of bounded size. A
+document with several labels is toxic if any says so.
 
 Features are lower-case words stripped of punctuation and their 4- and
-5-character beginnings. Of those, at most ``max_features`` are kept whose
-presence among the examples depends on the label: G squared of at least
-``min_g2`` and odds that differ ``min_odds`` times or more (which leaves out
-common words of a language). Document frequencies are counted over the whole corpus. A vector is
-(1 + log tf) * idf over the kept features, of length 1.
-
-Index. Examples are ordered by their heaviest feature and cut into blocks; each
-(feature, block) has its postings and their largest weight. A query sums the
-block maxima into a bound per block, opens blocks from the largest bound down,
-and stops when the next bound cannot beat the k-th best similarity: the k
-nearest are exact.
+5-character beginnings: all that any example holds, none picked by label.
+Document frequencies are counted over the whole corpus. A vector is
+(1 + log tf) * idf over these features, of length 1.
+
+Index. Examples are cut into blocks. A feature that one example in
+``1 / COMMON`` or more holds has a row in a matrix of features by examples, and
+its part of all cosines of a batch of texts is one matrix product. Every other
+feature has postings by (feature, block) with their largest weight. A query adds
+the block maxima to the largest matrix part of each block, opens the blocks of
+the highest bounds, then all whose bound reaches the k-th best similarity so
+far. Those sums are in single precision and only choose candidates, with a margin
+beyond their error; the candidates' cosines are summed anew in double precision.
+So the k nearest are exact, and equal texts have equal scores in any batch.
 
 Score. A neighbour votes with weight 1 / (distance + 0.1). The votes are
 calibrated by an isotonic fit to the examples' own votes, each without itself;
@@ -33,7 +36,8 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -44,6 +48,10 @@ from pyspark.sql import functions as F
 from opsflow.llm.common import trimmed, written
 
 BLOCK = 64
+COMMON = 1 / 32  # of the examples
+BATCH = 64  # texts of one matrix product
+GROUP = 512  # texts whose vectors are held at a time
+MARGIN = 1e-3  # relative; sums of positive single-precision products are far closer
 STRIP = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~¿¡«»“”„…"
 
 
@@ -51,116 +59,196 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def features(text: str | None) -> Counter:
-    """Occurrences of words and of their beginnings."""
-    out: Counter = Counter()
-    for word, n in Counter((text or "").lower().split()).items():
-        word = word.strip(STRIP)
-        if word:
-            out[word] += n
-            if len(word) > 4:
-                out[word[:4] + "*"] += n
-            if len(word) > 5:
-                out[word[:5] + "*"] += n
-    return out
+def names_of(word: str) -> tuple[str, ...]:
+    """A lower-case word's features: the word and its beginnings."""
+    word = word.strip(STRIP)
+    if len(word) > 5:
+        return word, word[:4] + "*", word[:5] + "*"
+    return (word, word[:4] + "*") if len(word) > 4 else (word,) if word else ()
+
+
+class Terms:
+    """Feature numbers of texts; the features of words met before are remembered, up to a bound."""
+
+    def __init__(self, place: dict[str, int]):
+        self.place, self.known = place, {}
+
+    def of_word(self, word: str) -> tuple[int, ...]:
+        found = tuple(self.place[f] for f in names_of(word) if f in self.place)
+        if len(word) <= 32:
+            if len(self.known) >= 100_000:
+                self.known.clear()
+            self.known[word] = found
+        return found
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Known features of a text, rising, and their occurrences."""
+        known, of_word = self.known.get, self.of_word
+        met = Counter(chain.from_iterable([of_word(w) if (f := known(w)) is None else f for w in (text or "").lower().split()]))
+        at, n = np.fromiter(met.keys(), np.int64, len(met)), np.fromiter(met.values(), float, len(met))
+        order = np.argsort(at)
+        return at[order], n[order]
 
 
 def pick_examples(docs: DataFrame, labels: DataFrame, max_examples: int) -> DataFrame:
-    """doc_id, text, label of the sampled training rows."""
+    """doc_id, text, label of the sampled training ids, one row each."""
     known = (labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.max("toxic").cast("int").alias("label")).filter(~held_out(F.col("doc_id"))))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return written(rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label"), "examples")
+    one = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    return written(one.select("doc_id", "text", "label"), "examples")
 
 
-def pick_features(examples: DataFrame, max_features: int, min_g2: float, min_odds: float) -> list[str]:
-    def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def all_features(examples: DataFrame) -> list[str]:
+    """Every feature of the examples, those of most examples first (they lie together in memory); bounded as the examples are."""
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                names = list(features(text))
-                yield pa.RecordBatch.from_pydict({"feature": pa.array(names, pa.string()), "label": pa.array([label] * len(names), pa.int32())})
-
-    total = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("toxic")).first()
-    counts = (examples.select("text", "label").mapInArrow(trimmed(presence), "feature string, label int").groupBy("feature")
-              .agg(F.sum("label").cast("double").alias("a"), F.sum(1 - F.col("label")).cast("double").alias("b")))
-    n1, n0 = float(total.toxic), float(total.n - total.toxic)
-    c, d = n1 - F.col("a"), n0 - F.col("b")
-    n, with_it = n1 + n0, F.col("a") + F.col("b")
-    term = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
-    if not n1 or not n0:
-        return []
-    g2 = 2 * (term(F.col("a"), with_it * n1 / n) + term(F.col("b"), with_it * n0 / n)
-              + term(c, (n - with_it) * n1 / n) + term(d, (n - with_it) * n0 / n))
-    odds = F.abs(F.log((F.col("a") + 0.5) * (d + 0.5) / ((F.col("b") + 0.5) * (c + 0.5))))
-    best = counts.filter("a + b >= 3").withColumn("g2", g2).filter((F.col("g2") >= min_g2) & (odds >= math.log(min_odds)))
-    return sorted(r.feature for r in best.orderBy(F.desc("g2"), "feature").limit(max_features).select("feature").collect())
-
-
-def document_frequencies(docs: DataFrame, names: list[str]) -> tuple[int, np.ndarray]:
-    """Documents, and documents with each feature, over the whole corpus."""
-    place = docs.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(names)})
+            met = Counter(chain.from_iterable({f for w in (text or "").lower().split() for f in names_of(w)} for text in batch.column(0).to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(met), pa.string()), pa.array(list(met.values()), pa.int64())], ["feature", "n"])
 
+    held = examples.select("text").mapInArrow(trimmed(names), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
+    pairs = zip(held.column("n").to_pylist(), held.column("feature").to_pylist())
+    return [f for _, f in sorted(pairs, key=lambda x: (-x[0], x[1]))]
+
+
+def document_frequencies(docs: DataFrame, shared, size: int) -> tuple[int, np.ndarray]:
+    """Documents, and documents with each of the ``size`` features placed by the broadcast, over the whole corpus."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, df = place.value, np.zeros(len(place.value) + 1, np.int64)
+        terms, df = Terms(shared.value), np.zeros(size + 1, np.int64)
         for batch in batches:
             for text in batch.column(0):
-                df[[seen[f] for f in features(text.as_py()) if f in seen]] += 1
+                df[terms.counts(text.as_py())[0]] += 1
                 df[-1] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(df))), pa.array(df)], ["feature", "n"])
+        seen = np.nonzero(df)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(df[seen])], ["feature", "n"])
 
-    rows = docs.select("text").mapInArrow(trimmed(count), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
-    df = np.zeros(len(names) + 1, np.int64)
-    for r in rows:  # one number per feature
-        df[r.feature] = r.n
+    rows = docs.select("text").mapInArrow(trimmed(count), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(size + 1, np.int64)
+    df[rows.column("feature").to_numpy()] = rows.column("n").to_numpy()  # one number per feature
     return int(df[-1]), df[:-1]
 
 
+def spread(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after the other."""
+    n = stop - start
+    ends = np.cumsum(n)
+    return np.arange(ends[-1] if len(n) else 0) + np.repeat(start - ends + n, n)
+
+
 @dataclass
 class Index:
     """Block-max inverted index of the examples, with the calibration; of bounded size."""
 
     place: dict[str, int]
     idf: np.ndarray
+    k: int
     doc_id: np.ndarray
     label: np.ndarray
-    block_max: np.ndarray  # (features, blocks)
-    starts: np.ndarray  # (features, blocks + 1): where a feature's postings of a block start
-    posting_doc: np.ndarray
+    row_start: np.ndarray  # vectors: where an example's entries start
+    row_feature: np.ndarray
+    row_weight: np.ndarray
+    common_row: np.ndarray  # a feature's row in ``common``, or -1
+    common: np.ndarray  # (common features, examples)
+    cell_start: np.ndarray  # where a feature's cells start, one per block that holds it
+    cell_block: np.ndarray
+    cell_max: np.ndarray
+    posting_start: np.ndarray  # where a cell's postings start
+    posting_row: np.ndarray
     posting_weight: np.ndarray
-    k: int
     votes: np.ndarray | None = None  # calibration: scores at rising votes
     scores: np.ndarray | None = None
     no_neighbour: float = 0.5
 
-    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+    def __post_init__(self) -> None:
+        self.query = np.zeros(len(self.idf))  # scratch, all zero between calls
+        self.terms = Terms(self.place)
+
+    def shipped(self) -> dict:
+        return {f.name: getattr(self, f.name) for f in fields(self)}
+
+    def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
         found = sorted((self.place[f], n) for f, n in counts.items() if f in self.place)
-        if not found:
-            return np.empty(0, np.int64), np.empty(0)
-        at = np.array([i for i, _ in found])
-        w = (1 + np.log([n for _, n in found])) * self.idf[at]
-        norm = math.sqrt(float(w @ w))
-        return (at, w / norm) if norm else (at[:0], w[:0])
-
-    def nearest(self, at: np.ndarray, w: np.ndarray, skip: int = -1) -> list[tuple[float, int]]:
+        return weighted(np.array([i for i, _ in found], np.int64), np.array([n for _, n in found], float), self.idf)
+
+    def common_parts(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """(vectors, examples): what the common features add to each cosine."""
+        q = np.zeros((len(vectors), len(self.common)), np.float32)
+        for i, (at, w) in enumerate(vectors):
+            row = self.common_row[at]
+            q[i, row[row >= 0]] = w[row >= 0]
+        used = np.nonzero(q.any(axis=0))[0]
+        return q[:, used] @ self.common[used] if 3 * len(used) < 2 * len(self.common) else q @ self.common
+
+    def nearest(self, at: np.ndarray, w: np.ndarray, skip: int = -1, shared: np.ndarray | None = None) -> list[tuple[float, int]]:
         """The k examples with the largest positive cosine, exact; ties by example number."""
-        best: list[tuple[float, int]] = []
-        if not len(at) or not self.block_max.shape[1]:
-            return best
-        bound = w @ self.block_max[at]
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == self.k and bound[b] < best[-1][0] - 1e-9:
-                break
-            sims = np.zeros(BLOCK)
-            for i, x in zip(at, w):
-                a, z = self.starts[i, b], self.starts[i, b + 1]
-                if z > a:
-                    sims[self.posting_doc[a:z] - b * BLOCK] += x * self.posting_weight[a:z]
-            for j in np.nonzero(sims > 0)[0]:
-                if b * BLOCK + j != skip:
-                    best.append((round(float(sims[j]), 12), int(b * BLOCK + j)))
-            best = sorted(best, key=lambda t: (-t[0], t[1]))[:self.k]
-        return best
+        n = len(self.label)
+        if not len(at) or not n:
+            return []
+        sims = (self.common_parts([(at, w)])[0] if shared is None else shared).astype(float)
+        if skip >= 0:
+            sims[skip] = -1.0
+        rare = self.common_row[at] < 0
+        f, x = at[rare], w[rare]
+        cells = spread(self.cell_start[f], self.cell_start[f + 1])
+        x = np.repeat(x, self.cell_start[f + 1] - self.cell_start[f])
+        block = self.cell_block[cells]
+        edges = np.arange(0, n, BLOCK)
+        bound = np.maximum.reduceat(sims, edges) + np.bincount(block, x * self.cell_max[cells], len(edges))
+        shut = np.ones(len(edges), bool)
+
+        def opened(chosen: np.ndarray) -> None:
+            wanted = np.zeros(len(edges), bool)
+            wanted[chosen] = True
+            shut[chosen] = False
+            take = np.nonzero(wanted[block])[0]
+            cell = cells[take]
+            a, z = self.posting_start[cell], self.posting_start[cell + 1]
+            at_posting = spread(a, z)
+            sims[:] += np.bincount(self.posting_row[at_posting], np.repeat(x[take], z - a) * self.posting_weight[at_posting], n)
+
+        def kth(values: np.ndarray) -> float:
+            return float(np.partition(values, len(values) - self.k)[len(values) - self.k]) if len(values) > self.k else 0.0
+
+        best = np.argsort(-bound, kind="stable")[:1 + self.k // 32]
+        opened(best)
+        floor = kth(sims[~np.repeat(shut, BLOCK)[:n]]) * (1 - MARGIN)
+        rest = np.nonzero(shut & (bound >= floor) & (bound > 0))[0]
+        if len(rest):
+            opened(rest)
+        if skip >= 0:
+            sims[skip] = -1.0
+        seen = np.where(np.repeat(shut, BLOCK)[:n], -1.0, sims)
+        near = np.nonzero((seen > 0) & (seen >= kth(seen) * (1 - MARGIN)))[0]
+        exact = np.round(self.cosines(at, w, near), 12)
+        order = np.lexsort((near, -exact))[:self.k]
+        return list(zip(exact[order].tolist(), near[order].tolist()))
+
+    def cosines(self, at: np.ndarray, w: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Cosines with the given examples, in double precision."""
+        if not len(rows):
+            return np.empty(0)
+        a, z = self.row_start[rows], self.row_start[rows + 1]
+        cut = list(zip(a.tolist(), z.tolist()))
+        self.query[at] = w
+        product = self.query.take(np.concatenate([self.row_feature[i:j] for i, j in cut]))
+        product *= np.concatenate([self.row_weight[i:j] for i, j in cut])
+        self.query[at] = 0.0
+        return np.add.reduceat(product, np.cumsum(z - a) - (z - a))
+
+    def neighbours(self, texts: list[str | None], skips: list[int] | None = None) -> Iterator[list[tuple[float, int]]]:
+        """The nearest examples of each text, a group of texts at a time."""
+        for g in range(0, len(texts), GROUP):
+            vectors = [weighted(*self.terms.counts(t), self.idf) for t in texts[g:g + GROUP]]
+            out: list = [None] * len(vectors)
+            # Texts of a language share their heaviest common feature, so batches use fewer rows of the matrix.
+            lead = [int(at[np.argmax(np.where(self.common_row[at] >= 0, w, 0))]) if len(at) else -1 for at, w in vectors]
+            order = sorted(range(len(vectors)), key=lambda i: lead[i])
+            for b in range(0, len(order), BATCH):
+                batch = order[b:b + BATCH]
+                for i, part in zip(batch, self.common_parts([vectors[i] for i in batch])):
+                    out[i] = self.nearest(*vectors[i], skip=skips[g + i] if skips else -1, shared=part)
+            yield from out
 
     def vote(self, near: list[tuple[float, int]]) -> float | None:
         if not near:
@@ -174,24 +262,54 @@ class Index:
         return float(np.interp(vote, self.votes, self.scores))
 
 
-def build_index(examples: list[tuple[int, Counter, int]], names: list[str], idf: np.ndarray, k: int) -> Index:
-    empty = Index({f: i for i, f in enumerate(names)}, idf, np.empty(0), np.empty(0), np.zeros((len(names), 0)), np.zeros((len(names), 1)),
-                  np.empty(0), np.empty(0), k)
-    vectors = [(doc_id, label, *empty.vector(counts)) for doc_id, counts, label in examples]
+def weighted(at: np.ndarray, n: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features and their weights, of length 1."""
+    w = (1 + np.log(n)) * idf[at]
+    norm = math.sqrt(float(w @ w))
+    return (at, w / norm) if norm else (at[:0], w[:0])
+
+
+def index_of(examples: list[tuple[int, int, np.ndarray, np.ndarray]], place: dict[str, int], idf: np.ndarray, k: int) -> Index:
+    """Index of (doc_id, label, features, occurrences)."""
+    vectors = [(doc_id, label, *weighted(at, n, idf)) for doc_id, label, at, n in examples]
     vectors = [v for v in vectors if len(v[2])]
-    vectors.sort(key=lambda v: (int(v[2][np.argmax(v[3])]), v[1], v[0]))  # like examples share blocks: tighter bounds
-    blocks = -(-len(vectors) // BLOCK)
-    row = np.concatenate([np.full(len(v[2]), i) for i, v in enumerate(vectors)] or [np.empty(0, int)]).astype(np.int64)
-    col = np.concatenate([v[2] for v in vectors] or [np.empty(0, int)]).astype(np.int64)
+    held = np.bincount(np.concatenate([v[2] for v in vectors] or [np.empty(0, np.int64)]), minlength=len(idf))
+
+    def leading(at: np.ndarray, w: np.ndarray) -> int:  # like examples share blocks: tighter bounds
+        return int(at[np.argmax(np.where(held[at] >= 8, w, 0))])
+
+    vectors.sort(key=lambda v: (leading(v[2], v[3]), v[1], v[0]))
+    row_start = np.cumsum([0] + [len(v[2]) for v in vectors])
+    feature = np.concatenate([v[2] for v in vectors] or [np.empty(0)]).astype(np.int32)
     weight = np.concatenate([v[3] for v in vectors] or [np.empty(0)])
-    order = np.lexsort((row, col))
-    row, col, weight = row[order], col[order], weight[order]
-    block_max = np.zeros((len(names), blocks))
-    np.maximum.at(block_max, (col, row // BLOCK), weight)
-    cell = col * blocks + row // BLOCK
-    edges = np.searchsorted(cell, np.arange(len(names) * blocks + 1)) if blocks else np.zeros(len(names) + 1, int)
-    starts = np.stack([edges[i * blocks:(i + 1) * blocks + 1] for i in range(len(names))]) if blocks and names else np.zeros((len(names), 1), int)
-    return Index(empty.place, idf, np.array([v[0] for v in vectors]), np.array([v[1] for v in vectors], float), block_max, starts, row, weight, k)
+    row = np.repeat(np.arange(len(vectors), dtype=np.int32), np.diff(row_start))
+
+    common_row = np.full(len(idf), -1, np.int32)
+    frequent = np.nonzero(held > COMMON * len(vectors))[0]
+    common_row[frequent] = np.arange(len(frequent))
+    common = np.zeros((len(frequent), len(vectors)), np.float32)
+    is_common = common_row[feature] >= 0
+    common[common_row[feature[is_common]], row[is_common]] = weight[is_common]
+
+    order = np.lexsort((row[~is_common], feature[~is_common]))
+    f, r, w = feature[~is_common][order], row[~is_common][order], weight[~is_common][order].astype(np.float32)
+    first = np.ones(len(f), bool)
+    first[1:] = (f[1:] != f[:-1]) | (r[1:] // BLOCK != r[:-1] // BLOCK)
+    posting_start = np.append(np.nonzero(first)[0], len(f))
+    cell_max = np.maximum.reduceat(w, posting_start[:-1]) if len(f) else w
+    cell_start = np.searchsorted(f[first], np.arange(len(idf) + 1))
+    return Index(place, idf, k, np.array([v[0] for v in vectors], np.int64), np.array([v[1] for v in vectors], float), row_start, feature, weight,
+                 common_row, common, cell_start, (r[first] // BLOCK).astype(np.int32), cell_max, posting_start, r, w)
+
+
+def build_index(examples: list[tuple[int, dict[str, int], int]], names: list[str], idf: np.ndarray, k: int) -> Index:
+    """Index of (doc_id, occurrences by feature, label)."""
+    place = {f: i for i, f in enumerate(names)}
+    rows = []
+    for doc_id, counts, label in examples:
+        found = sorted((place[f], n) for f, n in counts.items() if f in place)
+        rows.append((doc_id, label, np.array([i for i, _ in found], np.int64), np.array([n for _, n in found], float)))
+    return index_of(rows, place, idf, k)
 
 
 def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -207,21 +325,18 @@ def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def calibrate(index: Index, examples: DataFrame) -> None:
     """Set the index's calibration from leave-one-out votes, which tasks compute."""
-    spark = examples.sparkSession
-    shared = spark.sparkContext.broadcast(vars(index))
+    shared = examples.sparkSession.sparkContext.broadcast(index.shipped())
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = Index(**shared.value)
-        own: dict[int, list[int]] = {}
-        for i, doc_id in enumerate(x.doc_id.tolist()):
-            own.setdefault(doc_id, []).append(i)
+        own = {doc_id: i for i, doc_id in enumerate(x.doc_id.tolist())}
         for batch in batches:
-            out = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                out.append(x.vote(x.nearest(*x.vector(features(text)), skip=own.get(doc_id, [-1])[0])))
+            skips = [own.get(doc_id, -1) for doc_id in batch.column("doc_id").to_pylist()]
+            out = [x.vote(near) for near in x.neighbours(batch.column("text").to_pylist(), skips)]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(out, pa.float64())], ["label", "vote"])
 
-    rows = examples.select("doc_id", "text", "label").mapInArrow(trimmed(vote), "label int, vote double").collect()  # at most max_examples pairs
+    rows = examples.select("doc_id", "text", "label").mapInArrow(trimmed(vote), "label int, vote double").collect()  # one pair per example
+    shared.unpersist()
     alone = [r.label for r in rows if r.vote is None]
     index.no_neighbour = (sum(alone) + 0.5) / (len(alone) + 1)
     voted = [(r.vote, r.label) for r in rows if r.vote is not None]
@@ -229,42 +344,41 @@ def calibrate(index: Index, examples: DataFrame) -> None:
         index.votes, index.scores = isotonic(np.array([v for v, _ in voted]), np.array([y for _, y in voted]))
 
 
-def kept_counts(examples: DataFrame, names: list[str]) -> DataFrame:
-    """doc_id, label, and the kept features with their counts."""
-    shared = examples.sparkSession.sparkContext.broadcast(set(names))
-
+def counted(examples: DataFrame, shared) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(doc_id, label, features, occurrences) of each example."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = Terms(shared.value)
         for batch in batches:
-            found = [{f: n for f, n in features(t).items() if f in shared.value} for t in batch.column("text").to_pylist()]
+            found = [terms.counts(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array([list(x) for x in found], pa.list_(pa.string())),
-                 pa.array([list(x.values()) for x in found], pa.list_(pa.int64()))], ["doc_id", "label", "feature", "n"])
+                [batch.column("doc_id"), batch.column("label"), pa.array([at.astype(np.int32) for at, _ in found], pa.list_(pa.int32())),
+                 pa.array([n.astype(np.int32) for _, n in found], pa.list_(pa.int32()))], ["doc_id", "label", "feature", "n"])
 
-    return examples.select("doc_id", "text", "label").mapInArrow(trimmed(count), "doc_id long, label int, feature array<string>, n array<long>")
+    rows = examples.select("doc_id", "text", "label").mapInArrow(
+        trimmed(count), "doc_id long, label int, feature array<int>, n array<int>").toArrow()  # one row per example
+    return [(d.as_py(), y.as_py(), f.values.to_numpy().astype(np.int64), n.values.to_numpy().astype(float)) for d, y, f, n in
+            zip(*(rows.column(c) for c in ("doc_id", "label", "feature", "n")))]
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 8192, max_features: int = 4096, min_g2: float = 25.0,
-        min_odds: float = 3.0, k: int = 16) -> Index:
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 8192, k: int = 64) -> Index:
     examples = pick_examples(docs, labels, max_examples)
-    names = pick_features(examples, max_features, min_g2, min_odds)
-    n, df = document_frequencies(docs, names)
-    idf = np.log(1 + n / (1 + df))
-
-    rows = kept_counts(examples, names).collect()  # at most max_examples rows of kept features
-    index = build_index([(r.doc_id, Counter(dict(zip(r.feature, r.n))), r.label) for r in rows], names, idf, k)
+    names = all_features(examples)
+    shared = docs.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(names)})
+    n, df = document_frequencies(docs, shared, len(names))
+    index = index_of(counted(examples, shared), shared.value, np.log(1 + n / (1 + df)), k)
+    shared.unpersist()
     calibrate(index, examples)
     return index
 
 
 def scorer(docs: DataFrame, index: Index):
     """Column function: text -> struct(score, evidence)."""
-    shared = docs.sparkSession.sparkContext.broadcast(vars(index))
+    shared = docs.sparkSession.sparkContext.broadcast(index.shipped())
 
     @F.pandas_udf("score double, evidence array<struct<doc_id:long,similarity:double,label:int>>")
     def score(text: pd.Series) -> pd.DataFrame:
         x, scores, evidence = Index(**shared.value), [], []
-        for t in text:
-            near = x.nearest(*x.vector(features(t)))
+        for near in x.neighbours(text.tolist()):
             scores.append(x.calibrated(x.vote(near)))
             evidence.append([{"doc_id": int(x.doc_id[j]), "similarity": s, "label": int(x.label[j])} for s, j in near[:3]])
         return pd.DataFrame({"score": scores, "evidence": evidence})
