@@ -1,12 +1,16 @@
 """WARC archives: write pages as records, read the archives back in sequence.
 
-Writer. Each page is one record in one gzip member; ``records_per_archive``
-members make a file. Payloads of at least ``min_revisit_bytes`` that occur more
+Writer. Each page is one record in one gzip member. Members stand back to back;
+a file ends at ``records_per_archive`` members or ``archive_bytes`` bytes,
+whichever comes first (a larger single member has a file of its own). Payloads of at least ``min_revisit_bytes`` that occur more
 than once are stored once, as ``response`` of the smallest page id; the others
 become ``revisit`` records that name it. Archives are written by Spark's own
 committed file output, so a lost executor leaves no half archive, and any store
-Spark can write will do. Members are divided by one zero byte, which gzip
-readers take as padding.
+Spark can write will do: a file is one row of that output. The row's end is a zero
+byte, and so is the end of a gzip member of less than 16 MB, its length's highest
+byte; the writer leaves it to the row's end. After a larger member comes an empty
+one. So a file is gzip members and nothing else, for any reader. (Spark leaves an
+empty file where its first task has no record.)
 
 Reader. Spark lists and reads the files; each is then one sequential scan:
 incremental inflation, one member at a time, header lines up to the blank line,
@@ -22,6 +26,7 @@ no rows. Extra columns are not read.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import uuid
 import zlib
@@ -37,7 +42,9 @@ from opsflow.llm.common import join_stats, scratch_root, written
 
 CRLF = b"\r\n"
 PAD = "\x00"
+EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 INFLATE_STEP = 1 << 16
+READ_BYTES = 8 << 20  # of records that a reader holds at a time
 RECORD_SCHEMA = ("archive string, offset long, record_type string, record_id string, page_id long, url string, "
                  "refers_to long, payload_bytes long, payload_digest string, payload binary")
 # Fixed values of the WARC format.
@@ -94,23 +101,35 @@ def encode_record(page_id: int | None, url: str | None, payload: bytes, digest:
     return zipper.compress(record) + zipper.flush()
 
 
+def joined(members: list[bytes]) -> bytes:
+    """One file's members, without the zero byte that the output adds."""
+    data = b"".join(members)
+    return (data if data.endswith(b"\x00") else data + EMPTY_MEMBER)[:-1]
+
+
 def write_archives(pages: DataFrame, path: str, records_per_archive: int = 1000, min_revisit_bytes: int = 100,
-                   date: str = "2024-01-01T00:00:00Z") -> None:
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                   date: str = "2024-01-01T00:00:00Z", archive_bytes: int = 16 << 20) -> None:
+    def archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                rows = batch.slice(k, 256).to_pylist()
-                yield pa.RecordBatch.from_pydict({"member": pa.array(
-                    [encode_record(r["page_id"], r["url"], r["payload"], r["payload_digest"], r["refers_to"], date)
-                     for r in rows], pa.binary())})
-
-    out = plan_records(pages, min_revisit_bytes).mapInArrow(members, "member binary")
-    (out.select(F.col("member").cast("string").alias("value")).write.option("lineSep", PAD)
-     .option("maxRecordsPerFile", records_per_archive).text(path))
+            for k in range(batch.num_rows):
+                r = batch.slice(k, 1).to_pylist()[0]
+                member = encode_record(r["page_id"], r["url"], r["payload"], r["payload_digest"], r["refers_to"], date)
+                if held and (len(held) == records_per_archive or size + len(member) > archive_bytes):
+                    yield pa.RecordBatch.from_arrays([pa.array([joined(held)], pa.binary())], ["archive"])
+                    held, size = [], 0
+                held.append(member)
+                size += len(member)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([joined(held)], pa.binary())], ["archive"])
+
+    out = plan_records(pages, min_revisit_bytes).mapInArrow(archives, "archive binary")
+    (out.select(F.col("archive").cast("string").alias("value")).write.option("lineSep", PAD)
+     .option("maxRecordsPerFile", 1).text(path))
 
 
 def inflate_members(content: memoryview) -> Iterator[tuple[int, bytes]]:
-    """(offset, inflated bytes) of each gzip member, one at a time."""
+    """(offset, inflated bytes) of each gzip member that is not empty, one at a time."""
     at, end = 0, len(content)
     while at < end:
         if content[at] == 0:  # padding
@@ -123,7 +142,8 @@ def inflate_members(content: memoryview) -> Iterator[tuple[int, bytes]]:
             step = content[at:at + INFLATE_STEP]
             pieces.append(zipper.decompress(step))
             at += len(step) - len(zipper.unused_data)
-        yield start, b"".join(pieces)
+        if any(pieces):
+            yield start, b"".join(pieces)
 
 
 def parse_record(record: bytes) -> tuple[dict[str, str], bytes]:
@@ -168,15 +188,16 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for archive, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows = []
+                rows, held = [], 0
                 for offset, record in inflate_members(memoryview(content.as_buffer())):
                     try:
                         rows.append({"archive": archive, "offset": offset} | decode_record(record))
                     except (ValueError, KeyError) as e:
                         raise ValueError(f"{archive}, record at byte {offset}: {e}") from e
-                    if len(rows) == 256:
+                    held += len(record)
+                    if len(rows) == 256 or held > READ_BYTES:
                         yield pa.RecordBatch.from_pylist(rows, schema)
-                        rows = []
+                        rows, held = [], 0
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
