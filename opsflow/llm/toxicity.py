@@ -17,8 +17,10 @@ feature has postings by (feature, block) with their largest weight. A query adds
 the block maxima to the largest matrix part of each block, opens the blocks of
 the highest bounds, then all whose bound reaches the k-th best similarity so
 far. Those sums are in single precision and only choose candidates, with a margin
-beyond their error; the candidates' cosines are summed anew in double precision.
-So the k nearest are exact, and equal texts have equal scores in any batch.
+beyond their error; the candidates' common part is then summed anew in double
+precision, as the rest is. So the k nearest are exact, and equal texts have equal
+scores in any batch. Tasks get the examples as packed feature numbers and counts
+and build the index themselves, once a task: it is some twenty times as large.
 
 Score. A neighbour votes with weight 1 / (distance + 0.1). The votes are
 calibrated by an isotonic fit to the examples' own votes, each without itself;
@@ -34,9 +36,10 @@ never examples; an empty table gives no rows; extra columns are not read.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
@@ -45,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsflow.llm.common import trimmed, written
+from opsflow.llm.common import give_back, trimmed, written
 
 BLOCK = 64
 COMMON = 1 / 32  # of the examples
@@ -75,9 +78,7 @@ class Terms:
 
     def of_word(self, word: str) -> tuple[int, ...]:
         found = tuple(self.place[f] for f in names_of(word) if f in self.place)
-        if len(word) <= 32:
-            if len(self.known) >= 100_000:
-                self.known.clear()
+        if len(word) <= 32 and len(self.known) < 200_000:
             self.known[word] = found
         return found
 
@@ -145,11 +146,11 @@ class Index:
     k: int
     doc_id: np.ndarray
     label: np.ndarray
-    row_start: np.ndarray  # vectors: where an example's entries start
-    row_feature: np.ndarray
-    row_weight: np.ndarray
     common_row: np.ndarray  # a feature's row in ``common``, or -1
-    common: np.ndarray  # (common features, examples)
+    common: np.ndarray  # (common features, examples), in single precision
+    own_start: np.ndarray  # where an example's common features start
+    own_row: np.ndarray
+    own_weight: np.ndarray
     cell_start: np.ndarray  # where a feature's cells start, one per block that holds it
     cell_block: np.ndarray
     cell_max: np.ndarray
@@ -161,12 +162,9 @@ class Index:
     no_neighbour: float = 0.5
 
     def __post_init__(self) -> None:
-        self.query = np.zeros(len(self.idf))  # scratch, all zero between calls
+        self.query = np.zeros(len(self.common))  # scratch, all zero between calls
         self.terms = Terms(self.place)
 
-    def shipped(self) -> dict:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
-
     def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
         found = sorted((self.place[f], n) for f, n in counts.items() if f in self.place)
         return weighted(np.array([i for i, _ in found], np.int64), np.array([n for _, n in found], float), self.idf)
@@ -185,16 +183,17 @@ class Index:
         n = len(self.label)
         if not len(at) or not n:
             return []
-        sims = (self.common_parts([(at, w)])[0] if shared is None else shared).astype(float)
+        common = (self.common_parts([(at, w)])[0] if shared is None else shared).astype(float)
         if skip >= 0:
-            sims[skip] = -1.0
+            common[skip] = -2.0  # no cosine makes up for it
+        rest_of = np.zeros(n)
         rare = self.common_row[at] < 0
         f, x = at[rare], w[rare]
         cells = spread(self.cell_start[f], self.cell_start[f + 1])
         x = np.repeat(x, self.cell_start[f + 1] - self.cell_start[f])
         block = self.cell_block[cells]
         edges = np.arange(0, n, BLOCK)
-        bound = np.maximum.reduceat(sims, edges) + np.bincount(block, x * self.cell_max[cells], len(edges))
+        bound = np.maximum.reduceat(common, edges) + np.bincount(block, x * self.cell_max[cells], len(edges))
         shut = np.ones(len(edges), bool)
 
         def opened(chosen: np.ndarray) -> None:
@@ -205,36 +204,31 @@ class Index:
             cell = cells[take]
             a, z = self.posting_start[cell], self.posting_start[cell + 1]
             at_posting = spread(a, z)
-            sims[:] += np.bincount(self.posting_row[at_posting], np.repeat(x[take], z - a) * self.posting_weight[at_posting], n)
+            rest_of[:] += np.bincount(self.posting_row[at_posting], np.repeat(x[take], z - a) * self.posting_weight[at_posting], n)
 
         def kth(values: np.ndarray) -> float:
             return float(np.partition(values, len(values) - self.k)[len(values) - self.k]) if len(values) > self.k else 0.0
 
         best = np.argsort(-bound, kind="stable")[:1 + self.k // 32]
         opened(best)
-        floor = kth(sims[~np.repeat(shut, BLOCK)[:n]]) * (1 - MARGIN)
+        floor = kth((common + rest_of)[~np.repeat(shut, BLOCK)[:n]]) * (1 - MARGIN)
         rest = np.nonzero(shut & (bound >= floor) & (bound > 0))[0]
         if len(rest):
             opened(rest)
-        if skip >= 0:
-            sims[skip] = -1.0
-        seen = np.where(np.repeat(shut, BLOCK)[:n], -1.0, sims)
+        seen = np.where(np.repeat(shut, BLOCK)[:n], -1.0, common + rest_of)
         near = np.nonzero((seen > 0) & (seen >= kth(seen) * (1 - MARGIN)))[0]
-        exact = np.round(self.cosines(at, w, near), 12)
+        exact = np.round(rest_of[near] + self.common_cosines(at[~rare], w[~rare], near), 12)
         order = np.lexsort((near, -exact))[:self.k]
         return list(zip(exact[order].tolist(), near[order].tolist()))
 
-    def cosines(self, at: np.ndarray, w: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Cosines with the given examples, in double precision."""
-        if not len(rows):
-            return np.empty(0)
-        a, z = self.row_start[rows], self.row_start[rows + 1]
-        cut = list(zip(a.tolist(), z.tolist()))
-        self.query[at] = w
-        product = self.query.take(np.concatenate([self.row_feature[i:j] for i, j in cut]))
-        product *= np.concatenate([self.row_weight[i:j] for i, j in cut])
-        self.query[at] = 0.0
-        return np.add.reduceat(product, np.cumsum(z - a) - (z - a))
+    def common_cosines(self, at: np.ndarray, w: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The common features' part of the cosines with the given examples, in double precision."""
+        a, z = self.own_start[rows], self.own_start[rows + 1]
+        entry = spread(a, z)
+        self.query[self.common_row[at]] = w
+        product = self.query.take(self.own_row[entry]) * self.own_weight[entry]
+        self.query[self.common_row[at]] = 0.0
+        return np.bincount(np.repeat(np.arange(len(rows)), z - a), product, len(rows))
 
     def neighbours(self, texts: list[str | None], skips: list[int] | None = None) -> Iterator[list[tuple[float, int]]]:
         """The nearest examples of each text, a group of texts at a time."""
@@ -269,47 +263,81 @@ def weighted(at: np.ndarray, n: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray
     return (at, w / norm) if norm else (at[:0], w[:0])
 
 
-def index_of(examples: list[tuple[int, int, np.ndarray, np.ndarray]], place: dict[str, int], idf: np.ndarray, k: int) -> Index:
-    """Index of (doc_id, label, features, occurrences)."""
-    vectors = [(doc_id, label, *weighted(at, n, idf)) for doc_id, label, at, n in examples]
-    vectors = [v for v in vectors if len(v[2])]
-    held = np.bincount(np.concatenate([v[2] for v in vectors] or [np.empty(0, np.int64)]), minlength=len(idf))
-
-    def leading(at: np.ndarray, w: np.ndarray) -> int:  # like examples share blocks: tighter bounds
-        return int(at[np.argmax(np.where(held[at] >= 8, w, 0))])
-
-    vectors.sort(key=lambda v: (leading(v[2], v[3]), v[1], v[0]))
-    row_start = np.cumsum([0] + [len(v[2]) for v in vectors])
-    feature = np.concatenate([v[2] for v in vectors] or [np.empty(0)]).astype(np.int32)
-    weight = np.concatenate([v[3] for v in vectors] or [np.empty(0)])
-    row = np.repeat(np.arange(len(vectors), dtype=np.int32), np.diff(row_start))
-
-    common_row = np.full(len(idf), -1, np.int32)
-    frequent = np.nonzero(held > COMMON * len(vectors))[0]
+def index_of(ids: np.ndarray, labels: np.ndarray, start: np.ndarray, at: np.ndarray, n: np.ndarray, place: dict[str, int], idf: np.ndarray,
+             k: int) -> Index:
+    """Index of examples: ids, labels, and features with occurrences, an example's own from its start."""
+    size = np.diff(start)
+    row = np.repeat(np.arange(len(size)), size)
+    weight = (1 + np.log(n)) * idf[at]
+    norm = np.sqrt(np.bincount(row, weight * weight, len(size)))
+    weight /= norm[row]
+    held = np.bincount(at, minlength=len(idf))
+
+    # Examples with the same heaviest feature (of those that eight or more hold) share blocks: tighter bounds.
+    lead = np.full(len(size), -1)
+    by_weight = np.lexsort((weight, row))
+    telling = by_weight[held[at[by_weight]] >= 8]
+    lead[row[telling]] = at[telling]  # the last one of a row stays
+    order = [i for i in np.lexsort((ids, labels, lead)) if size[i]]
+    number = np.full(len(size), -1)
+    number[order] = np.arange(len(order))
+    row, rows = number[row], len(order)
+
+    common_row = np.full(len(idf), -1)
+    frequent = np.nonzero(held > COMMON * rows)[0]
     common_row[frequent] = np.arange(len(frequent))
-    common = np.zeros((len(frequent), len(vectors)), np.float32)
-    is_common = common_row[feature] >= 0
-    common[common_row[feature[is_common]], row[is_common]] = weight[is_common]
-
-    order = np.lexsort((row[~is_common], feature[~is_common]))
-    f, r, w = feature[~is_common][order], row[~is_common][order], weight[~is_common][order].astype(np.float32)
-    first = np.ones(len(f), bool)
-    first[1:] = (f[1:] != f[:-1]) | (r[1:] // BLOCK != r[:-1] // BLOCK)
-    posting_start = np.append(np.nonzero(first)[0], len(f))
-    cell_max = np.maximum.reduceat(w, posting_start[:-1]) if len(f) else w
-    cell_start = np.searchsorted(f[first], np.arange(len(idf) + 1))
-    return Index(place, idf, k, np.array([v[0] for v in vectors], np.int64), np.array([v[1] for v in vectors], float), row_start, feature, weight,
-                 common_row, common, cell_start, (r[first] // BLOCK).astype(np.int32), cell_max, posting_start, r, w)
+    line = common_row[at]
+    c = np.nonzero(line >= 0)[0]
+    common = np.zeros((len(frequent), rows), np.float32)
+    common[line[c], row[c]] = weight[c]
+    own = c[np.argsort(row[c], kind="stable")]
+    own_start = np.searchsorted(row[own], np.arange(rows + 1))
+
+    r = np.nonzero(line < 0)[0]
+    r = r[np.lexsort((row[r], at[r]))]
+    feature, posting_row, posting_weight = at[r], row[r], weight[r]
+    first = np.ones(len(r), bool)
+    first[1:] = (feature[1:] != feature[:-1]) | (posting_row[1:] // BLOCK != posting_row[:-1] // BLOCK)
+    posting_start = np.append(np.nonzero(first)[0], len(r))
+    cell_max = np.maximum.reduceat(posting_weight, posting_start[:-1]) if len(r) else posting_weight
+    cell_start = np.searchsorted(feature[first], np.arange(len(idf) + 1))
+    return Index(place, idf, k, ids[order], labels[order].astype(float), common_row, common, own_start, line[own], weight[own],
+                 cell_start, posting_row[first] // BLOCK, cell_max, posting_start, posting_row.astype(np.int32), posting_weight)
 
 
 def build_index(examples: list[tuple[int, dict[str, int], int]], names: list[str], idf: np.ndarray, k: int) -> Index:
     """Index of (doc_id, occurrences by feature, label)."""
     place = {f: i for i, f in enumerate(names)}
-    rows = []
-    for doc_id, counts, label in examples:
-        found = sorted((place[f], n) for f, n in counts.items() if f in place)
-        rows.append((doc_id, label, np.array([i for i, _ in found], np.int64), np.array([n for _, n in found], float)))
-    return index_of(rows, place, idf, k)
+    found = [sorted((place[f], n) for f, n in counts.items() if f in place) for _, counts, _ in examples]
+    flat = np.array([x for row in found for x in row], float).reshape(-1, 2)
+    return index_of(np.array([e[0] for e in examples], np.int64), np.array([e[2] for e in examples], np.int64),
+                    np.cumsum([0] + [len(row) for row in found]), flat[:, 0].astype(np.int64), flat[:, 1], place, idf, k)
+
+
+@dataclass
+class Packed:
+    """What an index is built from, small enough to be sent to every executor; bounded as the examples are."""
+
+    names: bytes
+    idf: np.ndarray
+    k: int
+    ids: np.ndarray
+    labels: np.ndarray
+    start: np.ndarray
+    steps: bytes  # an example's rising feature numbers, as differences
+    times: bytes
+    votes: np.ndarray | None = None
+    scores: np.ndarray | None = None
+    no_neighbour: float = 0.5
+
+    def index(self) -> Index:
+        names = zlib.decompress(self.names).decode("utf-8", "surrogatepass").split("\n")
+        steps = np.frombuffer(zlib.decompress(self.steps), np.int32).astype(np.int64)
+        at = np.cumsum(steps)  # each example starts from zero again: its first step takes the last number back
+        n = np.frombuffer(zlib.decompress(self.times), np.int32).astype(float)
+        index = index_of(self.ids, self.labels, self.start, at, n, {f: i for i, f in enumerate(names[:len(self.idf)])}, self.idf, self.k)
+        index.votes, index.scores, index.no_neighbour = self.votes, self.scores, self.no_neighbour
+        return index
 
 
 def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -323,14 +351,15 @@ def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.array([p[0] / p[1] for p in pools]), np.maximum.accumulate([(p[2] + 0.5) / (p[1] + 1) for p in pools] or [0.5])
 
 
-def calibrate(index: Index, examples: DataFrame) -> None:
-    """Set the index's calibration from leave-one-out votes, which tasks compute."""
-    shared = examples.sparkSession.sparkContext.broadcast(index.shipped())
+def calibrate(packed: Packed, examples: DataFrame) -> None:
+    """Set the calibration from leave-one-out votes, which tasks compute."""
+    shared = examples.sparkSession.sparkContext.broadcast(packed)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = Index(**shared.value)
-        own = {doc_id: i for i, doc_id in enumerate(x.doc_id.tolist())}
+        x = None
         for batch in batches:
+            x = x or shared.value.index()
+            own = {doc_id: i for i, doc_id in enumerate(x.doc_id.tolist())}
             skips = [own.get(doc_id, -1) for doc_id in batch.column("doc_id").to_pylist()]
             out = [x.vote(near) for near in x.neighbours(batch.column("text").to_pylist(), skips)]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(out, pa.float64())], ["label", "vote"])
@@ -338,14 +367,14 @@ def calibrate(index: Index, examples: DataFrame) -> None:
     rows = examples.select("doc_id", "text", "label").mapInArrow(trimmed(vote), "label int, vote double").collect()  # one pair per example
     shared.unpersist()
     alone = [r.label for r in rows if r.vote is None]
-    index.no_neighbour = (sum(alone) + 0.5) / (len(alone) + 1)
+    packed.no_neighbour = (sum(alone) + 0.5) / (len(alone) + 1)
     voted = [(r.vote, r.label) for r in rows if r.vote is not None]
     if voted:
-        index.votes, index.scores = isotonic(np.array([v for v, _ in voted]), np.array([y for _, y in voted]))
+        packed.votes, packed.scores = isotonic(np.array([v for v, _ in voted]), np.array([y for _, y in voted]))
 
 
-def counted(examples: DataFrame, shared) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(doc_id, label, features, occurrences) of each example."""
+def counted(examples: DataFrame, shared) -> pa.Table:
+    """doc_id, label, rising features and occurrences of each example."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms(shared.value)
         for batch in batches:
@@ -354,34 +383,43 @@ def counted(examples: DataFrame, shared) -> list[tuple[int, int, np.ndarray, np.
                 [batch.column("doc_id"), batch.column("label"), pa.array([at.astype(np.int32) for at, _ in found], pa.list_(pa.int32())),
                  pa.array([n.astype(np.int32) for _, n in found], pa.list_(pa.int32()))], ["doc_id", "label", "feature", "n"])
 
-    rows = examples.select("doc_id", "text", "label").mapInArrow(
+    return examples.select("doc_id", "text", "label").mapInArrow(
         trimmed(count), "doc_id long, label int, feature array<int>, n array<int>").toArrow()  # one row per example
-    return [(d.as_py(), y.as_py(), f.values.to_numpy().astype(np.int64), n.values.to_numpy().astype(float)) for d, y, f, n in
-            zip(*(rows.column(c) for c in ("doc_id", "label", "feature", "n")))]
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 8192, k: int = 64) -> Index:
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 8192, k: int = 64) -> Packed:
     examples = pick_examples(docs, labels, max_examples)
     names = all_features(examples)
     shared = docs.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(names)})
     n, df = document_frequencies(docs, shared, len(names))
-    index = index_of(counted(examples, shared), shared.value, np.log(1 + n / (1 + df)), k)
+    rows = counted(examples, shared).combine_chunks()
     shared.unpersist()
-    calibrate(index, examples)
-    return index
+    flat = lambda c: np.concatenate([x.flatten().to_numpy(zero_copy_only=False) for x in rows.column(c).chunks] or [np.empty(0)]).astype(np.int32)
+    sizes = [len(x) for x in rows.column("feature")]
+    packed = Packed(zlib.compress("\n".join(names).encode("utf-8", "surrogatepass")), np.log(1 + n / (1 + df)), k,
+                    np.array(rows.column("doc_id").to_pylist(), np.int64), np.array(rows.column("label").to_pylist(), np.int64),
+                    np.cumsum([0] + sizes), zlib.compress(np.diff(flat("feature"), prepend=0).astype(np.int32).tobytes()),
+                    zlib.compress(flat("n").tobytes()))
+    calibrate(packed, examples)
+    return packed
 
 
-def scorer(docs: DataFrame, index: Index):
+def scorer(docs: DataFrame, packed: Packed):
     """Column function: text -> struct(score, evidence)."""
-    shared = docs.sparkSession.sparkContext.broadcast(index.shipped())
+    shared = docs.sparkSession.sparkContext.broadcast(packed)
 
     @F.pandas_udf("score double, evidence array<struct<doc_id:long,similarity:double,label:int>>")
-    def score(text: pd.Series) -> pd.DataFrame:
-        x, scores, evidence = Index(**shared.value), [], []
-        for near in x.neighbours(text.tolist()):
-            scores.append(x.calibrated(x.vote(near)))
-            evidence.append([{"doc_id": int(x.doc_id[j]), "similarity": s, "label": int(x.label[j])} for s, j in near[:3]])
-        return pd.DataFrame({"score": scores, "evidence": evidence})
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        x = None
+        for text in batches:
+            x = x or shared.value.index()
+            scores, evidence = [], []
+            for near in x.neighbours(text.tolist()):
+                scores.append(x.calibrated(x.vote(near)))
+                evidence.append([{"doc_id": int(x.doc_id[j]), "similarity": s, "label": int(x.label[j])} for s, j in near[:3]])
+            yield pd.DataFrame({"score": scores, "evidence": evidence})
+        del x
+        give_back()
 
     return score
 
