@@ -36,6 +36,7 @@ RECORDS_DDL = "path string, block bigint, pos bigint, fields array<string>, vali
 CUT_DDL = RECORDS_DDL + ", part string, owner bigint"
 # Ranges that start inside a field are known to every task (some 100 bytes each); beyond this many, ranges are made larger.
 MAX_STARTS = 500_000
+TASK_BYTES = 32 << 20  # small ranges are read many to a task, one after the other
 BATCH_ROWS = 10_000
 _BOM = b"\xef\xbb\xbf"
 
@@ -101,7 +102,9 @@ def _maps(sep: str):
             row = rows[-1]
             for text, _, _ in pieces(line, first and block == 0):
                 if '"' in text:
-                    row[2], row[3] = ends_inside(text, row[2], sep), ends_inside(text, row[3], sep)
+                    same = row[2] == row[3]  # from then on there is one state to follow
+                    row[2] = ends_inside(text, row[2], sep)
+                    row[3] = row[2] if same else ends_inside(text, row[3], sep)
                 row[4] |= not row[3]
         yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 5, (pa.string(), pa.int64(), *[pa.bool_()] * 3))],
                               ["path", "block", "from_out", "from_in", "ends"])
@@ -124,9 +127,9 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                           ["path", "block", "owner"])
 
 
-def inside_starts(spark: SparkSession, paths: list[str], sep: str) -> DataFrame:
+def inside_starts(spark: SparkSession, paths: list[str], sep: str, tasks: int) -> DataFrame:
     """Ranges that start inside a quoted field: path, block, and the block in which that record starts."""
-    maps = lines(spark, paths).mapInArrow(_maps(sep), "path string, block bigint, from_out boolean, from_in boolean, ends boolean")
+    maps = lines(spark, paths).coalesce(tasks).mapInArrow(_maps(sep), "path string, block bigint, from_out boolean, from_in boolean, ends boolean")
     chained = maps.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("block", "from_out", "from_in", "ends"))).alias("ranges"))
     return chained.mapInArrow(_chain, "path string, block bigint, owner bigint")
 
@@ -207,9 +210,8 @@ def _fixed_ranges(spark: SparkSession, max_bytes: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def _one_range_each(spark: SparkSession, paths: list[str], max_bytes: int) -> bool:
+def _one_range_each(spark: SparkSession, size: list[int], max_bytes: int) -> bool:
     """Whether Spark will read every file as one range (its rule for the size of a range, with the settings as they are)."""
-    size = Files(spark, paths[0]).sizes(paths)
     cost = _bytes(spark, spark.conf.get("spark.sql.files.openCostInBytes"))
     per_core = sum(x + cost for x in size) // max(1, int(spark.conf.get("spark.sql.files.minPartitionNum")))
     return max(size) <= min(max_bytes, max(cost, per_core))
@@ -226,15 +228,18 @@ def records(spark: SparkSession, paths: list[str], stage: str, sep: str = ",", r
     file is larger than a range). ``range_bytes``: the most bytes of a range, by default what the session says.
     """
     max_bytes = range_bytes or _bytes(spark, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    size = Files(spark, paths[0]).sizes(paths)
+    # As many tasks as the text needs, however small its ranges; a task that already has more to read is left as it is.
+    tasks = max(spark.sparkContext.defaultParallelism, -(-sum(size) // TASK_BYTES))
     while True:
         with _fixed_ranges(spark, f"{max_bytes}b"):
-            starts = [] if _one_range_each(spark, paths, max_bytes) else inside_starts(spark, paths, sep).limit(MAX_STARTS + 1).collect()
+            starts = [] if _one_range_each(spark, size, max_bytes) else inside_starts(spark, paths, sep, tasks).limit(MAX_STARTS + 1).collect()
             if len(starts) > MAX_STARTS:
                 max_bytes *= 4  # fewer ranges
                 continue
             # At most MAX_STARTS small rows; the streamed side of a broadcast join keeps its order.
             here = spark.createDataFrame(starts, "path string, block bigint, owner bigint")
-            (lines(spark, paths).join(F.broadcast(here), ["path", "block"], "left").select("value", "path", "block", "owner")
+            (lines(spark, paths).coalesce(tasks).join(F.broadcast(here), ["path", "block"], "left").select("value", "path", "block", "owner")
              .mapInArrow(_cut(sep), CUT_DDL).write.parquet(stage))
             break
     cut = spark.read.schema(CUT_DDL).parquet(literal(stage))

@@ -111,3 +111,19 @@ def test_one_and_fifty_ranges_give_the_same(spark, scratch):
         got.append([r.fields for r in sorted(rows, key=lambda r: (r.block, r.pos))])
         assert len({r.block for r in rows}) >= (40 if size < 5000 else 1)
     assert got[0] == got[1] == expected(text)
+
+
+def test_small_ranges_share_tasks(spark, scratch):
+    """The number of tasks follows the bytes, not the number of ranges (one task a range took longest at scale)."""
+    text = "k,v\n" + "".join(f'{i},"one\ntwo ""{i}"""\n' for i in range(2000))
+    path = write(scratch, "many.txt", text)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = sorted(records(spark, [path], range_bytes=100).collect(), key=lambda r: (r.block, r.pos))
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert [r.fields for r in got] == expected(text)
+    assert len({r.block for r in got}) > 100
+    written = [n for n in os.listdir(os.path.join(scratch, "_stage")) if n.startswith("part-")]
+    assert len(written) <= spark.sparkContext.defaultParallelism
