@@ -157,8 +157,12 @@ def apply_responses(log: DataFrame, queue: DataFrame, responses: DataFrame,
 
 def mark_completed(log: DataFrame, entries: DataFrame, how: str = "left") -> DataFrame:
     """Log rows whose vendor task is completed become ``Completed``; ``how="inner"`` gives those rows only."""
-    done = entries.where(F.col("cb_completed") == 1).select(F.col("wf_task_number").alias("_done")).distinct()
-    j = log.join(done, log.ehr_task_number == done._done, how)
+    done = (entries.where((F.col("cb_completed") == 1) & F.col("wf_task_number").isNotNull())
+            .select(F.col("wf_task_number").alias("_done")).distinct())
+    # Tasks without a vendor number match nothing, but would all meet in one task; their ids spread them.
+    spread = F.concat(F.lit("no number "), F.xxhash64("taskid", "admission_number", "patient_number").cast("string"))
+    own = F.coalesce(F.concat(F.lit("="), "ehr_task_number"), spread)
+    j = log.join(done, own == F.concat(F.lit("="), "_done"), how)
     return j.select(*[(F.when(F.col("_done").isNotNull(), F.lit(K.STATUS_COMPLETED)).otherwise(F.col(n))
                        if n == "status" else F.col(n)).alias(n) for n in LOG_COLUMNS])
 

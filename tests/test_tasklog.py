@@ -111,3 +111,23 @@ def test_fail_export_file_format(spark, scratch):
     lines = text.splitlines()
     assert lines[0].split("\t")[:3] == ["taskid", "task_code", "due"]
     assert [ln.split("\t")[0] for ln in lines[1:]] == ["1", "3"]
+
+
+def test_mark_completed_spreads_tasks_without_number(spark):
+    """Rows whose join key is null must not meet in one task (its memory grew with the table)."""
+    log = spark.range(2000).select(F.col("id").alias("taskid"), F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).alias("ehr_task_number"))
+    entries = spark.range(0, 2000, 20).select(F.col("id").cast("string").alias("wf_task_number"), F.lit(1).alias("cb_completed"))
+    entries = entries.union(spark.createDataFrame([(None, 1)], "wf_task_number string, cb_completed int"))
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        rows = tasklog.mark_completed(tasklog.to_log_rows(log), entries).select("taskid", "status", F.spark_partition_id().alias("part")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(rows) == 2000
+    assert {r.taskid for r in rows if r.status == "Completed"} == set(range(0, 2000, 20))
+    per = [sum(r.part == p for r in rows) for p in {r.part for r in rows}]
+    assert max(per) < 2 * len(rows) / 8
