@@ -14,6 +14,10 @@ it stays small beside the data.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -21,6 +25,19 @@ from pyspark.sql.types import LongType, StructField, StructType
 from .files import Files, literal
 
 COMMIT_DDL = "bucket bigint, ver bigint, n_rows bigint, digest string"
+NAMED, NAMED_SHARE = 32, 4  # up to so many folders of a version, or less than one in so many, are named one by one
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def _listed_by_few_tasks(spark: SparkSession) -> Iterator[None]:
+    """Folders are listed many to a task; Spark would start one task for each."""
+    before = spark.conf.get(LISTING, None)
+    try:
+        spark.conf.set(LISTING, str(4 * spark.sparkContext.defaultParallelism))
+        yield
+    finally:
+        spark.conf.unset(LISTING) if before is None else spark.conf.set(LISTING, before)
 
 
 def number_ranges(key: str, rows: int) -> Column:
@@ -61,10 +78,28 @@ class BucketedTable:
         if buckets is not None:
             own = own.join(buckets.select("bucket").distinct(), "bucket", "left_semi")
         # One row per bucket read.
-        paths = [literal(f"{self.root}/ver={r.ver}/bucket={r.bucket}") for r in own.select("ver", "bucket").collect()]
-        if not paths:
+        live: dict[int, list[int]] = {}
+        for r in own.select("ver", "bucket").collect():
+            live.setdefault(r.ver, []).append(r.bucket)
+        frames, single = [], []
+        for ver, found in sorted(live.items()):
+            # A version of which much is current is listed by tasks as a whole; of others, the folders are named one by one.
+            if len(found) > NAMED and NAMED_SHARE * len(found) >= len(self.files.listing(f"{self.root}/ver={ver}")):
+                frames.append(self._version(ver).filter(F.col("bucket").isin(found)).drop("bucket"))
+            else:
+                single += [literal(f"{self.root}/ver={ver}/bucket={b}") for b in found]
+        if single:
+            with _listed_by_few_tasks(self.spark):
+                frames.append(self.spark.read.schema(self.schema).parquet(*single))
+        if not frames:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        return reduce(DataFrame.unionByName, frames)
+
+    def _version(self, ver: int) -> DataFrame:
+        """All that a merge wrote, with the column bucket."""
+        schema = StructType([*self.schema.fields, StructField("bucket", LongType())])
+        with _listed_by_few_tasks(self.spark):
+            return self.spark.read.schema(schema).parquet(literal(f"{self.root}/ver={ver}"))
 
     def replace(self, rows: DataFrame, accept: bool = True) -> int:
         """The next commit: ``rows`` are the whole table; buckets that they don't fill are gone.
@@ -93,8 +128,7 @@ class BucketedTable:
         path = f"{self.root}/ver={v}"
         dealt = rows.select(*self.schema.names, self.bucket.alias("bucket")).repartition("bucket")
         dealt.write.mode("overwrite").partitionBy("bucket").parquet(path)
-        written = self.spark.read.schema(StructType([*self.schema.fields, StructField("bucket", LongType())])).parquet(literal(path))
-        own = written.groupBy("bucket").agg(F.lit(v).cast("bigint").alias("ver"), F.count(F.lit(1)).alias("n_rows"), digest(self.schema.names).alias("digest"))
+        own = self._version(v).groupBy("bucket").agg(F.lit(v).cast("bigint").alias("ver"), F.count(F.lit(1)).alias("n_rows"), digest(self.schema.names).alias("digest"))
         (own if keep is None else own.unionByName(keep)).write.mode("overwrite").parquet(f"{self.root}/commits/{v}")
         if accept:
             self.accept(v)

@@ -132,3 +132,21 @@ def test_empty_log_merges(spark, scratch):
     log = jobs.task_log(spark, scratch + "/log")
     log.replace(spark.createDataFrame([], LOG_DDL))
     assert log.version() == 1 and log.read().count() == 0 and log.commit().count() == 0
+
+
+def test_reads_of_many_buckets_start_few_tasks(spark, scratch):
+    """Folders are listed many to a task, and versions of which little is current are still read by name."""
+    table = B.BucketedTable(spark, scratch + "/many", "id", B.number_ranges("id", 10), "id bigint, x bigint")
+    table.replace(spark.range(2000).select("id", F.col("id").alias("x")))
+    table.upsert(spark.range(0, 2000, 400).select("id", F.lit(-1).cast("bigint").alias("x")))
+    group = "list-buckets"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        first, now = table.read(1), table.read()
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+        assert max((s.numTasks for s in stages if s), default=0) < 100
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert sorted((r.id, r.x) for r in first.collect()) == [(i, i) for i in range(2000)]
+    assert sorted((r.id, r.x) for r in now.collect()) == [(i, i if i % 400 else -1) for i in range(2000)]
