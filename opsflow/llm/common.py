@@ -105,17 +105,19 @@ def join_stats(rows: DataFrame, stats: DataFrame, key: str, size: str, n_rows: i
 def components(edges: DataFrame) -> DataFrame:
     """Connected components: one row (node, comp) per node of ``edges`` (a, b), comp the least node reached.
 
-    Least-label propagation with pointer jumping; each round is a join and a
-    map-side combined minimum, and its result is written to the shared folder.
+    Least-label propagation with pointer jumping. Each round the edges are drawn between the labels of their ends, equal
+    ones once and loops not at all, so few are left after the first rounds; every round's tables are written to the shared folder.
     """
     both = written(
         edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
         "edges")
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), "labels")
     while True:
-        near = (both.join(labels, both.b == labels.node)
-                .groupBy(F.col("a").alias("n")).agg(F.min("comp").alias("m")))
-        step = (labels.join(near, labels.node == near.n)
+        far = both.join(labels, both.b == labels.node).select("a", F.col("comp").alias("cb"))
+        both = written(far.join(labels, far.a == labels.node).filter("comp <> cb")
+                       .select(F.col("comp").alias("a"), F.col("cb").alias("b")).distinct(), "edges")
+        near = both.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m"))
+        step = (labels.join(near, labels.node == near.n, "left")
                 .select("node", F.col("comp").alias("old"), F.least("comp", "m").alias("mid")))
         hop = labels.select(F.col("node").alias("mid"), F.col("comp").alias("far"))
         new = written(step.join(hop, "mid").select("node", "old", F.least("mid", "far").alias("comp")), "labels")

@@ -274,3 +274,24 @@ def test_empty_tables(spark, docs):
                 secret_scan.scan(none), winnow.fingerprints(none), exact_dedup.exact_groups(none), exact_dedup.drop_copies(none),
                 near_dedup.near_groups(none), piece_lattice.encode(none, table), warc.archive_round_trip(pages)):
         assert out.count() == 0
+
+
+def test_components_join_fewer_edges_each_round(spark, monkeypatch):
+    """Edges are drawn anew between labels, so a dense group's edges are not joined again in every round."""
+    from opsflow.llm import common
+
+    edges = [(g * 100 + i, g * 100 + j) for g in range(3) for i in range(40) for j in range(i + 1, 40, 3)]
+    edges += [(1000 + i, 1001 + i) for i in range(30)]
+    sizes, write = [], common.written
+
+    def counted(df, name, *more):
+        out = write(df, name, *more)
+        if name == "edges":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(common, "written", counted)
+    got = {r.node: r.comp for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {n: n // 100 * 100 if n < 1000 else 1000 for e in edges for n in e}
+    assert got == want
+    assert len(sizes) > 1 and sizes[-1] == 0 and sum(sizes) < 2 * sizes[0]
