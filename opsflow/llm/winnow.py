@@ -55,9 +55,9 @@ def runs(words: Column, k: int, value) -> Column:
     """``value`` of the hash and the number of each run of ``k`` characters."""
     def cut(chars: Column) -> Column:
         n = F.floor(F.octet_length(chars) / 4).cast("int")
-        one = lambda i: value(F.xxhash64(F.substring(chars, i * 4 + 1, F.lit(4 * k))), i)
+        one = lambda at, i: value(F.xxhash64(F.substring(chars, at, F.lit(4 * k))), i)
         last = F.greatest(n - k, F.lit(0))
-        return F.when(n > 0, F.transform(F.sequence(F.lit(0), last), one)).otherwise(F.array().cast("array<bigint>"))
+        return F.when(n > 0, F.transform(F.sequence(F.lit(1), last * 4 + 1, F.lit(4)), one)).otherwise(F.array().cast("array<bigint>"))
 
     return let(F.encode(words, "UTF-32"), cut)
 
@@ -66,9 +66,9 @@ def window_minima(p: Column, w: int, span: int = 1) -> Column:
     """The least of each ``w`` consecutive numbers, given those of each ``span``, by joining up to four spans at a time."""
     width = min(w, 4 * span)
     starts = sorted({min(at, width - span) for at in range(0, width, span)})
-    if width == w:  # whole windows only
-        return F.transform(F.sequence(F.lit(0), F.size(p) - w), lambda i: F.least(*[F.get(p, i + at) for at in starts]))
     joined = F.transform(p, lambda x, i: F.least(x, *[F.get(p, i + at) for at in starts[1:]]))
+    if width == w:
+        return F.slice(joined, F.lit(1), F.size(p) - w + 1)  # whole windows only
     return let(joined, lambda q: window_minima(q, w, width))
 
 
@@ -107,22 +107,27 @@ def hashes(fp: Column) -> Column:
 
 def shown(fp: Column) -> Column:
     """``hash@position`` entries, comma-joined."""
-    return F.array_join(F.transform(fp, lambda x: F.concat(
-        F.lower(F.hex(F.shiftrightunsigned(x, POSITION_BITS))), F.lit("@"),
-        (F.lit(POSITIONS).cast("long") - x.bitwiseAND(F.lit(POSITIONS).cast("long"))).cast("string"))), ",")
+    return F.lower(F.array_join(F.transform(fp, lambda x: F.concat(
+        F.hex(F.shiftrightunsigned(x, POSITION_BITS)), F.lit("@"),
+        (F.lit(POSITIONS).cast("long") - x.bitwiseAND(F.lit(POSITIONS).cast("long"))).cast("string"))), ","))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity of the two fingerprints' hashes."""
+def likenesses(a: Column, others: list[Column]) -> Column:
+    """Jaccard similarities of the first fingerprint's hashes to each other one's."""
     def by(x: Column) -> Column:
         def and_by(y: Column) -> Column:
             both = F.size(F.array_intersect(x, y))
             return F.when((F.size(x) == 0) & (F.size(y) == 0), 1.0).otherwise(
                 both / F.greatest(F.size(x) + F.size(y) - both, F.lit(1)))
-        return let(F.array_distinct(hashes(b)), and_by)
+        return F.array(*[let(F.array_distinct(hashes(b)), and_by) for b in others])
     return let(F.array_distinct(hashes(a)), by)
 
 
+def likeness(a: Column, b: Column) -> Column:
+    """Jaccard similarity of the two fingerprints' hashes."""
+    return likenesses(a, [b])[0]
+
+
 def with_next_text(docs: DataFrame) -> tuple[DataFrame, Window]:
     """bucket, ghost, doc_id, text, next_text: the text of the next document by descending doc_id, the last one followed by the first.
 
@@ -158,8 +163,11 @@ def fingerprints(docs: DataFrame, k: int = 12, w: int = 12) -> DataFrame:
     """Each document's fingerprint, that of its edited text, and their likeness."""
     rows, order = with_next_text(docs)
     span = k + w - 1  # characters of a window
-    rows = rows.withColumn("minima", all_minima(F.col("text"), k, w))
-    own = (rows.withColumn("next_minima", F.lead("minima").over(order)).filter(~F.col("ghost"))
+    # Of every text the minima and, told once, which of them differ.
+    told = let(all_minima(F.col("text"), k, w), lambda m: F.struct(m.alias("minima"), F.array_distinct(m).alias("fp")))
+    rows = rows.withColumn("told", told)
+    own = (rows.withColumn("next_told", F.lead("told").over(order)).filter(~F.col("ghost"))
+           .withColumn("minima", F.col("told.minima")).withColumn("next_minima", F.col("next_told.minima"))
            .withColumn("n", F.length("text")).withColumn("half", F.floor(F.col("n") / 2).cast("int")).withColumn("cut", F.col("n") - F.col("half"))
            .withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), F.col("cut")),
                                           F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), F.col("half"))))
@@ -170,12 +178,13 @@ def fingerprints(docs: DataFrame, k: int = 12, w: int = 12) -> DataFrame:
     at = F.greatest(cut - span + 1, F.lit(0))
     reach = F.least(ne, cut + span - 1) - at
     across = F.when(reach >= span, moved(all_minima(F.substring(F.col("edited"), at + 1, reach), k, w), at)).otherwise(none)
-    after = F.when(ne - cut >= span, moved(F.slice("next_minima", F.lit(1), ne - cut - span + 1), cut)).otherwise(none)
+    # Equal entries go first, so fewer are moved.
+    after = F.when(ne - cut >= span, moved(F.array_distinct(F.slice("next_minima", F.lit(1), ne - cut - span + 1)), cut)).otherwise(none)
     edited_minima = F.when(ne >= span, F.concat(before, across, after)).otherwise(all_minima(F.col("edited"), k, w))
-    fps = own.select("doc_id", "n", "edited", F.array_distinct("minima").alias("fp"), F.array_distinct("next_minima").alias("next_fp"),
+    fps = own.select("doc_id", "n", "edited", F.col("told.fp").alias("fp"), F.col("next_told.fp").alias("next_fp"),
                      F.array_distinct(edited_minima).alias("edited_fp"))
+    fps = fps.withColumn("near", likenesses(F.col("fp"), [F.col("edited_fp"), F.col("next_fp")]))
     return fps.select(
         "doc_id", F.col("n").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         shown(F.col("fp")).alias("fingerprint"), shown(F.col("edited_fp")).alias("edited_fingerprint"),
-        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
-        likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
+        F.col("near")[0].alias("near_edited"), F.col("near")[1].alias("near_next"))
