@@ -23,10 +23,15 @@ replaced silently.
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +42,6 @@ CUT_DDL = RECORDS_DDL + ", part string, owner bigint"
 # Ranges that start inside a field are known to every task (some 100 bytes each); beyond this many, ranges are made larger.
 MAX_STARTS = 500_000
 TASK_BYTES = 32 << 20  # small ranges are read many to a task, one after the other
-BATCH_ROWS = 10_000
 _BOM = b"\xef\xbb\xbf"
 
 
@@ -83,34 +87,71 @@ def pieces(line: bytes, first: bool) -> list[tuple[str, str, bool]]:
     return [(p, "\r", valid) for p in parts] + [(last + end, "\n", valid)]
 
 
-def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bytes, bool, list]]:
-    """((path, block), line, whether it is the range's first, further columns) of each row."""
+def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[bytes], bool]]:
+    """((path, block), lines, whether they are the range's first) of each stretch of one range in a batch."""
     at = None
     for b in batches:
-        for value, path, block, *more in zip(*[c.to_pylist() for c in b.columns]):
-            first = (path, block) != at
-            at = (path, block)
-            yield at, value, first, more
+        if not b.num_rows:
+            continue
+        values, path, block = b.column(0).to_pylist(), b.column(1), b.column(2)
+        key = lambda i: (path[i].as_py(), block[i].as_py())
+        borders = []
+        if key(0) != key(len(values) - 1):
+            other = pc.or_(pc.not_equal(path[1:], path[:-1]), pc.not_equal(block[1:], block[:-1]))
+            borders = (np.flatnonzero(other.to_numpy(zero_copy_only=False)) + 1).tolist()
+        for start, stop in zip([0, *borders], [*borders, len(values)]):
+            first, at = key(start) != at, key(start)
+            yield at, values[start:stop], first
+
+
+def state_after(text: bytes, inside: bool, sep: int) -> bool | None:
+    """Whether ``text``, from a line's start, leaves a quoted field open; None if counting its quotes does not tell.
+
+    Where every quote that opens a field is at a field's start or doubles the one before it, the state is their parity.
+    """
+    chars = np.frombuffer(text, np.uint8)
+    quotes = np.flatnonzero(chars == ord('"'))
+    opening = quotes[int(inside)::2]
+    before = chars[opening - 1]  # of a quote at the very start, whatever is last: see below
+    fits = (before == sep) | (before == ord("\n")) | (before == ord("\r")) | (opening == 0)
+    doubled = np.flatnonzero(~fits) * 2 + int(inside)
+    if len(doubled) and (doubled[0] == 0 or (quotes[doubled] - quotes[doubled - 1] != 1).any()):
+        return None
+    return inside ^ bool(len(quotes) % 2)
 
 
 def _maps(sep: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[list] = []
-        for (path, block), line, first, _ in _by_range(batches):
+        for (path, block), lines_, first in _by_range(batches):
             if first:
                 rows.append([path, block, False, True, False])
             row = rows[-1]
-            for text, _, _ in pieces(line, first and block == 0):
-                if '"' in text:
-                    same = row[2] == row[3]  # from then on there is one state to follow
-                    row[2] = ends_inside(text, row[2], sep)
-                    row[3] = row[2] if same else ends_inside(text, row[3], sep)
-                row[4] |= not row[3]
+            for i, line in enumerate(lines_):
+                if row[2] == row[3] and row[4] and sep.isascii():  # one state to follow, and a record's end was seen
+                    state = state_after(b"\n".join(lines_[i:]), row[2], ord(sep))
+                    if state is not None:
+                        row[2] = row[3] = state
+                        break
+                    for line in lines_[i:]:
+                        _follow(row, line, False, sep)
+                    break
+                _follow(row, line, first and i == 0 and block == 0, sep)
         yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 5, (pa.string(), pa.int64(), *[pa.bool_()] * 3))],
                               ["path", "block", "from_out", "from_in", "ends"])
     return run
 
 
+def _follow(row: list, line: bytes, first: bool, sep: str) -> None:
+    """Take the states of ``row`` (path, block, from_out, from_in, ends) on by one line."""
+    for text, _, _ in pieces(line, first):
+        if '"' in text:
+            same = row[2] == row[3]  # from then on there is one state to follow
+            row[2] = ends_inside(text, row[2], sep)
+            row[3] = row[2] if same else ends_inside(text, row[3], sep)
+        row[4] |= not row[3]
+
+
 def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     out: list[tuple] = []
     for b in batches:
@@ -134,54 +175,114 @@ def inside_starts(spark: SparkSession, paths: list[str], sep: str, tasks: int) -
     return chained.mapInArrow(_chain, "path string, block bigint, owner bigint")
 
 
-def _cut(sep: str):
+def whole_records(lines_: list[bytes], sep: str) -> tuple[list[list[str]], list[bool], int] | None:
+    """Records of lines that begin with one: fields of each that ends there, whether it is UTF-8, how many lines they take.
+
+    The csv module finds the records' ends itself; only the last is looked at again, since it may go on. None if the
+    lines hold lone carriage returns, which end records too.
+    """
+    data = b"\n".join(lines_) + b"\n"
+    bad: set[int] = set()
+    try:
+        text = data.decode()
+    except UnicodeDecodeError:
+        text = data.decode(errors="replace")
+        bad = {i for i, line in enumerate(lines_) if not pieces(line, False)[0][2]}
+    if "\r" in text and "\r" in text.replace("\r\n", "\n"):
+        return None
+    rows: list[list[str]] = []
+    valid: list[bool] = []
+    start = done = 0
+    reader = csv.reader(io.StringIO(text, newline="\n"), delimiter=sep)
+    for row in reader:
+        start, done = done, reader.line_num
+        if row:  # an empty line is no record
+            rows.append(row)
+            if bad:
+                valid.append(bad.isdisjoint(range(start, done)))
+    if ends_inside(b"\n".join(lines_[start:]).decode(errors="replace"), False, sep):
+        rows.pop()
+        del valid[len(rows):]
+        done = start
+    return rows, valid if bad else [True] * len(rows), done
+
+
+def _cut(sep: str, starts: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
         state: dict = {}
-
-        def close(at: tuple) -> None:
+        names = ["path", "block", "pos", "fields", "valid", "part", "owner"]
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.bool_(), pa.string(), pa.int64())
+
+        def whole(at: tuple, rows: list[list[str]], valid: list[bool]) -> pa.RecordBatch:
+            n = len(rows)
+            ends = np.cumsum([0, *map(len, rows)])
+            fields = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(list(chain.from_iterable(rows)), pa.string()))
+            pos, state["pos"] = state["pos"], state["pos"] + n
+            return pa.record_batch([pa.repeat(pa.scalar(at[0], pa.string()), n), pa.repeat(pa.scalar(at[1], pa.int64()), n),
+                                    pa.array(np.arange(pos, pos + n)), fields, pa.array(valid, pa.bool_()), pa.nulls(n, pa.string()),
+                                    pa.repeat(pa.scalar(at[1], pa.int64()), n)], names)
+
+        def part(at: tuple, pos: int, text: str) -> pa.RecordBatch:
+            row = (*at, pos, None, state["valid"], text, state["owner"])
+            return pa.record_batch([pa.array([x], k) for x, k in zip(row, kinds)], names)
+
+        def close(at: tuple) -> Iterator[pa.RecordBatch]:
             # What is open when a range ends goes on in the next one, or ends with the file.
             if state["open"]:
-                out.append((*at, state["pos"], None, state["valid"], "".join(state["open"]), state["owner"]))
-
-        def batch() -> pa.RecordBatch:
-            records = [x[3] for x in out]
-            rows = csv.reader((r for r in records if r is not None), delimiter=sep)
-            fields = [None if r is None else next(rows) for r in records]
-            cols = [x for x in zip(*out)] if out else [[]] * 7
-            cols[3] = fields
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.bool_(), pa.string(), pa.int64())
-            made = pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)], ["path", "block", "pos", "fields", "valid", "part", "owner"])
-            out.clear()
-            return made
+                yield part(at, state["pos"], "".join(state["open"]))
+
+        def by_line(at: tuple, lines_: list[bytes], first: bool, until_whole: bool) -> Iterator[pa.RecordBatch]:
+            """Take lines, up to the first that ends a record if ``until_whole``; ``state["taken"]`` says how many."""
+            records: list[str] = []
+            valid: list[bool] = []
+            state["taken"] = 0
+            for line in lines_:
+                state["taken"] += 1
+                for text, joint, ok in pieces(line, first):
+                    state["inside"] = ends_inside(text, state["inside"], sep) if '"' in text else state["inside"]
+                    state["open"].append(text)
+                    state["valid"] &= ok
+                    if state["inside"]:
+                        state["open"].append(joint)
+                        continue
+                    record = "".join(state["open"]).removesuffix("\r")
+                    if state["owner"] != at[1]:  # the end of an earlier range's record
+                        yield part(at, 0, record)
+                    elif record or not state["valid"]:
+                        records.append(record)
+                        valid.append(state["valid"])
+                    state.update(open=[], valid=True, owner=at[1])
+                first = False
+                if until_whole and not state["open"]:
+                    break
+            if records:
+                yield whole(at, list(csv.reader(records, delimiter=sep)), valid)
 
         csv.field_size_limit(2**31 - 1)
         last = None
-        for at, line, first, (owner,) in _by_range(batches):
+        for at, lines_, first in _by_range(batches):
             if first:
                 if last is not None:
-                    close(last)
-                last = at
-                state = {"open": [], "inside": owner is not None, "owner": owner if owner is not None else at[1], "valid": True, "pos": 0}
-            for text, joint, valid in pieces(line, first and at[1] == 0):
-                state["inside"] = ends_inside(text, state["inside"], sep) if '"' in text else state["inside"]
-                state["open"].append(text)
-                state["valid"] &= valid
-                if state["inside"]:
-                    state["open"].append(joint)
-                    continue
-                record = "".join(state["open"]).removesuffix("\r")
-                if state["owner"] != at[1]:  # the end of an earlier range's record
-                    out.append((*at, 0, None, state["valid"], record, state["owner"]))
-                elif record or not state["valid"]:
-                    out.append((*at, state["pos"], record, state["valid"], None, at[1]))
-                    state["pos"] += 1
-                state.update(open=[], valid=True, owner=at[1])
-                if len(out) >= BATCH_ROWS:
-                    yield batch()
+                    yield from close(last)
+                last, owner = at, starts.value.get(at)
+                state = {"open": [], "inside": owner is not None, "owner": at[1] if owner is None else owner, "valid": True, "pos": 0}
+            # The rest of an open record, or a file's first line, which may have a byte order mark; then whole records at once.
+            head = first and at[1] == 0
+            if head or state["inside"] or state["open"]:
+                yield from by_line(at, lines_, head, True)
+                lines_ = lines_[state["taken"]:]
+            if not lines_:
+                continue
+            found = whole_records(lines_, sep)
+            if found is None:
+                yield from by_line(at, lines_, False, False)
+                continue
+            rows, valid, taken = found
+            if rows:
+                yield whole(at, rows, valid)
+            yield from by_line(at, lines_[taken:], False, False)
         if last is not None:
-            close(last)
-        yield batch()
+            yield from close(last)
     return run
 
 
@@ -237,10 +338,9 @@ def records(spark: SparkSession, paths: list[str], stage: str, sep: str = ",", r
             if len(starts) > MAX_STARTS:
                 max_bytes *= 4  # fewer ranges
                 continue
-            # At most MAX_STARTS small rows; the streamed side of a broadcast join keeps its order.
-            here = spark.createDataFrame(starts, "path string, block bigint, owner bigint")
-            (lines(spark, paths).coalesce(tasks).join(F.broadcast(here), ["path", "block"], "left").select("value", "path", "block", "owner")
-             .mapInArrow(_cut(sep), CUT_DDL).write.parquet(stage))
+            # At most MAX_STARTS small entries, looked up once a range.
+            here = spark.sparkContext.broadcast({(r.path, r.block): r.owner for r in starts})
+            lines(spark, paths).coalesce(tasks).mapInArrow(_cut(sep, here), CUT_DDL).write.parquet(stage)
             break
     cut = spark.read.schema(CUT_DDL).parquet(literal(stage))
     parts = (cut.filter("part IS NOT NULL").groupBy("path", "owner").agg(
