@@ -29,7 +29,7 @@ from ..sources.tables import Tables
 from ..sources.versioned import VersionedTable
 from ..streaming.ingest_stream import start_ingest_stream
 from . import compliance, ingest, jobs, reports, tasklog, triggers
-from .world import care_tables
+from .world import RAW_SALES, care_tables
 
 # Fixed evaluation instants (Thursday, day-15, Tuesday) inside the data range.
 CARE_AS_OF = datetime(1998, 6, 18, 9, 30)
@@ -236,7 +236,10 @@ CSV_TEXT = {"quoteAll": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false
 
 def _render(rows: DataFrame, columns: dict[str, Column] | list[tuple[str, Column]], path: str) -> None:
     """Delimited text files, one per partition, each with a header line; names may repeat."""
-    named = list(columns.items()) if isinstance(columns, dict) else columns
+    if isinstance(columns, dict):
+        rows.select(*[v.alias(name) for name, v in columns.items()]).write.options(**CSV_TEXT, header="true").csv(path)
+        return
+    named = columns
     header = ",".join('"' + name + '"' for name, _ in named)
     line = F.to_csv(F.struct(*[v.alias(f"c{i}") for i, (_, v) in enumerate(named)]), CSV_TEXT)
 
@@ -247,10 +250,20 @@ def _render(rows: DataFrame, columns: dict[str, Column] | list[tuple[str, Column
     rows.select(line.alias("value")).mapInArrow(with_header, "value string").write.text(path)
 
 
-def _in_load_order(raw: DataFrame) -> DataFrame:
-    """Rows dealt to partitions so that files, taken by name, hold them in load order."""
-    n = raw.sparkSession.sparkContext.defaultParallelism
-    return raw.repartitionByRange(n, *SALES_ORDER).sortWithinPartitions(*SALES_ORDER)
+FILE_ROWS = 4_000_000
+
+
+def _sales_in_load_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_sales`` dealt to partitions so that files, taken by name, hold them in load order.
+
+    The lines are dealt and sorted before their texts are made, so neither the sample of the ranges nor the shuffle makes any.
+    """
+    t = Tables.from_parquet_dir(spark, sf_dir)
+    made = {name: sql for name, sql, _ in RAW_SALES.cols}
+    order = [F.expr(made[c]) for c in SALES_ORDER]
+    n = max(spark.sparkContext.defaultParallelism, -(-t[RAW_SALES.base].count() // FILE_ROWS))
+    dealt = t[RAW_SALES.base].repartitionByRange(n, *order).sortWithinPartitions(*order)
+    return care_tables(t.with_frames(**{RAW_SALES.base: dealt}))["raw_sales"]
 
 
 def _fields() -> dict[str, Column]:
@@ -297,7 +310,7 @@ BAD_YEAR = "sales1996.txt"
 def q_file_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What two loads of the same files under one time stamp say of them; one year's files hold bytes that are not UTF-8."""
     raw, root = _care(spark, sf_dir)["raw_sales"], _drop_folder(spark)
-    _render(_in_load_order(raw.filter(F.col("source_file") != BAD_YEAR)), _fields(), f"{root}/in/a")
+    _render(_sales_in_load_order(spark, sf_dir).filter(F.col("source_file") != BAD_YEAR), _fields(), f"{root}/in/a")
     latin = raw.filter(F.col("source_file") == BAD_YEAR).select(*(_fields() | {"product": F.lit("caf\u00e9")}).values())
     latin.toDF(*REQUIRED_COLUMNS).write.options(**CSV_TEXT, header="true", encoding="ISO-8859-1").csv(f"{root}/in/b")
     target = f"{root}/target"
@@ -323,7 +336,7 @@ def q_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, root = _care(spark, sf_dir), _drop_folder(spark)
     done = c["sales_target"].select("sale_id", *[F.lit(None).cast(t).alias(n) for n, t in ingest.SALES_TYPES if n != "sale_id"])
     done.write.parquet(f"{root}/target")
-    _render(_in_load_order(c["raw_sales"]), _fields(), f"{root}/in")
+    _render(_sales_in_load_order(spark, sf_dir), _fields(), f"{root}/in")
     q = start_ingest_stream(spark, f"{root}/in", f"{root}/target", f"{root}/checkpoint", pattern="part-*",
                             max_files_per_trigger=2**31 - 1, clock=lambda: INGEST_AS_OF)
     q.awaitTermination()

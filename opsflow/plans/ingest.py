@@ -41,7 +41,7 @@ def validate_sales(raw: DataFrame, processing_date: datetime) -> DataFrame:
     that is referenced several times), so no field is stripped twice.
     """
     keep = [c for c in raw.columns if c not in S.REQUIRED_COLUMNS]
-    stripped = raw.select(*keep, *[T.strip_ws(F.col(c)).alias(c) for c in S.REQUIRED_COLUMNS])
+    stripped = T.strip_columns(raw, S.REQUIRED_COLUMNS)
     typed = stripped.select(
         "*",
         P.parse_int_stripped(F.col("quantity")).alias("_q"),
@@ -210,12 +210,13 @@ def file_verdicts(rows: DataFrame, paths: DataFrame, required: list[str] = S.REQ
 def sales_rows(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Data rows of the files that do not fail, the required columns picked by each file's own header.
 
-    Of a repeated name the last column counts.
+    Of a repeated name the last column counts. A column's place is told once a file, before the join.
     """
-    good = verdicts.filter("error IS NULL").select("source_path", "_file_rank", "source_file", "names")
-    at = lambda c: F.size("names") - F.array_position(F.reverse("names"), c)
+    at = lambda c: (F.size("names") - F.array_position(F.reverse("names"), c)).cast("int")
+    good = verdicts.filter("error IS NULL").select("source_path", "_file_rank", "source_file",
+                                                   *[at(c).alias(f"_at_{c}") for c in S.REQUIRED_COLUMNS])
     return (rows.filter("NOT (block = 0 AND pos = 0)").join(good, F.col("path") == F.col("source_path"))
-            .select(*[F.get("fields", at(c).cast("int")).alias(c) for c in S.REQUIRED_COLUMNS],
+            .select(*[F.get("fields", F.col(f"_at_{c}")).alias(c) for c in S.REQUIRED_COLUMNS],
                     "source_path", "source_file", "_file_rank", F.col("block").alias("_block"), F.col("pos").alias("_row_pos")))
 
 

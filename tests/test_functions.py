@@ -73,3 +73,23 @@ def test_as_of_between_excludes_last_day_after_midnight(spark):
     inside = df.select(D.ts_lit(datetime(2026, 3, 1, 0, 0)).between(F.col("f"), F.col("t"))).first()[0]
     after = df.select(D.ts_lit(datetime(2026, 3, 1, 0, 1)).between(F.col("f"), F.col("t"))).first()[0]
     assert inside is True and after is False
+
+
+def test_strip_columns_is_python_strip(spark):
+    vals = [("  a ", "b"), ("\ta ", " b　"), ("\x1ca", None), (None, "\n"), ("a b", "é "), ("", "\x7f \x0b")]
+    df = T.strip_columns(spark.createDataFrame([(i, *v) for i, v in enumerate(vals)], "n int, x string, y string"), ["x", "y"])
+    got = {r.n: (r.x, r.y) for r in df.collect()}
+    assert got == {i: tuple(None if c is None else c.strip() for c in v) for i, v in enumerate(vals)}
+    assert df.columns == ["n", "x", "y"]
+
+
+def test_dates_by_parts_equal_dates_by_pattern(spark):
+    days = ["0", "00", "1", "01", "9", "12", "13", "28", "29", "30", "31", "32"]
+    years = ["0000", "0001", "1582", "1900", "2000", "2023", "9999"]
+    texts = [t for y in years for a in days for b in days for t in (f"{y}-{a}-{b}", f"{a}/{b}/{y}", f"{a}-{b}-{y}")]
+    texts += ["", "1-1", "2000-1-1x", "x2000-1-1", "1/1/200", "20000-1-1", "1-1/2000", "2000/1/1", "+200-1-1", "２000-1-1"]
+    shapes = list(zip(P.DATE_SHAPES, ["yyyy-M-d", "M/d/yyyy", "d-M-yyyy"]))
+    by_pattern = F.coalesce(*[F.when(F.col("x").rlike(s), F.try_to_date("x", f)) for s, f in shapes])
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "x string")
+    odd = df.select("x", P.parse_date_stripped(F.col("x")).alias("a"), by_pattern.alias("b")).filter("NOT a <=> b")
+    assert odd.select("x", F.col("a").cast("string"), F.col("b").cast("string")).collect() == []
