@@ -39,6 +39,7 @@ rows are encoded each; an empty table gives no rows; extra columns are not read.
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -86,19 +87,33 @@ def neighbours(pieces: list[str]) -> tuple[str, bytes]:
     return letters, np.packbits(beside).tobytes()
 
 
-def unit_cutter(letters: str, bits: bytes) -> Callable[[str], list[str]]:
-    """A function that cuts a text into units, between any two characters that no piece has in a row."""
+def cut_finder(letters: str, bits: bytes) -> tuple[Callable[[str], np.ndarray], bool]:
+    """A function that finds the places between any two characters that no piece has in a row; whether all words' starts are such.
+
+    A word here starts at a mark that follows no mark.
+    """
     width = len(letters) + 1
     beside = np.unpackbits(np.frombuffer(bits, np.uint8), count=width * width).astype(bool)
     place = np.zeros(0x110000, np.int32)
     place[np.array(list(map(ord, letters)), np.int64)] = np.arange(1, width)
+    before_mark = np.flatnonzero(beside.reshape(width, width)[:, place[ord(MARK)]])
+
+    def cuts_in(shown: str) -> np.ndarray:
+        at = place[np.frombuffer(shown.encode("utf-32-le", "surrogatepass"), "<u4")]
+        return np.flatnonzero(~beside[at[:-1] * width + at[1:]]) + 1
+
+    return cuts_in, set(before_mark.tolist()) <= {int(place[ord(MARK)])}
+
+
+def unit_cutter(letters: str, bits: bytes) -> Callable[[str], list[str]]:
+    """A function that cuts a text into units, between any two characters that no piece has in a row."""
+    cuts_in, _ = cut_finder(letters, bits)
 
     def units_of(text: str) -> list[str]:
         if not text:
             return []
         shown = MARK + text.replace(" ", MARK)
-        at = place[np.frombuffer(shown.encode("utf-32-le", "surrogatepass"), "<u4")]
-        cuts = (np.flatnonzero(~beside[at[:-1] * width + at[1:]]) + 1).tolist()
+        cuts = cuts_in(shown).tolist()
         return [shown[a:b] for a, b in zip([0, *cuts], [*cuts, len(shown)])]
 
     return units_of
@@ -243,12 +258,53 @@ def unzipped(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
-def numbered_units(texts: list[str], units_of: Callable[[str], list[str]]) -> tuple[list[str], list[np.ndarray]]:
-    """The distinct units in order of first use, the line end before all, and each text's units as numbers of that list."""
+def words_of(text: str) -> list[str]:
+    """The text's words with their marks, less the first mark of each: marks in a row belong to one word."""
+    if not text:
+        return []
+    shown = text.replace(" ", MARK)
+    if MARK * 2 in shown or shown[0] == MARK:
+        return [w[1:] for w in re.findall(f"{MARK}+[^{MARK}]*", MARK + shown)]
+    return shown.split(MARK)
+
+
+def units_of_words(words: list[str], cuts_in: Callable[[str], np.ndarray]) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+    """Units numbered in order of first use, the line end before all; numbers of the words' units in a row; how many each has."""
+    shown = MARK + MARK.join(words) if words else ""
+    starts = np.cumsum([0, *map(len, words)]) + np.arange(len(words) + 1)  # each word has its mark in front
+    cut = np.zeros(len(shown) + 1, bool)
+    cut[starts] = True
+    if words:
+        cut[cuts_in(shown)] = True
+    places = np.flatnonzero(cut).tolist()
     numbers: defaultdict[str, int] = defaultdict()
     numbers.default_factory = numbers.__len__
     numbers[LINE_END]
-    used = [np.fromiter(map(numbers.__getitem__, units_of(t)), np.uint32) for t in texts]
+    used = np.fromiter((numbers[shown[a:b]] for a, b in zip(places, places[1:])), np.uint32, len(places) - 1)
+    return numbers, used, np.diff(np.cumsum(cut)[starts])
+
+
+def distinct_units(texts: list[str], finder: tuple[Callable[[str], np.ndarray], bool]) -> list[str]:
+    """The distinct units in order of first use, the line end before all. Each distinct word is cut once."""
+    cuts_in, by_word = finder
+    words: dict[str, None] = {}
+    for t in texts:
+        words.update(dict.fromkeys(words_of(t) if by_word else [t.replace(" ", MARK)] if t else []))
+    return list(units_of_words(list(words), cuts_in)[0])
+
+
+def numbered_units(texts: list[str], finder: tuple[Callable[[str], np.ndarray], bool]) -> tuple[list[str], list[np.ndarray]]:
+    """The distinct units as ``distinct_units`` has them, and each text's units as numbers of that list."""
+    cuts_in, by_word = finder
+    words: defaultdict[str, int] = defaultdict()
+    words.default_factory = words.__len__
+    of_text = [np.fromiter(map(words.__getitem__, words_of(t) if by_word else [t.replace(" ", MARK)] if t else []), np.uint32) for t in texts]
+    numbers, units, n_units = units_of_words(list(words), cuts_in)
+    first = np.cumsum(n_units) - n_units
+    used = []
+    for ws in of_text:
+        n = n_units[ws]
+        used.append(units[np.arange(n.sum()) + np.repeat(first[ws] - (np.cumsum(n) - n), n)])
     return list(numbers), used
 
 
@@ -295,9 +351,9 @@ def packs(batches: Iterator[pa.RecordBatch], pack_chars: int) -> Iterator[tuple[
 def pack_units(docs: DataFrame, cutting: Broadcast, buckets: int, pack_chars: int) -> DataFrame:
     """bucket, pack, listing: each pack's distinct units by hash bucket in order of first use, divided by line ends."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units_of = unit_cutter(*cutting.value)
+        finder = cut_finder(*cutting.value)
         for pack, _, texts in packs(batches, pack_chars):
-            units = numbered_units(texts, units_of)[0][1:]  # the line end is never a piece
+            units = distinct_units(texts, finder)[1:]  # the line end is never a piece
             lists: dict[int, list[str]] = {}
             for u, b in zip(units, dealt_to(units, buckets).tolist()):
                 lists.setdefault(b, []).append(u)
@@ -313,9 +369,9 @@ def pack_numbers(docs: DataFrame, cutting: Broadcast, buckets: int, pack_chars:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        units_of = unit_cutter(*cutting.value)
+        finder = cut_finder(*cutting.value)
         for pack, ids, texts in packs(batches, pack_chars):
-            units, used = numbered_units(texts, units_of)
+            units, used = numbered_units(texts, finder)
             digests = [hashlib.sha256(t.replace(MARK, " ").encode("utf-8", "surrogatepass")).digest() for t in texts]
             part = pa.table({"doc_id": pa.array(ids, pa.int64()), "n_units": pa.array(map(len, used), pa.int64()),
                              "sha256": pa.array(digests, pa.binary())})
