@@ -281,6 +281,7 @@ def units_of_words(words: list[str], cuts_in: Callable[[str], np.ndarray]) -> tu
     numbers.default_factory = numbers.__len__
     numbers[LINE_END]
     used = np.fromiter((numbers[shown[a:b]] for a, b in zip(places, places[1:])), np.uint32, len(places) - 1)
+    numbers.default_factory = None  # a method of the dict itself, and so a cycle, would hold it until Python next looks for cycles
     return numbers, used, np.diff(np.cumsum(cut)[starts])
 
 
@@ -299,6 +300,7 @@ def numbered_units(texts: list[str], finder: tuple[Callable[[str], np.ndarray],
     words: defaultdict[str, int] = defaultdict()
     words.default_factory = words.__len__
     of_text = [np.fromiter(map(words.__getitem__, words_of(t) if by_word else [t.replace(" ", MARK)] if t else []), np.uint32) for t in texts]
+    words.default_factory = None  # no cycle, as above
     numbers, units, n_units = units_of_words(list(words), cuts_in)
     first = np.cumsum(n_units) - n_units
     used = []
@@ -330,7 +332,10 @@ def numbers_of(data: bytes) -> np.ndarray:
 
 
 def packs(batches: Iterator[pa.RecordBatch], pack_chars: int) -> Iterator[tuple[int, list[int], list[str]]]:
-    """(pack id, doc ids, texts): successive documents of about ``pack_chars`` characters; the id hashes them."""
+    """(pack id, doc ids, texts): successive documents of about ``pack_chars`` characters; the id hashes them.
+
+    The lists are emptied when the next pack is asked for, so the texts of one pack are held at a time.
+    """
     import xxhash
 
     ids, texts, size, h = [], [], 0, xxhash.xxh3_64()
@@ -343,6 +348,8 @@ def packs(batches: Iterator[pa.RecordBatch], pack_chars: int) -> Iterator[tuple[
             size += len(text) + 16
             if size >= pack_chars:
                 yield h.intdigest() - (1 << 63), ids, texts
+                ids.clear()
+                texts.clear()
                 ids, texts, size, h = [], [], 0, xxhash.xxh3_64()
     if ids:
         yield h.intdigest() - (1 << 63), ids, texts
@@ -352,15 +359,19 @@ def pack_units(docs: DataFrame, cutting: Broadcast, buckets: int, pack_chars: in
     """bucket, pack, listing: each pack's distinct units by hash bucket in order of first use, divided by line ends."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = cut_finder(*cutting.value)
-        for pack, _, texts in packs(batches, pack_chars):
+
+        def listed(pack: int, texts: list[str]) -> pa.RecordBatch:
             units = distinct_units(texts, finder)[1:]  # the line end is never a piece
             lists: dict[int, list[str]] = {}
             for u, b in zip(units, dealt_to(units, buckets).tolist()):
                 lists.setdefault(b, []).append(u)
-            yield pa.RecordBatch.from_pydict({
+            return pa.RecordBatch.from_pydict({
                 "bucket": pa.array(list(lists), pa.int64()), "pack": pa.array([pack] * len(lists), pa.int64()),
                 "listing": pa.array([LINE_END.join(us) for us in lists.values()], pa.string())})
 
+        for pack, _, texts in packs(batches, pack_chars):
+            yield listed(pack, texts)
+
     return docs.mapInArrow(trimmed(scan), "bucket long, pack long, listing string")
 
 
@@ -370,7 +381,8 @@ def pack_numbers(docs: DataFrame, cutting: Broadcast, buckets: int, pack_chars:
         import hashlib
 
         finder = cut_finder(*cutting.value)
-        for pack, ids, texts in packs(batches, pack_chars):
+
+        def numbered(pack: int, ids: list[int], texts: list[str]) -> pa.RecordBatch:
             units, used = numbered_units(texts, finder)
             digests = [hashlib.sha256(t.replace(MARK, " ").encode("utf-8", "surrogatepass")).digest() for t in texts]
             part = pa.table({"doc_id": pa.array(ids, pa.int64()), "n_units": pa.array(map(len, used), pa.int64()),
@@ -378,11 +390,14 @@ def pack_numbers(docs: DataFrame, cutting: Broadcast, buckets: int, pack_chars:
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, part.schema) as w:
                 w.write_table(part)
-            yield pa.RecordBatch.from_pydict({
+            return pa.RecordBatch.from_pydict({
                 "pack": pa.array([pack], pa.int64()), "docs": pa.array([zipped(sink.getvalue().to_pybytes())], pa.binary()),
                 "numbers": pa.array([shown_numbers(np.concatenate(used))], pa.binary()),
                 "dealt": pa.array([zipped(dealt_to(units[1:], buckets).tobytes())], pa.binary())})
 
+        for pack, ids, texts in packs(batches, pack_chars):
+            yield numbered(pack, ids, texts)
+
     return docs.mapInArrow(trimmed(scan), "pack long, docs binary, numbers binary, dealt binary")
 
 
