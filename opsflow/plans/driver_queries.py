@@ -257,12 +257,14 @@ def _sales_in_load_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_sales`` dealt to partitions so that files, taken by name, hold them in load order.
 
     The lines are dealt and sorted before their texts are made, so neither the sample of the ranges nor the shuffle makes any.
+    What the order derives is a column by then: a sort makes an expression anew for both rows of every comparison.
     """
     t = Tables.from_parquet_dir(spark, sf_dir)
-    made = {name: sql for name, sql, _ in RAW_SALES.cols}
-    order = [F.expr(made[c]) for c in SALES_ORDER]
-    n = max(spark.sparkContext.defaultParallelism, -(-t[RAW_SALES.base].count() // FILE_ROWS))
-    dealt = t[RAW_SALES.base].repartitionByRange(n, *order).sortWithinPartitions(*order)
+    base, made = t[RAW_SALES.base], {name: sql for name, sql, _ in RAW_SALES.cols}
+    derived = {f"_{c}": F.expr(made[c]) for c in SALES_ORDER if made[c] not in base.columns}
+    order = [f"_{c}" if f"_{c}" in derived else made[c] for c in SALES_ORDER]
+    n = max(spark.sparkContext.defaultParallelism, -(-base.count() // FILE_ROWS))
+    dealt = base.withColumns(derived).repartitionByRange(n, *order).sortWithinPartitions(*order)
     return care_tables(t.with_frames(**{RAW_SALES.base: dealt}))["raw_sales"]
 
 

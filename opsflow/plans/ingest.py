@@ -195,7 +195,7 @@ def file_verdicts(rows: DataFrame, paths: DataFrame, required: list[str] = S.REQ
     header = rows.filter("block = 0 AND pos = 0").select(
         F.col("path").alias("_h_path"), F.transform("fields", lambda x: F.lower(T.strip_ws(x))).alias("names"))
     per = rows.groupBy(F.col("path").alias("_p_path")).agg(
-        F.bool_and("valid").alias("_valid"), (F.min(F.size("fields")) != F.max(F.size("fields"))).alias("_uneven"))
+        F.bool_and("valid").alias("_valid"), (F.min("width") != F.max("width")).alias("_uneven"))
     j = (paths.join(header, F.col("source_path") == F.col("_h_path"), "left")
          .join(per, F.col("source_path") == F.col("_p_path"), "left"))
     missing = F.array_sort(F.array_except(F.array(*[F.lit(c) for c in required]), "names"))
@@ -222,11 +222,11 @@ def sales_rows(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 def manifest_rows(verdicts: DataFrame, validated: DataFrame, inserted: DataFrame, run: int, as_of: datetime) -> DataFrame:
     """B2: what a run did with each file, counted on the rows that it adds, not on the target."""
-    per = validated.groupBy(F.col("source_path").alias("_v_path")).agg(
+    per = validated.groupBy(F.col("_file_rank").alias("_v_rank")).agg(
         F.count_if(is_valid()).alias("parsed"), F.count_if(~is_valid()).alias("errors"), F.count_if("total_mismatch").alias("mismatches"))
-    ins = inserted.groupBy(F.col("source_path").alias("_i_path")).agg(F.count(F.lit(1)).alias("inserted"), row_digest().alias("digest"))
-    j = (verdicts.join(per, F.col("source_path") == F.col("_v_path"), "left")
-         .join(ins, F.col("source_path") == F.col("_i_path"), "left"))
+    ins = inserted.groupBy(F.col("_file_rank").alias("_i_rank")).agg(F.count(F.lit(1)).alias("inserted"), row_digest().alias("digest"))
+    j = (verdicts.join(per, F.col("_file_rank") == F.col("_v_rank"), "left")
+         .join(ins, F.col("_file_rank") == F.col("_i_rank"), "left"))
     n = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
     return j.select(F.lit(run).cast("bigint").alias("run"), "source_path", "source_file", "error", n("parsed").alias("parsed"), n("inserted").alias("inserted"),
                     (n("parsed") - n("inserted")).alias("skipped"), n("errors").alias("errors"), n("mismatches").alias("mismatches"),
@@ -276,8 +276,8 @@ def run_etl(spark: SparkSession, source_dir: str, target_path: str | None, as_of
                                   "source_path string, _file_rank int, source_file string")
     rows = records(spark, files, state.path(run, "records"), sep)
     verdicts = state.write(file_verdicts(rows, paths), run, "verdicts")
-    # Rows are parsed once; everything below reads what was parsed.
-    validated = state.write(validate_sales(sales_rows(rows, verdicts), as_of), run, "validated")
+    # Rows are parsed once; everything below reads what was parsed. A row's file is known by its rank alone.
+    validated = state.write(validate_sales(sales_rows(rows, verdicts).drop("source_path", "source_file"), as_of), run, "validated")
     existing = _target(spark, target_path, target_table)
     if existing is None:
         target_keys = spark.createDataFrame([], "sale_id string")
@@ -287,7 +287,12 @@ def run_etl(spark: SparkSession, source_dir: str, target_path: str | None, as_of
         target_keys = index.keys_that_may_match(validated.filter(is_valid()).select("sale_id"))
     else:
         target_keys = existing.select("sale_id")
-    inserted = state.write(load_sales(validated, target_keys, ["_file_rank", "_block", "_row_pos"]), run, "insert")
+    # Being parsed, rows that fail are told without cost, so only the others are ranked, with what the target takes of them.
+    order = ["_file_rank", "_block", "_row_pos"]
+    valid = validated.filter(is_valid()).select(*[c for c in SALES_OUT if c != "source_file"], *order)
+    names = verdicts.select(F.col("_file_rank").alias("_n_rank"), "source_file")
+    added = load_sales(valid, target_keys, order).join(names, F.col("_file_rank") == F.col("_n_rank")).drop("_n_rank", "_block", "_row_pos")
+    inserted = state.write(added, run, "insert")
     manifest = state.write(manifest_rows(verdicts, validated, inserted, run, as_of), run, "manifest")
     state.files.create(state.path(run, "_manifest"))
     publish(spark, state, run, target_path, target_table, buckets)

@@ -24,20 +24,21 @@ from __future__ import annotations
 
 import csv
 import io
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.csv as pacsv
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .files import Files, literal
 
-RECORDS_DDL = "path string, block bigint, pos bigint, fields array<string>, valid boolean"
+RECORDS_DDL = "path string, block bigint, pos bigint, fields array<string>, valid boolean, width int"
 CUT_DDL = RECORDS_DDL + ", part string, owner bigint"
 # Ranges that start inside a field are known to every task (some 100 bytes each); beyond this many, ranges are made larger.
 MAX_STARTS = 500_000
@@ -87,13 +88,13 @@ def pieces(line: bytes, first: bool) -> list[tuple[str, str, bool]]:
     return [(p, "\r", valid) for p in parts] + [(last + end, "\n", valid)]
 
 
-def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[bytes], bool]]:
+def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Array, bool]]:
     """((path, block), lines, whether they are the range's first) of each stretch of one range in a batch."""
     at = None
     for b in batches:
         if not b.num_rows:
             continue
-        values, path, block = b.column(0).to_pylist(), b.column(1), b.column(2)
+        values, path, block = b.column(0), b.column(1), b.column(2)
         key = lambda i: (path[i].as_py(), block[i].as_py())
         borders = []
         if key(0) != key(len(values) - 1):
@@ -104,8 +105,15 @@ def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[b
             yield at, values[start:stop], first
 
 
-def state_after(text: bytes, inside: bool, sep: int) -> bool | None:
-    """Whether ``text``, from a line's start, leaves a quoted field open; None if counting its quotes does not tell.
+def joined(lines_: pa.Array) -> bytes:
+    """The lines as one text, with a line feed after each."""
+    if lines_.nbytes > 1 << 30:  # with the line feeds it may be more than one Arrow value holds
+        return b"\n".join([*lines_.to_pylist(), b""])
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(lines_)], pa.int32()), lines_), b"\n")[0].as_py() + b"\n"
+
+
+def quotes_told(text: bytes, inside: bool, sep: int) -> np.ndarray | None:
+    """Where the quotes of ``text``, from a line's start, are; None if counting them does not tell the state after each.
 
     Where every quote that opens a field is at a field's start or doubles the one before it, the state is their parity.
     """
@@ -117,7 +125,13 @@ def state_after(text: bytes, inside: bool, sep: int) -> bool | None:
     doubled = np.flatnonzero(~fits) * 2 + int(inside)
     if len(doubled) and (doubled[0] == 0 or (quotes[doubled] - quotes[doubled - 1] != 1).any()):
         return None
-    return inside ^ bool(len(quotes) % 2)
+    return quotes
+
+
+def state_after(text: bytes, inside: bool, sep: int) -> bool | None:
+    """Whether ``text``, from a line's start, leaves a quoted field open; None if counting its quotes does not tell."""
+    quotes = quotes_told(text, inside, sep)
+    return None if quotes is None else inside ^ bool(len(quotes) % 2)
 
 
 def _maps(sep: str):
@@ -127,16 +141,16 @@ def _maps(sep: str):
             if first:
                 rows.append([path, block, False, True, False])
             row = rows[-1]
-            for i, line in enumerate(lines_):
+            for i in range(len(lines_)):
                 if row[2] == row[3] and row[4] and sep.isascii():  # one state to follow, and a record's end was seen
-                    state = state_after(b"\n".join(lines_[i:]), row[2], ord(sep))
+                    state = state_after(joined(lines_[i:]), row[2], ord(sep))
                     if state is not None:
                         row[2] = row[3] = state
                         break
-                    for line in lines_[i:]:
+                    for line in lines_[i:].to_pylist():
                         _follow(row, line, False, sep)
                     break
-                _follow(row, line, first and i == 0 and block == 0, sep)
+                _follow(row, lines_[i].as_py(), first and i == 0 and block == 0, sep)
         yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 5, (pa.string(), pa.int64(), *[pa.bool_()] * 3))],
                               ["path", "block", "from_out", "from_in", "ends"])
     return run
@@ -207,23 +221,61 @@ def whole_records(lines_: list[bytes], sep: str) -> tuple[list[list[str]], list[
     return rows, valid if bad else [True] * len(rows), done
 
 
+def plain_records(lines_: pa.Array, sep: str) -> tuple[pa.ListArray, int] | None:
+    """As ``whole_records``, by Arrow's reader: fields of the records, how many lines they take; None if the text is not plain.
+
+    Plain text is UTF-8, has quotes only around fields and doubled inside them, as many fields in every record and no
+    lone carriage returns. Both readers cut such text alike.
+    """
+    if not sep.isascii():
+        return None
+    text, taken = joined(lines_), len(lines_)
+    quotes = quotes_told(text, False, ord(sep))
+    if quotes is None or text.startswith(_BOM) or text.count(b"\r") != text.count(b"\r\n"):
+        return None
+    if len(quotes) % 2:  # the last record goes on
+        ends = np.flatnonzero(np.frombuffer(text, np.uint8) == ord("\n"))
+        outside = np.flatnonzero(np.searchsorted(quotes, ends) % 2 == 0)
+        if not len(outside):
+            return None
+        taken = int(outside[-1]) + 1
+        text = text[:ends[outside[-1]] + 1]
+    try:
+        width = len(next(filter(None, csv.reader((x.as_py().decode() + "\n" for x in lines_), delimiter=sep)), []))
+        if width < 2:
+            return None
+        names = [str(i) for i in range(width)]
+        table = pacsv.read_csv(
+            pa.py_buffer(text), pacsv.ReadOptions(use_threads=False, block_size=len(text) + 1, column_names=names),
+            pacsv.ParseOptions(delimiter=sep, newlines_in_values=True),
+            pacsv.ConvertOptions(column_types={c: pa.string() for c in names}, strings_can_be_null=False))
+    except (UnicodeDecodeError, pa.ArrowException):
+        return None
+    n = table.num_rows
+    by_column = pa.concat_arrays([x for c in table.columns for x in c.chunks])
+    by_record = (np.arange(width) * n + np.arange(n)[:, None]).ravel()
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), by_column.take(pa.array(by_record))), taken
+
+
 def _cut(sep: str, starts: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict = {}
-        names = ["path", "block", "pos", "fields", "valid", "part", "owner"]
-        kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.bool_(), pa.string(), pa.int64())
+        names = ["path", "block", "pos", "fields", "valid", "width", "part", "owner"]
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.bool_(), pa.int32(), pa.string(), pa.int64())
 
-        def whole(at: tuple, rows: list[list[str]], valid: list[bool]) -> pa.RecordBatch:
-            n = len(rows)
-            ends = np.cumsum([0, *map(len, rows)])
-            fields = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(list(chain.from_iterable(rows)), pa.string()))
+        def whole(at: tuple, fields: pa.ListArray, valid: list[bool] | None = None) -> pa.RecordBatch:
+            n = len(fields)
             pos, state["pos"] = state["pos"], state["pos"] + n
             return pa.record_batch([pa.repeat(pa.scalar(at[0], pa.string()), n), pa.repeat(pa.scalar(at[1], pa.int64()), n),
-                                    pa.array(np.arange(pos, pos + n)), fields, pa.array(valid, pa.bool_()), pa.nulls(n, pa.string()),
-                                    pa.repeat(pa.scalar(at[1], pa.int64()), n)], names)
+                                    pa.array(np.arange(pos, pos + n)), fields, pa.repeat(True, n) if valid is None else pa.array(valid, pa.bool_()),
+                                    pc.list_value_length(fields), pa.nulls(n, pa.string()), pa.repeat(pa.scalar(at[1], pa.int64()), n)], names)
+
+        def listed(rows: list[list[str]]) -> pa.ListArray:
+            ends = np.cumsum([0, *map(len, rows)])
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(list(chain.from_iterable(rows)), pa.string()))
 
         def part(at: tuple, pos: int, text: str) -> pa.RecordBatch:
-            row = (*at, pos, None, state["valid"], text, state["owner"])
+            row = (*at, pos, None, state["valid"], None, text, state["owner"])
             return pa.record_batch([pa.array([x], k) for x, k in zip(row, kinds)], names)
 
         def close(at: tuple) -> Iterator[pa.RecordBatch]:
@@ -231,7 +283,7 @@ def _cut(sep: str, starts: Broadcast):
             if state["open"]:
                 yield part(at, state["pos"], "".join(state["open"]))
 
-        def by_line(at: tuple, lines_: list[bytes], first: bool, until_whole: bool) -> Iterator[pa.RecordBatch]:
+        def by_line(at: tuple, lines_: Iterable[bytes], first: bool, until_whole: bool) -> Iterator[pa.RecordBatch]:
             """Take lines, up to the first that ends a record if ``until_whole``; ``state["taken"]`` says how many."""
             records: list[str] = []
             valid: list[bool] = []
@@ -256,7 +308,7 @@ def _cut(sep: str, starts: Broadcast):
                 if until_whole and not state["open"]:
                     break
             if records:
-                yield whole(at, list(csv.reader(records, delimiter=sep)), valid)
+                yield whole(at, listed(list(csv.reader(records, delimiter=sep))), valid)
 
         csv.field_size_limit(2**31 - 1)
         last = None
@@ -269,17 +321,23 @@ def _cut(sep: str, starts: Broadcast):
             # The rest of an open record, or a file's first line, which may have a byte order mark; then whole records at once.
             head = first and at[1] == 0
             if head or state["inside"] or state["open"]:
-                yield from by_line(at, lines_, head, True)
+                yield from by_line(at, (x.as_py() for x in lines_), head, True)
                 lines_ = lines_[state["taken"]:]
-            if not lines_:
+            if not len(lines_):
+                continue
+            if plain := plain_records(lines_, sep):
+                fields, taken = plain
+                yield whole(at, fields)
+                yield from by_line(at, lines_[taken:].to_pylist(), False, False)
                 continue
+            lines_ = lines_.to_pylist()
             found = whole_records(lines_, sep)
             if found is None:
                 yield from by_line(at, lines_, False, False)
                 continue
             rows, valid, taken = found
             if rows:
-                yield whole(at, rows, valid)
+                yield whole(at, listed(rows), valid)
             yield from by_line(at, lines_[taken:], False, False)
         if last is not None:
             yield from close(last)
@@ -292,8 +350,9 @@ def _joined(sep: str):
         for b in batches:
             # One reader each: the last record of a file may leave its quotes open. It then ends before the file's last line end.
             rows = [next(csv.reader([r.removesuffix("\n")], delimiter=sep), []) for r in b.column(4).to_pylist()]
-            yield pa.record_batch([*b.columns[:3], pa.array(rows, pa.list_(pa.string())), b.column(3)],
-                                  ["path", "block", "pos", "fields", "valid"])
+            fields = pa.array(rows, pa.list_(pa.string()))
+            yield pa.record_batch([*b.columns[:3], fields, b.column(3), pc.list_value_length(fields)],
+                                  ["path", "block", "pos", "fields", "valid", "width"])
     return run
 
 
@@ -323,7 +382,7 @@ def _bytes(spark: SparkSession, setting: str) -> int:
 
 
 def records(spark: SparkSession, paths: list[str], stage: str, sep: str = ",", range_bytes: int | None = None) -> DataFrame:
-    """All records of ``paths``: path, block and pos (order within a file), fields, and whether its bytes are UTF-8.
+    """All records of ``paths``: path, block and pos (order within a file), fields, whether its bytes are UTF-8, number of fields.
 
     Runs at once and keeps the records as Parquet in the folder ``stage``, so raw text is read once (twice if a
     file is larger than a range). ``range_bytes``: the most bytes of a range, by default what the session says.
@@ -347,4 +406,4 @@ def records(spark: SparkSession, paths: list[str], stage: str, sep: str = ",", r
         F.min_by("pos", "block").alias("pos"), F.bool_and("valid").alias("valid"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "part"))), lambda x: x["part"]), "").alias("part"))
         .select("path", F.col("owner").alias("block"), "pos", "valid", "part"))
-    return cut.filter("part IS NULL").select("path", "block", "pos", "fields", "valid").unionByName(parts.mapInArrow(_joined(sep), RECORDS_DDL))
+    return cut.filter("part IS NULL").drop("part", "owner").unionByName(parts.mapInArrow(_joined(sep), RECORDS_DDL))

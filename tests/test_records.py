@@ -4,6 +4,7 @@ import io
 import os
 import random
 
+import pyarrow as pa
 import pytest
 
 from opsflow.sources import records as R
@@ -156,3 +157,26 @@ def test_long_ranges_are_cut_whole(spark, scratch):
         got.setdefault(os.path.basename(r.path), []).append(r.fields)
     assert got == {"a.txt": expected(text), "odd.txt": expected(odd), "bad.txt": expected(bad.decode(errors="replace"))}
     assert [r.fields[0] for r in rows if not r.valid] == ["9000"]
+
+
+def test_arrow_cuts_plain_text_as_the_csv_module():
+    rng = random.Random(4)
+    bits = ["a", ",", ",", '"', "\n", '"\n', '",', ',"', '\n"', '""', "\r", "\r\n", "é", " ", "\x00", "\x85", "﻿", "NaN", "5"]
+    told = 0
+    for k in range(12000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(30)))
+        if k % 2:  # mostly well-formed
+            text = "\n".join(",".join(rng.choice(['"x\ny"', '"a""b"', "", '""', " 5 ", '"c"d', "é"]) for _ in range(2)) for _ in range(4)) + rng.choice(["", "\n", '\n"', '\n1,"2\n\n3\n'])
+        lines = text.encode().split(b"\n")
+        got = R.plain_records(pa.array(lines, pa.binary()), ",")
+        if got is not None:
+            rows, valid, taken = R.whole_records(lines, ",")
+            assert (got[0].to_pylist(), got[1]) == (rows, taken) and all(valid), text
+            told += 1
+    assert told > 2000
+
+
+def test_bad_text_is_not_plain():
+    for lines in ([b"a,b", b"x\xe9,1"], [b"a,b", b"1"], [b"a,b", b"1\r2,3"], [b'a,b "c" d,"e', b'f"'], [b""], [b"one"]):
+        assert R.plain_records(pa.array(lines, pa.binary()), ",") is None
+    assert R.plain_records(pa.array([b"a,b", b"1,2"], pa.binary()), "é") is None
