@@ -4,13 +4,15 @@ A quoted field may hold line ends, so where a record starts in the middle of a
 file depends on all the text before it. Spark reads files in ranges of whole lines;
 here every range is told from two bits whether it starts inside a quoted field:
 
-1. Each task maps both possible states at its range's start (outside, inside a
+1. Tasks cut their ranges into records, each from the state that its first lines look like, and
+   say with what state it began and ended. Per file these are chained in range order (one row per range); files of
+   one range need no chain. Where every range began as the one before it ended, the cut stands.
+2. Else each task maps both possible states at its range's start (outside, inside a
    quoted field) to the state at its end. For well-formed text that is the
    parity of its quotes; a stray quote inside an unquoted field, which is
-   plain text, is respected too.
-2. Per file these maps are chained in range order (one row per range), which gives
-   each range's true start. Files of one range need neither step.
-3. Tasks cut their ranges into records. A record that crosses a border
+   plain text, is respected too. These maps are chained alike, which gives
+   each range's true start, and the ranges are cut once more from there.
+3. A record that crosses a border
    leaves its parts in several ranges; only those parts are shuffled, by the
    range in which their record starts, and joined.
 
@@ -39,7 +41,10 @@ from pyspark.sql import functions as F
 from .files import Files, literal
 
 RECORDS_DDL = "path string, block bigint, pos bigint, fields array<string>, valid boolean, width int"
-CUT_DDL = RECORDS_DDL + ", part string, owner bigint"
+MAP_DDL = "from_out boolean, from_in boolean, ends boolean"
+CUT_DDL = RECORDS_DDL + ", part string, owner bigint, " + MAP_DDL
+UNTOLD = -1  # owner of what begins a range that is taken to start inside a field
+LOOK = 100  # lines at least, if a range has them, by which its start is judged
 # Ranges that start inside a field are known to every task (some 100 bytes each); beyond this many, ranges are made larger.
 MAX_STARTS = 500_000
 TASK_BYTES = 32 << 20  # small ranges are read many to a task, one after the other
@@ -89,8 +94,11 @@ def pieces(line: bytes, first: bool) -> list[tuple[str, str, bool]]:
 
 
 def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Array, bool]]:
-    """((path, block), lines, whether they are the range's first) of each stretch of one range in a batch."""
-    at = None
+    """((path, block), lines, whether they are the range's first) of each stretch of one range in a batch.
+
+    A range's first lines come LOOK at a time or more, if it has as many.
+    """
+    at, held = None, None
     for b in batches:
         if not b.num_rows:
             continue
@@ -101,8 +109,19 @@ def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Arr
             other = pc.or_(pc.not_equal(path[1:], path[:-1]), pc.not_equal(block[1:], block[:-1]))
             borders = (np.flatnonzero(other.to_numpy(zero_copy_only=False)) + 1).tolist()
         for start, stop in zip([0, *borders], [*borders, len(values)]):
-            first, at = key(start) != at, key(start)
-            yield at, values[start:stop], first
+            now, lines_ = key(start), values[start:stop]
+            if held is not None and now != at:
+                yield at, held, True
+                held = None
+            first, at = held is not None or now != at, now
+            if held is not None:
+                lines_, held = pa.concat_arrays([held, lines_]), None
+            if first and stop == len(values) and len(lines_) < LOOK:
+                held = lines_
+            else:
+                yield at, lines_, first
+    if held is not None:
+        yield at, held, True
 
 
 def joined(lines_: pa.Array) -> bytes:
@@ -134,6 +153,14 @@ def state_after(text: bytes, inside: bool, sep: int) -> bool | None:
     return None if quotes is None else inside ^ bool(len(quotes) % 2)
 
 
+def looks_inside(lines_: pa.Array, sep: str) -> bool:
+    """Whether the lines are well-formed only if they start inside a quoted field."""
+    if not sep.isascii():
+        return False
+    text = joined(lines_)
+    return quotes_told(text, False, ord(sep)) is None and quotes_told(text, True, ord(sep)) is not None
+
+
 def _maps(sep: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[list] = []
@@ -167,26 +194,34 @@ def _follow(row: list, line: bytes, first: bool, sep: str) -> None:
 
 
 def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranges that start inside a field, with their owners; of a file in which a range was cut from a wrong start, that range without one."""
     out: list[tuple] = []
     for b in batches:
         for path, ranges in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             inside, owner = False, None
             for r in ranges:
+                after = r["from_in"] if inside else r["from_out"]
+                if after is None:
+                    out.append((path, r["block"], None))
+                    break
                 if inside:
                     out.append((path, r["block"], owner))
-                before = inside
-                inside = r["from_in"] if before else r["from_out"]
+                before, inside = inside, after
                 if not before or r["ends"]:
                     owner = r["block"]
     yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out) if out else [[]] * 3, (pa.string(), pa.int64(), pa.int64()))],
                           ["path", "block", "owner"])
 
 
+def chained(maps: DataFrame) -> DataFrame:
+    """path, block, owner of the ranges of ``_chain``. ``maps``: path, block and what MAP_DDL names, a row a range."""
+    ranges = maps.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("block", "from_out", "from_in", "ends"))).alias("ranges"))
+    return ranges.mapInArrow(_chain, "path string, block bigint, owner bigint")
+
+
 def inside_starts(spark: SparkSession, paths: list[str], sep: str, tasks: int) -> DataFrame:
     """Ranges that start inside a quoted field: path, block, and the block in which that record starts."""
-    maps = lines(spark, paths).coalesce(tasks).mapInArrow(_maps(sep), "path string, block bigint, from_out boolean, from_in boolean, ends boolean")
-    chained = maps.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("block", "from_out", "from_in", "ends"))).alias("ranges"))
-    return chained.mapInArrow(_chain, "path string, block bigint, owner bigint")
+    return chained(lines(spark, paths).coalesce(tasks).mapInArrow(_maps(sep), "path string, block bigint, " + MAP_DDL))
 
 
 def whole_records(lines_: list[bytes], sep: str) -> tuple[list[list[str]], list[bool], int] | None:
@@ -257,31 +292,38 @@ def plain_records(lines_: pa.Array, sep: str) -> tuple[pa.ListArray, int] | None
     return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), by_column.take(pa.array(by_record))), taken
 
 
-def _cut(sep: str, starts: Broadcast):
+def _cut(sep: str, starts: Broadcast | None):
+    """Cut ranges into records; without ``starts`` (owners of the ranges that start inside a field) from the starts that they look to have."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict = {}
-        names = ["path", "block", "pos", "fields", "valid", "width", "part", "owner"]
-        kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.bool_(), pa.int32(), pa.string(), pa.int64())
+        names = ["path", "block", "pos", "fields", "valid", "width", "part", "owner", "from_out", "from_in", "ends"]
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.bool_(), pa.int32(), pa.string(), pa.int64(), *[pa.bool_()] * 3)
+
+        def one(*row) -> pa.RecordBatch:
+            return pa.record_batch([pa.array([x], k) for x, k in zip(row, kinds)], names)
 
         def whole(at: tuple, fields: pa.ListArray, valid: list[bool] | None = None) -> pa.RecordBatch:
             n = len(fields)
             pos, state["pos"] = state["pos"], state["pos"] + n
             return pa.record_batch([pa.repeat(pa.scalar(at[0], pa.string()), n), pa.repeat(pa.scalar(at[1], pa.int64()), n),
                                     pa.array(np.arange(pos, pos + n)), fields, pa.repeat(True, n) if valid is None else pa.array(valid, pa.bool_()),
-                                    pc.list_value_length(fields), pa.nulls(n, pa.string()), pa.repeat(pa.scalar(at[1], pa.int64()), n)], names)
+                                    pc.list_value_length(fields), pa.nulls(n, pa.string()), pa.repeat(pa.scalar(at[1], pa.int64()), n),
+                                    *[pa.nulls(n, pa.bool_())] * 3], names)
 
         def listed(rows: list[list[str]]) -> pa.ListArray:
             ends = np.cumsum([0, *map(len, rows)])
             return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(list(chain.from_iterable(rows)), pa.string()))
 
         def part(at: tuple, pos: int, text: str) -> pa.RecordBatch:
-            row = (*at, pos, None, state["valid"], None, text, state["owner"])
-            return pa.record_batch([pa.array([x], k) for x, k in zip(row, kinds)], names)
+            return one(*at, pos, None, state["valid"], None, text, state["owner"], None, None, None)
 
         def close(at: tuple) -> Iterator[pa.RecordBatch]:
             # What is open when a range ends goes on in the next one, or ends with the file.
             if state["open"]:
                 yield part(at, state["pos"], "".join(state["open"]))
+            if starts is None:
+                began, after = state["began"], state["inside"]
+                yield one(*at, *[None] * 6, None if began else after, after if began else None, state["owner"] == at[1])
 
         def by_line(at: tuple, lines_: Iterable[bytes], first: bool, until_whole: bool) -> Iterator[pa.RecordBatch]:
             """Take lines, up to the first that ends a record if ``until_whole``; ``state["taken"]`` says how many."""
@@ -316,8 +358,13 @@ def _cut(sep: str, starts: Broadcast):
             if first:
                 if last is not None:
                     yield from close(last)
-                last, owner = at, starts.value.get(at)
-                state = {"open": [], "inside": owner is not None, "owner": at[1] if owner is None else owner, "valid": True, "pos": 0}
+                last = at
+                if starts is not None:
+                    owner = starts.value.get(at)
+                else:
+                    owner = UNTOLD if at[1] > 0 and looks_inside(lines_, sep) else None
+                state = {"open": [], "began": owner is not None, "inside": owner is not None, "owner": at[1] if owner is None else owner,
+                         "valid": True, "pos": 0}
             # The rest of an open record, or a file's first line, which may have a byte order mark; then whole records at once.
             head = first and at[1] == 0
             if head or state["inside"] or state["open"]:
@@ -384,26 +431,44 @@ def _bytes(spark: SparkSession, setting: str) -> int:
 def records(spark: SparkSession, paths: list[str], stage: str, sep: str = ",", range_bytes: int | None = None) -> DataFrame:
     """All records of ``paths``: path, block and pos (order within a file), fields, whether its bytes are UTF-8, number of fields.
 
-    Runs at once and keeps the records as Parquet in the folder ``stage``, so raw text is read once (twice if a
-    file is larger than a range). ``range_bytes``: the most bytes of a range, by default what the session says.
+    Runs at once and keeps the records as Parquet in the folder ``stage``, so raw text is read once (three times if a
+    file is larger than a range and a range does not look like what it is). ``range_bytes``: the most bytes of a range, by default what the
+    session says.
     """
     max_bytes = range_bytes or _bytes(spark, spark.conf.get("spark.sql.files.maxPartitionBytes"))
     size = Files(spark, paths[0]).sizes(paths)
     # As many tasks as the text needs, however small its ranges; a task that already has more to read is left as it is.
     tasks = max(spark.sparkContext.defaultParallelism, -(-sum(size) // TASK_BYTES))
-    while True:
-        with _fixed_ranges(spark, f"{max_bytes}b"):
-            starts = [] if _one_range_each(spark, size, max_bytes) else inside_starts(spark, paths, sep, tasks).limit(MAX_STARTS + 1).collect()
-            if len(starts) > MAX_STARTS:
-                max_bytes *= 4  # fewer ranges
-                continue
-            # At most MAX_STARTS small entries, looked up once a range.
-            here = spark.sparkContext.broadcast({(r.path, r.block): r.owner for r in starts})
-            lines(spark, paths).coalesce(tasks).mapInArrow(_cut(sep, here), CUT_DDL).write.parquet(stage)
-            break
-    cut = spark.read.schema(CUT_DDL).parquet(literal(stage))
-    parts = (cut.filter("part IS NOT NULL").groupBy("path", "owner").agg(
+
+    def cut_from(starts: Broadcast | None) -> None:
+        lines(spark, paths).coalesce(tasks).mapInArrow(_cut(sep, starts), CUT_DDL).write.mode("error" if starts is None else "overwrite").parquet(stage)
+
+    cut = spark.read.schema(CUT_DDL).format("parquet")
+    with _fixed_ranges(spark, f"{max_bytes}b"):
+        cut_from(None)
+        one_each = _one_range_each(spark, size, max_bytes)
+    told = [] if one_each else chained(cut.load(literal(stage)).filter("ends IS NOT NULL").select("path", "block", "from_out", "from_in", "ends")
+                                       ).limit(MAX_STARTS + 1).collect()
+    if len(told) > MAX_STARTS or any(r.owner is None for r in told):
+        told = []
+        while True:
+            with _fixed_ranges(spark, f"{max_bytes}b"):
+                starts = inside_starts(spark, paths, sep, tasks).limit(MAX_STARTS + 1).collect()
+                if len(starts) > MAX_STARTS:
+                    max_bytes *= 4  # fewer ranges
+                    continue
+                # At most MAX_STARTS small entries, looked up once a range.
+                cut_from(spark.sparkContext.broadcast({(r.path, r.block): r.owner for r in starts}))
+                break
+    staged = cut.load(literal(stage))
+    parts = staged.filter("part IS NOT NULL").select("path", "block", "pos", "valid", "part", "owner")
+    if told:  # at most MAX_STARTS small rows
+        known = spark.createDataFrame([(r.path, r.block, r.owner) for r in told], "_path string, _block bigint, _owner bigint")
+        owner = F.when(F.col("owner") == UNTOLD, F.col("_owner")).otherwise(F.col("owner"))
+        parts = parts.join(known, (F.col("path") == F.col("_path")) & (F.col("block") == F.col("_block")), "left").withColumn("owner", owner)
+    whole = (parts.groupBy("path", "owner").agg(
         F.min_by("pos", "block").alias("pos"), F.bool_and("valid").alias("valid"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "part"))), lambda x: x["part"]), "").alias("part"))
         .select("path", F.col("owner").alias("block"), "pos", "valid", "part"))
-    return cut.filter("part IS NULL").drop("part", "owner").unionByName(parts.mapInArrow(_joined(sep), RECORDS_DDL))
+    return (staged.filter("part IS NULL AND ends IS NULL").select("path", "block", "pos", "fields", "valid", "width")
+            .unionByName(whole.mapInArrow(_joined(sep), RECORDS_DDL)))

@@ -180,3 +180,23 @@ def test_bad_text_is_not_plain():
     for lines in ([b"a,b", b"x\xe9,1"], [b"a,b", b"1"], [b"a,b", b"1\r2,3"], [b'a,b "c" d,"e', b'f"'], [b""], [b"one"]):
         assert R.plain_records(pa.array(lines, pa.binary()), ",") is None
     assert R.plain_records(pa.array([b"a,b", b"1,2"], pa.binary()), "é") is None
+
+
+@pytest.mark.parametrize("quoted", [True, False])
+def test_well_formed_text_is_read_once(spark, scratch, monkeypatch, quoted):
+    """Ranges are cut from the starts that they look to have; only where that does not fit is the text read again."""
+    calls = []
+    real = R.inside_starts
+    monkeypatch.setattr(R, "inside_starts", lambda *a: calls.append(1) or real(*a))
+    if quoted:
+        text = "k,v,w\n" + "".join(f'"{i}","He said ""{i}"",\r\nthen\nwent","{i % 7}"\n' for i in range(9000))
+    else:  # nothing tells that a range starts in the long field
+        text = "k,v,w\n" + "".join(f"{i},x,y\n" for i in range(3000)) + '1,"' + "a line\n" * 9000 + '",z\n' + "".join(f"{i},x,y\n" for i in range(3000))
+    path = write(scratch, "in.txt", text)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = sorted(records(spark, [path], range_bytes=9_000).collect(), key=lambda r: (r.block, r.pos))
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", "4m")
+    assert [r.fields for r in rows] == expected(text) and {r.width for r in rows} == {3}
+    assert (len(calls) == 0) == quoted
