@@ -42,7 +42,9 @@ from .files import Files, literal
 
 RECORDS_DDL = "path string, block bigint, pos bigint, fields array<string>, valid boolean, width int"
 MAP_DDL = "from_out boolean, from_in boolean, ends boolean"
-CUT_DDL = RECORDS_DDL + ", part string, owner bigint, " + MAP_DDL
+# ``joined``: fields in one text with BETWEEN, which none of them holds, in place of ``fields``; it costs a third of the list to write.
+CUT_DDL = RECORDS_DDL + ", joined string, part string, owner bigint, " + MAP_DDL
+BETWEEN = "\x1f"
 UNTOLD = -1  # owner of what begins a range that is taken to start inside a field
 LOOK = 100  # lines at least, if a range has them, by which its start is judged
 # Ranges that start inside a field are known to every task (some 100 bytes each); beyond this many, ranges are made larger.
@@ -256,17 +258,17 @@ def whole_records(lines_: list[bytes], sep: str) -> tuple[list[list[str]], list[
     return rows, valid if bad else [True] * len(rows), done
 
 
-def plain_records(lines_: pa.Array, sep: str) -> tuple[pa.ListArray, int] | None:
-    """As ``whole_records``, by Arrow's reader: fields of the records, how many lines they take; None if the text is not plain.
+def plain_records(lines_: pa.Array, sep: str) -> tuple[pa.StringArray, int, int] | None:
+    """As ``whole_records``, by Arrow's reader: fields of each record with BETWEEN, their number, how many lines are taken; None if the text is not plain.
 
-    Plain text is UTF-8, has quotes only around fields and doubled inside them, as many fields in every record and no
-    lone carriage returns. Both readers cut such text alike.
+    Plain text is UTF-8, has quotes only around fields and doubled inside them, as many fields in every record, no
+    lone carriage returns and no BETWEEN. Both readers cut such text alike.
     """
     if not sep.isascii():
         return None
     text, taken = joined(lines_), len(lines_)
     quotes = quotes_told(text, False, ord(sep))
-    if quotes is None or text.startswith(_BOM) or text.count(b"\r") != text.count(b"\r\n"):
+    if quotes is None or text.startswith(_BOM) or BETWEEN.encode() in text or text.count(b"\r") != text.count(b"\r\n"):
         return None
     if len(quotes) % 2:  # the last record goes on
         ends = np.flatnonzero(np.frombuffer(text, np.uint8) == ord("\n"))
@@ -286,36 +288,37 @@ def plain_records(lines_: pa.Array, sep: str) -> tuple[pa.ListArray, int] | None
             pacsv.ConvertOptions(column_types={c: pa.string() for c in names}, strings_can_be_null=False))
     except (UnicodeDecodeError, pa.ArrowException):
         return None
-    n = table.num_rows
-    by_column = pa.concat_arrays([x for c in table.columns for x in c.chunks])
-    by_record = (np.arange(width) * n + np.arange(n)[:, None]).ravel()
-    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), by_column.take(pa.array(by_record))), taken
+    return pc.binary_join_element_wise(*[c.combine_chunks() for c in table.columns], BETWEEN), width, taken
 
 
 def _cut(sep: str, starts: Broadcast | None):
     """Cut ranges into records; without ``starts`` (owners of the ranges that start inside a field) from the starts that they look to have."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict = {}
-        names = ["path", "block", "pos", "fields", "valid", "width", "part", "owner", "from_out", "from_in", "ends"]
-        kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.bool_(), pa.int32(), pa.string(), pa.int64(), *[pa.bool_()] * 3)
+        names = ["path", "block", "pos", "fields", "valid", "width", "joined", "part", "owner", "from_out", "from_in", "ends"]
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.bool_(), pa.int32(), pa.string(), pa.string(), pa.int64(),
+                 *[pa.bool_()] * 3)
 
         def one(*row) -> pa.RecordBatch:
             return pa.record_batch([pa.array([x], k) for x, k in zip(row, kinds)], names)
 
-        def whole(at: tuple, fields: pa.ListArray, valid: list[bool] | None = None) -> pa.RecordBatch:
-            n = len(fields)
+        def whole(at: tuple, n: int, fields: pa.Array, valid: pa.Array, width: pa.Array, joined_: pa.Array) -> pa.RecordBatch:
             pos, state["pos"] = state["pos"], state["pos"] + n
             return pa.record_batch([pa.repeat(pa.scalar(at[0], pa.string()), n), pa.repeat(pa.scalar(at[1], pa.int64()), n),
-                                    pa.array(np.arange(pos, pos + n)), fields, pa.repeat(True, n) if valid is None else pa.array(valid, pa.bool_()),
-                                    pc.list_value_length(fields), pa.nulls(n, pa.string()), pa.repeat(pa.scalar(at[1], pa.int64()), n),
-                                    *[pa.nulls(n, pa.bool_())] * 3], names)
+                                    pa.array(np.arange(pos, pos + n)), fields, valid, width, joined_, pa.nulls(n, pa.string()),
+                                    pa.repeat(pa.scalar(at[1], pa.int64()), n), *[pa.nulls(n, pa.bool_())] * 3], names)
 
-        def listed(rows: list[list[str]]) -> pa.ListArray:
+        def plain(at: tuple, texts: pa.Array, width: int) -> pa.RecordBatch:
+            n = len(texts)
+            return whole(at, n, pa.nulls(n, kinds[3]), pa.repeat(True, n), pa.repeat(pa.scalar(width, pa.int32()), n), texts)
+
+        def listed(at: tuple, rows: list[list[str]], valid: list[bool]) -> pa.RecordBatch:
             ends = np.cumsum([0, *map(len, rows)])
-            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(list(chain.from_iterable(rows)), pa.string()))
+            fields = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(list(chain.from_iterable(rows)), pa.string()))
+            return whole(at, len(rows), fields, pa.array(valid, pa.bool_()), pc.list_value_length(fields), pa.nulls(len(rows), pa.string()))
 
         def part(at: tuple, pos: int, text: str) -> pa.RecordBatch:
-            return one(*at, pos, None, state["valid"], None, text, state["owner"], None, None, None)
+            return one(*at, pos, None, state["valid"], None, None, text, state["owner"], None, None, None)
 
         def close(at: tuple) -> Iterator[pa.RecordBatch]:
             # What is open when a range ends goes on in the next one, or ends with the file.
@@ -323,7 +326,7 @@ def _cut(sep: str, starts: Broadcast | None):
                 yield part(at, state["pos"], "".join(state["open"]))
             if starts is None:
                 began, after = state["began"], state["inside"]
-                yield one(*at, *[None] * 6, None if began else after, after if began else None, state["owner"] == at[1])
+                yield one(*at, *[None] * 7, None if began else after, after if began else None, state["owner"] == at[1])
 
         def by_line(at: tuple, lines_: Iterable[bytes], first: bool, until_whole: bool) -> Iterator[pa.RecordBatch]:
             """Take lines, up to the first that ends a record if ``until_whole``; ``state["taken"]`` says how many."""
@@ -350,7 +353,7 @@ def _cut(sep: str, starts: Broadcast | None):
                 if until_whole and not state["open"]:
                     break
             if records:
-                yield whole(at, listed(list(csv.reader(records, delimiter=sep))), valid)
+                yield listed(at, list(csv.reader(records, delimiter=sep)), valid)
 
         csv.field_size_limit(2**31 - 1)
         last = None
@@ -372,9 +375,9 @@ def _cut(sep: str, starts: Broadcast | None):
                 lines_ = lines_[state["taken"]:]
             if not len(lines_):
                 continue
-            if plain := plain_records(lines_, sep):
-                fields, taken = plain
-                yield whole(at, fields)
+            if told := plain_records(lines_, sep):
+                texts, width, taken = told
+                yield plain(at, texts, width)
                 yield from by_line(at, lines_[taken:].to_pylist(), False, False)
                 continue
             lines_ = lines_.to_pylist()
@@ -384,7 +387,7 @@ def _cut(sep: str, starts: Broadcast | None):
                 continue
             rows, valid, taken = found
             if rows:
-                yield whole(at, listed(rows), valid)
+                yield listed(at, rows, valid)
             yield from by_line(at, lines_[taken:], False, False)
         if last is not None:
             yield from close(last)
@@ -461,7 +464,11 @@ def records(spark: SparkSession, paths: list[str], stage: str, sep: str = ",", r
                 cut_from(spark.sparkContext.broadcast({(r.path, r.block): r.owner for r in starts}))
                 break
     staged = cut.load(literal(stage))
+    fields = F.coalesce("fields", F.split("joined", BETWEEN)).alias("fields")
+    within = staged.filter("part IS NULL AND ends IS NULL").select("path", "block", "pos", fields, "valid", "width")
     parts = staged.filter("part IS NOT NULL").select("path", "block", "pos", "valid", "part", "owner")
+    if parts.isEmpty():
+        return within
     if told:  # at most MAX_STARTS small rows
         known = spark.createDataFrame([(r.path, r.block, r.owner) for r in told], "_path string, _block bigint, _owner bigint")
         owner = F.when(F.col("owner") == UNTOLD, F.col("_owner")).otherwise(F.col("owner"))
@@ -470,5 +477,4 @@ def records(spark: SparkSession, paths: list[str], stage: str, sep: str = ",", r
         F.min_by("pos", "block").alias("pos"), F.bool_and("valid").alias("valid"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "part"))), lambda x: x["part"]), "").alias("part"))
         .select("path", F.col("owner").alias("block"), "pos", "valid", "part"))
-    return (staged.filter("part IS NULL AND ends IS NULL").select("path", "block", "pos", "fields", "valid", "width")
-            .unionByName(whole.mapInArrow(_joined(sep), RECORDS_DDL)))
+    return within.unionByName(whole.mapInArrow(_joined(sep), RECORDS_DDL))

@@ -171,13 +171,14 @@ def test_arrow_cuts_plain_text_as_the_csv_module():
         got = R.plain_records(pa.array(lines, pa.binary()), ",")
         if got is not None:
             rows, valid, taken = R.whole_records(lines, ",")
-            assert (got[0].to_pylist(), got[1]) == (rows, taken) and all(valid), text
+            assert ([x.split(R.BETWEEN) for x in got[0].to_pylist()], got[2]) == (rows, taken) and all(valid), text
+            assert {len(r) for r in rows} <= {got[1]}
             told += 1
     assert told > 2000
 
 
 def test_bad_text_is_not_plain():
-    for lines in ([b"a,b", b"x\xe9,1"], [b"a,b", b"1"], [b"a,b", b"1\r2,3"], [b'a,b "c" d,"e', b'f"'], [b""], [b"one"]):
+    for lines in ([b"a,b", b"x\xe9,1"], [b"a,b", b"1"], [b"a,b", b"1\r2,3"], [b'a,b "c" d,"e', b'f"'], [b""], [b"one"], [b"a,b", b"1\x1f,2"]):
         assert R.plain_records(pa.array(lines, pa.binary()), ",") is None
     assert R.plain_records(pa.array([b"a,b", b"1,2"], pa.binary()), "é") is None
 
@@ -200,3 +201,13 @@ def test_well_formed_text_is_read_once(spark, scratch, monkeypatch, quoted):
         spark.conf.set("spark.sql.files.openCostInBytes", "4m")
     assert [r.fields for r in rows] == expected(text) and {r.width for r in rows} == {3}
     assert (len(calls) == 0) == quoted
+
+
+def test_fields_that_hold_the_mark_between_fields(spark, scratch):
+    """Fields are kept in one text only where none holds the mark; empty ones at a record's end stay."""
+    text = "a,b,c\n" + "".join(f'{i},"x\x1fy",\n' if i == 70_000 else f'{i},"é ""{i}""",\n' for i in range(80_000)) + ",,\n"
+    path = write(scratch, "in.txt", text)
+    rows = sorted(records(spark, [path], range_bytes=500_000).collect(), key=lambda r: (r.block, r.pos))
+    assert [r.fields for r in rows] == expected(text) and {r.width for r in rows} == {3}
+    kept = spark.read.schema(R.CUT_DDL).parquet(os.path.join(scratch, "_stage"))
+    assert kept.filter("joined IS NOT NULL").count() > 40_000 and kept.filter("fields IS NOT NULL").count() > 0
