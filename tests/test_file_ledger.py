@@ -145,3 +145,18 @@ def test_stream_takes_a_separator_and_a_catalog_table(spark, scratch, folder):
         assert spark.table(name).agg(F.sum("quantity")).first()[0] == 2 + 3 + 4
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_load_order_is_sorted_by_columns(spark, scratch):
+    """What the order derives is a column by the time of the sort; an expression is made anew for both rows of every comparison."""
+    from opsflow.plans import driver_queries as Q
+
+    rows = [(k % 50, k, k % 9, k % 7 + 1, 3.0, 1500.0, 0.1, 0.0, "RAN"[k % 3], "OF"[k % 2], datetime(1992 + k % 5, 1 + k % 12, 3)) for k in range(400)]
+    spark.createDataFrame(rows, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                          "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz").write.parquet(f"{scratch}/lineitem.parquet")
+    dealt = Q._sales_in_load_order(spark, scratch)
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    assert sorts and not any("concat" in line for line in sorts)
+    parts = dealt.select(*Q.SALES_ORDER).rdd.glom().map(lambda p: [tuple(r) for r in p]).collect()
+    assert [r for p in parts for r in p] == sorted(r for p in parts for r in p) and sum(map(len, parts)) == 400
